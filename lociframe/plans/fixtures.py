@@ -161,7 +161,7 @@ def cte(*names: str) -> str:
 
 
 def _tokens(sql: str) -> set[str]:
-    return set(sql.replace("(", " ").replace(",", " ").split())
+    return set(sql.replace("(", " ").replace(")", " ").replace(",", " ").split())
 
 
 def register_base(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:

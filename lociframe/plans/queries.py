@@ -131,3 +131,212 @@ def q_cohort_ac_af(spark, sf):
     s = CO.add_cohort_ac_af(SP.split_multi(IN.sites(spark, sf)))
     return s.select("vid", "a_index", F.col("info.cohort_AC").alias("cohort_AC"),
                     F.col("info.cohort_AF").alias("cohort_AF"))
+
+
+# ================================================================== lookups
+from lociframe.operators import lookup as LK  # noqa: E402
+from lociframe.operators import intervals as IV  # noqa: E402
+from lociframe.operators import packed as PK  # noqa: E402
+from lociframe.plans.fixtures import fixture  # noqa: E402
+
+
+def _split_sites(spark, sf, with_csq=False):
+    return SP.split_multi(IN.sites(spark, sf, with_csq=with_csq))
+
+
+def _score_table(spark, sf, name):
+    return LK.variant_key_of(fixture(spark, sf, name))
+
+
+def _first_by(table: str, keys: str, order: str) -> str:
+    return (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn "
+            f"FROM {table}) WHERE rn = 1)")
+
+
+@query("lookup_mpc", _with("fx_sites", "fx_mpc") + _SPLIT_SQL + f"""
+SELECT s.vid, s.a_index, m.mpc AS MPC
+FROM split s LEFT JOIN {_first_by('fx_mpc', 'contig, position, ref, alt', 'mpc')} m
+  ON s.contig = m.contig AND s.position = m.position AND s.ref = m.ref AND s.alt = m.alt""")
+def q_lookup_mpc(spark, sf):
+    out = LK.lookup_by_variant(_split_sites(spark, sf), _score_table(spark, sf, "fx_mpc"), {"MPC": "mpc"})
+    return out.select("vid", "a_index", F.col("info.MPC").alias("MPC"))
+
+
+@query("lookup_clinvar", _with("fx_sites", "fx_clinvar") + _SPLIT_SQL + f"""
+SELECT s.vid, s.a_index, m.clnsig AS CLNSIG, m.clnrevstat AS CLNREVSTAT
+FROM split s LEFT JOIN {_first_by('fx_clinvar', 'contig, position, ref, alt', 'clnsig, clnrevstat')} m
+  ON s.contig = m.contig AND s.position = m.position AND s.ref = m.ref AND s.alt = m.alt""")
+def q_lookup_clinvar(spark, sf):
+    cv = _score_table(spark, sf, "fx_clinvar").withColumnRenamed("clnsig", "CLNSIG") \
+        .withColumnRenamed("clnrevstat", "CLNREVSTAT")
+    out = LK.clinvar_lookup(_split_sites(spark, sf), cv, "GRCh38")
+    return out.select("vid", "a_index", F.col("info.CLNSIG").alias("CLNSIG"),
+                      F.col("info.CLNREVSTAT").alias("CLNREVSTAT"))
+
+
+@query("lookup_revel", _with("fx_sites", "fx_revel") + _SPLIT_SQL + """,
+rv AS (SELECT concat('chr', chr) AS contig, TRY_CAST(grch38_pos AS BIGINT) AS position, ref, alt, revel FROM fx_revel),
+rk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY revel) AS rn
+                      FROM rv WHERE position IS NOT NULL) WHERE rn = 1)
+SELECT s.vid, s.a_index, rk.revel AS REVEL
+FROM split s LEFT JOIN rk ON s.contig = rk.contig AND s.position = rk.position AND s.ref = rk.ref AND s.alt = rk.alt""")
+def q_lookup_revel(spark, sf):
+    rv = fixture(spark, sf, "fx_revel").withColumnRenamed("chr", "#chr").withColumnRenamed("revel", "REVEL")
+    out = LK.lookup_by_variant(_split_sites(spark, sf), LK.revel_keys(rv, "GRCh38"), {"REVEL": "REVEL"})
+    return out.select("vid", "a_index", F.col("info.REVEL").alias("REVEL"))
+
+
+# ================================================================== intervals
+_IV_HITS = """
+hits AS (
+  SELECT s.vid, s.a_index, i.target, row_number() OVER (PARTITION BY s.vid, s.a_index ORDER BY i.start0, i.end0, i.target) AS rn
+  FROM split s JOIN fx_intervals i ON s.contig = i.contig AND s.position > i.start0 AND s.position <= i.end0)
+"""
+
+
+def _intervals(spark, sf):
+    return IV.valid_intervals(fixture(spark, sf, "fx_intervals"), "GRCh38")
+
+
+@query("interval_label", _with("fx_sites", "fx_intervals") + _SPLIT_SQL + "," + _IV_HITS + """
+SELECT s.vid, s.a_index, h.target AS PREDICTED_NONCODING
+FROM split s LEFT JOIN hits h ON s.vid = h.vid AND s.a_index = h.a_index AND h.rn = 1""")
+def q_interval_label(spark, sf):
+    out = IV.interval_label(_split_sites(spark, sf), _intervals(spark, sf))
+    return out.select("vid", "a_index", F.col("info.PREDICTED_NONCODING").alias("PREDICTED_NONCODING"))
+
+
+@query("interval_keep_labelled", _with("fx_sites", "fx_intervals") + _SPLIT_SQL + "," + _IV_HITS + """
+SELECT h.vid, h.a_index, h.target AS PREDICTED_NONCODING FROM hits h WHERE h.rn = 1""")
+def q_interval_keep_labelled(spark, sf):
+    out = IV.interval_label(_split_sites(spark, sf), _intervals(spark, sf), keep_only_labelled=True)
+    return out.select("vid", "a_index", F.col("info.PREDICTED_NONCODING").alias("PREDICTED_NONCODING"))
+
+
+@query("interval_filter", _with("fx_sites", "fx_intervals") + _SPLIT_SQL + """
+SELECT s.vid, s.a_index, s.position FROM split s
+WHERE EXISTS (SELECT 1 FROM fx_intervals i WHERE i.contig = s.contig AND s.position > i.start0 AND s.position <= i.end0)""")
+def q_interval_filter(spark, sf):
+    return IV.interval_filter(_split_sites(spark, sf), _intervals(spark, sf)).select("vid", "a_index", "position")
+
+
+@query("region_overlap_filter", _with("fx_sites", "fx_intervals") + """
+SELECT s.vid, s.position, s.ref FROM fx_sites s
+WHERE EXISTS (SELECT 1 FROM fx_intervals i WHERE i.contig = s.contig
+              AND s.position <= i.end0 AND s.position + length(s.ref) - 1 >= i.start0 + 1)""")
+def q_region_overlap_filter(spark, sf):
+    out = IV.region_overlap_filter(IN.sites(spark, sf), _intervals(spark, sf))
+    return out.select("vid", "position", F.col("alleles")[0].alias("ref"))
+
+
+# ================================================================== packed
+def _exploded(spark, sf, split=False):
+    s = IN.sites(spark, sf, with_csq=True)
+    if split:
+        s = SP.split_multi(s)
+    s = s.withColumn("_tc", PK.parse_entries(F.col("info.CSQ"), IN.CSQ_FIELDS))
+    return PK.explode_entries(s)
+
+
+@query("parse_csq", _with("fx_csq") + """
+SELECT vid, ord, symbol AS SYMBOL, feature AS Feature, consequence AS Consequence,
+       CAST(len(string_split(consequence, '&')) AS INT) AS n_consequence, hgvsc AS HGVSc, hgvsp AS HGVSp
+FROM fx_csq""")
+def q_parse_csq(spark, sf):
+    e = _exploded(spark, sf)
+    return e.select("vid", F.col("csq_pos").alias("ord"), F.col("tc.SYMBOL").alias("SYMBOL"),
+                    F.col("tc.Feature").alias("Feature"),
+                    F.array_join("tc.Consequence", "&").alias("Consequence"),
+                    F.size("tc.Consequence").alias("n_consequence"),
+                    F.col("tc.HGVSc").alias("HGVSc"), F.col("tc.HGVSp").alias("HGVSp"))
+
+
+def _genes_v4(spark, sf):
+    return (fixture(spark, sf, "fx_genes_v4").withColumnRenamed("lof_upper", "lof.oe_ci.upper")
+            .withColumnRenamed("lof_decile", "lof.oe_ci.upper_bin_decile"))
+
+
+@query("loeuf_by_transcript", _with("fx_csq", "fx_genes", "fx_genes_v4") + f"""
+SELECT c.vid, c.ord,
+       CASE WHEN g2.transcript IS NULL THEN '' ELSE g2.oe_lof_upper END AS LOEUF_v2,
+       CASE WHEN g2.transcript IS NULL THEN '' ELSE g2.oe_lof_upper_bin END AS LOEUF_v2_decile,
+       CASE WHEN g4.transcript IS NULL THEN '' ELSE g4.lof_upper END AS LOEUF_v4,
+       CASE WHEN g4.transcript IS NULL THEN '' ELSE g4.lof_decile END AS LOEUF_v4_decile
+FROM fx_csq c
+LEFT JOIN {_first_by('fx_genes', 'transcript', 'oe_lof_upper, oe_lof_upper_bin')} g2 ON c.feature = g2.transcript
+LEFT JOIN {_first_by('fx_genes_v4', 'transcript', 'lof_upper, lof_decile')} g4 ON c.feature = g4.transcript""")
+def q_loeuf(spark, sf):
+    e = PK.loeuf(_exploded(spark, sf), fixture(spark, sf, "fx_genes"), _genes_v4(spark, sf))
+    return e.select("vid", F.col("csq_pos").alias("ord"),
+                    *[F.col(f"tc.{c}").alias(c) for c in ("LOEUF_v2", "LOEUF_v2_decile", "LOEUF_v4", "LOEUF_v4_decile")])
+
+
+@query("omim_by_gene", _with("fx_csq", "fx_omim") + """
+SELECT c.vid, c.ord, coalesce(o.mimNumber, '') AS OMIM_MIM_number, coalesce(o.inheritance_code, '') AS OMIM_inheritance_code
+FROM fx_csq c LEFT JOIN fx_omim o ON c.symbol = o.approvedGeneSymbol""")
+def q_omim(spark, sf):
+    e = PK.omim(_exploded(spark, sf), fixture(spark, sf, "fx_omim"))
+    return e.select("vid", F.col("csq_pos").alias("ord"), F.col("tc.OMIM_MIM_number").alias("OMIM_MIM_number"),
+                    F.col("tc.OMIM_inheritance_code").alias("OMIM_inheritance_code"))
+
+
+@query("gene_list_flag", _with("fx_csq", "fx_gene_list", "fx_gene_list_b") + """
+SELECT c.vid, c.ord,
+       concat_ws('&', CASE WHEN c.symbol IN (SELECT symbol FROM fx_gene_list) THEN 'genes_a.txt' END,
+                      CASE WHEN c.symbol IN (SELECT symbol FROM fx_gene_list_b) THEN 'genes_b.txt' END) AS gene_list
+FROM fx_csq c""")
+def q_gene_list(spark, sf):
+    e = PK.gene_lists(_exploded(spark, sf), [("genes_a.txt", fixture(spark, sf, "fx_gene_list")),
+                                             ("genes_b.txt", fixture(spark, sf, "fx_gene_list_b"))])
+    return e.select("vid", F.col("csq_pos").alias("ord"), F.col("tc.gene_list").alias("gene_list"))
+
+
+_SPLICE_COLS = ", ".join(
+    f"CASE WHEN sa.spliceai IS NULL THEN '' ELSE string_split(string_split(sa.spliceai, '=')[2], '|')[{i + 3}] END AS {f}"
+    for i, f in enumerate(PK.SPLICEAI_FIELDS))
+
+
+@query("spliceai_by_gene", _with("fx_sites", "fx_csq", "fx_spliceai") + _SPLIT_SQL + f"""
+SELECT s.vid, s.a_index, c.ord, {_SPLICE_COLS}
+FROM split s JOIN fx_csq c ON s.vid = c.vid
+LEFT JOIN fx_spliceai sa ON s.contig = sa.contig AND s.position = sa.position AND s.ref = sa.ref AND s.alt = sa.alt
+                         AND c.symbol = sa.symbol""")
+def q_spliceai(spark, sf):
+    t = (LK.variant_key_of(fixture(spark, sf, "fx_spliceai"))
+         .withColumnRenamed("symbol", "SYMBOL").withColumnRenamed("spliceai", "SpliceAI"))
+    e = PK.spliceai(_exploded(spark, sf, split=True), t)
+    return e.select("vid", "a_index", F.col("csq_pos").alias("ord"), *[F.col(f"tc.{f}").alias(f) for f in PK.SPLICEAI_FIELDS])
+
+
+@query("hgvsc_symbol", _with("fx_csq") + """
+SELECT vid, ord, concat_ws(', ', symbol, CASE WHEN hgvsc <> '' THEN split_part(hgvsc, ':', 2) END,
+                                 CASE WHEN hgvsp <> '' THEN split_part(hgvsp, ':', 2) END) AS HGVSc_symbol
+FROM fx_csq""")
+def q_hgvsc_symbol(spark, sf):
+    e = _exploded(spark, sf)
+    return e.select("vid", F.col("csq_pos").alias("ord"), PK.hgvsc_symbol(F.col("tc")).alias("HGVSc_symbol"))
+
+
+_ENTRY_SQL = "concat(symbol, '|', feature, '|', consequence, '|', hgvsc, '|', hgvsp)"
+
+
+@query("pack_csq", _with("fx_sites", "fx_csq") + f"""
+SELECT s.vid, p.csq AS CSQ FROM fx_sites s
+LEFT JOIN (SELECT vid, string_agg({_ENTRY_SQL}, ',' ORDER BY ord) AS csq FROM fx_csq GROUP BY vid) p ON s.vid = p.vid""")
+def q_pack_csq(spark, sf):
+    s = IN.sites(spark, sf, with_csq=True)
+    e = PK.explode_entries(s.withColumn("_tc", PK.parse_entries(F.col("info.CSQ"), IN.CSQ_FIELDS)))
+    packed = PK.regroup(e, IN.CSQ_FIELDS)
+    return s.join(packed, ["contig", "position", "alleles"], "left").select("vid", "CSQ")
+
+
+@query("pack_csq_array", _with("fx_csq") + f"""
+SELECT vid, ord, concat({_ENTRY_SQL}, '|', concat_ws(', ', symbol, CASE WHEN hgvsc <> '' THEN split_part(hgvsc, ':', 2) END,
+                                 CASE WHEN hgvsp <> '' THEN split_part(hgvsp, ':', 2) END)) AS entry
+FROM fx_csq""")
+def q_pack_csq_array(spark, sf):
+    e = _exploded(spark, sf)
+    e = PK.add_entry_fields(e, HGVSc_symbol=PK.hgvsc_symbol(F.col("tc")))
+    packed = PK.regroup(e.select("vid", "contig", "position", "alleles", "csq_pos", "tc"),
+                        IN.CSQ_FIELDS + ["HGVSc_symbol"], key=["vid"], as_array=True)
+    return packed.select("vid", F.posexplode("CSQ").alias("ord", "entry"))
