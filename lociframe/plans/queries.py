@@ -340,3 +340,142 @@ def q_pack_csq_array(spark, sf):
     packed = PK.regroup(e.select("vid", "contig", "position", "alleles", "csq_pos", "tc"),
                         IN.CSQ_FIELDS + ["HGVSc_symbol"], key=["vid"], as_array=True)
     return packed.select("vid", F.posexplode("CSQ").alias("ord", "entry"))
+
+
+# ================================================================== genotypes
+from lociframe.operators import genotypes as GT  # noqa: E402
+from lociframe.operators import filters as FL  # noqa: E402
+
+_AD_SUM = "CASE WHEN ad0 IS NULL THEN NULL ELSE ad0 + coalesce(ad1, 0) + coalesce(ad2, 0) + coalesce(ad3, 0) END"
+_A2_DIPLOID = "CASE WHEN a1 IS NULL THEN NULL ELSE coalesce(a2, a1) END"
+
+
+@query("haploid_to_diploid", _with("fx_calls") + f"""
+SELECT vid, s, a1 AS gt_a1, {_A2_DIPLOID} AS gt_a2 FROM fx_calls""")
+def q_haploid_to_diploid(spark, sf):
+    c = GT.haploid_to_diploid(IN.calls(spark, sf))
+    return c.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"))
+
+
+@query("format_dp", _with("fx_calls") + f"""
+SELECT vid, s, CAST({_AD_SUM} AS INT) AS DP FROM fx_calls""")
+def q_format_dp(spark, sf):
+    return GT.format_depth(IN.calls(spark, sf)).select("vid", "s", "DP")
+
+
+@query("info_dp", _with("fx_sites", "fx_calls") + f"""
+SELECT s.vid, CAST(coalesce(d.dp, 0) AS INT) AS DP
+FROM fx_sites s LEFT JOIN (SELECT vid, sum({_AD_SUM}) AS dp FROM fx_calls GROUP BY vid) d ON s.vid = d.vid""")
+def q_info_dp(spark, sf):
+    s = IN.sites(spark, sf)
+    out = CO.info_depth(s, IN.calls(spark, sf, s))
+    return out.select("vid", F.col("info.DP").alias("DP"))
+
+
+@query("estimated_pl", _with("fx_calls") + f"""
+d AS (SELECT vid, s, a1, {_A2_DIPLOID} AS a2, gq, ad0, ad1 FROM fx_calls),
+m AS (SELECT *, CASE WHEN ad0 IS NULL THEN gq ELSE greatest(gq, 3 * (ad0 - ad1)) END AS mx FROM d)
+SELECT vid, s,
+       CAST(CASE WHEN a1 IS NULL THEN NULL WHEN a1 = 0 AND a2 = 0 THEN 0 WHEN a1 = a2 THEN mx ELSE gq END AS INT) AS pl0,
+       CAST(CASE WHEN a1 IS NULL THEN NULL WHEN a1 = 0 AND a2 = 0 THEN gq WHEN a1 = a2 THEN gq ELSE 0 END AS INT) AS pl1,
+       CAST(CASE WHEN a1 IS NULL THEN NULL WHEN a1 = 0 AND a2 = 0 THEN mx WHEN a1 = a2 THEN 0 ELSE mx END AS INT) AS pl2
+FROM m""".replace("\n,", ","))
+def q_estimated_pl(spark, sf):
+    c = GT.estimate_pl(GT.haploid_to_diploid(IN.calls(spark, sf)))
+    return c.select("vid", "s", F.get("PL", 0).alias("pl0"), F.get("PL", 1).alias("pl1"), F.get("PL", 2).alias("pl2"))
+
+
+@query("recompute_ac_af", _with("fx_sites", "fx_calls") + _SPLIT_SQL + "," + _CALLS_SQL + """
+, st AS (SELECT vid, a_index, sum(CASE WHEN g1 IS NULL THEN 0 WHEN g2 IS NULL THEN 1 ELSE 2 END) AS an,
+                sum(coalesce(g1, 0) + coalesce(g2, 0)) AS ac FROM cs GROUP BY vid, a_index)
+SELECT s.vid, s.a_index, CAST(coalesce(st.ac, 0) AS INT) AS cohort_AC,
+       CASE WHEN coalesce(st.an, 0) = 0 THEN NULL ELSE CAST(st.ac AS DOUBLE) / st.an END AS cohort_AF
+FROM split s LEFT JOIN st ON s.vid = st.vid AND s.a_index = st.a_index""".replace("\n,", ","))
+def q_recompute_ac_af(spark, sf):
+    s = SP.split_multi(IN.sites(spark, sf))
+    c = SP.split_calls(IN.calls(spark, sf))
+    out = CO.recompute_cohort_ac_af(s, c)
+    return out.select("vid", "a_index", F.col("info.cohort_AC").alias("cohort_AC"),
+                      F.col("info.cohort_AF").alias("cohort_AF"))
+
+
+@query("variant_qc", _with("fx_sites", "fx_calls") + """
+al AS (SELECT vid, a1 AS a FROM fx_calls WHERE a1 IS NOT NULL
+         UNION ALL SELECT vid, a2 AS a FROM fx_calls WHERE a1 IS NOT NULL AND a2 IS NOT NULL),
+an AS (SELECT vid, count(*) AS an FROM al GROUP BY vid),
+idx AS (SELECT vid, unnest(range(0, len(string_split(alts, ',')) + 1)) AS allele FROM fx_sites WHERE vid IN (SELECT vid FROM an))
+SELECT idx.vid, CAST(idx.allele AS INT) AS allele, CAST(coalesce(c.n, 0) AS INT) AS AC, CAST(an.an AS INT) AS AN,
+       coalesce(c.n, 0) / an.an AS AF
+FROM idx JOIN an ON idx.vid = an.vid
+LEFT JOIN (SELECT vid, a, count(*) AS n FROM al GROUP BY vid, a) c ON idx.vid = c.vid AND idx.allele = c.a""".replace("\n,", ","))
+def q_variant_qc(spark, sf):
+    s = IN.sites(spark, sf)
+    qc = CO.variant_qc(IN.calls(spark, sf, s))
+    qc = qc.join(s.select("contig", "position", "alleles", "vid"), ["contig", "position", "alleles"])
+    return qc.select("vid", F.posexplode(F.arrays_zip("AC", "AF")).alias("allele", "z"), "AN") \
+             .select("vid", "allele", F.col("z.AC").alias("AC"), "AN", F.col("z.AF").alias("AF"))
+
+
+@query("missing_counts", _with("fx_sites") + _SPLIT_SQL + """
+SELECT CAST(0 AS BIGINT) AS n_missing_AS_VQSLOD, CAST(count(*) FILTER (WHERE s.vqslod IS NULL) AS BIGINT) AS n_missing_VQSLOD
+FROM split sp JOIN fx_sites s ON sp.vid = s.vid""")
+def q_missing_counts(spark, sf):
+    return CO.missing_counts(SP.split_multi(IN.sites(spark, sf)), ["AS_VQSLOD", "VQSLOD"])
+
+
+@query("as_backfill", _with("fx_sites") + _SPLIT_SQL + """
+, j AS (SELECT sp.vid, sp.a_index, s.vqslod FROM split sp JOIN fx_sites s ON sp.vid = s.vid),
+dec AS (SELECT count(*) FILTER (WHERE vqslod IS NULL) > 0 AS fire FROM j)
+SELECT j.vid, j.a_index, CAST(CASE WHEN dec.fire THEN (j.vid * j.a_index) % 100 ELSE j.vqslod END AS INT) AS VQSLOD
+FROM j, dec""".replace("\n,", ","))
+def q_as_backfill(spark, sf):
+    out = CO.backfill_allele_specific(SP.split_multi(IN.sites(spark, sf)))
+    return out.select("vid", "a_index", F.col("info.VQSLOD").alias("VQSLOD"))
+
+
+@query("sample_subset_ac", _with("fx_calls", "fx_keep_samples") + f"""
+k AS (SELECT vid, s, a1, {_A2_DIPLOID} AS a2 FROM fx_calls WHERE s IN (SELECT s FROM fx_keep_samples)),
+v AS (SELECT vid FROM k GROUP BY vid HAVING sum(CASE WHEN a1 = 1 THEN 1 ELSE 0 END + CASE WHEN a2 = 1 THEN 1 ELSE 0 END) > 0)
+SELECT vid, s, a1 AS gt_a1, a2 AS gt_a2 FROM k WHERE vid IN (SELECT vid FROM v)""".replace("\n,", ","))
+def q_sample_subset_ac(spark, sf):
+    s = IN.sites(spark, sf)
+    _, c = FL.subset_samples(s, IN.calls(spark, sf, s), fixture(spark, sf, "fx_keep_samples"))
+    return c.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"))
+
+
+@query("drop_first_sample", _with("fx_calls", "fx_samples") + """
+SELECT c.vid, c.s FROM fx_calls c JOIN fx_samples m ON c.s = m.s WHERE m.ordinal > 0""")
+def q_drop_first_sample(spark, sf):
+    c = FL.drop_first_sample(IN.calls(spark, sf), fixture(spark, sf, "fx_samples"))
+    return c.select("vid", "s")
+
+
+@query("adj_filter", _with("fx_calls") + f"""
+d AS (SELECT *, {_AD_SUM} AS dp,
+              CASE a1 WHEN 0 THEN ad0 WHEN 1 THEN ad1 WHEN 2 THEN ad2 ELSE ad3 END AS ad_a1,
+              CASE a2 WHEN 0 THEN ad0 WHEN 1 THEN ad1 WHEN 2 THEN ad2 ELSE ad3 END AS ad_a2 FROM fx_calls)
+SELECT vid, s, a1 AS gt_a1, a2 AS gt_a2 FROM d
+WHERE a1 IS NOT NULL AND gq >= 20
+  AND CASE WHEN a2 IS NULL THEN dp >= 5 ELSE dp >= 10 END
+  AND CASE WHEN a2 IS NULL OR a1 = a2 THEN TRUE
+           WHEN a1 = 0 THEN ad_a2 / dp >= 0.2
+           WHEN a2 = 0 THEN ad_a1 / dp >= 0.2
+           ELSE ad_a1 / dp >= 0.2 AND ad_a2 / dp >= 0.2 END""".replace("\n,", ","))
+def q_adj_filter(spark, sf):
+    c = GT.filter_to_adj(GT.format_depth(IN.calls(spark, sf)))
+    return c.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"))
+
+
+@query("add_genotypes", _with("fx_sites", "fx_calls", "fx_mpc") + _SPLIT_SQL + "," + _CALLS_SQL + f"""
+SELECT cs.vid, cs.a_index, cs.s, CAST(cs.g1 AS INT) AS gt_a1,
+       CAST(CASE WHEN cs.g1 IS NULL THEN NULL ELSE coalesce(cs.g2, cs.g1) END AS INT) AS gt_a2, m.mpc AS MPC
+FROM cs JOIN split s ON cs.vid = s.vid AND cs.a_index = s.a_index
+LEFT JOIN {_first_by('fx_mpc', 'contig, position, ref, alt', 'mpc')} m
+  ON s.contig = m.contig AND s.position = m.position AND s.ref = m.ref AND s.alt = m.alt""")
+def q_add_genotypes(spark, sf):
+    from lociframe.operators.merge import add_genotypes
+    s = IN.sites(spark, sf)
+    annotated = LK.lookup_by_variant(SP.split_multi(s), _score_table(spark, sf, "fx_mpc"), {"MPC": "mpc"})
+    out = add_genotypes(annotated.drop("vid"), IN.calls(spark, sf, s))
+    return out.select("vid", "a_index", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"),
+                      F.col("info.MPC").alias("MPC"))
