@@ -479,3 +479,95 @@ def q_add_genotypes(spark, sf):
     out = add_genotypes(annotated.drop("vid"), IN.calls(spark, sf, s))
     return out.select("vid", "a_index", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"),
                       F.col("info.MPC").alias("MPC"))
+
+
+# ================================================================== counts, order, shards
+from lociframe.operators import counts as CT  # noqa: E402
+from lociframe.operators import sharding as SH  # noqa: E402
+
+_CONTIG_ORD = ("CASE substr(contig, 4) WHEN 'X' THEN 23 WHEN 'Y' THEN 24 "
+               "ELSE TRY_CAST(substr(contig, 4) AS INT) END")
+_RANKED = f"""
+ranked AS (SELECT vid, contig, position, ref, alts,
+                  row_number() OVER (ORDER BY {_CONTIG_ORD}, position, ref, alts) AS rn,
+                  count(*) OVER () AS total
+           FROM fx_sites)
+"""
+
+
+@query("variant_counts", _with("fx_sites") + """
+per_shard AS (SELECT contig, count(*) AS n_records,
+                     count(*) FILTER (WHERE length(ref) = 1 AND length(alts) = 1) AS n_snv,
+                     count(*) FILTER (WHERE length(ref) <> length(alts)) AS n_indel
+              FROM fx_sites GROUP BY contig)
+SELECT CAST(sum(n_records) AS BIGINT) AS n_records, CAST(sum(n_snv) AS BIGINT) AS n_snv,
+       CAST(sum(n_indel) AS BIGINT) AS n_indel FROM per_shard""")
+def q_variant_counts(spark, sf):
+    return CT.total_of_shards(CT.variant_type_counts(IN.sites(spark, sf), by="contig"))
+
+
+@query("records_per_contig", _with("fx_sites") + """
+x AS (SELECT 1)
+SELECT contig, count(*) AS n_records FROM fx_sites GROUP BY contig""")
+def q_records_per_contig(spark, sf):
+    return CT.records_per_contig(IN.sites(spark, sf))
+
+
+@query("coordinate_sort", _with("fx_sites") + _RANKED + """
+SELECT vid, rn FROM ranked""")
+def q_coordinate_sort(spark, sf):
+    return SH.coordinate_sort(IN.sites(spark, sf)).select("vid", "rn")
+
+
+@query("shard_fixed", _with("fx_sites") + _RANKED + """
+SELECT vid, CAST(((rn - 1) * 7) // total AS BIGINT) AS shard FROM ranked""")
+def q_shard_fixed(spark, sf):
+    return SH.shard_fixed(IN.sites(spark, sf), 7).select("vid", "shard")
+
+
+@query("shard_by_records", _with("fx_sites") + _RANKED + """
+SELECT vid, CAST((rn - 1) // 1000 AS BIGINT) AS shard FROM ranked""")
+def q_shard_by_records(spark, sf):
+    return SH.shard_by_records(IN.sites(spark, sf), 1000).select("vid", "shard")
+
+
+@query("shard_by_contig", _with("fx_sites") + _RANKED + """
+SELECT vid, concat(contig, '_', CAST((rn - min(rn) OVER (PARTITION BY contig)) // 200 AS VARCHAR)) AS shard FROM ranked""")
+def q_shard_by_contig(spark, sf):
+    return SH.shard_by_contig(IN.sites(spark, sf), "GRCh38", 200).select("vid", "shard")
+
+
+@query("keep_contig", _with("fx_sites") + """
+x AS (SELECT 1)
+SELECT vid, position FROM fx_sites WHERE contig = 'chr5'""")
+def q_keep_contig(spark, sf):
+    return FL.keep_contig(IN.sites(spark, sf), "chr5").select("vid", "position")
+
+
+@query("chunk_rows", _with("fx_pedigree") + """
+x AS (SELECT 1)
+SELECT sample_id, CAST((row_number() OVER (ORDER BY sample_id) - 1) // 100 AS BIGINT) AS chunk FROM fx_pedigree""")
+def q_chunk_rows(spark, sf):
+    return SH.chunk_rows(fixture(spark, sf, "fx_pedigree"), 100, "sample_id").select("sample_id", "chunk")
+
+
+@query("chunk_families", _with("fx_pedigree") + """
+fam AS (SELECT family_id, min(sample_id) AS first_seen FROM fx_pedigree GROUP BY family_id),
+fc AS (SELECT family_id, (row_number() OVER (ORDER BY first_seen) - 1) // 7 AS chunk FROM fam)
+SELECT p.sample_id, p.family_id, CAST(fc.chunk AS BIGINT) AS chunk FROM fx_pedigree p JOIN fc ON p.family_id = fc.family_id""")
+def q_chunk_families(spark, sf):
+    out = SH.chunk_families(fixture(spark, sf, "fx_pedigree"), 7, "sample_id")
+    return out.select("sample_id", "family_id", "chunk")
+
+
+@query("sample_chunk_pairs", _with("fx_pedigree") + """
+ch AS (SELECT sample_id AS s, (row_number() OVER (ORDER BY sample_id) - 1) // 250 AS chunk FROM fx_pedigree),
+ids AS (SELECT DISTINCT chunk FROM ch),
+pairs AS (SELECT a.chunk AS i, b.chunk AS j, row_number() OVER (ORDER BY a.chunk, b.chunk) - 1 AS shard
+          FROM ids a JOIN ids b ON a.chunk < b.chunk)
+SELECT CAST(p.shard AS BIGINT) AS shard, c.s FROM pairs p JOIN ch c ON c.chunk = p.i
+UNION ALL
+SELECT CAST(p.shard AS BIGINT) AS shard, c.s FROM pairs p JOIN ch c ON c.chunk = p.j""")
+def q_sample_chunk_pairs(spark, sf):
+    ped = fixture(spark, sf, "fx_pedigree").select(F.col("sample_id").alias("s"))
+    return SH.sample_chunk_pairs(ped, 250).select("shard", "s")
