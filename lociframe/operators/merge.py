@@ -21,3 +21,68 @@ def add_genotypes(annotated_sites: DataFrame, calls: DataFrame, key=VARIANT_KEY)
     site_cols = set(annotated_sites.columns)
     c = c.select(*key, *[x for x in c.columns if x not in site_cols])
     return annotated_sites.join(c, list(key), "inner")
+
+
+def union_tables(tables, allow_missing_columns: bool = True) -> DataFrame:
+    """Row union by column *name*; a column missing in a table reads NULL."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing_columns), tables)
+
+
+def union_by_position(tables) -> DataFrame:
+    """Row union by column *position*; names come from the first table."""
+    first = tables[0]
+    return reduce(lambda a, b: a.union(b.toDF(*first.columns)), tables[1:], first)
+
+
+def concat_records(tables, allow_overlaps: bool = False, build: str = "GRCh38") -> DataFrame:
+    """Concatenate record sets.  Naive: file order, duplicates kept
+    (``file_idx`` tells the source).  Allow-overlaps: merged into coordinate
+    order with a global rank ``rn``."""
+    from lociframe.operators.sharding import coordinate_sort
+    tagged = [t.withColumn("file_idx", F.lit(i + 1)) for i, t in enumerate(tables)]
+    out = union_tables(tagged)
+    return coordinate_sort(out, build) if allow_overlaps else out
+
+
+def union_cohorts(sites_a: DataFrame, calls_a: DataFrame, sites_b: DataFrame, calls_b: DataFrame,
+                  key=VARIANT_KEY, exclude=("PGT",)):
+    """Samples of two cohorts side by side on the variants both have.
+
+    Rows: inner join of the two site tables on the variant key (fields of
+    the first cohort kept).  Entries: the fields common to both call tables
+    minus ``PGT``, unioned.  Returns (sites, calls).
+    """
+    from lociframe.operators.genotypes import common_entry_fields
+    fields = common_entry_fields(calls_a, calls_b, exclude)
+    shared = sites_b.select(*key)
+    sites = sites_a.join(shared, list(key), "left_semi")
+    ca = calls_a.join(shared, list(key), "left_semi").select(*key, "s", *fields)
+    cb = calls_b.join(sites_a.select(*key), list(key), "left_semi").select(*key, "s", *fields)
+    return sites, ca.unionByName(cb)
+
+
+def merge_sample_sets(files, key=VARIANT_KEY):
+    """Merge the samples of several call sets (``[(sites, calls, samples), ...]``
+    in file order): records are matched on the full variant key (records with
+    different alleles stay separate), a sample name already used by an
+    earlier file becomes ``"<file number>:<name>"``, and a sample without a
+    call at a record simply has no row (missing).  Returns (sites, calls, samples).
+    """
+    tagged_samples = union_tables([smp.select("s", "ordinal").withColumn("file_idx", F.lit(i + 1))
+                                   for i, (_, _, smp) in enumerate(files)])
+    first_file = tagged_samples.groupBy("s").agg(F.min("file_idx").alias("_first"))
+    renamed = (tagged_samples.join(first_file, "s")
+               .withColumn("new_s", F.when(F.col("file_idx") > F.col("_first"),
+                                           F.concat(F.col("file_idx").cast("string"), F.lit(":"), F.col("s")))
+                           .otherwise(F.col("s")))
+               .drop("_first"))
+    calls = union_tables([c.withColumn("file_idx", F.lit(i + 1)) for i, (_, c, _) in enumerate(files)])
+    calls = (calls.join(renamed.select("file_idx", "s", "new_s"), ["file_idx", "s"])
+             .drop("s").withColumnRenamed("new_s", "s"))
+    sites = union_tables([st.withColumn("file_idx", F.lit(i + 1)) for i, (st, _, _) in enumerate(files)])
+    # one record per variant key; the earliest file's fields win
+    others = [c for c in sites.columns if c not in key]
+    sites = (sites.groupBy(*key).agg(F.min_by(F.struct(*others), F.col("file_idx")).alias("_r"))
+             .select(*key, "_r.*").drop("file_idx"))
+    samples = renamed.select(F.col("new_s").alias("s"), "file_idx", "ordinal")
+    return sites, calls.drop("file_idx"), samples

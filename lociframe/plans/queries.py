@@ -571,3 +571,106 @@ SELECT CAST(p.shard AS BIGINT) AS shard, c.s FROM pairs p JOIN ch c ON c.chunk =
 def q_sample_chunk_pairs(spark, sf):
     ped = fixture(spark, sf, "fx_pedigree").select(F.col("sample_id").alias("s"))
     return SH.sample_chunk_pairs(ped, 250).select("shard", "s")
+
+
+# ================================================================== unions / merges
+from lociframe.operators import merge as MG  # noqa: E402
+
+
+def _cohort_b(spark, sf, rename=True):
+    s = IN.sites(spark, sf)
+    sb = s.where(F.col("vid") % 2 == 0)
+    cb = IN.calls(spark, sf, s).where(F.col("vid") % 2 == 0).withColumn("PGT", F.lit("0|1"))
+    if rename:
+        cb = cb.withColumn("s", F.concat(F.lit("T"), F.substring("s", 2, 8)))
+    return s, sb, cb
+
+
+@query("union_cohorts", _with("fx_calls") + """
+x AS (SELECT 1)
+SELECT vid, s, a1 AS gt_a1, a2 AS gt_a2, gq AS GQ FROM fx_calls WHERE vid % 2 = 0
+UNION ALL
+SELECT vid, concat('T', substr(s, 2)) AS s, a1 AS gt_a1, a2 AS gt_a2, gq AS GQ FROM fx_calls WHERE vid % 2 = 0""")
+def q_union_cohorts(spark, sf):
+    s, sb, cb = _cohort_b(spark, sf)
+    _, calls = MG.union_cohorts(s, IN.calls(spark, sf, s), sb, cb)
+    calls = calls.join(s.select("contig", "position", "alleles", "vid"), ["contig", "position", "alleles"])
+    return calls.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"), "GQ")
+
+
+@query("merge_samples", _with("fx_calls") + """
+x AS (SELECT 1)
+SELECT vid, s, a1 AS gt_a1, a2 AS gt_a2 FROM fx_calls WHERE vid % 3 <> 0
+UNION ALL
+SELECT vid, concat('2:', s) AS s, a1 AS gt_a1, a2 AS gt_a2 FROM fx_calls WHERE vid % 2 = 0""")
+def q_merge_samples(spark, sf):
+    s = IN.sites(spark, sf)
+    c = IN.calls(spark, sf, s)
+    smp = fixture(spark, sf, "fx_samples")
+    f1 = (s.where(F.col("vid") % 3 != 0), c.where(F.col("vid") % 3 != 0), smp)
+    f2 = (s.where(F.col("vid") % 2 == 0), c.where(F.col("vid") % 2 == 0), smp)
+    _, calls, _ = MG.merge_sample_sets([f1, f2])
+    return calls.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"))
+
+
+@query("merge_samples_sites", _with("fx_sites") + """
+x AS (SELECT 1)
+SELECT vid, position FROM fx_sites WHERE vid % 3 <> 0 OR vid % 2 = 0""")
+def q_merge_samples_sites(spark, sf):
+    s = IN.sites(spark, sf)
+    c = IN.calls(spark, sf, s)
+    smp = fixture(spark, sf, "fx_samples")
+    f1 = (s.where(F.col("vid") % 3 != 0), c.where(F.col("vid") % 3 != 0), smp)
+    f2 = (s.where(F.col("vid") % 2 == 0), c.where(F.col("vid") % 2 == 0), smp)
+    sites, _, _ = MG.merge_sample_sets([f1, f2])
+    return sites.select("vid", "position")
+
+
+@query("concat_tables_by_name", """
+SELECT c_custkey AS key, c_name AS name, c_nationkey AS nation, CAST(NULL AS DOUBLE) AS balance FROM customer
+UNION ALL
+SELECT s_suppkey AS key, s_name AS name, CAST(NULL AS INT) AS nation, s_acctbal AS balance FROM supplier""")
+def q_concat_by_name(spark, sf):
+    cust = spark.read.parquet(f"{sf}/customer.parquet")
+    supp = spark.read.parquet(f"{sf}/supplier.parquet")
+    t1 = cust.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    t2 = supp.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
+    return MG.union_tables([t1, t2])
+
+
+@query("concat_tables_by_position", """
+SELECT c_custkey AS key, c_name AS name, c_nationkey AS nation FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey FROM supplier""")
+def q_concat_by_position(spark, sf):
+    t1 = spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    t2 = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", "s_name", "s_nationkey")
+    return MG.union_by_position([t1, t2])
+
+
+@query("concat_records_sorted", _with("fx_sites") + _RANKED + """
+SELECT vid, CAST(vid % 2 + 1 AS INT) AS file_idx, rn FROM ranked""")
+def q_concat_records_sorted(spark, sf):
+    s = IN.sites(spark, sf)
+    out = MG.concat_records([s.where(F.col("vid") % 2 == 0), s.where(F.col("vid") % 2 == 1)], allow_overlaps=True)
+    return out.select("vid", "file_idx", "rn")
+
+
+@query("union_record_sets", _with("fx_sites") + """
+x AS (SELECT 1)
+SELECT vid, CAST(vid % 3 + 1 AS INT) AS file_idx FROM fx_sites""")
+def q_union_record_sets(spark, sf):
+    s = IN.sites(spark, sf)
+    parts = [s.where(F.col("vid") % 3 == i) for i in range(3)]
+    return MG.concat_records(parts).select("vid", "file_idx")
+
+
+@query("keep_format_fields", _with("fx_calls") + """
+x AS (SELECT 1)
+SELECT vid, s, a1 AS gt_a1, gq AS GQ FROM fx_calls""")
+def q_keep_format_fields(spark, sf):
+    c = GT.format_depth(IN.calls(spark, sf)).withColumn("PGT", F.lit("0|1")).withColumn("MIN_DP", F.lit(3))
+    kept = GT.keep_format_fields(c)
+    assert set(kept.columns) == {"vid", "contig", "position", "alleles", "s", "GT", "AD", "DP", "GQ", "PL"}
+    return kept.select("vid", "s", F.col("GT.a1").alias("gt_a1"), "GQ")
