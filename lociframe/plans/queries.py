@@ -674,3 +674,81 @@ def q_keep_format_fields(spark, sf):
     kept = GT.keep_format_fields(c)
     assert set(kept.columns) == {"vid", "contig", "position", "alleles", "s", "GT", "AD", "DP", "GQ", "PL"}
     return kept.select("vid", "s", F.col("GT.a1").alias("gt_a1"), "GQ")
+
+
+# ================================================================== ancestry
+from lociframe.operators import ancestry as AN  # noqa: E402
+
+
+def _loadings(spark, sf, sites):
+    ld = fixture(spark, sf, "fx_loadings")
+    return ld.join(sites.select("vid", "contig", "position", "alleles"), "vid").drop("vid")
+
+
+def _scores_long(scores: DataFrame, *extra) -> DataFrame:
+    return scores.select("s", *extra, F.posexplode("scores").alias("pc", "score")) \
+                 .select("s", *extra, F.col("pc").cast("int").alias("pc"), F.round("score", 6).alias("score"))
+
+
+_PROJECT_SQL = """
+nv AS (SELECT count(*) AS n FROM fx_loadings),
+ld AS (SELECT vid, loadings, pca_af FROM fx_loadings WHERE pca_af > 0 AND pca_af < 1),
+u AS (SELECT vid, pca_af, unnest(loadings) AS w, generate_subscripts(loadings, 1) - 1 AS pc FROM ld),
+x AS (SELECT g.s, u.pc, u.w * (g.nalt - 2 * u.pca_af) / sqrt(nv.n * 2 * u.pca_af * (1 - u.pca_af)) AS v
+      FROM g JOIN u ON g.vid = u.vid CROSS JOIN nv)
+"""
+
+
+@query("pc_project", _with("fx_calls", "fx_loadings") + """
+g AS (SELECT vid, s, CASE WHEN a1 > 0 THEN 1 ELSE 0 END + CASE WHEN a2 > 0 THEN 1 ELSE 0 END AS nalt
+      FROM fx_calls WHERE a1 IS NOT NULL),""" + _PROJECT_SQL + """
+SELECT s, CAST(pc AS INT) AS pc, round(sum(v), 6) AS score FROM x GROUP BY s, pc""")
+def q_pc_project(spark, sf):
+    s = IN.sites(spark, sf)
+    ld = _loadings(spark, sf, s)
+    calls = AN.keep_loading_sites(IN.calls(spark, sf, s), ld)
+    return _scores_long(AN.pc_project(calls, ld))
+
+
+@query("ancestry_scores", _with("fx_calls", "fx_loadings", "fx_pop_labels") + f"""
+d AS (SELECT *, {_AD_SUM} AS dp,
+             CASE a1 WHEN 0 THEN ad0 WHEN 1 THEN ad1 WHEN 2 THEN ad2 ELSE ad3 END AS ad_a1,
+             CASE a2 WHEN 0 THEN ad0 WHEN 1 THEN ad1 WHEN 2 THEN ad2 ELSE ad3 END AS ad_a2 FROM fx_calls),
+cohort AS (SELECT vid, concat('C', substr(s, 2)) AS s, a1, a2 FROM d
+           WHERE vid % 3 <> 0 AND a1 IS NOT NULL AND gq >= 20
+             AND CASE WHEN a2 IS NULL THEN dp >= 5 ELSE dp >= 10 END
+             AND CASE WHEN a2 IS NULL OR a1 = a2 THEN TRUE
+                      WHEN a1 = 0 THEN ad_a2 / dp >= 0.2
+                      WHEN a2 = 0 THEN ad_a1 / dp >= 0.2
+                      ELSE ad_a1 / dp >= 0.2 AND ad_a2 / dp >= 0.2 END),
+lab AS (SELECT Sample, replace(replace(SuperPop, 'CSA', 'SAS'), 'EUR', 'NFE') AS pop FROM fx_pop_labels),
+lab2 AS (SELECT * FROM lab WHERE pop <> 'OCE'),
+panel AS (SELECT vid, s, a1, a2 FROM fx_calls WHERE vid % 3 <> 0 AND s IN (SELECT Sample FROM lab2)),
+g AS (SELECT vid, s, CASE WHEN a1 > 0 THEN 1 ELSE 0 END + CASE WHEN a2 > 0 THEN 1 ELSE 0 END AS nalt
+      FROM (SELECT * FROM cohort UNION ALL SELECT * FROM panel) WHERE a1 IS NOT NULL),""" + _PROJECT_SQL + """
+SELECT x.s, CAST(x.pc AS INT) AS pc, round(sum(x.v), 6) AS score, lower(lab2.pop) AS known_pop
+FROM x LEFT JOIN lab2 ON x.s = lab2.Sample GROUP BY x.s, x.pc, lab2.pop""")
+def q_ancestry_scores(spark, sf):
+    s = IN.sites(spark, sf)
+    ld = _loadings(spark, sf, s)
+    labels = FL.clean_population_labels(fixture(spark, sf, "fx_pop_labels"))
+    all_calls = IN.calls(spark, sf, s)
+    panel = FL.keep_samples(all_calls, labels.select("Sample"))
+    cohort_sites = s.where(F.col("vid") % 3 != 0)
+    cohort = GT.filter_to_adj(GT.format_depth(
+        all_calls.where(F.col("vid") % 3 != 0).withColumn("s", F.concat(F.lit("C"), F.substring("s", 2, 8)))))
+    _, calls = MG.union_cohorts(cohort_sites, cohort, s, panel)
+    scores = AN.pc_project(AN.keep_loading_sites(calls, ld), ld)
+    scores = AN.attach_known_population(scores, labels).where(F.col("scores").isNotNull())
+    return _scores_long(scores, "known_pop")
+
+
+@query("assign_ancestry")
+def q_assign_ancestry(spark, sf):
+    emb = spark.read.parquet(f"{sf}/embeddings.parquet")
+    scores = emb.select(F.concat(F.lit("E"), F.col("vec_id").cast("string")).alias("s"),
+                        F.col("embedding").cast("array<double>").alias("scores"),
+                        F.when(F.col("vec_id") % 4 != 0, F.concat(F.lit("pop"), F.col("label").cast("string")))
+                        .alias("known_pop"))
+    out = AN.assign_population(scores, num_pcs=16, min_prob=0.75)
+    return out.drop("scores")
