@@ -752,3 +752,95 @@ def q_assign_ancestry(spark, sf):
                         .alias("known_pop"))
     out = AN.assign_population(scores, num_pcs=16, min_prob=0.75)
     return out.drop("scores")
+
+
+# ================================================================== VCF text in / out
+from lociframe.sinks import vcf as KV  # noqa: E402
+from lociframe.sources import vcf as SV  # noqa: E402
+
+FIXTURE_HEADER_LINES = [
+    "##fileformat=VCFv4.2",
+    '##FILTER=<ID=PASS,Description="All filters passed">',
+    '##FILTER=<ID=LowQual,Description="Low quality">',
+    '##INFO=<ID=AC,Number=A,Type=Integer,Description="Allele count">',
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele frequency">',
+    '##INFO=<ID=VQSLOD,Number=1,Type=Integer,Description="Site log-odds">',
+    '##INFO=<ID=AS_VQSLOD,Number=A,Type=Integer,Description="Allele-specific log-odds">',
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+    '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="Allelic depths">',
+    '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="Genotype quality">',
+    '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="Phred-scaled likelihoods">',
+]
+
+
+def _fixture_vcf(spark, sf):
+    s = IN.sites(spark, sf).withColumn("rsid", F.concat(F.lit("v"), F.col("vid").cast("string")))
+    c = IN.calls(spark, sf, s).drop("vid")
+    smp = fixture(spark, sf, "fx_samples")
+    return s.drop("vid"), c, smp
+
+
+_RENDER_SQL = """
+inf AS (SELECT vid, concat_ws(';',
+          'AC=' || array_to_string(list_transform(range(1, n + 1), lambda i: (vid + 13 * i) % 200), ','),
+          'AF=' || array_to_string(list_transform(range(1, n + 1), lambda i: CAST(((vid + 13 * i) % 200) / 400.0 AS VARCHAR)), ','),
+          CASE WHEN vqslod IS NOT NULL THEN 'VQSLOD=' || CAST(vqslod AS VARCHAR) END,
+          'AS_VQSLOD=' || array_to_string(list_transform(range(1, n + 1), lambda i: (vid * i) % 100), ',')) AS info
+        FROM (SELECT *, len(string_split(alts, ',')) AS n FROM fx_sites)),
+cell AS (
+  SELECT st.vid, sm.ordinal,
+         CASE WHEN c.vid IS NULL THEN './.:.:.:.' ELSE concat(
+           CASE WHEN c.a1 IS NULL THEN './.' WHEN c.a2 IS NULL THEN CAST(c.a1 AS VARCHAR) ELSE concat(c.a1, '/', c.a2) END, ':',
+           CASE WHEN c.ad0 IS NULL THEN '.' ELSE concat_ws(',', c.ad0, c.ad1, c.ad2, c.ad3) END, ':',
+           CAST(c.gq AS VARCHAR), ':',
+           array_to_string(list_transform(range(0, ((c.nalt + 1) * (c.nalt + 2)) // 2), lambda j: (c.pl_seed + 31 * j) % 100), ','))
+         END AS txt
+  FROM fx_sites st CROSS JOIN fx_samples sm
+  LEFT JOIN fx_calls c ON c.vid = st.vid AND c.s = sm.s)
+"""
+
+
+@query("vcf_render", _with("fx_sites", "fx_calls", "fx_samples") + _RENDER_SQL + """
+SELECT concat_ws(chr(9), st.contig, CAST(st.position AS VARCHAR), 'v' || CAST(st.vid AS VARCHAR), st.ref, st.alts, '.',
+                 st.filter, inf.info, 'GT:AD:GQ:PL', g.txt) AS line
+FROM fx_sites st JOIN inf ON st.vid = inf.vid
+JOIN (SELECT vid, string_agg(txt, chr(9) ORDER BY ordinal) AS txt FROM cell GROUP BY vid) g ON st.vid = g.vid""")
+def q_vcf_render(spark, sf):
+    s, c, smp = _fixture_vcf(spark, sf)
+    return KV.record_lines(s, c, smp).select("line")
+
+
+def _parsed(spark, sf, drop_samples):
+    s, c, smp = _fixture_vcf(spark, sf)
+    header = SV.parse_header_lines(FIXTURE_HEADER_LINES)
+    header.samples = [r["s"] for r in smp.orderBy("ordinal").collect()]
+    lines = KV.vcf_lines(spark, header, s, c, smp).select(F.col("line").alias("value"))
+    head = KV.header_lines(header)
+    return SV.parse_lines(spark, lines, head, drop_samples=drop_samples)
+
+
+@query("vcf_parse_sites", _with("fx_sites") + """
+x AS (SELECT 1)
+SELECT vid, contig, position, ref, alts, filter, vqslod AS VQSLOD,
+       array_to_string(list_transform(range(1, len(string_split(alts, ',')) + 1), lambda i: (vid + 13 * i) % 200), ',') AS AC
+FROM fx_sites""")
+def q_vcf_parse_sites(spark, sf):
+    v = _parsed(spark, sf, drop_samples=True)
+    return v.sites.select(F.substring("rsid", 2, 20).cast("long").alias("vid"), "contig", "position",
+                          F.col("alleles")[0].alias("ref"), F.array_join(F.slice("alleles", 2, 99), ",").alias("alts"),
+                          F.array_join("filters", ";").alias("filter"), F.col("info.VQSLOD").alias("VQSLOD"),
+                          F.array_join("info.AC", ",").alias("AC"))
+
+
+@query("vcf_parse_calls", _with("fx_sites", "fx_calls", "fx_samples") + """
+x AS (SELECT 1)
+SELECT st.contig, st.position, sm.s, c.a1 AS gt_a1, c.a2 AS gt_a2,
+       CASE WHEN c.ad0 IS NULL THEN NULL ELSE concat_ws(',', c.ad0, c.ad1, c.ad2, c.ad3) END AS AD,
+       c.gq AS GQ,
+       CASE WHEN c.vid IS NULL THEN NULL ELSE
+         array_to_string(list_transform(range(0, ((c.nalt + 1) * (c.nalt + 2)) // 2), lambda j: (c.pl_seed + 31 * j) % 100), ',') END AS PL
+FROM fx_sites st CROSS JOIN fx_samples sm LEFT JOIN fx_calls c ON c.vid = st.vid AND c.s = sm.s""")
+def q_vcf_parse_calls(spark, sf):
+    v = _parsed(spark, sf, drop_samples=False)
+    return v.calls.select("contig", "position", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"),
+                          F.array_join("AD", ",").alias("AD"), "GQ", F.array_join("PL", ",").alias("PL"))
