@@ -844,3 +844,116 @@ def q_vcf_parse_calls(spark, sf):
     v = _parsed(spark, sf, drop_samples=False)
     return v.calls.select("contig", "position", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"),
                           F.array_join("AD", ",").alias("AD"), "GQ", F.array_join("PL", ",").alias("PL"))
+
+
+# ================================================================== pipelines
+from lociframe.plans import extra as EX  # noqa: E402
+from lociframe.plans import annotate as AT  # noqa: E402
+
+
+def _extra_tables(spark, sf, with_splice=True):
+    cv = _score_table(spark, sf, "fx_clinvar").withColumnRenamed("clnsig", "CLNSIG") \
+        .withColumnRenamed("clnrevstat", "CLNREVSTAT")
+    rv = fixture(spark, sf, "fx_revel").withColumnRenamed("chr", "#chr").withColumnRenamed("revel", "REVEL")
+    sa = (LK.variant_key_of(fixture(spark, sf, "fx_spliceai"))
+          .withColumnRenamed("symbol", "SYMBOL").withColumnRenamed("spliceai", "SpliceAI")) if with_splice else None
+    return EX.ExtraTables(
+        mpc=_score_table(spark, sf, "fx_mpc"), revel=rv, clinvar=cv,
+        loeuf_v2=fixture(spark, sf, "fx_genes"), loeuf_v4=_genes_v4(spark, sf), omim=fixture(spark, sf, "fx_omim"),
+        gene_lists=[("genes_a.txt", fixture(spark, sf, "fx_gene_list")),
+                    ("genes_b.txt", fixture(spark, sf, "fx_gene_list_b"))],
+        spliceai=sa, intervals=fixture(spark, sf, "fx_intervals"))
+
+
+_EXTRA_SQL = f"""
+mp AS {_first_by('fx_mpc', 'contig, position, ref, alt', 'mpc')},
+cv AS {_first_by('fx_clinvar', 'contig, position, ref, alt', 'clnsig, clnrevstat')},
+rv0 AS (SELECT concat('chr', chr) AS contig, TRY_CAST(grch38_pos AS BIGINT) AS position, ref, alt, revel FROM fx_revel),
+rv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY revel) AS rn
+                      FROM rv0 WHERE position IS NOT NULL) WHERE rn = 1),
+g2 AS {_first_by('fx_genes', 'transcript', 'oe_lof_upper, oe_lof_upper_bin')},
+g4 AS {_first_by('fx_genes_v4', 'transcript', 'lof_upper, lof_decile')},
+tx AS (SELECT DISTINCT s.contig, s.position, s.ref, s.alt, s.vid, c.ord, c.symbol, c.feature, c.consequence, c.hgvsc, c.hgvsp
+       FROM split s JOIN fx_csq c ON s.vid = c.vid),
+ent AS (
+  SELECT tx.contig, tx.position, tx.ref, tx.alt, tx.ord,
+         tx.symbol || '|' || tx.feature || '|' || tx.consequence || '|' || tx.hgvsc || '|' || tx.hgvsp
+         || '|' || CASE WHEN g2.transcript IS NULL THEN '' ELSE g2.oe_lof_upper END
+         || '|' || CASE WHEN g2.transcript IS NULL THEN '' ELSE g2.oe_lof_upper_bin END
+         || '|' || CASE WHEN g4.transcript IS NULL THEN '' ELSE g4.lof_upper END
+         || '|' || CASE WHEN g4.transcript IS NULL THEN '' ELSE g4.lof_decile END
+         || '|' || coalesce(om.mimNumber, '') || '|' || coalesce(om.inheritance_code, '')
+         || '|' || concat_ws('&', CASE WHEN tx.symbol IN (SELECT symbol FROM fx_gene_list) THEN 'genes_a.txt' END,
+                                  CASE WHEN tx.symbol IN (SELECT symbol FROM fx_gene_list_b) THEN 'genes_b.txt' END)
+         || '|' || {" || '|' || ".join(
+             f"CASE WHEN sa.spliceai IS NULL THEN '' ELSE string_split(string_split(sa.spliceai, '=')[2], '|')[{i + 3}] END"
+             for i in range(8))} AS e
+  FROM tx LEFT JOIN g2 ON tx.feature = g2.transcript LEFT JOIN g4 ON tx.feature = g4.transcript
+  LEFT JOIN fx_omim om ON tx.symbol = om.approvedGeneSymbol
+  LEFT JOIN fx_spliceai sa ON tx.contig = sa.contig AND tx.position = sa.position AND tx.ref = sa.ref
+                           AND tx.alt = sa.alt AND tx.symbol = sa.symbol),
+packed AS (SELECT contig, position, ref, alt, string_agg(e, ',' ORDER BY ord, e) AS csq FROM ent
+           GROUP BY contig, position, ref, alt)
+"""
+
+
+@query("annotate_extra", _with("fx_sites", "fx_csq", "fx_mpc", "fx_clinvar", "fx_revel", "fx_genes",
+                                        "fx_genes_v4", "fx_omim", "fx_gene_list", "fx_gene_list_b", "fx_spliceai",
+                                        "fx_intervals") + _SPLIT_SQL + "," + _IV_HITS + "," + _EXTRA_SQL + """
+SELECT s.vid, s.a_index, mp.mpc AS MPC, cv.clnsig AS CLNSIG, cv.clnrevstat AS CLNREVSTAT, rv.revel AS REVEL,
+       h.target AS PREDICTED_NONCODING, p.csq AS CSQ
+FROM split s
+LEFT JOIN mp ON s.contig = mp.contig AND s.position = mp.position AND s.ref = mp.ref AND s.alt = mp.alt
+LEFT JOIN cv ON s.contig = cv.contig AND s.position = cv.position AND s.ref = cv.ref AND s.alt = cv.alt
+LEFT JOIN rv ON s.contig = rv.contig AND s.position = rv.position AND s.ref = rv.ref AND s.alt = rv.alt
+LEFT JOIN hits h ON s.vid = h.vid AND s.a_index = h.a_index AND h.rn = 1
+LEFT JOIN packed p ON s.contig = p.contig AND s.position = p.position AND s.ref = p.ref AND s.alt = p.alt""")
+def q_annotate_extra(spark, sf):
+    """Flagship: the whole extra-annotation chain on split, annotated sites."""
+    s = _split_sites(spark, sf, with_csq=True)
+    out, _ = EX.annotate_extra(s, IN.CSQ_DESCRIPTION, _extra_tables(spark, sf))
+    return out.select("vid", "a_index", *[F.col(f"info.{c}").alias(c) for c in
+                                          ("MPC", "CLNSIG", "CLNREVSTAT", "REVEL", "PREDICTED_NONCODING", "CSQ")])
+
+
+@query("annotate_extra_mt", _with("fx_sites", "fx_csq", "fx_mpc", "fx_clinvar", "fx_revel", "fx_genes",
+                                  "fx_genes_v4", "fx_omim", "fx_gene_list", "fx_gene_list_b", "fx_spliceai",
+                                  "fx_intervals") + _SPLIT_SQL + "," + _IV_HITS + "," + _EXTRA_SQL + """,
+ents AS (SELECT contig, position, ref, alt, e, row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord, e) - 1 AS k
+         FROM ent)
+SELECT s.vid, s.a_index, CAST(x.k AS INT) AS k, x.e AS entry
+FROM split s JOIN ents x ON s.contig = x.contig AND s.position = x.position AND s.ref = x.ref AND s.alt = x.alt""")
+def q_annotate_extra_mt(spark, sf):
+    """Matrix-table form: packed entries kept as an array (one row per entry here)."""
+    s = _split_sites(spark, sf, with_csq=True)
+    out, _ = EX.annotate_extra(s, IN.CSQ_DESCRIPTION, _extra_tables(spark, sf), as_array=True)
+    return out.select("vid", "a_index", F.posexplode("info.CSQ").alias("k", "entry"))
+
+
+def _consequence_table(spark, sf):
+    s = IN.sites(spark, sf, with_csq=True)
+    sp = SP.split_multi(s)
+    return sp.select("contig", "position", "alleles", F.array_join("info.CSQ", ",").alias("CSQ")) \
+             .where(F.col("CSQ").isNotNull())
+
+
+@query("annotate_vcf", _with("fx_sites", "fx_calls", "fx_csq") + _SPLIT_SQL + "," + _CALLS_SQL + f"""
+, st AS (SELECT vid, a_index, sum(coalesce(g1, 0) + coalesce(g2, 0)) AS ac,
+                sum(CASE WHEN g1 IS NULL THEN 0 WHEN g2 IS NULL THEN 1 ELSE 2 END) AS an FROM cs GROUP BY vid, a_index),
+pk AS (SELECT vid, string_agg({_ENTRY_SQL}, ',' ORDER BY ord) AS csq FROM fx_csq GROUP BY vid),
+keyed AS (SELECT s.contig, s.position, s.ref, s.alt, min(pk.csq) AS csq FROM split s JOIN pk ON s.vid = pk.vid
+          GROUP BY s.contig, s.position, s.ref, s.alt)
+SELECT s.vid, s.a_index, CAST(coalesce(st.ac, 0) AS INT) AS cohort_AC,
+       CASE WHEN coalesce(st.an, 0) = 0 THEN NULL ELSE CAST(st.ac AS DOUBLE) / st.an END AS cohort_AF,
+       CAST((s.vid * s.a_index) % 100 AS INT) AS VQSLOD, k.csq AS CSQ
+FROM split s LEFT JOIN st ON s.vid = st.vid AND s.a_index = st.a_index
+LEFT JOIN keyed k ON s.contig = k.contig AND s.position = k.position AND s.ref = k.ref AND s.alt = k.alt""".replace("\n,", ","))
+def q_annotate_vcf(spark, sf):
+    """Consequence annotation chain: split, AC/AF (recomputed from calls),
+    allele-specific backfill, consequences joined by variant."""
+    s = IN.sites(spark, sf)
+    out = AT.annotate_sites(s, IN.calls(spark, sf, s), reannotate_ac_af=True,
+                            consequences=_consequence_table(spark, sf))
+    return out.select("vid", "a_index", F.col("info.cohort_AC").alias("cohort_AC"),
+                      F.col("info.cohort_AF").alias("cohort_AF"), F.col("info.VQSLOD").alias("VQSLOD"),
+                      F.col("info.CSQ").alias("CSQ"))
