@@ -31,35 +31,57 @@ def contig_order(build: str) -> Column:
     return F.create_map(*pairs)[F.col("contig")]
 
 
-def _common_suffix_len(a: Column, b: Column) -> Column:
-    """Longest common suffix of a and b that leaves each at least one base."""
-    return F.array_max(F.filter(
-        F.sequence(F.lit(0), F.least(F.length(a), F.length(b)) - 1),
-        lambda k: F.right(a, k) == F.right(b, k)))
-
-
-def _common_prefix_len(a: Column, b: Column) -> Column:
-    return F.array_max(F.filter(
-        F.sequence(F.lit(0), F.least(F.length(a), F.length(b)) - 1),
-        lambda k: F.left(a, k) == F.left(b, k)))
-
-
-def min_rep(position: Column, ref: Column, alt: Column) -> Column:
-    """Minimal representation of a bi-allelic pair.
+def common_suffix_len(a: Column, b: Column) -> Column:
+    """Length of the common suffix of ``a`` and ``b`` that leaves each at
+    least one character (single pass over the shorter string)."""
+    m = F.least(F.length(a), F.length(b)) - 1
+    return F.aggregate(
+        F.sequence(F.lit(1), F.greatest(m, F.lit(1))), F.lit(0),
+        lambda acc, k: F.when((k <= m) & (acc == k - 1) & (F.substr(a, -k, F.lit(1)) == F.substr(b, -k, F.lit(1))), k)
+        .otherwise(acc))
+
+
+def common_prefix_len(a: Column, b: Column) -> Column:
+    """Length of the common prefix of ``a`` and ``b`` that leaves each at
+    least one character."""
+    m = F.least(F.length(a), F.length(b)) - 1
+    return F.aggregate(
+        F.sequence(F.lit(1), F.greatest(m, F.lit(1))), F.lit(0),
+        lambda acc, k: F.when((k <= m) & (acc == k - 1) & (F.substr(a, k, F.lit(1)) == F.substr(b, k, F.lit(1))), k)
+        .otherwise(acc))
+
+
+def with_min_rep(df, position: str, ref: str, alt: str, when: Column | None = None,
+                 prefix: str = "_mr") -> "DataFrame":
+    """Minimal representation of the pair ``(ref, alt)`` at ``position``.
 
     Trim the common suffix first, then the common prefix, always keeping at
     least one base of each allele; the position moves by the prefix length.
-    Returns ``struct(position, ref, alt)``.
+    Adds ``{prefix}_pos``, ``{prefix}_ref``, ``{prefix}_alt``.  Each step is
+    its own column so every higher-order function runs once per row, and
+    only where ``when`` holds (other rows keep their values).
     """
-    suf = _common_suffix_len(ref, alt)
+    cond = F.lit(True) if when is None else when
+    suf, r1, a1, pre = (f"{prefix}_{x}" for x in ("suf", "r1", "a1", "pre"))
+    df = df.withColumn(suf, F.when(cond, common_suffix_len(F.col(ref), F.col(alt))).otherwise(F.lit(0)))
+    df = (df.withColumn(r1, F.left(F.col(ref), F.length(ref) - F.col(suf)))
+            .withColumn(a1, F.left(F.col(alt), F.length(alt) - F.col(suf))))
+    df = df.withColumn(pre, F.when(cond, common_prefix_len(F.col(r1), F.col(a1))).otherwise(F.lit(0)))
+    return (df.withColumn(f"{prefix}_pos", F.col(position) + F.col(pre))
+              .withColumn(f"{prefix}_ref", F.substr(F.col(r1), F.col(pre) + 1))
+              .withColumn(f"{prefix}_alt", F.substr(F.col(a1), F.col(pre) + 1))
+              .drop(suf, r1, a1, pre))
+
+
+def min_rep(position: Column, ref: Column, alt: Column) -> Column:
+    """Column form of the minimal representation (``struct(position, ref,
+    alt)``); prefer ``with_min_rep`` on DataFrames, which stages the work."""
+    suf = common_suffix_len(ref, alt)
     ref1 = F.left(ref, F.length(ref) - suf)
     alt1 = F.left(alt, F.length(alt) - suf)
-    pre = _common_prefix_len(ref1, alt1)
-    return F.struct(
-        (position + pre).alias("position"),
-        F.substr(ref1, pre + 1).alias("ref"),
-        F.substr(alt1, pre + 1).alias("alt"),
-    )
+    pre = common_prefix_len(ref1, alt1)
+    return F.struct((position + pre).alias("position"), F.substr(ref1, pre + 1).alias("ref"),
+                    F.substr(alt1, pre + 1).alias("alt"))
 
 
 def is_snv_text(ref: Column, alt_text: Column) -> Column:

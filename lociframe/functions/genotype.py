@@ -105,6 +105,27 @@ def split_pl(pl: Column, a_index: Column) -> Column:
     return F.when(pl.isNotNull() & (F.size(pl) > 0), F.array(per_class(0), per_class(1), per_class(2)))
 
 
+def gt_index(j: Column, k: Column) -> Column:
+    """PL position of the unphased genotype ``j/k``."""
+    lo, hi = F.least(j, k), F.greatest(j, k)
+    return (hi * (hi + 1) / 2).cast("int") + lo
+
+
+def with_split_pl(df, pl: str = "PL", a_index: str = "a_index", n_alleles: str = "num_alleles",
+                  tmp: str = "_pl_pos_a"):
+    """``split_pl`` in closed form, staged: the genotypes carrying allele
+    ``a`` are the ``n`` positions ``gt_index(j, a)``; class 2 is ``a/a``,
+    class 1 the others among them, class 0 every remaining position."""
+    a = F.col(a_index)
+    df = df.withColumn(tmp, F.transform(F.sequence(F.lit(0), F.col(n_alleles) - 1), lambda j: gt_index(j, a)))
+    aa = gt_index(a, a)
+    pl2 = F.get(F.col(pl), aa)
+    pl1 = F.array_min(F.transform(F.array_remove(F.col(tmp), aa), lambda i: F.get(F.col(pl), i)))
+    pl0 = F.array_min(F.filter(F.col(pl), lambda x, i: ~F.array_contains(F.col(tmp), i)))
+    ok = F.col(pl).isNotNull() & (F.size(pl) > 0)
+    return df.withColumn(pl, F.when(ok, F.array(pl0, pl1, pl2))).drop(tmp)
+
+
 def estimated_pl(gt: Column, gq: Column, ad: Column) -> Column:
     """PL estimated from GQ and AD (three genotype classes).
 

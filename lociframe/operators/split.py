@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.functions import genotype as G
-from lociframe.functions.alleles import min_rep
+from lociframe.functions.alleles import with_min_rep
 
 
 def _explode_alts(df: DataFrame) -> DataFrame:
@@ -28,16 +28,12 @@ def _explode_alts(df: DataFrame) -> DataFrame:
            .withColumn("a_index", (F.col("_pos") + 1).cast("int"))
            .withColumn("was_split", F.col("num_alleles") > 2)
            # star alleles only disappear when a record is really split
-           .filter(~(F.col("was_split") & (F.col("_alt") == "*"))))
-    rep = min_rep(F.col("position"), F.col("alleles")[0], F.col("_alt"))
-    return (out
-            .withColumn("_rep", F.when(F.col("was_split"), rep)
-                        .otherwise(F.struct(F.col("position").alias("position"),
-                                            F.col("alleles")[0].alias("ref"),
-                                            F.col("_alt").alias("alt"))))
-            .withColumn("position", F.col("_rep.position"))
-            .withColumn("alleles", F.array(F.col("_rep.ref"), F.col("_rep.alt")))
-            .drop("_pos", "_alt", "_rep"))
+           .filter(~(F.col("was_split") & (F.col("_alt") == "*")))
+           .withColumn("_ref", F.col("alleles")[0]))
+    out = with_min_rep(out, "position", "_ref", "_alt", when=F.col("was_split"))
+    return (out.withColumn("position", F.col("_mr_pos"))
+            .withColumn("alleles", F.array(F.col("_mr_ref"), F.col("_mr_alt")))
+            .drop("_pos", "_alt", "_ref", "_mr_pos", "_mr_ref", "_mr_alt"))
 
 
 def split_multi(sites: DataFrame) -> DataFrame:
@@ -70,5 +66,5 @@ def split_calls(calls: DataFrame) -> DataFrame:
     if "AD" in out.columns:
         out = out.withColumn("AD", G.split_ad(F.col("AD"), a))
     if "PL" in out.columns:
-        out = out.withColumn("PL", G.split_pl(F.col("PL"), a))
+        out = G.with_split_pl(out, "PL", "a_index", "num_alleles")
     return out
