@@ -10,6 +10,7 @@ this SQL, and the oracles re-derive every result independently.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,11 +170,54 @@ def register_base(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
         spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).createOrReplaceTempView(t)
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Register the base tables ``name`` needs and return fixture ``name``."""
-    names = _closure([name])
-    used = set().union(*(_tokens(FIXTURE_SQL[n]) for n in names))
-    register_base(spark, sf_dir, [t for t in BASE_TABLES if t in used])
-    for n in names:
-        spark.sql(FIXTURE_SQL[n]).createOrReplaceTempView(n)
-    return spark.table(name)
+# (application, sf_dir, fixture) -> Parquet folder written in this session
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The fixture computed from the base tables (dependencies read from
+    their stored copies)."""
+    toks = _tokens(FIXTURE_SQL[name])
+    register_base(spark, sf_dir, [t for t in BASE_TABLES if t in toks])
+    for dep in _deps(name):
+        fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
+    return spark.sql(FIXTURE_SQL[name])
+
+
+def fixture(spark: SparkSession, sf_dir: str, name: str, store: bool = True) -> DataFrame:
+    """Fixture ``name`` over the driver tables of ``sf_dir``.
+
+    With ``store`` (default) each fixture is derived once per session and
+    written as Parquet into the shared checkpoint folder; later uses read
+    that table, like any variant-shaped input table, instead of re-running
+    the derivation inside every plan.
+    """
+    if not store:
+        for n in _closure([name]):
+            toks = _tokens(FIXTURE_SQL[n])
+            register_base(spark, sf_dir, [t for t in BASE_TABLES if t in toks])
+            spark.sql(FIXTURE_SQL[n]).createOrReplaceTempView(n)
+        return spark.table(name)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _STORED.get(key)
+    if path is None:
+        from lociframe.session import ensure_checkpoint_dir
+        digest = hashlib.sha1((key[1] + "\0" + FIXTURE_SQL[name]).encode()).hexdigest()[:16]
+        path = os.path.join(ensure_checkpoint_dir(spark), "fixtures", f"{name}-{digest}")
+        # one file per core: small inputs would otherwise read as one partition
+        (_derive(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
+         .write.mode("overwrite").parquet(path))
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
+def store_all(spark: SparkSession, sf_dir: str, names=None) -> None:
+    """Derive and store every fixture (or the named ones) up front, plus the
+    shaped sites / calls tables."""
+    for n in names or ORDER:
+        fixture(spark, sf_dir, n)
+    if names is None:
+        from lociframe.plans import inputs
+        inputs.sites(spark, sf_dir)
+        inputs.sites(spark, sf_dir, with_csq=True)
+        inputs.calls(spark, sf_dir)

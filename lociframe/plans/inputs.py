@@ -26,7 +26,32 @@ def packed_csq(spark: SparkSession, sf: str) -> DataFrame:
             .select("vid", F.transform("_l", lambda x: x["e"]).alias("CSQ")))
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """Shaped input tables are written once per session into the shared
+    checkpoint folder (as a VCF import would be) and read back as Parquet."""
+    import os
+    from lociframe.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
+    if key not in _STORED:
+        path = os.path.join(ensure_checkpoint_dir(spark), "inputs", f"{name}-{abs(hash(key[1])) % 10**8}")
+        # one file per core: small inputs would otherwise read as one partition
+        build().repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
+    return _stored(spark, sf, "sites_csq" if with_csq else "sites", lambda: _sites(spark, sf, with_csq))
+
+
+def calls(spark: SparkSession, sf: str, site_df: DataFrame | None = None) -> DataFrame:
+    return _stored(spark, sf, "calls", lambda: _calls(spark, sf))
+
+
+def _sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
     s = fixture(spark, sf, "fx_sites")
     alts = F.split("alts", ",")
     idx = F.sequence(F.lit(1), F.size(alts))
@@ -49,9 +74,9 @@ def sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
     return out
 
 
-def calls(spark: SparkSession, sf: str, site_df: DataFrame | None = None) -> DataFrame:
+def _calls(spark: SparkSession, sf: str) -> DataFrame:
     c = fixture(spark, sf, "fx_calls")
-    key = (site_df if site_df is not None else sites(spark, sf)).select("vid", "contig", "position", "alleles")
+    key = sites(spark, sf).select("vid", "contig", "position", "alleles")
     n_gt = ((F.col("nalt") + 1) * (F.col("nalt") + 2) / 2).cast("int")
     return (c.join(key, "vid")
             .select("vid", "contig", "position", "alleles", "s",

@@ -251,6 +251,15 @@ def q_parse_csq(spark, sf):
                     F.col("tc.HGVSc").alias("HGVSc"), F.col("tc.HGVSp").alias("HGVSp"))
 
 
+def _flat(spark, sf, split=False):
+    s = IN.sites(spark, sf, with_csq=True)
+    key = ["vid", "contig", "position", "alleles"]
+    if split:
+        s = SP.split_multi(s)
+        key.append("a_index")
+    return PK.explode_packed(s, F.col("info.CSQ"), IN.CSQ_FIELDS, key)
+
+
 def _genes_v4(spark, sf):
     return (fixture(spark, sf, "fx_genes_v4").withColumnRenamed("lof_upper", "lof.oe_ci.upper")
             .withColumnRenamed("lof_decile", "lof.oe_ci.upper_bin_decile"))
@@ -266,18 +275,18 @@ FROM fx_csq c
 LEFT JOIN {_first_by('fx_genes', 'transcript', 'oe_lof_upper, oe_lof_upper_bin')} g2 ON c.feature = g2.transcript
 LEFT JOIN {_first_by('fx_genes_v4', 'transcript', 'lof_upper, lof_decile')} g4 ON c.feature = g4.transcript""")
 def q_loeuf(spark, sf):
-    e = PK.loeuf(_exploded(spark, sf), fixture(spark, sf, "fx_genes"), _genes_v4(spark, sf))
+    e = PK.loeuf(_flat(spark, sf), fixture(spark, sf, "fx_genes"), _genes_v4(spark, sf))
     return e.select("vid", F.col("csq_pos").alias("ord"),
-                    *[F.col(f"tc.{c}").alias(c) for c in ("LOEUF_v2", "LOEUF_v2_decile", "LOEUF_v4", "LOEUF_v4_decile")])
+                    *[F.col(f"t_{c}").alias(c) for c in ("LOEUF_v2", "LOEUF_v2_decile", "LOEUF_v4", "LOEUF_v4_decile")])
 
 
 @query("omim_by_gene", _with("fx_csq", "fx_omim") + """
 SELECT c.vid, c.ord, coalesce(o.mimNumber, '') AS OMIM_MIM_number, coalesce(o.inheritance_code, '') AS OMIM_inheritance_code
 FROM fx_csq c LEFT JOIN fx_omim o ON c.symbol = o.approvedGeneSymbol""")
 def q_omim(spark, sf):
-    e = PK.omim(_exploded(spark, sf), fixture(spark, sf, "fx_omim"))
-    return e.select("vid", F.col("csq_pos").alias("ord"), F.col("tc.OMIM_MIM_number").alias("OMIM_MIM_number"),
-                    F.col("tc.OMIM_inheritance_code").alias("OMIM_inheritance_code"))
+    e = PK.omim(_flat(spark, sf), fixture(spark, sf, "fx_omim"))
+    return e.select("vid", F.col("csq_pos").alias("ord"), F.col("t_OMIM_MIM_number").alias("OMIM_MIM_number"),
+                    F.col("t_OMIM_inheritance_code").alias("OMIM_inheritance_code"))
 
 
 @query("gene_list_flag", _with("fx_csq", "fx_gene_list", "fx_gene_list_b") + """
@@ -286,9 +295,9 @@ SELECT c.vid, c.ord,
                       CASE WHEN c.symbol IN (SELECT symbol FROM fx_gene_list_b) THEN 'genes_b.txt' END) AS gene_list
 FROM fx_csq c""")
 def q_gene_list(spark, sf):
-    e = PK.gene_lists(_exploded(spark, sf), [("genes_a.txt", fixture(spark, sf, "fx_gene_list")),
-                                             ("genes_b.txt", fixture(spark, sf, "fx_gene_list_b"))])
-    return e.select("vid", F.col("csq_pos").alias("ord"), F.col("tc.gene_list").alias("gene_list"))
+    e = PK.gene_lists(_flat(spark, sf), [("genes_a.txt", fixture(spark, sf, "fx_gene_list")),
+                                         ("genes_b.txt", fixture(spark, sf, "fx_gene_list_b"))])
+    return e.select("vid", F.col("csq_pos").alias("ord"), F.col("t_gene_list").alias("gene_list"))
 
 
 _SPLICE_COLS = ", ".join(
@@ -304,8 +313,8 @@ LEFT JOIN fx_spliceai sa ON s.contig = sa.contig AND s.position = sa.position AN
 def q_spliceai(spark, sf):
     t = (LK.variant_key_of(fixture(spark, sf, "fx_spliceai"))
          .withColumnRenamed("symbol", "SYMBOL").withColumnRenamed("spliceai", "SpliceAI"))
-    e = PK.spliceai(_exploded(spark, sf, split=True), t)
-    return e.select("vid", "a_index", F.col("csq_pos").alias("ord"), *[F.col(f"tc.{f}").alias(f) for f in PK.SPLICEAI_FIELDS])
+    e = PK.spliceai(_flat(spark, sf, split=True), t)
+    return e.select("vid", "a_index", F.col("csq_pos").alias("ord"), *[F.col(f"t_{f}").alias(f) for f in PK.SPLICEAI_FIELDS])
 
 
 @query("hgvsc_symbol", _with("fx_csq") + """
@@ -313,8 +322,9 @@ SELECT vid, ord, concat_ws(', ', symbol, CASE WHEN hgvsc <> '' THEN split_part(h
                                  CASE WHEN hgvsp <> '' THEN split_part(hgvsp, ':', 2) END) AS HGVSc_symbol
 FROM fx_csq""")
 def q_hgvsc_symbol(spark, sf):
-    e = _exploded(spark, sf)
-    return e.select("vid", F.col("csq_pos").alias("ord"), PK.hgvsc_symbol(F.col("tc")).alias("HGVSc_symbol"))
+    e = _flat(spark, sf)
+    return e.select("vid", F.col("csq_pos").alias("ord"),
+                    PK.hgvsc_symbol(F.col("t_SYMBOL"), F.col("t_HGVSc"), F.col("t_HGVSp")).alias("HGVSc_symbol"))
 
 
 _ENTRY_SQL = "concat(symbol, '|', feature, '|', consequence, '|', hgvsc, '|', hgvsp)"
@@ -325,7 +335,7 @@ SELECT s.vid, p.csq AS CSQ FROM fx_sites s
 LEFT JOIN (SELECT vid, string_agg({_ENTRY_SQL}, ',' ORDER BY ord) AS csq FROM fx_csq GROUP BY vid) p ON s.vid = p.vid""")
 def q_pack_csq(spark, sf):
     s = IN.sites(spark, sf, with_csq=True)
-    e = PK.explode_entries(s.withColumn("_tc", PK.parse_entries(F.col("info.CSQ"), IN.CSQ_FIELDS)))
+    e = PK.explode_packed(s, F.col("info.CSQ"), IN.CSQ_FIELDS)
     packed = PK.regroup(e, IN.CSQ_FIELDS)
     return s.join(packed, ["contig", "position", "alleles"], "left").select("vid", "CSQ")
 
@@ -335,10 +345,9 @@ SELECT vid, ord, concat({_ENTRY_SQL}, '|', concat_ws(', ', symbol, CASE WHEN hgv
                                  CASE WHEN hgvsp <> '' THEN split_part(hgvsp, ':', 2) END)) AS entry
 FROM fx_csq""")
 def q_pack_csq_array(spark, sf):
-    e = _exploded(spark, sf)
-    e = PK.add_entry_fields(e, HGVSc_symbol=PK.hgvsc_symbol(F.col("tc")))
-    packed = PK.regroup(e.select("vid", "contig", "position", "alleles", "csq_pos", "tc"),
-                        IN.CSQ_FIELDS + ["HGVSc_symbol"], key=["vid"], as_array=True)
+    e = _flat(spark, sf)
+    e = e.withColumn("t_HGVSc_symbol", PK.hgvsc_symbol(F.col("t_SYMBOL"), F.col("t_HGVSc"), F.col("t_HGVSp")))
+    packed = PK.regroup(e, IN.CSQ_FIELDS + ["HGVSc_symbol"], key=["vid"], as_array=True)
     return packed.select("vid", F.posexplode("CSQ").alias("ord", "entry"))
 
 
