@@ -13,6 +13,17 @@ from lociframe.operators.genotypes import haploid_to_diploid
 from lociframe.operators.split import split_calls
 
 
+def version_sorted(paths):
+    """File list in version order of base names (digit runs compared as
+    numbers: ``shard_2`` before ``shard_10``); a list of paths, not data."""
+    import os
+    import re
+
+    def key(p):
+        return [(0, int(t)) if t.isdigit() else (1, t) for t in re.split(r"(\d+)", os.path.basename(p)) if t]
+    return sorted(paths, key=key)
+
+
 def add_genotypes(annotated_sites: DataFrame, calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
     """Put genotypes back: split the original calls the same way as the
     sites were split, then inner-join on the variant key.  Site fields win

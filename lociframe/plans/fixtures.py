@@ -120,6 +120,10 @@ SELECT a.contig, a.position, a.ref, a.alt, c.symbol,
 FROM fx_alleles a JOIN fx_csq c ON a.vid = c.vid
 WHERE a.vid % 4 = 1
 GROUP BY a.contig, a.position, a.ref, a.alt, c.symbol, a.a_index""",
+    # per-(variant, transcript) pathogenicity scores, as a missense plugin table
+    "fx_plugin": """
+SELECT a.contig, a.position, a.ref, a.alt, c.feature AS transcript, CAST((c.ord * 7 + a.vid) % 100 AS DOUBLE) / 100 AS am_score
+FROM fx_alleles a JOIN fx_csq c ON a.vid = c.vid WHERE a.vid % 6 = 1""",
     # population labels: sample S<n> -> super population, S7 unlabelled
     "fx_pop_labels": """
 SELECT concat('S', CAST(ln AS VARCHAR(8))) AS Sample,

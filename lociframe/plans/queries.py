@@ -966,3 +966,40 @@ def q_annotate_vcf(spark, sf):
     return out.select("vid", "a_index", F.col("info.cohort_AC").alias("cohort_AC"),
                       F.col("info.cohort_AF").alias("cohort_AF"), F.col("info.VQSLOD").alias("VQSLOD"),
                       F.col("info.CSQ").alias("CSQ"))
+
+
+# ================================================================== BED, plugin scores, samples
+from lociframe.sources import tables as TB  # noqa: E402
+
+
+@query("bed_read", _with("fx_intervals") + """
+x AS (SELECT 1)
+SELECT contig, start0, end0, target FROM fx_intervals""")
+def q_bed_read(spark, sf):
+    """BED text (header line, valid and invalid intervals) -> valid intervals."""
+    iv = fixture(spark, sf, "fx_intervals")
+    good = iv.select(F.concat_ws("\t", "contig", F.col("start0").cast("string"), F.col("end0").cast("string"),
+                                 "target").alias("value"))
+    # every tenth interval again with start and end swapped: invalid, skipped
+    bad = iv.where(F.col("target").endswith("0")).select(
+        F.concat_ws("\t", "contig", F.col("end0").cast("string"), F.col("start0").cast("string"), "target").alias("value"))
+    head = spark.createDataFrame([("chrom\tstart\tend\tname",)], "value string")
+    return TB.parse_bed_lines(head.unionByName(good).unionByName(bad), build="GRCh38")
+
+
+@query("plugin_scores", _with("fx_sites", "fx_csq", "fx_plugin") + _SPLIT_SQL + f"""
+SELECT s.vid, s.a_index, c.ord, pl.am_score AS am_score
+FROM split s JOIN fx_csq c ON s.vid = c.vid
+LEFT JOIN {_first_by('fx_plugin', 'contig, position, ref, alt, transcript', 'am_score')} pl
+  ON s.contig = pl.contig AND s.position = pl.position AND s.ref = pl.ref AND s.alt = pl.alt AND c.feature = pl.transcript""")
+def q_plugin_scores(spark, sf):
+    t = LK.variant_key_of(fixture(spark, sf, "fx_plugin"))
+    e = PK.entry_lookup(_flat(spark, sf, split=True), t, {"am_score": "am_score"})
+    return e.select("vid", "a_index", F.col("csq_pos").alias("ord"), F.col("t_am_score").alias("am_score"))
+
+
+@query("sample_count", _with("fx_calls") + """
+x AS (SELECT 1)
+SELECT count(DISTINCT s) AS n_samples FROM fx_calls""")
+def q_sample_count(spark, sf):
+    return CT.sample_count(IN.calls(spark, sf).select("s"))
