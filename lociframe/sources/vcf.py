@@ -75,10 +75,12 @@ def _open_text(path: str):
 
 
 def _first_file(spark: SparkSession, path: str) -> str:
-    files = spark.read.format("binaryFile").load(path).select("path").take(1)
-    if not files:
+    """First file (in name order) under ``path``: the part holding the header
+    of a folder written in coordinate order.  Only the listing is read."""
+    files = spark.read.format("binaryFile").load(path).select("path").agg(F.min("path").alias("p")).first()
+    if files is None or files["p"] is None:
         raise FileNotFoundError(path)
-    return files[0]["path"]
+    return files["p"]
 
 
 def read_header(spark: SparkSession, path: str) -> VcfHeader:
