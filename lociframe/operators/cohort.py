@@ -90,13 +90,15 @@ def missing_counts(sites: DataFrame, fields: list[str]) -> DataFrame:
                        for f in fields])
 
 
-def backfill_allele_specific(sites: DataFrame) -> DataFrame:
+def backfill_allele_specific(sites: DataFrame, count_on: DataFrame | None = None) -> DataFrame:
     """For every INFO field ``AS_<X>...`` whose target ``<X>`` exists: if the
     AS field is missing on fewer rows than the target, the whole target
     becomes ``AS[a_index-1]``.
 
     The decision needs global counts: one aggregate over all candidate
     fields (a single job), then a driver-side choice of the expression.
+    ``count_on`` may name an upstream frame with the same rows and fields
+    (e.g. before joins that do not touch them) so the count stays cheap.
     """
     fields = info_fields(sites)
     pairs = []
@@ -108,7 +110,7 @@ def backfill_allele_specific(sites: DataFrame) -> DataFrame:
     if not pairs:
         return sites
     needed = sorted({x for p in pairs for x in p})
-    counts = missing_counts(sites, needed).first().asDict()
+    counts = missing_counts(count_on if count_on is not None else sites, needed).first().asDict()
     new = {}
     for as_field, target in pairs:
         if counts[f"n_missing_{as_field}"] < counts[f"n_missing_{target}"]:

@@ -62,11 +62,13 @@ def annotate_from_table(sites: DataFrame, consequences: DataFrame, out: str = "C
 
 def annotate_sites(sites: DataFrame, calls: DataFrame | None = None, reannotate_ac_af: bool = False,
                    consequences: DataFrame | None = None, annotator=None) -> DataFrame:
-    s = split_multi(sites)
-    s = CO.add_cohort_ac_af(s)
+    split = CO.add_cohort_ac_af(split_multi(sites))
+    s = split
     if reannotate_ac_af and calls is not None:
         s = CO.recompute_cohort_ac_af(s, split_calls(calls))
-    s = CO.backfill_allele_specific(s)
+    # the recount touches only cohort_AC/AF: the backfill decision is taken
+    # on the split sites, without re-running the genotype aggregation
+    s = CO.backfill_allele_specific(s, count_on=split)
     if consequences is not None:
         s = annotate_from_table(s, consequences)
     elif annotator is not None:

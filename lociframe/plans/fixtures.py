@@ -202,24 +202,50 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, store: bool = True) ->
             register_base(spark, sf_dir, [t for t in BASE_TABLES if t in toks])
             spark.sql(FIXTURE_SQL[n]).createOrReplaceTempView(n)
         return spark.table(name)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    path = _STORED.get(key)
-    if path is None:
-        from lociframe.session import ensure_checkpoint_dir
-        digest = hashlib.sha1((key[1] + "\0" + FIXTURE_SQL[name]).encode()).hexdigest()[:16]
-        path = os.path.join(ensure_checkpoint_dir(spark), "fixtures", f"{name}-{digest}")
-        # one file per core: small inputs would otherwise read as one partition
-        (_derive(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
-         .write.mode("overwrite").parquet(path))
-        _STORED[key] = path
-    return spark.read.parquet(path)
-
-
-def store_all(spark: SparkSession, sf_dir: str, names=None) -> None:
+    key = _key(spark, sf_dir, name)
+    if key not in _STORED:
+        _write_stored(spark, sf_dir, name, _prepare(spark, sf_dir, name))
+    return spark.read.parquet(_STORED[key])
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+
+
+def _prepare(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(_STORED[_key(spark, sf_dir, name)]) if _key(spark, sf_dir, name) in _STORED \
+        else _derive(spark, sf_dir, name)
+
+
+def _write_stored(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> None:
+    key = _key(spark, sf_dir, name)
+    if key in _STORED:
+        return
+    from lociframe.session import ensure_checkpoint_dir
+    digest = hashlib.sha1((key[1] + "\0" + FIXTURE_SQL[name]).encode()).hexdigest()[:16]
+    path = os.path.join(ensure_checkpoint_dir(spark), "fixtures", f"{name}-{digest}")
+    # one file per core: small inputs would otherwise read as one partition
+    df.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+    _STORED[key] = path
+
+
+def store_all(spark: SparkSession, sf_dir: str, names=None, threads: int = 4) -> None:
     """Derive and store every fixture (or the named ones) up front, plus the
-    shaped sites / calls tables."""
-    for n in names or ORDER:
-        fixture(spark, sf_dir, n)
+    shaped sites / calls tables.  Fixtures whose dependencies are stored
+    are written concurrently (independent Spark jobs from driver threads)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = _closure(names or ORDER)
+    done: set[str] = set()
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        while todo:
+            ready = [n for n in todo if all(d in done for d in _deps(n))]
+            # temp-view registration is session-global: derive the SQL of
+            # this level on the driver thread, write in parallel
+            frames = [(n, _prepare(spark, sf_dir, n)) for n in ready]
+            list(pool.map(lambda nf: _write_stored(spark, sf_dir, *nf), frames))
+            done.update(ready)
+            todo = [n for n in todo if n not in done]
     if names is None:
         from lociframe.plans import inputs
         inputs.sites(spark, sf_dir)

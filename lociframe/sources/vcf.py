@@ -136,12 +136,21 @@ def _missing_dot(x: Column) -> Column:
 
 
 def typed_value(value: Column, number: str | None, vtype: str | None) -> Column:
-    """A VCF value typed by its header declaration; ``.`` means missing."""
+    """A VCF value typed by its header declaration; ``.`` means missing.
+
+    Numbers are cast with ``try_cast`` (element-wise for lists, no lambda):
+    ``.`` is not a number and reads NULL.  Text needs the explicit ``.`` test.
+    """
     t = SPARK_TYPES.get(vtype or "String", "string")
-    if number in ("1", "0") and vtype != "Flag":
-        return _missing_dot(value).try_cast(t) if t != "string" else _missing_dot(value)
-    arr = F.transform(F.split(value, ",", -1), lambda x: _missing_dot(x).try_cast(t) if t != "string" else _missing_dot(x))
-    return F.when(value.isNotNull() & (value != "."), arr)
+    scalar = number in ("1", "0") and vtype != "Flag"
+    if t != "string":
+        if scalar:
+            return value.try_cast(t)
+        return F.when(value != ".", F.split(value, ",", -1).try_cast(f"array<{t}>"))
+    if scalar:
+        return _missing_dot(value)
+    return F.when(value.isNotNull() & (value != "."),
+                  F.transform(F.split(value, ",", -1), lambda x: _missing_dot(x)))
 
 
 def info_struct(info_text: Column, header: VcfHeader) -> Column:
