@@ -94,3 +94,30 @@ def test_version_sort_and_tables(spark, tmp_path):
     members = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c")], "chunk long, s string")
     KT.write_chunk_lists(members, "chunk", "s", str(tmp_path / "chunks"))
     assert sorted(d for d in os.listdir(tmp_path / "chunks") if d.startswith("chunk=")) == ["chunk=0", "chunk=1"]
+
+
+def test_callset_plans(spark, tmp_path):
+    from tests.test_io import VCF
+    from lociframe.plans import callsets as CS
+    p = tmp_path / "in.vcf"
+    p.write_text(VCF)
+    v = SV.read_vcf(spark, str(p), find_replace=("nan", "."))
+    d = CS.add_depth(v, with_pl=True)
+    dp = {r.position: r.info.DP for r in d.sites.collect()}
+    assert dp[100] == 8 and dp[200] == 6 and dp[300] == 0
+    pl = {(r.position, r.s): r.PL for r in d.calls.collect()}
+    # het 0/1 with GQ 30, AD 5,3 -> m = max(30, 6) ; haploid 1 -> 1/1 without GQ/AD
+    assert pl[(100, "S1")] == [30, 0, 30] and pl[(300, "S1")] == [None, None, 0]
+    assert "PL" in d.header.format and d.header.info["DP"]["Type"] == "Integer"
+    per, total = CS.count_variants(v.sites, "contig")
+    t = total.first()
+    # A>C,* : the ALT field "C,*" differs in length from REF -> counted as indel
+    assert (t.n_records, t.n_snv, t.n_indel) == (3, 1, 2)
+    m = CS.merge_callsets([v, v])
+    names = [r.s for r in m.samples.orderBy("ordinal").collect()]
+    assert names == ["S1", "S2", "2:S1", "2:S2"]
+    assert m.calls.count() == 12 and m.sites.count() == 3 and "NO_HQ_GENOTYPES" in m.header.filter
+    out = str(tmp_path / "merged")
+    CS.callset_to_vcf(spark, m.header, m.sites, m.calls, m.samples, out)
+    back = SV.read_vcf(spark, out)
+    assert back.header.samples == names and back.calls.count() == 12
