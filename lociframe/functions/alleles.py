@@ -64,13 +64,12 @@ def with_min_rep(df, position: str, ref: str, alt: str, when: Column | None = No
     cond = F.lit(True) if when is None else when
     suf, r1, a1, pre = (f"{prefix}_{x}" for x in ("suf", "r1", "a1", "pre"))
     df = df.withColumn(suf, F.when(cond, common_suffix_len(F.col(ref), F.col(alt))).otherwise(F.lit(0)))
-    df = (df.withColumn(r1, F.left(F.col(ref), F.length(ref) - F.col(suf)))
-            .withColumn(a1, F.left(F.col(alt), F.length(alt) - F.col(suf))))
+    df = df.withColumns({r1: F.left(F.col(ref), F.length(ref) - F.col(suf)),
+                         a1: F.left(F.col(alt), F.length(alt) - F.col(suf))})
     df = df.withColumn(pre, F.when(cond, common_prefix_len(F.col(r1), F.col(a1))).otherwise(F.lit(0)))
-    return (df.withColumn(f"{prefix}_pos", F.col(position) + F.col(pre))
-              .withColumn(f"{prefix}_ref", F.substr(F.col(r1), F.col(pre) + 1))
-              .withColumn(f"{prefix}_alt", F.substr(F.col(a1), F.col(pre) + 1))
-              .drop(suf, r1, a1, pre))
+    return df.withColumns({f"{prefix}_pos": F.col(position) + F.col(pre),
+                           f"{prefix}_ref": F.substr(F.col(r1), F.col(pre) + 1),
+                           f"{prefix}_alt": F.substr(F.col(a1), F.col(pre) + 1)}).drop(suf, r1, a1, pre)
 
 
 def min_rep(position: Column, ref: Column, alt: Column) -> Column:

@@ -25,14 +25,14 @@ def _explode_alts(df: DataFrame) -> DataFrame:
     out = (df.filter(n >= 2)
            .withColumn("num_alleles", n)
            .select("*", F.posexplode(F.slice("alleles", 2, F.size("alleles") - 1)).alias("_pos", "_alt"))
-           .withColumn("a_index", (F.col("_pos") + 1).cast("int"))
-           .withColumn("was_split", F.col("num_alleles") > 2)
+           .withColumns({"a_index": (F.col("_pos") + 1).cast("int"),
+                         "was_split": F.col("num_alleles") > 2,
+                         "_ref": F.col("alleles")[0]})
            # star alleles only disappear when a record is really split
-           .filter(~(F.col("was_split") & (F.col("_alt") == "*")))
-           .withColumn("_ref", F.col("alleles")[0]))
+           .filter(~(F.col("was_split") & (F.col("_alt") == "*"))))
     out = with_min_rep(out, "position", "_ref", "_alt", when=F.col("was_split"))
-    return (out.withColumn("position", F.col("_mr_pos"))
-            .withColumn("alleles", F.array(F.col("_mr_ref"), F.col("_mr_alt")))
+    return (out.withColumns({"position": F.col("_mr_pos"),
+                             "alleles": F.array(F.col("_mr_ref"), F.col("_mr_alt"))})
             .drop("_pos", "_alt", "_ref", "_mr_pos", "_mr_ref", "_mr_alt"))
 
 

@@ -205,7 +205,18 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, store: bool = True) ->
     key = _key(spark, sf_dir, name)
     if key not in _STORED:
         _write_stored(spark, sf_dir, name, _prepare(spark, sf_dir, name))
-    return spark.read.parquet(_STORED[key])
+    return read_stored(spark, _STORED[key])
+
+
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table's DataFrame, listed once per session (plans are immutable)."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
@@ -213,7 +224,7 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
 
 
 def _prepare(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(_STORED[_key(spark, sf_dir, name)]) if _key(spark, sf_dir, name) in _STORED \
+    return read_stored(spark, _STORED[_key(spark, sf_dir, name)]) if _key(spark, sf_dir, name) in _STORED \
         else _derive(spark, sf_dir, name)
 
 

@@ -40,7 +40,8 @@ def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
         # one file per core: small inputs would otherwise read as one partition
         build().repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+    from lociframe.plans.fixtures import read_stored
+    return read_stored(spark, _STORED[key])
 
 
 def sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
