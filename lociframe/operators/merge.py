@@ -88,7 +88,8 @@ def merge_sample_sets(files, key=VARIANT_KEY):
                            .otherwise(F.col("s")))
                .drop("_first"))
     calls = union_tables([c.withColumn("file_idx", F.lit(i + 1)) for i, (_, c, _) in enumerate(files)])
-    calls = (calls.join(renamed.select("file_idx", "s", "new_s"), ["file_idx", "s"])
+    # the rename map has one row per (file, sample): bounded by the headers
+    calls = (calls.join(F.broadcast(renamed.select("file_idx", "s", "new_s")), ["file_idx", "s"])
              .drop("s").withColumnRenamed("new_s", "s"))
     sites = union_tables([st.withColumn("file_idx", F.lit(i + 1)) for i, (st, _, _) in enumerate(files)])
     # one record per variant key; the earliest file's fields win

@@ -262,3 +262,5 @@ def store_all(spark: SparkSession, sf_dir: str, names=None, threads: int = 4) ->
         inputs.sites(spark, sf_dir)
         inputs.sites(spark, sf_dir, with_csq=True)
         inputs.calls(spark, sf_dir)
+        from lociframe.plans.queries import fixture_vcf_path
+        fixture_vcf_path(spark, sf_dir)

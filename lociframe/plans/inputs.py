@@ -44,6 +44,18 @@ def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     return read_stored(spark, _STORED[key])
 
 
+def stored_path(spark: SparkSession, sf: str, name: str, write) -> str:
+    """Folder of an input written once per session by ``write(path)``."""
+    import os
+    from lociframe.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
+    if key not in _STORED:
+        path = os.path.join(ensure_checkpoint_dir(spark), "inputs", f"{name}-{abs(hash(key[1])) % 10**8}")
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
     return _stored(spark, sf, "sites_csq" if with_csq else "sites", lambda: _sites(spark, sf, with_csq))
 

@@ -819,13 +819,19 @@ def q_vcf_render(spark, sf):
     return KV.record_lines(s, c, smp).select("line")
 
 
+def fixture_vcf_path(spark, sf):
+    """The fixture call set written once per session as a gzip VCF (text
+    parts in coordinate order, header in the first) in the checkpoint folder."""
+    def write(path):
+        s, c, smp = _fixture_vcf(spark, sf)
+        header = SV.parse_header_lines(FIXTURE_HEADER_LINES)
+        header.samples = [r["s"] for r in smp.orderBy("ordinal").collect()]
+        KV.write_vcf(spark, header, s, path, calls=c, samples=smp)
+    return IN.stored_path(spark, sf, "vcf", write)
+
+
 def _parsed(spark, sf, drop_samples):
-    s, c, smp = _fixture_vcf(spark, sf)
-    header = SV.parse_header_lines(FIXTURE_HEADER_LINES)
-    header.samples = [r["s"] for r in smp.orderBy("ordinal").collect()]
-    lines = KV.vcf_lines(spark, header, s, c, smp).select(F.col("line").alias("value"))
-    head = KV.header_lines(header)
-    return SV.parse_lines(spark, lines, head, drop_samples=drop_samples)
+    return SV.read_vcf(spark, fixture_vcf_path(spark, sf), drop_samples=drop_samples)
 
 
 @query("vcf_parse_sites", _with("fx_sites") + """

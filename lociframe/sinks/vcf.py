@@ -89,7 +89,8 @@ def record_lines(sites: DataFrame, calls: DataFrame | None = None, samples: Data
     keys = format_keys(calls)
     if n_samples is None:
         n_samples = samples.count()
-    cells = (calls.join(samples.select("s", "ordinal"), "s")
+    # one row per sample of the cohort: bounded by the header, broadcast
+    cells = (calls.join(F.broadcast(samples.select("s", "ordinal")), "s")
              .select(*key, "ordinal", sample_text(calls, keys).alias("_txt")))
     grouped = cells.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("ordinal", "_txt"))).alias("_m"))
     miss = F.lit(missing_sample_text(keys))
