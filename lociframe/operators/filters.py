@@ -11,8 +11,10 @@ from lociframe.operators.genotypes import haploid_to_diploid
 
 
 def keep_samples(calls: DataFrame, samples: DataFrame, col: str = "s") -> DataFrame:
-    """Calls of the listed samples only (semi join on the sample id)."""
-    return calls.join(samples.select(F.col(samples.columns[0]).alias(col)), col, "left_semi")
+    """Calls of the listed samples only (semi join on the sample id).  A
+    sample list is bounded by the cohort's sample count, so it is broadcast
+    and the calls are filtered where they are."""
+    return calls.join(F.broadcast(samples.select(F.col(samples.columns[0]).alias(col))), col, "left_semi")
 
 
 def subset_samples(sites: DataFrame, calls: DataFrame, samples: DataFrame, key=VARIANT_KEY):
@@ -28,7 +30,7 @@ def subset_samples(sites: DataFrame, calls: DataFrame, samples: DataFrame, key=V
 def drop_first_sample(calls: DataFrame, samples: DataFrame) -> DataFrame:
     """Drop the sample in the first genotype column (``ordinal = 0``)."""
     rest = samples.where(F.col("ordinal") > 0).select("s")
-    return calls.join(rest, "s", "left_semi")
+    return calls.join(F.broadcast(rest), "s", "left_semi")  # header-bounded
 
 
 def keep_contig(df: DataFrame, contig: str) -> DataFrame:
