@@ -30,11 +30,13 @@ def pc_project(calls: DataFrame, loadings: DataFrame, key=VARIANT_KEY, n_pcs: in
     Variants need defined loadings and ``0 < af < 1``; missing calls are
     skipped.  ``n_variants`` is the number of rows of the loadings table.
     """
-    n_variants = loadings.count()
+    # both scalars from one pass over the (reference-sized) loadings table
+    stats = loadings.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(loadings_col)).alias("k")).first()
+    n_variants = stats["n"]
     ld = loadings.where(F.col(loadings_col).isNotNull() & F.col(af_col).isNotNull()
                         & (F.col(af_col) > 0) & (F.col(af_col) < 1))
     if n_pcs is None:
-        n_pcs = ld.agg(F.max(F.size(loadings_col)).alias("n")).first()["n"] or 0
+        n_pcs = stats["k"] or 0
     af = F.col(af_col)
     norm = (G.n_alt_alleles(F.col("GT")) - af * 2) / F.sqrt(F.lit(float(n_variants)) * 2 * af * (1 - af))
     j = (calls.select(*key, "s", "GT")
