@@ -72,17 +72,6 @@ def with_min_rep(df, position: str, ref: str, alt: str, when: Column | None = No
                            f"{prefix}_alt": F.substr(F.col(a1), F.col(pre) + 1)}).drop(suf, r1, a1, pre)
 
 
-def min_rep(position: Column, ref: Column, alt: Column) -> Column:
-    """Column form of the minimal representation (``struct(position, ref,
-    alt)``); prefer ``with_min_rep`` on DataFrames, which stages the work."""
-    suf = common_suffix_len(ref, alt)
-    ref1 = F.left(ref, F.length(ref) - suf)
-    alt1 = F.left(alt, F.length(alt) - suf)
-    pre = common_prefix_len(ref1, alt1)
-    return F.struct((position + pre).alias("position"), F.substr(ref1, pre + 1).alias("ref"),
-                    F.substr(alt1, pre + 1).alias("alt"))
-
-
 def is_snv_text(ref: Column, alt_text: Column) -> Column:
     """SNV test on raw record text: one-base REF and one-character ALT field."""
     return (F.length(ref) == 1) & (F.length(alt_text) == 1)

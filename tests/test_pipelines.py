@@ -121,3 +121,33 @@ def test_callset_plans(spark, tmp_path):
     CS.callset_to_vcf(spark, m.header, m.sites, m.calls, m.samples, out)
     back = SV.read_vcf(spark, out)
     assert back.header.samples == names and back.calls.count() == 12
+
+
+def test_ancestry_plan_and_list_readers(spark, tmp_path):
+    from lociframe.plans import callsets as CS
+    from lociframe.plans import inputs as IN
+    from lociframe.plans import queries as Q
+    from lociframe.plans.fixtures import fixture
+    sf = "/root/testdata/sf0.001"
+    s = IN.sites(spark, sf)
+    calls = IN.calls(spark, sf)
+    ld = Q._loadings(spark, sf, s)
+    cohort = calls.where("vid % 3 <> 0").withColumn("s", F.concat(F.lit("C"), F.substring("s", 2, 8)))
+    out = CS.infer_ancestry(s.where("vid % 3 <> 0"), cohort, s, calls, ld, fixture(spark, sf, "fx_pop_labels"),
+                            num_pcs=8, min_prob=0.5)
+    rows = out.collect()
+    assert {r.s[0] for r in rows} == {"C", "S"} and all(r.pop for r in rows)
+    assert {r.known_pop for r in rows if r.s.startswith("S")} == {"afr", "nfe", "sas", "eas", "amr"}
+    genes = tmp_path / "my_genes.txt"
+    genes.write_text("GENE1\tx\nGENE2\n\n")
+    lst = TB.read_list(spark, str(genes), "symbol")
+    assert sorted(r.symbol for r in lst.collect()) == ["GENE1", "GENE2"]
+    assert TB.list_name(str(genes)) == "my_genes.txt"
+
+
+def test_parse_lines_from_dataframe(spark):
+    from tests.test_io import VCF
+    lines = spark.createDataFrame([(x,) for x in VCF.splitlines() if not x.startswith("#")], "value string")
+    head = [x for x in VCF.splitlines() if x.startswith("#")]
+    v = SV.parse_lines(spark, lines, head)
+    assert v.sites.count() == 3 and v.calls.count() == 6
