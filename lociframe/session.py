@@ -7,7 +7,6 @@ own configuration always wins.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession

@@ -132,3 +132,25 @@ def test_info_depth_zero_without_ad(spark):
     calls = spark.createDataFrame([("chr1", 1, ["A", "C"], "S1", None)],
                                   SITES_SCHEMA + ", s string, AD array<int>")
     assert CO.info_depth(sites, calls).first().info.DP == 0
+
+
+def test_interval_label_nested_adjacent_and_ties(spark):
+    from lociframe.operators.intervals import interval_label, interval_filter
+    iv = spark.createDataFrame([("chr1", 10, 20, "a"), ("chr1", 20, 30, "b"), ("chr1", 0, 100, "wide"),
+                                ("chr1", 15, 25, "mid"), ("chr2", 5, 6, "one")],
+                               "contig string, start0 long, end0 long, target string")
+    pos = [("chr1", p, ["A", "C"]) for p in (5, 10, 11, 16, 20, 21, 26, 100, 101)] + [("chr2", 6, ["A", "C"]),
+                                                                                   ("chr2", 5, ["A", "C"])]
+    sites = spark.createDataFrame(pos, SITES_SCHEMA)
+    got = {(r.contig, r.position): r.PREDICTED_NONCODING
+           for r in interval_label(sites, iv, width=7, into_info=False).collect()}
+    # smallest (start0, end0, target) among containing intervals; 1-based p in (start0, end0]
+    assert got == {("chr1", 5): "wide", ("chr1", 10): "wide", ("chr1", 11): "wide", ("chr1", 16): "wide",
+                   ("chr1", 20): "wide", ("chr1", 21): "wide", ("chr1", 26): "wide", ("chr1", 100): "wide",
+                   ("chr1", 101): None, ("chr2", 6): "one", ("chr2", 5): None}
+    narrow = iv.where("target <> 'wide'")
+    got2 = {r.position: r.PREDICTED_NONCODING
+            for r in interval_label(sites.where("contig = 'chr1'"), narrow, width=7, into_info=False).collect()}
+    assert got2 == {5: None, 10: None, 11: "a", 16: "a", 20: "a", 21: "mid", 26: "b", 100: None, 101: None}
+    kept = sorted(r.position for r in interval_filter(sites.where("contig = 'chr1'"), narrow, width=7).collect())
+    assert kept == [11, 16, 20, 21, 26]
