@@ -154,3 +154,15 @@ def test_interval_label_nested_adjacent_and_ties(spark):
     assert got2 == {5: None, 10: None, 11: "a", 16: "a", 20: "a", 21: "mid", 26: "b", 100: None, 101: None}
     kept = sorted(r.position for r in interval_filter(sites.where("contig = 'chr1'"), narrow, width=7).collect())
     assert kept == [11, 16, 20, 21, 26]
+
+
+def test_stored_unique_lookup_table(spark, tmp_path):
+    from lociframe.operators.lookup import store_keyed, lookup_by_variant
+    t = spark.createDataFrame([("chr1", 1, ["A", "C"], 0.5), ("chr1", 1, ["A", "C"], 0.2), ("chr1", 2, ["G", "T"], 0.9)],
+                              "contig string, position long, alleles array<string>, mpc double")
+    path = str(tmp_path / "mpc")
+    store_keyed(t, ["contig", "position", "alleles"], ["mpc"], path, partitions=2)
+    stored = spark.read.parquet(path)
+    sites = spark.createDataFrame([("chr1", 1, ["A", "C"]), ("chr1", 3, ["A", "C"])], SITES_SCHEMA)
+    got = {r.position: r.MPC for r in lookup_by_variant(sites, stored, {"MPC": "mpc"}, unique_keys=True).collect()}
+    assert got == {1: 0.2, 3: None}
