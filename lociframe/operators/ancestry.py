@@ -62,7 +62,8 @@ def assign_population(scores: DataFrame, known_col: str = "known_pop", num_pcs:
 
     Trained on rows with a known label; every row gets ``pop`` (the most
     probable class, or ``missing_label`` when its probability is below
-    ``min_prob``) and one ``prob_<class>`` column per class.
+    ``min_prob``) and one ``prob_<class>`` column per class; the input
+    ``scores`` come out as ``pca_scores``.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
@@ -93,8 +94,9 @@ def apply_population_model(feats: DataFrame, model, min_prob: float = 0.75, miss
     pop = F.when(best >= min_prob, F.element_at(F.array(*[F.lit(x) for x in labels]),
                                                 F.array_position("_p", best).cast("int")))
     cols = [F.col("_p")[i].alias(f"prob_{lab}") for i, lab in enumerate(labels)]
-    return scored.select(*[c for c in feats.columns if c != "features"],
-                         F.coalesce(pop, F.lit(missing_label)).alias("pop"), *cols)
+    keep = [F.col(c).alias("pca_scores") if c == "scores" else F.col(c)
+            for c in feats.columns if c != "features"]
+    return scored.select(*keep, F.coalesce(pop, F.lit(missing_label)).alias("pop"), *cols)
 
 
 def load_population_model(path: str):

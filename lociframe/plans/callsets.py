@@ -88,3 +88,11 @@ def infer_ancestry(cohort_sites: DataFrame, cohort_calls: DataFrame, panel_sites
     if model is not None:
         return AN.apply_population_model(scores, model, min_prob=min_prob, num_pcs=num_pcs)
     return AN.assign_population(scores, num_pcs=num_pcs, min_prob=min_prob)
+
+
+def write_ancestry_tsv(assigned: DataFrame, path: str) -> None:
+    """The per-sample ancestry table as TSV (scores written as ``[a, b, ...]``)."""
+    from lociframe.sinks.tables import write_tsv
+    out = assigned.withColumn("pca_scores", F.concat(F.lit("["), F.array_join(
+        F.transform("pca_scores", lambda x: x.cast("string")), ", "), F.lit("]")))
+    write_tsv(out, path)

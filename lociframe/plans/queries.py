@@ -760,7 +760,7 @@ def q_assign_ancestry(spark, sf):
                         F.when(F.col("vec_id") % 4 != 0, F.concat(F.lit("pop"), F.col("label").cast("string")))
                         .alias("known_pop"))
     out = AN.assign_population(scores, num_pcs=16, min_prob=0.75)
-    return out.drop("scores")
+    return out.drop("pca_scores")
 
 
 # ================================================================== VCF text in / out

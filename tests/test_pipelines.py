@@ -138,6 +138,9 @@ def test_ancestry_plan_and_list_readers(spark, tmp_path):
     rows = out.collect()
     assert {r.s[0] for r in rows} == {"C", "S"} and all(r.pop for r in rows)
     assert {r.known_pop for r in rows if r.s.startswith("S")} == {"afr", "nfe", "sas", "eas", "amr"}
+    CS.write_ancestry_tsv(out, str(tmp_path / "anc"))
+    back = TB.read_tsv(spark, str(tmp_path / "anc"))
+    assert back.count() == len(rows) and back.first().pca_scores.startswith("[")
     genes = tmp_path / "my_genes.txt"
     genes.write_text("GENE1\tx\nGENE2\n\n")
     lst = TB.read_list(spark, str(genes), "symbol")
