@@ -154,3 +154,20 @@ def test_parse_lines_from_dataframe(spark):
     head = [x for x in VCF.splitlines() if x.startswith("#")]
     v = SV.parse_lines(spark, lines, head)
     assert v.sites.count() == 3 and v.calls.count() == 6
+
+
+def test_classifier_accuracy_floor(spark):
+    import numpy as np
+    import __spark_entry__ as E
+    out = E.queries()["assign_ancestry"](spark, "/root/testdata/sf0.01")
+    probs = [c for c in out.columns if c.startswith("prob_")]
+    pdf = out.select("known_pop", "pop", *probs).toPandas()
+    assert len(pdf) == 500
+    p = pdf[probs].values
+    best = np.array([c[5:] for c in probs])[p.argmax(1)]
+    known = pdf.known_pop.notna().values
+    # the forest fits its training labels (argmax), and a label is only
+    # assigned when its probability reaches min_prob (0.75), else "oth"
+    assert (best[known] == pdf.known_pop.values[known]).mean() >= 0.6
+    expect = np.where(p.max(1) >= 0.75, best, "oth")
+    assert (pdf["pop"].values == expect).all()
