@@ -515,8 +515,7 @@ def q_variant_counts(spark, sf):
     return CT.total_of_shards(CT.variant_type_counts(IN.sites(spark, sf), by="contig"))
 
 
-@query("records_per_contig", _with("fx_sites") + """
-x AS (SELECT 1)
+@query("records_per_contig", cte("fx_sites") + """
 SELECT contig, count(*) AS n_records FROM fx_sites GROUP BY contig""")
 def q_records_per_contig(spark, sf):
     return CT.records_per_contig(IN.sites(spark, sf))
@@ -546,15 +545,13 @@ def q_shard_by_contig(spark, sf):
     return SH.shard_by_contig(IN.sites(spark, sf), "GRCh38", 200).select("vid", "shard")
 
 
-@query("keep_contig", _with("fx_sites") + """
-x AS (SELECT 1)
+@query("keep_contig", cte("fx_sites") + """
 SELECT vid, position FROM fx_sites WHERE contig = 'chr5'""")
 def q_keep_contig(spark, sf):
     return FL.keep_contig(IN.sites(spark, sf), "chr5").select("vid", "position")
 
 
-@query("chunk_rows", _with("fx_pedigree") + """
-x AS (SELECT 1)
+@query("chunk_rows", cte("fx_pedigree") + """
 SELECT sample_id, CAST((row_number() OVER (ORDER BY sample_id) - 1) // 100 AS BIGINT) AS chunk FROM fx_pedigree""")
 def q_chunk_rows(spark, sf):
     return SH.chunk_rows(fixture(spark, sf, "fx_pedigree"), 100, "sample_id").select("sample_id", "chunk")
@@ -595,8 +592,7 @@ def _cohort_b(spark, sf, rename=True):
     return s, sb, cb
 
 
-@query("union_cohorts", _with("fx_calls") + """
-x AS (SELECT 1)
+@query("union_cohorts", cte("fx_calls") + """
 SELECT vid, s, a1 AS gt_a1, a2 AS gt_a2, gq AS GQ FROM fx_calls WHERE vid % 2 = 0
 UNION ALL
 SELECT vid, concat('T', substr(s, 2)) AS s, a1 AS gt_a1, a2 AS gt_a2, gq AS GQ FROM fx_calls WHERE vid % 2 = 0""")
@@ -607,8 +603,7 @@ def q_union_cohorts(spark, sf):
     return calls.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"), "GQ")
 
 
-@query("merge_samples", _with("fx_calls") + """
-x AS (SELECT 1)
+@query("merge_samples", cte("fx_calls") + """
 SELECT vid, s, a1 AS gt_a1, a2 AS gt_a2 FROM fx_calls WHERE vid % 3 <> 0
 UNION ALL
 SELECT vid, concat('2:', s) AS s, a1 AS gt_a1, a2 AS gt_a2 FROM fx_calls WHERE vid % 2 = 0""")
@@ -622,8 +617,7 @@ def q_merge_samples(spark, sf):
     return calls.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"))
 
 
-@query("merge_samples_sites", _with("fx_sites") + """
-x AS (SELECT 1)
+@query("merge_samples_sites", cte("fx_sites") + """
 SELECT vid, position FROM fx_sites WHERE vid % 3 <> 0 OR vid % 2 = 0""")
 def q_merge_samples_sites(spark, sf):
     s = IN.sites(spark, sf)
@@ -666,8 +660,7 @@ def q_concat_records_sorted(spark, sf):
     return out.select("vid", "file_idx", "rn")
 
 
-@query("union_record_sets", _with("fx_sites") + """
-x AS (SELECT 1)
+@query("union_record_sets", cte("fx_sites") + """
 SELECT vid, CAST(vid % 3 + 1 AS INT) AS file_idx FROM fx_sites""")
 def q_union_record_sets(spark, sf):
     s = IN.sites(spark, sf)
@@ -675,8 +668,7 @@ def q_union_record_sets(spark, sf):
     return MG.concat_records(parts).select("vid", "file_idx")
 
 
-@query("keep_format_fields", _with("fx_calls") + """
-x AS (SELECT 1)
+@query("keep_format_fields", cte("fx_calls") + """
 SELECT vid, s, a1 AS gt_a1, gq AS GQ FROM fx_calls""")
 def q_keep_format_fields(spark, sf):
     c = GT.format_depth(IN.calls(spark, sf)).withColumn("PGT", F.lit("0|1")).withColumn("MIN_DP", F.lit(3))
@@ -834,8 +826,7 @@ def _parsed(spark, sf, drop_samples):
     return SV.read_vcf(spark, fixture_vcf_path(spark, sf), drop_samples=drop_samples)
 
 
-@query("vcf_parse_sites", _with("fx_sites") + """
-x AS (SELECT 1)
+@query("vcf_parse_sites", cte("fx_sites") + """
 SELECT vid, contig, position, ref, alts, filter, vqslod AS VQSLOD,
        array_to_string(list_transform(range(1, len(string_split(alts, ',')) + 1), lambda i: (vid + 13 * i) % 200), ',') AS AC
 FROM fx_sites""")
@@ -847,8 +838,7 @@ def q_vcf_parse_sites(spark, sf):
                           F.array_join("info.AC", ",").alias("AC"))
 
 
-@query("vcf_parse_calls", _with("fx_sites", "fx_calls", "fx_samples") + """
-x AS (SELECT 1)
+@query("vcf_parse_calls", cte("fx_sites", "fx_calls", "fx_samples") + """
 SELECT st.contig, st.position, sm.s, c.a1 AS gt_a1, c.a2 AS gt_a2,
        CASE WHEN c.ad0 IS NULL THEN NULL ELSE concat_ws(',', c.ad0, c.ad1, c.ad2, c.ad3) END AS AD,
        c.gq AS GQ,
@@ -978,8 +968,7 @@ def q_annotate_vcf(spark, sf):
 from lociframe.sources import tables as TB  # noqa: E402
 
 
-@query("bed_read", _with("fx_intervals") + """
-x AS (SELECT 1)
+@query("bed_read", cte("fx_intervals") + """
 SELECT contig, start0, end0, target FROM fx_intervals""")
 def q_bed_read(spark, sf):
     """BED text (header line, valid and invalid intervals) -> valid intervals."""
@@ -1004,8 +993,7 @@ def q_plugin_scores(spark, sf):
     return e.select("vid", "a_index", F.col("csq_pos").alias("ord"), F.col("t_am_score").alias("am_score"))
 
 
-@query("sample_count", _with("fx_calls") + """
-x AS (SELECT 1)
+@query("sample_count", cte("fx_calls") + """
 SELECT count(DISTINCT s) AS n_samples FROM fx_calls""")
 def q_sample_count(spark, sf):
     return CT.sample_count(IN.calls(spark, sf).select("s"))
