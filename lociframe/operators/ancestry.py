@@ -17,9 +17,15 @@ from lociframe.functions import genotype as G
 from lociframe.functions.alleles import VARIANT_KEY
 
 
+# loadings rows carry ~64 doubles: broadcast up to this many variants
+MAX_BROADCAST_LOADINGS = 200_000
+
+
 def keep_loading_sites(df: DataFrame, loadings: DataFrame, key=VARIANT_KEY) -> DataFrame:
-    """Rows (sites or calls) whose variant is in the loadings table."""
-    return df.join(loadings.select(*key), list(key), "left_semi")
+    """Rows (sites or calls) whose variant is in the loadings table (a
+    reference panel's PCA sites: broadcast after a row count)."""
+    from lociframe.operators.intervals import broadcast_if_small
+    return df.join(broadcast_if_small(loadings.select(*key), 5 * MAX_BROADCAST_LOADINGS), list(key), "left_semi")
 
 
 def pc_project(calls: DataFrame, loadings: DataFrame, key=VARIANT_KEY, n_pcs: int | None = None,
@@ -39,8 +45,11 @@ def pc_project(calls: DataFrame, loadings: DataFrame, key=VARIANT_KEY, n_pcs: in
         n_pcs = stats["k"] or 0
     af = F.col(af_col)
     norm = (G.n_alt_alleles(F.col("GT")) - af * 2) / F.sqrt(F.lit(float(n_variants)) * 2 * af * (1 - af))
+    right = ld.select(*key, loadings_col, af_col)
+    if n_variants <= MAX_BROADCAST_LOADINGS:  # size checked above
+        right = F.broadcast(right)
     j = (calls.select(*key, "s", "GT")
-         .join(ld.select(*key, loadings_col, af_col), list(key))
+         .join(right, list(key))
          .withColumn("_norm", norm)
          .where(F.col("_norm").isNotNull()))
     sums = [F.sum(F.col("_norm") * F.get(F.col(loadings_col), i)).alias(f"_pc{i}") for i in range(n_pcs)]
