@@ -240,10 +240,11 @@ def _write_stored(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) ->
     _STORED[key] = path
 
 
-def store_all(spark: SparkSession, sf_dir: str, names=None, threads: int = 4) -> None:
+def store_all(spark: SparkSession, sf_dir: str, names=None, threads: int = 8) -> None:
     """Derive and store every fixture (or the named ones) up front, plus the
-    shaped sites / calls tables.  Fixtures whose dependencies are stored
-    are written concurrently (independent Spark jobs from driver threads)."""
+    shaped sites / calls tables and the fixture VCF.  Tables whose inputs
+    are stored are written concurrently (independent Spark jobs from driver
+    threads); plans are built on the calling thread."""
     from concurrent.futures import ThreadPoolExecutor
 
     todo = _closure(names or ORDER)
@@ -257,10 +258,10 @@ def store_all(spark: SparkSession, sf_dir: str, names=None, threads: int = 4) ->
             list(pool.map(lambda nf: _write_stored(spark, sf_dir, *nf), frames))
             done.update(ready)
             todo = [n for n in todo if n not in done]
-    if names is None:
-        from lociframe.plans import inputs
-        inputs.sites(spark, sf_dir)
-        inputs.sites(spark, sf_dir, with_csq=True)
-        inputs.calls(spark, sf_dir)
-        from lociframe.plans.queries import fixture_vcf_path
-        fixture_vcf_path(spark, sf_dir)
+        if names is None:
+            from lociframe.plans import inputs
+            from lociframe.plans.queries import fixture_vcf_path
+            list(pool.map(lambda f: f(), [lambda: inputs.sites(spark, sf_dir),
+                                          lambda: inputs.sites(spark, sf_dir, with_csq=True)]))
+            inputs.calls(spark, sf_dir)
+            fixture_vcf_path(spark, sf_dir)
