@@ -34,3 +34,30 @@ def start_split_sites(spark: SparkSession, in_dir: str, header: VcfHeader, out_d
               .option("path", out_dir).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer
     return writer.start()
+
+
+def annotate_sites_stream(stream_sites: DataFrame, scores: list[tuple[DataFrame, dict[str, str]]] = (),
+                          intervals: DataFrame | None = None, build: str = "GRCh38") -> DataFrame:
+    """Site-level enrichment of a stream of split sites: each score table is
+    a stream-static left join (the static side reduced to one row per key),
+    the interval label a stream-static join with the labelled segments.
+    Each micro-batch is handled on its own; no streaming state is kept."""
+    from lociframe.operators.intervals import interval_label, valid_intervals
+    from lociframe.operators.lookup import lookup_by_variant
+    out = stream_sites
+    for table, fields in scores:
+        out = lookup_by_variant(out, table, fields)
+    if intervals is not None:
+        out = interval_label(out, valid_intervals(intervals, build))
+    return out
+
+
+def start_annotated_sites(spark: SparkSession, in_dir: str, header: VcfHeader, out_dir: str, checkpoint: str,
+                          scores: list[tuple[DataFrame, dict[str, str]]] = (), intervals: DataFrame | None = None,
+                          once: bool = False):
+    """Split and enrich arriving shards, appending to Parquet at ``out_dir``."""
+    stream = annotate_sites_stream(split_sites_stream(spark, in_dir, header), scores, intervals)
+    writer = (stream.writeStream.format("parquet").outputMode("append")
+              .option("path", out_dir).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if once else writer
+    return writer.start()

@@ -171,3 +171,22 @@ def test_classifier_accuracy_floor(spark):
     assert (best[known] == pdf.known_pop.values[known]).mean() >= 0.6
     expect = np.where(p.max(1) >= 0.75, best, "oth")
     assert (pdf["pop"].values == expect).all()
+
+
+def test_streaming_enrichment_with_static_tables(spark, tmp_path):
+    from tests.test_io import VCF
+    src = tmp_path / "in2"
+    src.mkdir()
+    (src / "shard_a.vcf").write_text(VCF)
+    header = SV.parse_header_lines(VCF.splitlines())
+    # chr1:200 CAGT>CA splits to AGT>A at 201
+    mpc = spark.createDataFrame([("chr1", 201, ["AGT", "A"], 0.7), ("chr1", 201, ["AGT", "A"], 0.9)],
+                                "contig string, position long, alleles array<string>, mpc double")
+    iv = spark.createDataFrame([("chr1", 150, 250, "enh")], "contig string, start0 long, end0 long, target string")
+    out, ck = str(tmp_path / "out2"), str(tmp_path / "ck2")
+    q = ST.start_annotated_sites(spark, str(src), header, out, ck, scores=[(mpc, {"MPC": "mpc"})],
+                                 intervals=iv, once=True)
+    q.awaitTermination(120)
+    rows = {(r.position, r.alleles[1]): r.info for r in spark.read.parquet(out).collect()}
+    assert rows[(201, "A")].MPC == 0.7 and rows[(201, "A")].PREDICTED_NONCODING == "enh"
+    assert rows[(100, "C")].MPC is None and rows[(100, "C")].PREDICTED_NONCODING is None
