@@ -74,3 +74,17 @@ def annotate_sites(sites: DataFrame, calls: DataFrame | None = None, reannotate_
     elif annotator is not None:
         s = annotate_with(s, annotator)
     return s
+
+
+def add_hgvsc_symbol(sites: DataFrame, csq_description: str, key=VARIANT_KEY, col: str = "CSQ"):
+    """Append ``HGVSc_symbol`` (SYMBOL and the parts after ``:`` of non-empty
+    HGVSc / HGVSp, ``", "``-joined) to every packed entry: one explode /
+    regroup cycle.  Returns ``(sites, new_description)``."""
+    from lociframe.operators import packed as PK
+    fields = PK.fields_from_description(csq_description)
+    e = PK.explode_packed(sites, F.col(f"info.{col}"), fields, key)
+    e = e.withColumn("t_HGVSc_symbol", PK.hgvsc_symbol(F.col("t_SYMBOL"), F.col("t_HGVSc"), F.col("t_HGVSp")))
+    packed = PK.regroup(e, fields + ["HGVSc_symbol"], key=key, as_array=True, out="_csq")
+    out = sites.join(packed, list(key), "left")
+    out = out.withColumn("info", F.col("info").withField(col, F.col("_csq"))).drop("_csq")
+    return out, PK.extend_description(csq_description, ["HGVSc_symbol"])

@@ -190,3 +190,15 @@ def test_streaming_enrichment_with_static_tables(spark, tmp_path):
     rows = {(r.position, r.alleles[1]): r.info for r in spark.read.parquet(out).collect()}
     assert rows[(201, "A")].MPC == 0.7 and rows[(201, "A")].PREDICTED_NONCODING == "enh"
     assert rows[(100, "C")].MPC is None and rows[(100, "C")].PREDICTED_NONCODING is None
+
+
+def test_add_hgvsc_symbol_plan(spark):
+    from lociframe.plans.annotate import add_hgvsc_symbol
+    desc = "Consequence annotations. Format: SYMBOL|Feature|HGVSc|HGVSp"
+    sites = spark.createDataFrame(
+        [("chr1", 1, ["A", "C"], (["G1|T1|T1:c.1A>C|P1:p.K1N", "G2|T2||"],)), ("chr1", 2, ["A", "G"], (None,))],
+        "contig string, position long, alleles array<string>, info struct<CSQ:array<string>>")
+    out, d = add_hgvsc_symbol(sites, desc)
+    got = {r.position: r.info.CSQ for r in out.collect()}
+    assert got[1] == ["G1|T1|T1:c.1A>C|P1:p.K1N|G1, c.1A>C, p.K1N", "G2|T2|||G2"] and got[2] is None
+    assert d == "Format: SYMBOL|Feature|HGVSc|HGVSp|HGVSc_symbol"
