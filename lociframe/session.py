@@ -29,6 +29,11 @@ DEFAULTS = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "lociframe") -> SparkSession:
+    existing = SparkSession.getActiveSession()
+    if existing is not None:
+        # a session made by the caller / cluster keeps its own settings
+        ensure_checkpoint_dir(existing)
+        return existing
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
