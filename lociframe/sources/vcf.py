@@ -23,7 +23,6 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _META = re.compile(r"^##(INFO|FORMAT|FILTER)=<(.*)>\s*$")
 _KV = re.compile(r'([A-Za-z_]+)=("(?:[^"\\]|\\.)*"|[^,]*)')
