@@ -19,6 +19,13 @@ from lociframe.sinks import vcf as KV
 from lociframe.sources.vcf import Vcf, VcfHeader
 
 
+# Header descriptions of the re-estimated fields.
+FORMAT_DP_DESCRIPTION = "Approximate read depth, estimated as sum of AD per sample."
+INFO_DP_DESCRIPTION = "Approximate read depth, estimated as sum of AD across samples."
+PL_DESCRIPTION = ("Normalized, Phred-scaled likelihoods for genotypes as defined in the VCF specification "
+                  "(estimated using GQ).")
+
+
 def add_depth(v: Vcf, with_pl: bool = False) -> Vcf:
     """FORMAT DP = sum(AD) per call, INFO DP = its sum over samples (0 when
     none), haploid calls made diploid; with ``with_pl`` also PL estimated from
@@ -29,14 +36,11 @@ def add_depth(v: Vcf, with_pl: bool = False) -> Vcf:
     if "info" in sites.columns and "DP" in CO.info_fields(sites):
         sites = sites.withColumn("info", F.col("info").dropFields("DP"))
     sites = CO.info_depth(sites, calls)
-    h = HD.set_field(v.header, "FORMAT", "DP", "1", "Integer",
-                     "Approximate read depth, estimated as sum of AD per sample.")
-    h = HD.set_field(h, "INFO", "DP", "1", "Integer", "Approximate read depth, estimated as sum of AD across samples.")
+    h = HD.set_field(v.header, "FORMAT", "DP", "1", "Integer", FORMAT_DP_DESCRIPTION)
+    h = HD.set_field(h, "INFO", "DP", "1", "Integer", INFO_DP_DESCRIPTION)
     if with_pl:
         calls = GT.estimate_pl(calls)
-        h = HD.set_field(h, "FORMAT", "PL", "G", "Integer",
-                         "Normalized, Phred-scaled likelihoods for genotypes as defined in the VCF specification "
-                         "(estimated using GQ).")
+        h = HD.set_field(h, "FORMAT", "PL", "G", "Integer", PL_DESCRIPTION)
     return Vcf(h, sites, calls, v.samples)
 
 
