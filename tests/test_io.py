@@ -132,3 +132,11 @@ def test_header_edits():
     assert {"LowQual", "NO_HQ_GENOTYPES"} <= set(h4.filter)
     lines = KV.header_lines(h4)
     assert any(x.startswith("##FILTER=<ID=NO_HQ_GENOTYPES") for x in lines) and lines[-1].startswith("#CHROM")
+
+
+def test_extra_header():
+    from lociframe.plans.extra import extra_header
+    h = SV.parse_header_lines(VCF.splitlines())
+    h2 = extra_header(h, "Format: SYMBOL|Feature|Consequence|LOEUF_v2", with_intervals=True)
+    assert h2.info["CSQ"]["Description"].endswith("|LOEUF_v2") and h2.info["REVEL"]["Type"] == "String"
+    assert "PREDICTED_NONCODING" in h2.info and "PREDICTED_NONCODING" not in h.info
