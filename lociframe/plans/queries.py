@@ -812,13 +812,15 @@ def q_vcf_render(spark, sf):
 
 
 def fixture_vcf_path(spark, sf):
-    """The fixture call set written once per session as a gzip VCF (text
-    parts in coordinate order, header in the first) in the checkpoint folder."""
+    """The fixture call set written once per session as a VCF (text parts in
+    coordinate order, header in the first) in the checkpoint folder."""
     def write(path):
         s, c, smp = _fixture_vcf(spark, sf)
         header = SV.parse_header_lines(FIXTURE_HEADER_LINES)
         header.samples = [r["s"] for r in smp.orderBy("ordinal").collect()]
-        KV.write_vcf(spark, header, s, path, calls=c, samples=smp)
+        # plain text is splittable: the parse queries read it with full
+        # parallelism (gzip / bgzip decoding is covered by tests/test_io.py)
+        KV.write_vcf(spark, header, s, path, calls=c, samples=smp, compression="none")
     return IN.stored_path(spark, sf, "vcf", write)
 
 
