@@ -140,3 +140,20 @@ def test_extra_header():
     h2 = extra_header(h, "Format: SYMBOL|Feature|Consequence|LOEUF_v2", with_intervals=True)
     assert h2.info["CSQ"]["Description"].endswith("|LOEUF_v2") and h2.info["REVEL"]["Type"] == "String"
     assert "PREDICTED_NONCODING" in h2.info and "PREDICTED_NONCODING" not in h.info
+
+
+def test_shard_by_records_then_write_and_read_each_shard(spark, tmp_path):
+    from lociframe.operators.sharding import shard_by_records
+    p = _write(tmp_path, "s.vcf", VCF.encode())
+    v = SV.read_vcf(spark, p)
+    sites = shard_by_records(v.sites, 2)          # 3 records -> shards 0 (2 records) and 1 (1 record)
+    out = str(tmp_path / "by_records")
+    assert KV.write_vcf_shards(spark, v.header, sites, "shard", out, calls=v.calls, samples=v.samples)
+    shards = sorted(d for d in os.listdir(out) if d.startswith("shard="))
+    assert shards == ["shard=0", "shard=1"]
+    counts = {}
+    for d in shards:
+        back = SV.read_vcf(spark, os.path.join(out, d))
+        assert back.header.samples == ["S1", "S2"]
+        counts[d] = (back.sites.count(), back.calls.count())
+    assert counts == {"shard=0": (2, 4), "shard=1": (1, 2)}
