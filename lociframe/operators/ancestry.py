@@ -59,8 +59,9 @@ def pc_project(calls: DataFrame, loadings: DataFrame, key=VARIANT_KEY, n_pcs: in
 def attach_known_population(scores: DataFrame, labels: DataFrame, sample_col: str = "Sample",
                             label_col: str = "SuperPop") -> DataFrame:
     """``known_pop`` = lower-cased label of the sample (NULL if unlabelled)."""
-    lab = labels.select(F.col(sample_col).alias("s"), F.lower(F.col(label_col)).alias("known_pop")) \
-                .dropDuplicates(["s"])
+    # one label per sample; a sample listed twice keeps its smallest label
+    lab = (labels.select(F.col(sample_col).alias("s"), F.lower(F.col(label_col)).alias("known_pop"))
+           .groupBy("s").agg(F.min("known_pop").alias("known_pop")))
     return scores.join(lab, "s", "left")
 
 
