@@ -166,3 +166,16 @@ def test_stored_unique_lookup_table(spark, tmp_path):
     sites = spark.createDataFrame([("chr1", 1, ["A", "C"]), ("chr1", 3, ["A", "C"])], SITES_SCHEMA)
     got = {r.position: r.MPC for r in lookup_by_variant(sites, stored, {"MPC": "mpc"}, unique_keys=True).collect()}
     assert got == {1: 0.2, 3: None}
+
+
+def test_loeuf_default_only_for_absent_transcripts(spark):
+    fields = ["SYMBOL", "Feature", "Consequence"]
+    df = spark.createDataFrame([("chr1", 1, ["A", "C"], ["G1|T1|x", "G2|T2|y", "G3|T3|z"])],
+                               SITES_SCHEMA + ", CSQ array<string>")
+    e = PK.explode_packed(df, F.col("CSQ"), fields)
+    v2 = spark.createDataFrame([("T1", "0.3", "2"), ("T2", None, None)],
+                               "transcript string, oe_lof_upper string, oe_lof_upper_bin string")
+    v4 = spark.createDataFrame([("T1", "0.5", "4")],
+                               "transcript string, `lof.oe_ci.upper` string, `lof.oe_ci.upper_bin_decile` string")
+    got = {r.t_Feature: (r.t_LOEUF_v2, r.t_LOEUF_v4) for r in PK.loeuf(e, v2, v4).collect()}
+    assert got == {"T1": ("0.3", "0.5"), "T2": (None, ""), "T3": ("", "")}
