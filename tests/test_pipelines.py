@@ -202,3 +202,15 @@ def test_add_hgvsc_symbol_plan(spark):
     got = {r.position: r.info.CSQ for r in out.collect()}
     assert got[1] == ["G1|T1|T1:c.1A>C|P1:p.K1N|G1, c.1A>C, p.K1N", "G2|T2|||G2"] and got[2] is None
     assert d == "Format: SYMBOL|Feature|HGVSc|HGVSp|HGVSc_symbol"
+
+
+def test_get_spark_keeps_existing_session_settings(spark):
+    from lociframe.session import get_spark
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1234567")
+    same = get_spark("local[2]", shuffle_partitions=3)
+    assert same is spark
+    assert same.conf.get("spark.sql.shuffle.partitions") == before
+    assert same.conf.get("spark.sql.autoBroadcastJoinThreshold") == "1234567"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+    assert same.sparkContext.getCheckpointDir()
