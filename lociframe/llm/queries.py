@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from lociframe.llm.bpe_trie import encode_documents
 from lociframe.llm.common import table
 from lociframe.llm.simhash import near_duplicates
 
@@ -14,8 +15,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLES: dict[str, str] = {}
