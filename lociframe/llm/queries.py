@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lociframe.llm.bpe_trie import encode_documents
 from lociframe.llm.common import table
+from lociframe.llm.secrets import scan_documents
 from lociframe.llm.simhash import near_duplicates
 
 
@@ -19,9 +20,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op8_bpe": op8_bpe,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
