@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lociframe.llm import quality, toxicity
 from lociframe.llm.bpe_trie import encode_documents
 from lociframe.llm.chat import CONTROL, assemble, format_turns, read_back
 from lociframe.llm.common import table
@@ -47,6 +48,14 @@ FROM turns GROUP BY conv_id
 """
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, modulus=5, left_out=0)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7, modulus=3, left_out=1)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -58,7 +67,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
+    "op6_quality": op6_quality,
     "op8_bpe": op8_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
 
