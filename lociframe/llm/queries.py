@@ -9,10 +9,16 @@ from lociframe.llm import quality, toxicity
 from lociframe.llm.bpe_trie import encode_documents
 from lociframe.llm.chat import CONTROL, assemble, format_turns, read_back
 from lociframe.llm.common import table
+from lociframe.llm.decontam import leaks
 from lociframe.llm.secrets import scan_documents
 from lociframe.llm.simhash import near_duplicates
 
 
+def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that leak a benchmark item, a row for each of the two."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -65,6 +71,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontam": op1_decontam,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
     "op6_quality": op6_quality,
