@@ -12,6 +12,7 @@ from lociframe.llm.common import table
 from lociframe.llm.decontam import leaks
 from lociframe.llm.secrets import scan_documents
 from lociframe.llm.simhash import near_duplicates
+from lociframe.llm.style_tree import extract_pages
 
 
 def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +59,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, modulus=5, left_out=0)
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7, modulus=3, left_out=1)
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
     "op6_quality": op6_quality,
+    "op7_html": op7_html,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
