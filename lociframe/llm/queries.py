@@ -13,6 +13,7 @@ from lociframe.llm.decontam import leaks
 from lociframe.llm.secrets import scan_documents
 from lociframe.llm.simhash import near_duplicates
 from lociframe.llm.style_tree import extract_pages
+from lociframe.llm.warc import read_archives, write_archives
 
 
 def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,24 @@ FROM turns GROUP BY conv_id
 """
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(write_archives(table(spark, sf_dir, "pages"), min_bytes=0))
+
+
+OP5_SQL = """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+firsts AS (SELECT payload, min(page_id) AS first_id FROM rows GROUP BY payload),
+hexed AS (SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS h, first_id FROM rows JOIN firsts USING (payload))
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + (((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT) >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM hexed
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, modulus=5, left_out=0)
 
@@ -79,6 +98,7 @@ QUERIES = {
     "op1_decontam": op1_decontam,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
+    "op5_warc": op5_warc,
     "op6_quality": op6_quality,
     "op7_html": op7_html,
     "op8_bpe": op8_bpe,
@@ -88,4 +108,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_chat": OP3_SQL,
+    "op5_warc": OP5_SQL,
 }
