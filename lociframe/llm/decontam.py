@@ -251,5 +251,6 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that leak an item; all columns stay."""
     found = leaks(docs, benchmark).select(F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct()
     found = stored(found, "leaks")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("leak_id")) & (F.xxhash64("text") == F.col("leak_key"))
+    # the frames' own columns: other names may clash
+    same = docs["doc_id"].cast("long").eqNullSafe(found["leak_id"]) & (F.xxhash64(docs["text"]) == found["leak_key"])
     return docs.join(found, same, "left_anti")

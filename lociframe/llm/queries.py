@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lociframe.llm import quality, toxicity
 from lociframe.llm.bpe_trie import encode_documents
@@ -13,6 +15,7 @@ from lociframe.llm.decontam import leaks
 from lociframe.llm.secrets import scan_documents
 from lociframe.llm.simhash import near_duplicates
 from lociframe.llm.style_tree import extract_pages
+from lociframe.llm.topk import top_k
 from lociframe.llm.warc import read_archives, write_archives
 
 
@@ -56,6 +59,25 @@ FROM turns GROUP BY conv_id
 """
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return top_k(vectors, F.col("id") % 50 == 0, k=5, scale=256.0)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(write_archives(table(spark, sf_dir, "pages"), min_bytes=0))
 
@@ -98,15 +120,20 @@ QUERIES = {
     "op1_decontam": op1_decontam,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
+    "op4_topk": op4_topk,
     "op5_warc": op5_warc,
     "op6_quality": op6_quality,
     "op7_html": op7_html,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op3_chat": OP3_SQL,
+    "op4_topk": OP4_SQL,
     "op5_warc": OP5_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -203,14 +203,13 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -
     kept = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                   .groupBy(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
                   .agg(F.count("*").alias("copies")), "kept")
-    key = F.xxhash64("text")
+    key = F.xxhash64(docs["text"])
 
-    def rows(of: DataFrame) -> DataFrame:
-        return docs.join(of, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (key == F.col("kept_key")), "left_semi")
+    def rows(of: DataFrame) -> DataFrame:  # the frames' own columns: other names may clash
+        return docs.join(of, docs["doc_id"].eqNullSafe(of["kept_id"]) & (key == of["kept_key"]), "left_semi")
 
     # only rows that are repeated as a whole have to meet once more
     repeated = rows(stored(kept.where("copies > 1"), "repeated"))
-    row = F.struct(F.col("doc_id"), key)
-    once = (repeated.select(row.alias("k"), F.struct(*[F.col(c) for c in docs.columns]).alias("r"))
+    once = (repeated.select(F.struct("doc_id", F.xxhash64("text")).alias("k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))
             .dropDuplicates(["k"]).select("r.*"))
     return rows(kept.where("copies = 1")).unionByName(once)
