@@ -10,7 +10,7 @@ from lociframe.functions.alleles import is_indel_text, is_snv_text
 
 def alt_text(alleles: Column) -> Column:
     """The ALT column as written: alternates comma-joined, ``.`` when none."""
-    alts = F.slice(alleles, 2, 1 << 20)
+    alts = F.slice(alleles, 2, F.size(alleles) - 1)
     return F.when(F.size(alts) > 0, F.array_join(alts, ",", ".")).otherwise(F.lit("."))
 
 

@@ -31,7 +31,7 @@ def annotate_with(sites: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], out
     """
     keys = sites.select(*key).dropDuplicates(list(key))
     flat = keys.select("contig", "position", F.col("alleles")[0].alias("ref"),
-                       F.array_join(F.slice("alleles", 2, 1 << 20), ",").alias("alt"), "alleles")
+                       F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("alt"), "alleles")
     schema = f"contig string, position long, alleles array<string>, {out} {out_type}"
 
     def run(batches):

@@ -835,7 +835,7 @@ FROM fx_sites""")
 def q_vcf_parse_sites(spark, sf):
     v = _parsed(spark, sf, drop_samples=True)
     return v.sites.select(F.substring("rsid", 2, 20).cast("long").alias("vid"), "contig", "position",
-                          F.col("alleles")[0].alias("ref"), F.array_join(F.slice("alleles", 2, 99), ",").alias("alts"),
+                          F.col("alleles")[0].alias("ref"), F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("alts"),
                           F.array_join("filters", ";").alias("filter"), F.col("info.VQSLOD").alias("VQSLOD"),
                           F.array_join("info.AC", ",").alias("AC"))
 

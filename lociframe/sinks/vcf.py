@@ -74,7 +74,7 @@ def missing_sample_text(keys: list[str]) -> str:
 def record_lines(sites: DataFrame, calls: DataFrame | None = None, samples: DataFrame | None = None,
                  key=("contig", "position", "alleles"), n_samples: int | None = None) -> DataFrame:
     """One text line per record, next to its key columns."""
-    alts = F.slice("alleles", 2, 1 << 20)
+    alts = F.slice("alleles", 2, F.size("alleles") - 1)
     fixed = [F.col("contig"), F.col("position").cast("string"),
              F.coalesce(F.col("rsid"), F.lit(".")) if "rsid" in sites.columns else F.lit("."),
              F.col("alleles")[0],
@@ -129,7 +129,7 @@ def vcf_lines(spark: SparkSession, header: VcfHeader, sites: DataFrame, calls: D
     recs = record_lines(sites, calls, samples, n_samples=len(smp_names) if samples is not None else None)
     order = F.coalesce(contig_order(build), F.lit(1 << 20))
     body = recs.select(order.alias("_o"), "position", F.col("alleles")[0].alias("_ref"),
-                       F.array_join(F.slice("alleles", 2, 1 << 20), ",").alias("_alt"), "line")
+                       F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("_alt"), "line")
     head = header_lines(header, smp_names if calls is not None else [], with_format=calls is not None)
     hdf = spark.createDataFrame([(-1 - (len(head) - i), 0, "", "", ln) for i, ln in enumerate(head)],
                                 "_o int, position long, _ref string, _alt string, line string")

@@ -8,15 +8,16 @@ sample table (one row per sample) for the names.
 
 The header (``##`` lines and ``#CHROM``) is read on the driver by streaming
 only the first lines of one file; it is metadata of a few kB, never data.
-``.gz`` (also multi-member) is decoded by Spark's text source; ``.bgz`` is
-not recognised by it, so such files are decoded by ``mapInPandas`` with one
-task per file, streaming in bounded batches.
+Block-compressed files (``.bgz``, ``.gz``) are cut into byte ranges; a task
+finds the first block of its range and reads lines across block ends, so one
+large file is read by many tasks (``sources/blocks.py``).
+
+Every line gets a ``record`` number, which ``sites`` and ``calls`` both carry: two
+records may share a variant key, before or after they are split.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
 import re
 from dataclasses import dataclass, field
 
@@ -24,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociframe.sources import blocks as BL
+
 _META = re.compile(r"^##(INFO|FORMAT|FILTER)=<(.*)>\s*$")
 _KV = re.compile(r'([A-Za-z_]+)=("(?:[^"\\]|\\.)*"|[^,]*)')
 
@@ -57,26 +60,10 @@ def parse_header_lines(lines) -> VcfHeader:
     return h
 
 
-def _open_text(path: str):
-    """Text stream over a (possibly remote, possibly gzip/bgzip) file."""
-    import pyarrow.fs as pafs
-    try:
-        fs, p = pafs.FileSystem.from_uri(path)
-    except (ValueError, TypeError):
-        fs, p = pafs.LocalFileSystem(), path
-    raw = fs.open_input_stream(p)
-    head = raw.read(2)
-    raw.close()
-    raw = fs.open_input_stream(p)
-    if head == b"\x1f\x8b":
-        return io.TextIOWrapper(gzip.GzipFile(fileobj=raw), encoding="utf-8")
-    return io.TextIOWrapper(raw, encoding="utf-8")
-
-
 def _first_file(spark: SparkSession, path: str) -> str:
     """First file (in name order) under ``path``: the part holding the header
     of a folder written in coordinate order.  Only the listing is read."""
-    files = spark.read.format("binaryFile").load(path).select("path").agg(F.min("path").alias("p")).first()
+    files = BL.list_files(spark, path).agg(F.min("path").alias("p")).first()
     if files is None or files["p"] is None:
         raise FileNotFoundError(path)
     return files["p"]
@@ -84,13 +71,26 @@ def _first_file(spark: SparkSession, path: str) -> str:
 
 def read_header(spark: SparkSession, path: str) -> VcfHeader:
     """Header of the first file under ``path`` (stops at the first record)."""
-    lines = []
-    with _open_text(_first_file(spark, path)) as fh:
-        for line in fh:
-            if not line.startswith("#"):
-                break
-            lines.append(line)
-    return parse_header_lines(lines)
+    return parse_header_lines(BL.head_lines(_first_file(spark, path)))
+
+
+def check_headers(spark: SparkSession, path: str, header: VcfHeader) -> None:
+    """Files under one path must have the same sample columns (parts without a
+    header follow the first file's).  Each file's first lines are read in a
+    task; other sample columns need ``merge_sample_sets``."""
+    def names(batches):
+        for pdf in batches:
+            found = [(p, next((ln.rstrip("\r\n") for ln in BL.head_lines(p) if ln.startswith("#CHROM")), None)) for p in pdf["path"]]
+            yield pd.DataFrame(found, columns=["path", "line"])
+
+    mine = "\t".join(header.samples)
+    others = (BL.list_files(spark, path).select("path").mapInPandas(names, "path string, line string")
+              .where(F.col("line").isNotNull())
+              .where(F.coalesce(F.array_join(F.slice(F.split("line", "\t", -1), 10, F.greatest(F.size(F.split("line", "\t", -1)) - 9, F.lit(0))), "\t"),
+                                F.lit("")) != mine))
+    odd = others.select("path").head(1)
+    if odd:
+        raise ValueError(f"{odd[0]['path']} has other sample columns than the first file: read it apart and use merge_sample_sets")
 
 
 def header_frame(spark: SparkSession, header: VcfHeader) -> DataFrame:
@@ -108,26 +108,11 @@ def samples_frame(spark: SparkSession, header: VcfHeader) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of the file(s) as ``value``; ``.bgz`` decoded per file."""
-    if not path.endswith(".bgz"):
-        return spark.read.text(path)
-    paths = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-
-    def decode(batches):
-        for pdf in batches:
-            for p in pdf["path"]:
-                buf = []
-                with _open_text(p) as fh:
-                    for line in fh:
-                        buf.append(line.rstrip("\n"))
-                        if len(buf) >= 65536:
-                            yield pd.DataFrame({"value": buf})
-                            buf = []
-                if buf:
-                    yield pd.DataFrame({"value": buf})
-
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(len(paths), 1))
-    return files.mapInPandas(decode, "value string")
+    """All lines of the file(s): ``(value, record)``, ``record`` unique per line."""
+    files = BL.list_files(spark, path)
+    if files.where(F.lower("path").rlike(r"\.b?gz$")).head(1):
+        return BL.read_ranges(spark, files)
+    return spark.read.text(path).withColumn("record", F.monotonically_increasing_id())
 
 
 def _missing_dot(x: Column) -> Column:
@@ -153,23 +138,31 @@ def typed_value(value: Column, number: str | None, vtype: str | None) -> Column:
 
 
 def info_struct(info_text: Column, header: VcfHeader) -> Column:
-    m = F.str_to_map(info_text, F.lit(";"), F.lit("="))
+    """The declared INFO fields; of a key that a record repeats, the first
+    value counts."""
+    padded = F.concat(F.lit(";"), info_text, F.lit(";"))
     fields = []
     for fid, d in header.info.items():
+        at = F.locate(f";{fid}=", padded)
         if d.get("Type") == "Flag":
-            fields.append(F.map_contains_key(m, F.lit(fid)).alias(fid))
+            fields.append(((F.locate(f";{fid};", padded) > 0) | (at > 0)).alias(fid))
         else:
-            fields.append(typed_value(m[F.lit(fid)], d.get("Number"), d.get("Type")).alias(fid))
+            text = F.when(at > 0, F.substring_index(F.substr(padded, at + len(fid) + 2), ";", 1))
+            fields.append(typed_value(text, d.get("Number"), d.get("Type")).alias(fid))
     if not fields:
         return F.struct(F.lit(None).cast("string").alias("_empty"))
     return F.struct(*fields)
 
 
+def _record(lines: DataFrame) -> list[Column]:
+    return [F.col("record")] if "record" in lines.columns else []
+
+
 def _body(lines: DataFrame, find_replace: tuple[str, str] | None) -> DataFrame:
     v = F.col("value")
     if find_replace:
         v = F.regexp_replace(v, find_replace[0], find_replace[1])
-    return lines.select(v.alias("value")).where(~F.col("value").startswith("#") & (F.length("value") > 0))
+    return lines.select(*_record(lines), v.alias("value")).where(~F.col("value").startswith("#") & (F.length("value") > 0))
 
 
 def parse_sites(lines: DataFrame, header: VcfHeader, find_replace: tuple[str, str] | None = None,
@@ -184,19 +177,24 @@ def parse_sites(lines: DataFrame, header: VcfHeader, find_replace: tuple[str, st
     alleles = F.concat(F.array(f(3)), F.when(alt == ".", F.array().cast("array<string>"))
                        .otherwise(F.split(alt, ",", -1)))
     return _body(lines, find_replace).select(
-        f(0).alias("contig"), f(1).cast("long").alias("position"), _missing_dot(f(2)).alias("rsid"),
+        *_record(lines), f(0).alias("contig"), f(1).cast("long").alias("position"), _missing_dot(f(2)).alias("rsid"),
         alleles.alias("alleles"), _missing_dot(f(5)).try_cast("double").alias("qual"),
         F.when(f(6) != ".", F.split(f(6), ";", -1)).alias("filters"),
         info_struct(f(7), header).alias("info"))
 
 
 def gt_struct(text: Column) -> Column:
-    """GT text (``0/1``, ``1|0``, ``1``, ``./.``) -> call struct (NULL if missing).
-    One-character separators split without a regex."""
+    """GT text (``0/1``, ``1|0``, ``1``) -> call struct.  The ploidy is the number
+    of parts; a call with any missing part (``./.``, ``0/.``) is missing as a whole,
+    and one of more than two parts is rejected.  One-character separators
+    split without a regex."""
     parts = F.split(F.translate(text, "|", "/"), "/", -1)
     a1 = F.get(parts, 0).try_cast("int")
     a2 = F.get(parts, 1).try_cast("int")
-    return F.when(a1.isNotNull(), F.struct(a1.alias("a1"), a2.alias("a2"), (F.instr(text, "|") > 0).alias("phased")))
+    whole = a1.isNotNull() & ((F.size(parts) == 1) | a2.isNotNull())
+    called = F.when(whole, F.struct(a1.alias("a1"), a2.alias("a2"), (F.instr(text, "|") > 0).alias("phased")))
+    return F.when(F.size(parts) > 2, F.raise_error(F.concat(F.lit("calls of more than two alleles are not supported: "), text))
+                  .cast("struct<a1:int,a2:int,phased:boolean>")).otherwise(called)
 
 
 def parse_calls(lines: DataFrame, header: VcfHeader, samples: DataFrame,
@@ -216,222 +214,22 @@ def parse_calls(lines: DataFrame, header: VcfHeader, samples: DataFrame,
                        .otherwise(F.split(alt, ",", -1)))
     fids = list(header.format)
     keys = F.split(f(8), ":", -1)
+    rid = ["record"] if "record" in lines.columns else []
     base = _body(lines, find_replace).select(
-        f(0).alias("contig"), f(1).cast("long").alias("position"), alleles.alias("alleles"),
+        *rid, f(0).alias("contig"), f(1).cast("long").alias("position"), alleles.alias("alleles"),
         *[F.array_position(keys, F.lit(fid)).cast("int").alias(f"_p{i}") for i, fid in enumerate(fids)],
-        F.posexplode(F.slice(parts, 10, 1 << 30)).alias("ordinal", "_text"))
+        F.posexplode(F.slice(parts, 10, F.greatest(F.size(parts) - 9, F.lit(0)))).alias("ordinal", "_text"))
     vals = base.withColumn("_v", F.split(F.col("_text"), ":", -1)).drop("_text")
-    raw = vals.select("contig", "position", "alleles", "ordinal",
+    raw = vals.select(*rid, "contig", "position", "alleles", "ordinal",
                       *[F.get(F.col("_v"), F.col(f"_p{i}") - 1).alias(f"_r{i}") for i in range(len(fids))])
     cols = []
     for i, fid in enumerate(fids):
         d = header.format[fid]
         r = F.col(f"_r{i}")
         cols.append((gt_struct(r) if fid == "GT" else typed_value(r, d.get("Number"), d.get("Type"))).alias(fid))
-    out = raw.select("contig", "position", "alleles", "ordinal", *cols)
-    # the sample table is the header's sample list (bounded by the header,
-    # held on the driver already): broadcast it so the calls never shuffle
-    return out.join(F.broadcast(samples), "ordinal").drop("ordinal")
-
-
-@dataclass
-class VcfHeader:
-    meta: list[str] = field(default_factory=list)          # every '##' line, in order
-    samples: list[str] = field(default_factory=list)
-    info: dict[str, dict] = field(default_factory=dict)    # id -> {Number, Type, Description}
-    format: dict[str, dict] = field(default_factory=dict)
-    filter: dict[str, dict] = field(default_factory=dict)
-
-
-def parse_header_lines(lines) -> VcfHeader:
-    h = VcfHeader()
-    for line in lines:
-        line = line.rstrip("\r\n")
-        if line.startswith("##"):
-            h.meta.append(line)
-            m = _META.match(line)
-            if m:
-                attrs = {k: v[1:-1].replace('\\"', '"') if v.startswith('"') else v
-                         for k, v in _KV.findall(m.group(2))}
-                section = {"INFO": h.info, "FORMAT": h.format, "FILTER": h.filter}[m.group(1)]
-                section[attrs.get("ID", "")] = {"Number": attrs.get("Number"), "Type": attrs.get("Type"),
-                                                "Description": attrs.get("Description")}
-        elif line.startswith("#CHROM"):
-            h.samples = line.split("\t")[9:]
-    return h
-
-
-def _open_text(path: str):
-    """Text stream over a (possibly remote, possibly gzip/bgzip) file."""
-    import pyarrow.fs as pafs
-    try:
-        fs, p = pafs.FileSystem.from_uri(path)
-    except (ValueError, TypeError):
-        fs, p = pafs.LocalFileSystem(), path
-    raw = fs.open_input_stream(p)
-    head = raw.read(2)
-    raw.close()
-    raw = fs.open_input_stream(p)
-    if head == b"\x1f\x8b":
-        return io.TextIOWrapper(gzip.GzipFile(fileobj=raw), encoding="utf-8")
-    return io.TextIOWrapper(raw, encoding="utf-8")
-
-
-def _first_file(spark: SparkSession, path: str) -> str:
-    """First file (in name order) under ``path``: the part holding the header
-    of a folder written in coordinate order.  Only the listing is read."""
-    files = spark.read.format("binaryFile").load(path).select("path").agg(F.min("path").alias("p")).first()
-    if files is None or files["p"] is None:
-        raise FileNotFoundError(path)
-    return files["p"]
-
-
-def read_header(spark: SparkSession, path: str) -> VcfHeader:
-    """Header of the first file under ``path`` (stops at the first record)."""
-    lines = []
-    with _open_text(_first_file(spark, path)) as fh:
-        for line in fh:
-            if not line.startswith("#"):
-                break
-            lines.append(line)
-    return parse_header_lines(lines)
-
-
-def header_frame(spark: SparkSession, header: VcfHeader) -> DataFrame:
-    """Header metadata as rows ``(section, id, number, type, description)``."""
-    rows = [(sec, k, v.get("Number"), v.get("Type"), v.get("Description"))
-            for sec, d in (("INFO", header.info), ("FORMAT", header.format), ("FILTER", header.filter))
-            for k, v in d.items()]
-    schema = "section string, id string, number string, type string, description string"
-    return spark.createDataFrame(rows, schema)
-
-
-def samples_frame(spark: SparkSession, header: VcfHeader) -> DataFrame:
-    """Samples in genotype-column order: ``(s, ordinal)``."""
-    return spark.createDataFrame([(s, i) for i, s in enumerate(header.samples)], "s string, ordinal int")
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of the file(s) as ``value``; ``.bgz`` decoded per file."""
-    if not path.endswith(".bgz"):
-        return spark.read.text(path)
-    paths = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-
-    def decode(batches):
-        for pdf in batches:
-            for p in pdf["path"]:
-                buf = []
-                with _open_text(p) as fh:
-                    for line in fh:
-                        buf.append(line.rstrip("\n"))
-                        if len(buf) >= 65536:
-                            yield pd.DataFrame({"value": buf})
-                            buf = []
-                if buf:
-                    yield pd.DataFrame({"value": buf})
-
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(len(paths), 1))
-    return files.mapInPandas(decode, "value string")
-
-
-def _missing_dot(x: Column) -> Column:
-    return F.when(x != ".", x)
-
-
-def typed_value(value: Column, number: str | None, vtype: str | None) -> Column:
-    """A VCF value typed by its header declaration; ``.`` means missing.
-
-    Numbers are cast with ``try_cast`` (element-wise for lists, no lambda):
-    ``.`` is not a number and reads NULL.  Text needs the explicit ``.`` test.
-    """
-    t = SPARK_TYPES.get(vtype or "String", "string")
-    scalar = number in ("1", "0") and vtype != "Flag"
-    if t != "string":
-        if scalar:
-            return value.try_cast(t)
-        return F.when(value != ".", F.split(value, ",", -1).try_cast(f"array<{t}>"))
-    if scalar:
-        return _missing_dot(value)
-    return F.when(value.isNotNull() & (value != "."),
-                  F.transform(F.split(value, ",", -1), lambda x: _missing_dot(x)))
-
-
-def info_struct(info_text: Column, header: VcfHeader) -> Column:
-    m = F.str_to_map(info_text, F.lit(";"), F.lit("="))
-    fields = []
-    for fid, d in header.info.items():
-        if d.get("Type") == "Flag":
-            fields.append(F.map_contains_key(m, F.lit(fid)).alias(fid))
-        else:
-            fields.append(typed_value(m[F.lit(fid)], d.get("Number"), d.get("Type")).alias(fid))
-    if not fields:
-        return F.struct(F.lit(None).cast("string").alias("_empty"))
-    return F.struct(*fields)
-
-
-def _body(lines: DataFrame, find_replace: tuple[str, str] | None) -> DataFrame:
-    v = F.col("value")
-    if find_replace:
-        v = F.regexp_replace(v, find_replace[0], find_replace[1])
-    return lines.select(v.alias("value")).where(~F.col("value").startswith("#") & (F.length("value") > 0))
-
-
-def parse_sites(lines: DataFrame, header: VcfHeader, find_replace: tuple[str, str] | None = None,
-                max_fields: int = 9) -> DataFrame:
-    """Site columns of every record: ``contig, position, rsid, alleles, qual,
-    filters, info``.  ``max_fields=9`` leaves the sample columns unsplit."""
-    parts = F.split(F.col("value"), "\t", max_fields)
-
-    def f(i):
-        return F.get(parts, i)
-    alt = f(4)
-    alleles = F.concat(F.array(f(3)), F.when(alt == ".", F.array().cast("array<string>"))
-                       .otherwise(F.split(alt, ",", -1)))
-    return _body(lines, find_replace).select(
-        f(0).alias("contig"), f(1).cast("long").alias("position"), _missing_dot(f(2)).alias("rsid"),
-        alleles.alias("alleles"), _missing_dot(f(5)).try_cast("double").alias("qual"),
-        F.when(f(6) != ".", F.split(f(6), ";", -1)).alias("filters"),
-        info_struct(f(7), header).alias("info"))
-
-
-def gt_struct(text: Column) -> Column:
-    # one-character separators split without a regex; '[/|]' would compile
-    # a pattern per row
-    parts = F.split(F.translate(text, "|", "/"), "/", -1)
-    a1 = _missing_dot(F.get(parts, 0)).try_cast("int")
-    a2 = _missing_dot(F.get(parts, 1)).try_cast("int")
-    return F.when(a1.isNotNull(), F.struct(a1.alias("a1"), a2.alias("a2"), (F.instr(text, "|") > 0).alias("phased")))
-
-
-def parse_calls(lines: DataFrame, header: VcfHeader, samples: DataFrame,
-                find_replace: tuple[str, str] | None = None) -> DataFrame:
-    """Long-form calls: variant key + ``s`` + one column per FORMAT field
-    (``GT`` as a call struct; ``PGT`` stays text)."""
-    parts = F.split(F.col("value"), "\t", -1)
-
-    def f(i):
-        return F.get(parts, i)
-    alt = f(4)
-    alleles = F.concat(F.array(f(3)), F.when(alt == ".", F.array().cast("array<string>"))
-                       .otherwise(F.split(alt, ",", -1)))
-    base = _body(lines, find_replace).select(
-        f(0).alias("contig"), f(1).cast("long").alias("position"), alleles.alias("alleles"),
-        F.split(f(8), ":", -1).alias("_keys"),
-        F.posexplode(F.slice(parts, 10, 1 << 30)).alias("ordinal", "_text"))
-    vals = F.split(F.col("_text"), ":", -1)
-
-    def get(fid: str) -> Column:
-        return F.get(vals, F.array_position(F.col("_keys"), F.lit(fid)).cast("int") - 1)
-
-    cols = []
-    for fid, d in header.format.items():
-        if fid == "GT":
-            cols.append(gt_struct(get("GT")).alias("GT"))
-        else:
-            cols.append(typed_value(get(fid), d.get("Number"), d.get("Type")).alias(fid))
-    out = base.select("contig", "position", "alleles", "ordinal", *cols)
-    # the sample table is the header's sample list (bounded by the header,
-    # held on the driver already): broadcast it so the calls never shuffle
+    out = raw.select(*rid, "contig", "position", "alleles", "ordinal", *cols)
+    # the sample table is the header's own sample list, which the driver holds
+    # already: broadcast it so the calls never shuffle
     return out.join(F.broadcast(samples), "ordinal").drop("ordinal")
 
 
@@ -447,6 +245,8 @@ def read_vcf(spark: SparkSession, path: str, drop_samples: bool = False,
              find_replace: tuple[str, str] | None = None, header: VcfHeader | None = None) -> Vcf:
     """Read VCF file(s): sites always; calls unless ``drop_samples``."""
     header = header or read_header(spark, path)
+    if not drop_samples:
+        check_headers(spark, path, header)
     lines = read_lines(spark, path)
     samples = samples_frame(spark, header)
     sites = parse_sites(lines, header, find_replace)
