@@ -6,6 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VARIANT_KEY = ["contig", "position", "alleles"]
+#: columns that tell records apart that share a variant key: the source record,
+#: the allele a split row came from, the how-maniest of its key in a merge
+RECORD_COLUMNS = ["record", "a_index", "occurrence"]
+
+
+def row_key(*frames) -> list[str]:
+    """What identifies a row in all ``frames``: the variant key, with the record
+    columns that all of them carry.  (Score tables have the variant key only.)"""
+    return [c for c in RECORD_COLUMNS if all(c in f.columns for f in frames)] + VARIANT_KEY
 
 # Contig names of the two genome builds, in sort order.
 GRCH37_CONTIGS = [str(i) for i in range(1, 23)] + ["X", "Y"]

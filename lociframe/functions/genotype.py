@@ -84,27 +84,6 @@ def split_ad(ad: Column, a_index: Column) -> Column:
     return F.when(ad.isNotNull(), F.array(array_sum_skip_null(ad) - own, own))
 
 
-def split_pl(pl: Column, a_index: Column) -> Column:
-    """Three-genotype PL of a split allele.
-
-    Genotype ``j/k`` (j <= k) sits at index ``k(k+1)/2 + j``; its downcoded
-    class is ``(j == a) + (k == a)``; the new PL holds the minimum per class.
-    Index ``n`` inverts as ``k = floor((sqrt(8n+1)-1)/2)``, ``j = n - k(k+1)/2``.
-    """
-    def klass(n: Column) -> Column:
-        k = F.floor((F.sqrt(n * 8 + 1) - 1) / 2).cast("int")
-        j = n - (k * (k + 1) / 2).cast("int")
-        return (j == a_index).cast("int") + (k == a_index).cast("int")
-
-    idx = F.sequence(F.lit(0), F.size(pl) - 1)
-
-    def per_class(c: int) -> Column:
-        vals = F.transform(F.filter(idx, lambda n: klass(n) == c), lambda n: F.get(pl, n))
-        return F.array_min(vals)
-
-    return F.when(pl.isNotNull() & (F.size(pl) > 0), F.array(per_class(0), per_class(1), per_class(2)))
-
-
 def gt_index(j: Column, k: Column) -> Column:
     """PL position of the unphased genotype ``j/k``."""
     lo, hi = F.least(j, k), F.greatest(j, k)
@@ -113,7 +92,8 @@ def gt_index(j: Column, k: Column) -> Column:
 
 def with_split_pl(df, pl: str = "PL", a_index: str = "a_index", n_alleles: str = "num_alleles",
                   tmp: str = "_pl_pos_a"):
-    """``split_pl`` in closed form, staged: the genotypes carrying allele
+    """PL of a split allele, the minimum per downcoded class, in closed form
+    and staged: genotype ``j/k`` sits at ``k(k+1)/2 + j``; those carrying allele
     ``a`` are the ``n`` positions ``gt_index(j, a)``; class 2 is ``a/a``,
     class 1 the others among them, class 0 every remaining position."""
     a = F.col(a_index)

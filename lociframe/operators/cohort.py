@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.functions import genotype as G
-from lociframe.functions.alleles import VARIANT_KEY
+from lociframe.functions.alleles import row_key
 
 
 def info_fields(df: DataFrame) -> list[str]:
@@ -39,9 +39,9 @@ def add_cohort_ac_af(sites: DataFrame) -> DataFrame:
     return set_info(sites, **new) if new else sites
 
 
-def alt_allele_stats(calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
+def alt_allele_stats(calls: DataFrame, key=None) -> DataFrame:
     """Per variant: ``AN`` called alleles, ``AC1`` copies of allele 1, ``n_called``."""
-    gt = F.col("GT")
+    gt, key = F.col("GT"), key or row_key(calls)
     return (calls.groupBy(*key).agg(
         F.sum(G.n_called_alleles(gt)).cast("int").alias("AN"),
         F.sum(F.when(G.is_called(gt), (gt["a1"] == 1).cast("int") +
@@ -49,14 +49,14 @@ def alt_allele_stats(calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
         F.count_if(G.is_called(gt)).cast("int").alias("n_called")))
 
 
-def variant_qc(calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
+def variant_qc(calls: DataFrame, key=None) -> DataFrame:
     """Allele counts per variant: ``AC`` array (one entry per allele), ``AN``,
     ``AF = AC/AN`` (NULL when nothing is called).
 
     Two aggregations: (variant, allele) counts, then the array per variant
     built from at most ``num_alleles`` rows; nothing collects samples.
     """
-    gt = F.col("GT")
+    gt, key = F.col("GT"), key or row_key(calls)
     alleles = (calls.where(G.is_called(gt))
                .select(*key, F.explode(F.array_compact(F.array(gt["a1"], gt["a2"]))).alias("_a")))
     per_allele = alleles.groupBy(*key, "_a").agg(F.count(F.lit(1)).cast("int").alias("_n"))
@@ -71,12 +71,13 @@ def variant_qc(calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
     ).withColumn("AF", F.transform("AC", lambda x: F.try_divide(x, F.col("AN"))))
 
 
-def recompute_cohort_ac_af(sites: DataFrame, calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
+def recompute_cohort_ac_af(sites: DataFrame, calls: DataFrame, key=None) -> DataFrame:
     """Cohort AC/AF of the split allele recomputed from the genotypes.
 
     Runs on split data (``a_index`` present): ``cohort_AC = AC[1]``,
     ``cohort_AF = AC[1]/AN``; a variant without calls gets AC 0, AF NULL.
     """
+    key = key or row_key(sites, calls)
     st = alt_allele_stats(calls, key)
     out = sites.join(st, list(key), "left")
     return set_info(out,
@@ -95,8 +96,10 @@ def backfill_allele_specific(sites: DataFrame, count_on: DataFrame | None = None
     AS field is missing on fewer rows than the target, the whole target
     becomes ``AS[a_index-1]``.
 
-    The decision needs global counts: one aggregate over all candidate
-    fields (a single job), then a driver-side choice of the expression.
+    Fields are taken in the order of the struct, and a replaced target counts
+    with its new values for the next field that names it.  One aggregate gives
+    all counts that this can need (a single job): each field's missing rows,
+    and for each AS field the rows where its own element is missing.
     ``count_on`` may name an upstream frame with the same rows and fields
     (e.g. before joins that do not touch them) so the count stays cheap.
     """
@@ -110,16 +113,22 @@ def backfill_allele_specific(sites: DataFrame, count_on: DataFrame | None = None
     if not pairs:
         return sites
     needed = sorted({x for p in pairs for x in p})
-    counts = missing_counts(count_on if count_on is not None else sites, needed).first().asDict()
+    base = count_on if count_on is not None else sites
+    own = {a: F.get(F.col(f"info.`{a}`"), F.col("a_index") - 1) for a, _ in pairs}
+    counts = base.agg(*[F.count_if(F.col(f"info.`{f}`").isNull()).alias(f"n_{f}") for f in needed],
+                      *[F.count_if(own[a].isNull()).alias(f"own_{a}") for a, _ in pairs]).first().asDict()
+    missing = {f: counts[f"n_{f}"] for f in needed}
     new = {}
     for as_field, target in pairs:
-        if counts[f"n_missing_{as_field}"] < counts[f"n_missing_{target}"]:
-            new[target] = F.get(F.col(f"info.`{as_field}`"), F.col("a_index") - 1)
+        if missing[as_field] < missing[target]:
+            new[target] = own[as_field]
+            missing[target] = counts[f"own_{as_field}"]
     return set_info(sites, **new) if new else sites
 
 
-def info_depth(sites: DataFrame, calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
+def info_depth(sites: DataFrame, calls: DataFrame, key=None) -> DataFrame:
     """INFO DP = sum over samples of sum(AD); 0 when no sample has AD."""
+    key = key or row_key(sites, calls)
     dp = calls.groupBy(*key).agg(F.sum(G.array_sum_skip_null(F.col("AD"))).alias("_dp"))
     out = sites.join(dp, list(key), "left")
     return set_info(out, DP=F.coalesce(F.col("_dp"), F.lit(0)).cast("int")).drop("_dp")

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociframe.functions.alleles import VARIANT_KEY
+from lociframe.functions.alleles import VARIANT_KEY, row_key
 from lociframe.operators.genotypes import haploid_to_diploid
 from lociframe.operators.split import split_calls
 
@@ -24,11 +24,13 @@ def version_sorted(paths):
     return sorted(paths, key=key)
 
 
-def add_genotypes(annotated_sites: DataFrame, calls: DataFrame, key=VARIANT_KEY) -> DataFrame:
+def add_genotypes(annotated_sites: DataFrame, calls: DataFrame, key=None) -> DataFrame:
     """Put genotypes back: split the original calls the same way as the
-    sites were split, then inner-join on the variant key.  Site fields win
-    over same-named call fields."""
+    sites were split, then inner-join on what identifies a row of both (the
+    record and allele where the tables carry them).  Site fields win over
+    same-named call fields."""
     c = haploid_to_diploid(split_calls(calls))
+    key = key or row_key(annotated_sites, c)
     site_cols = set(annotated_sites.columns)
     c = c.select(*key, *[x for x in c.columns if x not in site_cols])
     return annotated_sites.join(c, list(key), "inner")
@@ -77,7 +79,10 @@ def merge_sample_sets(files, key=VARIANT_KEY):
     in file order): records are matched on the full variant key (records with
     different alleles stay separate), a sample name already used by an
     earlier file becomes ``"<file number>:<name>"``, and a sample without a
-    call at a record simply has no row (missing).  Returns (sites, calls, samples).
+    call at a record simply has no row (missing).  Where the tables carry a
+    ``record``, records of one file that share a key stay separate: the n-th of a
+    file meets the n-th of the others (``occurrence``).  A call whose sample is not
+    in its file's sample table keeps its name.  Returns (sites, calls, samples).
     """
     tagged_samples = union_tables([smp.select("s", "ordinal").withColumn("file_idx", F.lit(i + 1))
                                    for i, (_, _, smp) in enumerate(files)])
@@ -88,11 +93,16 @@ def merge_sample_sets(files, key=VARIANT_KEY):
                            .otherwise(F.col("s")))
                .drop("_first"))
     calls = union_tables([c.withColumn("file_idx", F.lit(i + 1)) for i, (_, c, _) in enumerate(files)])
-    # the rename map has one row per (file, sample): bounded by the headers
-    calls = (calls.join(F.broadcast(renamed.select("file_idx", "s", "new_s")), ["file_idx", "s"])
-             .drop("s").withColumnRenamed("new_s", "s"))
+    calls = (calls.join(renamed.select("file_idx", "s", "new_s"), ["file_idx", "s"], "left")
+             .withColumn("s", F.coalesce("new_s", "s")).drop("new_s"))
     sites = union_tables([st.withColumn("file_idx", F.lit(i + 1)) for i, (st, _, _) in enumerate(files)])
-    # one record per variant key; the earliest file's fields win
+    key = list(key)
+    if all("record" in t.columns for t in (sites, calls)):
+        nth = Window.partitionBy("file_idx", *key).orderBy("record")
+        sites = sites.withColumn("occurrence", F.row_number().over(nth))
+        calls = calls.join(sites.select("file_idx", "record", "occurrence"), ["file_idx", "record"]).drop("record")
+        sites, key = sites.drop("record"), ["occurrence", *key]
+    # one record per key; the earliest file's fields win
     others = [c for c in sites.columns if c not in key]
     sites = (sites.groupBy(*key).agg(F.min_by(F.struct(*others), F.col("file_idx")).alias("_r"))
              .select(*key, "_r.*").drop("file_idx"))

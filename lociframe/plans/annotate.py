@@ -61,10 +61,16 @@ def annotate_from_table(sites: DataFrame, consequences: DataFrame, out: str = "C
 
 
 def annotate_sites(sites: DataFrame, calls: DataFrame | None = None, reannotate_ac_af: bool = False,
-                   consequences: DataFrame | None = None, annotator=None) -> DataFrame:
+                   consequences: DataFrame | None = None, annotator=None, keep_earlier: bool = False) -> DataFrame:
+    """The chain on sites.  ``keep_earlier`` keeps an annotation that is already
+    there as ``info.CSQ_earlier`` before the new one replaces it."""
     split = CO.add_cohort_ac_af(split_multi(sites))
+    if keep_earlier and "CSQ" in CO.info_fields(split):
+        split = CO.set_info(split, CSQ_earlier=F.col("info.CSQ"))
     s = split
-    if reannotate_ac_af and calls is not None:
+    if reannotate_ac_af and calls is None:
+        raise ValueError("reannotate_ac_af needs the calls")
+    if reannotate_ac_af:
         s = CO.recompute_cohort_ac_af(s, split_calls(calls))
     # the recount touches only cohort_AC/AF: the backfill decision is taken
     # on the split sites, without re-running the genotype aggregation

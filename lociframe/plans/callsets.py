@@ -87,7 +87,7 @@ def infer_ancestry(cohort_sites: DataFrame, cohort_calls: DataFrame, panel_sites
     panel_calls = FL.keep_samples(panel_calls, labels.select("Sample"))
     cohort_calls = GT.filter_to_adj(cohort_calls if "DP" in cohort_calls.columns else GT.format_depth(cohort_calls))
     _, calls = MG.union_cohorts(cohort_sites, cohort_calls, panel_sites, panel_calls)
-    scores = AN.pc_project(AN.keep_loading_sites(calls, loadings), loadings)
+    scores = AN.pc_project(calls, loadings)
     scores = AN.attach_known_population(scores, labels).where(F.col("scores").isNotNull())
     if model is not None:
         return AN.apply_population_model(scores, model, min_prob=min_prob, num_pcs=num_pcs)

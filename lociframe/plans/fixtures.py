@@ -68,6 +68,19 @@ SELECT o.o_orderkey AS vid, e.embedding AS loadings,
        CAST(0.05 + (o.o_orderkey % 90) / 100.0 AS DOUBLE) AS pca_af
 FROM orders o JOIN embeddings e ON o.o_orderkey = e.vec_id""",
     # ---- derived inputs (same style) ----
+    # twins: a record that shares a variant key, once split, with a
+    # multi-allelic one (its first ALT written again as a record of its own)
+    "fx_sites_t": """
+SELECT vid, contig, position, ref, alts, filter, vqslod FROM fx_sites
+UNION ALL
+SELECT vid + 1000000000 AS vid, contig, position, ref, split_part(alts, ',', 1) AS alts, filter, vqslod FROM fx_sites
+WHERE alts LIKE '%,%' AND vid % 10 = 0""",
+    "fx_calls_t": """
+SELECT vid, s, a1, a2, ad0, ad1, ad2, ad3, pl_seed, gq, nalt FROM fx_calls
+UNION ALL
+SELECT vid + 1000000000 AS vid, s, CASE WHEN a1 > 1 THEN 1 ELSE a1 END AS a1, CASE WHEN a2 > 1 THEN 1 ELSE a2 END AS a2, ad0, ad1,
+       CAST(NULL AS INT) AS ad2, CAST(NULL AS INT) AS ad3, pl_seed, gq, CAST(1 AS INT) AS nalt FROM fx_calls
+WHERE nalt > 1 AND vid % 10 = 0""",
     # one row per ALT of a record, as written (no trimming): the key shape of
     # the score tables below
     "fx_alleles": """
@@ -235,8 +248,7 @@ def _write_stored(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) ->
     from lociframe.session import ensure_checkpoint_dir
     digest = hashlib.sha1((key[1] + "\0" + FIXTURE_SQL[name]).encode()).hexdigest()[:16]
     path = os.path.join(ensure_checkpoint_dir(spark), "fixtures", f"{name}-{digest}")
-    # one file per core: small inputs would otherwise read as one partition
-    df.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     _STORED[key] = path
 
 

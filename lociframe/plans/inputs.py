@@ -1,12 +1,15 @@
 """Spark-side shaping of the fixture views into the library's data model.
 
-``sites``: ``vid, contig, position, alleles array<string>, filters, info``
+``sites``: ``vid, record, contig, position, alleles array<string>, filters, info``
 with ``info`` a struct of ``AC``, ``AF``, ``VQSLOD``, ``AS_VQSLOD`` and the
-packed ``CSQ`` array; ``calls``: variant key + ``s, GT, AD, GQ, PL``.
+packed ``CSQ`` array; ``calls``: variant key + ``record, s, GT, AD, GQ, PL``.  ``twins`` adds
+records that share a variant key after the split.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +32,10 @@ def packed_csq(spark: SparkSession, sf: str) -> DataFrame:
 _STORED: dict[tuple, str] = {}
 
 
+def _digest(text: str) -> str:
+    return hashlib.sha1(text.encode()).hexdigest()[:16]
+
+
 def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     """Shaped input tables are written once per session into the shared
     checkpoint folder (as a VCF import would be) and read back as Parquet."""
@@ -36,9 +43,8 @@ def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     from lociframe.session import ensure_checkpoint_dir
     key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
     if key not in _STORED:
-        path = os.path.join(ensure_checkpoint_dir(spark), "inputs", f"{name}-{abs(hash(key[1])) % 10**8}")
-        # one file per core: small inputs would otherwise read as one partition
-        build().repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+        path = os.path.join(ensure_checkpoint_dir(spark), "inputs", f"{name}-{_digest(key[1])}")
+        build().write.mode("overwrite").parquet(path)
         _STORED[key] = path
     from lociframe.plans.fixtures import read_stored
     return read_stored(spark, _STORED[key])
@@ -50,22 +56,23 @@ def stored_path(spark: SparkSession, sf: str, name: str, write) -> str:
     from lociframe.session import ensure_checkpoint_dir
     key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
     if key not in _STORED:
-        path = os.path.join(ensure_checkpoint_dir(spark), "inputs", f"{name}-{abs(hash(key[1])) % 10**8}")
+        path = os.path.join(ensure_checkpoint_dir(spark), "inputs", f"{name}-{_digest(key[1])}")
         write(path)
         _STORED[key] = path
     return _STORED[key]
 
 
-def sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
-    return _stored(spark, sf, "sites_csq" if with_csq else "sites", lambda: _sites(spark, sf, with_csq))
+def sites(spark: SparkSession, sf: str, with_csq: bool = False, twins: bool = False) -> DataFrame:
+    name = ("sites_csq" if with_csq else "sites") + ("_t" if twins else "")
+    return _stored(spark, sf, name, lambda: _sites(spark, sf, with_csq, twins))
 
 
-def calls(spark: SparkSession, sf: str, site_df: DataFrame | None = None) -> DataFrame:
-    return _stored(spark, sf, "calls", lambda: _calls(spark, sf))
+def calls(spark: SparkSession, sf: str, site_df: DataFrame | None = None, twins: bool = False) -> DataFrame:
+    return _stored(spark, sf, "calls_t" if twins else "calls", lambda: _calls(spark, sf, twins))
 
 
-def _sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
-    s = fixture(spark, sf, "fx_sites")
+def _sites(spark: SparkSession, sf: str, with_csq: bool = False, twins: bool = False) -> DataFrame:
+    s = fixture(spark, sf, "fx_sites_t" if twins else "fx_sites")
     alts = F.split("alts", ",")
     idx = F.sequence(F.lit(1), F.size(alts))
     ac = F.transform(idx, lambda i: ((F.col("vid") + i * 13) % 200).cast("int"))
@@ -75,7 +82,7 @@ def _sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
         F.col("vqslod").alias("VQSLOD"),
         F.transform(idx, lambda i: ((F.col("vid") * i) % 100).cast("int")).alias("AS_VQSLOD"),
     )
-    out = s.select("vid", "contig", "position",
+    out = s.select("vid", F.col("vid").alias("record"), "contig", "position",
                    F.concat(F.array("ref"), alts).alias("alleles"),
                    F.array("filter").alias("filters"),
                    info.alias("info"))
@@ -87,12 +94,12 @@ def _sites(spark: SparkSession, sf: str, with_csq: bool = False) -> DataFrame:
     return out
 
 
-def _calls(spark: SparkSession, sf: str) -> DataFrame:
-    c = fixture(spark, sf, "fx_calls")
-    key = sites(spark, sf).select("vid", "contig", "position", "alleles")
+def _calls(spark: SparkSession, sf: str, twins: bool = False) -> DataFrame:
+    c = fixture(spark, sf, "fx_calls_t" if twins else "fx_calls")
+    key = sites(spark, sf, twins=twins).select("vid", "record", "contig", "position", "alleles")
     n_gt = ((F.col("nalt") + 1) * (F.col("nalt") + 2) / 2).cast("int")
     return (c.join(key, "vid")
-            .select("vid", "contig", "position", "alleles", "s",
+            .select("vid", "record", "contig", "position", "alleles", "s",
                     G.call(F.col("a1"), F.col("a2")).alias("GT"),
                     F.when(F.col("ad0").isNotNull(),
                            F.slice(F.array("ad0", "ad1", "ad2", "ad3"), 1, F.col("nalt") + 1)).alias("AD"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lociframe.functions.alleles import contig_order
+from lociframe.functions.alleles import contig_order, row_key
 from lociframe.sources.vcf import VcfHeader
 
 FORMAT_ORDER = ["GT", "AD", "DP", "GQ", "PL", "PGT"]
@@ -72,8 +72,11 @@ def missing_sample_text(keys: list[str]) -> str:
 
 
 def record_lines(sites: DataFrame, calls: DataFrame | None = None, samples: DataFrame | None = None,
-                 key=("contig", "position", "alleles"), n_samples: int | None = None) -> DataFrame:
-    """One text line per record, next to its key columns."""
+                 key=None, n_samples: int | None = None, carry=()) -> DataFrame:
+    """One text line per record, next to its key columns and those of
+    ``carry``.  A record's calls are sorted by sample column and the gaps
+    between them filled in one pass (linear in the samples)."""
+    key = list(key or (row_key(sites) if calls is None else row_key(sites, calls)))
     alts = F.slice("alleles", 2, F.size("alleles") - 1)
     fixed = [F.col("contig"), F.col("position").cast("string"),
              F.coalesce(F.col("rsid"), F.lit(".")) if "rsid" in sites.columns else F.lit("."),
@@ -83,23 +86,27 @@ def record_lines(sites: DataFrame, calls: DataFrame | None = None, samples: Data
              F.when(F.size("filters") > 0, F.array_join("filters", ";")).otherwise(F.lit("."))
              if "filters" in sites.columns else F.lit("."),
              info_text(sites)]
-    body = sites.select(*key, F.concat_ws("\t", *fixed).alias("_site"))
+    carry = [c for c in carry if c not in key]
+    body = sites.select(*key, *carry, F.concat_ws("\t", *fixed).alias("_site"))
     if calls is None:
-        return body.select(*key, F.col("_site").alias("line"))
+        return body.select(*key, *carry, F.col("_site").alias("line"))
     keys = format_keys(calls)
     if n_samples is None:
         n_samples = samples.count()
-    # one row per sample of the cohort: bounded by the header, broadcast
-    cells = (calls.join(F.broadcast(samples.select("s", "ordinal")), "s")
+    cells = (calls.join(samples.select("s", "ordinal"), "s")
              .select(*key, "ordinal", sample_text(calls, keys).alias("_txt")))
-    grouped = cells.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("ordinal", "_txt"))).alias("_m"))
-    miss = F.lit(missing_sample_text(keys))
-    wide = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n_samples - 1)),
-                                    lambda i: F.coalesce(F.col("_m")[i], miss)), "\t")
-    out = body.join(grouped, list(key), "left")
-    all_missing = "\t".join([missing_sample_text(keys)] * n_samples)
-    return out.select(*key, F.concat_ws("\t", F.col("_site"), F.lit(":".join(keys)),
-                                        F.coalesce(wide, F.lit(all_missing))).alias("line"))
+    grouped = cells.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("ordinal", "_txt"))).alias("_all"))
+    before = lambda i: F.coalesce(F.get(F.col("_all"), i - 1)["ordinal"], F.lit(-1))
+    # of calls repeated for one sample the first counts
+    grouped = grouped.withColumn("_all", F.filter("_all", lambda x, i: x["ordinal"] > before(i)))
+    miss = missing_sample_text(keys)
+    filled = F.transform("_all", lambda x, i: F.concat(F.repeat(F.lit(miss + "\t"), x["ordinal"] - before(i) - 1), x["_txt"]))
+    last = F.coalesce(F.element_at("_all", -1)["ordinal"], F.lit(-1))
+    wide = F.concat(F.array_join(filled, "\t"), F.repeat(F.lit("\t" + miss), F.lit(n_samples - 1) - last))
+    none = F.repeat(F.lit("\t" + miss), F.lit(n_samples))
+    out = body.join(grouped.select(*key, wide.alias("_wide")), key, "left")
+    return out.select(*key, *carry, F.concat(F.concat_ws("\t", F.col("_site"), F.lit(":".join(keys))),
+                                             F.coalesce(F.concat(F.lit("\t"), F.col("_wide")), none)).alias("line"))
 
 
 def header_lines(header: VcfHeader, samples: list[str] | None = None, with_format: bool = True) -> list[str]:
@@ -145,28 +152,34 @@ def write_vcf(spark: SparkSession, header: VcfHeader, sites: DataFrame, path: st
      .write.mode("overwrite").option("compression", compression).text(path))
 
 
+def shard_lines(header: VcfHeader, sites: DataFrame, shard_col: str, calls: DataFrame | None = None, samples: DataFrame | None = None,
+                build: str = "GRCh38") -> DataFrame:
+    """``(shard, _o, position, _ref, _alt, line)``: every shard's header lines,
+    then its records."""
+    smp_names = [r["s"] for r in samples.orderBy("ordinal").collect()] if samples is not None else []
+    recs = record_lines(sites, calls, samples, n_samples=len(smp_names) if samples is not None else None, carry=[shard_col])
+    order = F.coalesce(contig_order(build), F.lit(1 << 20))
+    body = recs.select(F.col(shard_col).cast("string").alias("shard"), order.alias("_o"), "position", F.col("alleles")[0].alias("_ref"),
+                       F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("_alt"), "line")
+    head = header_lines(header, smp_names if calls is not None else [], with_format=calls is not None)
+    # every shard gets the header lines (a generator per shard id, no join)
+    heads = (sites.select(F.col(shard_col).cast("string").alias("shard")).distinct()
+             .select("shard", F.posexplode(F.array(*[F.lit(x) for x in head])).alias("_i", "line"))
+             .select("shard", (F.col("_i") - len(head)).cast("int").alias("_o"), F.lit(0).cast("long").alias("position"),
+                     F.lit("").alias("_ref"), F.lit("").alias("_alt"), "line"))
+    return heads.unionByName(body)
+
+
 def write_vcf_shards(spark: SparkSession, header: VcfHeader, sites: DataFrame, shard_col: str, path: str,
                      calls: DataFrame | None = None, samples: DataFrame | None = None,
                      build: str = "GRCh38", compression: str = "gzip") -> bool:
-    """One folder per shard (``shard=<id>``), each a complete VCF with its own
-    header.  Writes nothing and returns False when there are no records.
-    A shard is one file, so bound shard sizes with ``records_per_shard``."""
+    """One folder per shard (``shard=<id>``) whose parts, in name order, are one
+    complete VCF with its own header.  Writes nothing and returns False when
+    there are no records.  Rows are dealt by ranges of (shard, coordinate), so
+    a large shard is written by several tasks and small ones share a task."""
     if sites.isEmpty():
         return False
-    shard_ids = sites.select(shard_col).distinct()
-    keyed = sites.select("contig", "position", "alleles", shard_col)
-    recs = record_lines(sites, calls, samples) if calls is not None else record_lines(sites)
-    order = F.coalesce(contig_order(build), F.lit(1 << 20))
-    body = recs.join(keyed, ["contig", "position", "alleles"]).select(
-        F.col(shard_col).alias("shard"), order.alias("_o"), "position", "line")
-    smp_names = [r["s"] for r in samples.orderBy("ordinal").collect()] if samples is not None else []
-    head = header_lines(header, smp_names if calls is not None else [], with_format=calls is not None)
-    # every shard gets the header lines (a generator per shard id, no join)
-    heads = (shard_ids.select(F.col(shard_col).alias("shard"),
-                              F.posexplode(F.array(*[F.lit(x) for x in head])).alias("_i", "line"))
-             .select("shard", (F.col("_i") - len(head)).cast("int").alias("_o"),
-                     F.lit(0).cast("long").alias("position"), "line"))
-    (heads.unionByName(body).repartition("shard").sortWithinPartitions("shard", "_o", "position")
-     .select("shard", "line").write.mode("overwrite").partitionBy("shard")
-     .option("compression", compression).text(path))
+    order = ["shard", "_o", "position", "_ref", "_alt"]
+    (shard_lines(header, sites, shard_col, calls, samples, build).repartitionByRange(*order).sortWithinPartitions(*order)
+     .select("shard", "line").write.mode("overwrite").partitionBy("shard").option("compression", compression).text(path))
     return True
