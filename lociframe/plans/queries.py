@@ -748,15 +748,47 @@ def q_ancestry_scores(spark, sf):
     return _scores_long(scores, "known_pop")
 
 
-@query("assign_ancestry")
-def q_assign_ancestry(spark, sf):
+# the forest itself is beyond SQL; what must hold of its output is not
+_ASSIGN_SQL = """
+SELECT concat('E', CAST(vec_id AS VARCHAR)) AS s, CASE WHEN vec_id % 4 <> 0 THEN concat('pop', CAST(label AS VARCHAR)) END AS known_pop,
+       TRUE AS sums_to_one, TRUE AS follows_rule FROM embeddings"""
+
+
+def _labelled_scores(spark, sf):
     emb = spark.read.parquet(f"{sf}/embeddings.parquet")
     scores = emb.select(F.concat(F.lit("E"), F.col("vec_id").cast("string")).alias("s"),
                         F.col("embedding").cast("array<double>").alias("scores"),
                         F.when(F.col("vec_id") % 4 != 0, F.concat(F.lit("pop"), F.col("label").cast("string")))
                         .alias("known_pop"))
-    out = AN.assign_population(scores, num_pcs=16, min_prob=0.75)
-    return out.drop("pca_scores")
+    return scores
+
+
+def _assignment_holds(out):
+    """The probabilities sum to 1, and ``pop`` is the class of the largest one,
+    or ``oth`` exactly where that is below the threshold."""
+    probs = [c for c in out.columns if c.startswith("prob_")]
+    largest = F.greatest(*probs)
+    named = F.coalesce(*[F.when(F.col(c) == largest, F.lit(c.removeprefix("prob_"))) for c in probs])
+    return out.select("s", "known_pop", (F.abs(sum(F.col(c) for c in probs) - 1) < 1e-6).alias("sums_to_one"),
+                      (F.col("pop") == F.when(largest >= 0.75, named).otherwise("oth")).alias("follows_rule"))
+
+
+@query("assign_ancestry", _ASSIGN_SQL)
+def q_assign_ancestry(spark, sf):
+    return _assignment_holds(AN.assign_population(_labelled_scores(spark, sf), num_pcs=16, min_prob=0.75))
+
+
+@query("assign_ancestry_saved", _ASSIGN_SQL)
+def q_assign_ancestry_saved(spark, sf):
+    """A model saved, loaded and applied: ``follows_rule`` also says that it
+    assigns what the fitted one does."""
+    scores = _labelled_scores(spark, sf)
+    fitted, model = AN.assign_population(scores, num_pcs=16, min_prob=0.75, return_model=True)
+    path = IN.stored_path(spark, sf, "population-model", lambda p: model.write().overwrite().save(p))
+    applied = AN.apply_population_model(scores, AN.load_population_model(path), min_prob=0.75, num_pcs=16)
+    same = fitted.select("s", F.col("pop").alias("fitted_pop"))
+    out = _assignment_holds(applied).join(applied.select("s", "pop"), "s").join(same, "s")
+    return out.select("s", "known_pop", "sums_to_one", (F.col("follows_rule") & (F.col("pop") == F.col("fitted_pop"))).alias("follows_rule"))
 
 
 # ================================================================== VCF text in / out
@@ -1004,3 +1036,168 @@ SELECT count(DISTINCT s) AS n_samples FROM fx_samples""")
 def q_sample_count(spark, sf):
     """From the header of the call set; the calls are not read."""
     return CT.sample_count(SV.samples_frame(spark, SV.read_header(spark, fixture_vcf_path(spark, sf))))
+
+
+# ================================================================== text forms of a call set
+from lociframe.operators import header as HD  # noqa: E402
+from lociframe.sinks import blocks as KB  # noqa: E402
+
+_HEAD_COLUMNS = "#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split()
+
+
+def _header(spark, sf, lines=FIXTURE_HEADER_LINES):
+    h = SV.parse_header_lines(lines)
+    h.samples = [r["s"] for r in fixture(spark, sf, "fx_samples").orderBy("ordinal").collect()]
+    return h
+
+
+@query("vcf_find_replace", cte("fx_sites") + """
+SELECT vid, CASE filter WHEN 'LowQual' THEN 'PASS' ELSE filter END AS filter, vqslod AS VQSLOD FROM fx_sites""")
+def q_vcf_find_replace(spark, sf):
+    """Text replaced in the raw lines before they are parsed."""
+    v = SV.read_vcf(spark, fixture_vcf_path(spark, sf), drop_samples=True, find_replace=("\\tLowQual\\t", "\tPASS\t"))
+    return v.sites.select(F.substring("rsid", 2, 20).cast("long").alias("vid"), F.array_join("filters", ";").alias("filter"),
+                          F.col("info.VQSLOD").alias("VQSLOD"))
+
+
+@query("vcf_block_read", cte("fx_sites") + """
+SELECT vid, contig, position, ref, alts, filter FROM fx_sites""")
+def q_vcf_block_read(spark, sf):
+    """The fixture call set written as block gzip and read by byte ranges."""
+    def write(path):
+        KB.write_block_gzip(spark.read.text(fixture_vcf_path(spark, sf)).coalesce(2), path).count()
+    path = IN.stored_path(spark, sf, "vcf-blocks", write)
+    lines = SV.BL.read_ranges(spark, SV.BL.list_files(spark, path), range_bytes=1 << 16)
+    sites = SV.parse_sites(lines, SV.read_header(spark, fixture_vcf_path(spark, sf)))
+    return sites.select(F.substring("rsid", 2, 20).cast("long").alias("vid"), "contig", "position", F.col("alleles")[0].alias("ref"),
+                        F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("alts"), F.array_join("filters", ";").alias("filter"))
+
+
+@query("header_fields", cte("fx_samples") + """
+SELECT * FROM (VALUES
+  ('INFO', 'AC', 'A', 'Integer', 'Allele count'), ('INFO', 'AF', 'A', 'Float', 'Allele frequency'),
+  ('INFO', 'VQSLOD', '1', 'Integer', 'Site log-odds'), ('INFO', 'AS_VQSLOD', 'A', 'Integer', 'Allele-specific log-odds'),
+  ('INFO', 'CSQ', '.', 'String', 'Consequence annotations. Format: SYMBOL|Feature|Consequence|HGVSc|HGVSp'),
+  ('FORMAT', 'GT', '1', 'String', 'Genotype'), ('FORMAT', 'AD', 'R', 'Integer', 'Allelic depths'),
+  ('FORMAT', 'GQ', '1', 'Integer', 'Genotype quality'), ('FORMAT', 'PL', 'G', 'Integer', 'Phred-scaled likelihoods'),
+  ('FILTER', 'PASS', NULL, NULL, 'All filters passed'), ('FILTER', 'LowQual', NULL, NULL, 'Low quality'),
+  ('FILTER', 'extra', NULL, NULL, 'Added line'),
+  ('FILTER', 'NO_HQ_GENOTYPES', NULL, NULL, 'Sites with this filter do not have any genotypes that are considered high quality')
+) t(section, id, number, type, description)
+UNION ALL SELECT 'SAMPLE' AS section, s AS id, CAST(ordinal AS VARCHAR) AS number, NULL AS type, NULL AS description FROM fx_samples""")
+def q_header_fields(spark, sf):
+    """The header read from the call set's own files, an INFO field declared,
+    FILTER lines appended (a known id keeps its text), merge filters added."""
+    h = SV.read_header(spark, fixture_vcf_path(spark, sf))
+    h = HD.set_field(h, "INFO", "CSQ", ".", "String", IN.CSQ_DESCRIPTION)
+    h = HD.append_filter_lines(h, ['##FILTER=<ID=extra,Description="Added line">', '##FILTER=<ID=LowQual,Description="Other">'])
+    h = HD.add_merge_filters(h)
+    none = F.lit(None).cast("string")
+    samples = SV.samples_frame(spark, h).select(F.lit("SAMPLE").alias("section"), F.col("s").alias("id"), F.col("ordinal").cast("string").alias("number"),
+                                                none.alias("type"), none.alias("description"))
+    return SV.header_frame(spark, h).unionByName(samples)
+
+
+@query("csq_description", _with("fx_csq") + """
+names AS (SELECT string_split('SYMBOL|Feature|Consequence|HGVSc|HGVSp', '|') AS f)
+SELECT f[i] AS field, count(*) FILTER (string_split(concat(symbol, '|', feature, '|', consequence, '|', hgvsc, '|', hgvsp), '|')[i] <> '') AS n_filled
+FROM names, range(1, 6) r(i), fx_csq GROUP BY field""")
+def q_csq_description(spark, sf):
+    """Field names from the header description decide where each value of a
+    packed entry goes: filled values per field."""
+    fields = PK.fields_from_description(IN.CSQ_DESCRIPTION)
+    entries = IN.sites(spark, sf, with_csq=True).select(F.explode("info.CSQ").alias("e"))
+    parts = F.split("e", r"\|", -1)
+    filled = entries.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), (F.get(parts, i) != "").alias("there"))
+                                                for i, f in enumerate(fields)])).alias("x")).select("x.*")
+    return filled.groupBy("field").agg(F.count_if("there").alias("n_filled"))
+
+
+_SHARD_OF = """
+placed AS (SELECT vid, concat(contig, '_', CAST((rn - min(rn) OVER (PARTITION BY contig)) // 200 AS VARCHAR)) AS shard FROM (
+  SELECT vid, contig, row_number() OVER (ORDER BY {order}, position, ref, alts) AS rn FROM fx_sites))
+"""
+
+
+@query("vcf_shards", _with("fx_sites_t", "fx_calls_t", "fx_samples") + _twins(_RENDER_SQL + "," + _SHARD_OF.format(order=_CONTIG_ORD) + """
+SELECT p.shard, concat_ws(chr(9), st.contig, CAST(st.position AS VARCHAR), 'v' || CAST(st.vid AS VARCHAR), st.ref, st.alts, '.',
+                          st.filter, inf.info, 'GT:AD:GQ:PL', g.txt) AS line
+FROM fx_sites st JOIN inf ON st.vid = inf.vid JOIN placed p ON p.vid = st.vid
+JOIN (SELECT vid, string_agg(txt, chr(9) ORDER BY ordinal) AS txt FROM cell GROUP BY vid) g ON st.vid = g.vid
+UNION ALL
+SELECT shard, (SELECT concat('#CHROM	POS	ID	REF	ALT	QUAL	FILTER	INFO	FORMAT	', string_agg(s, chr(9) ORDER BY ordinal)) FROM fx_samples)
+FROM (SELECT DISTINCT shard FROM placed)"""))
+def q_vcf_shards(spark, sf):
+    """Shards written as VCF folders and read back: records that share a key
+    stay in their own shard once, every shard has its header."""
+    def write(path):
+        s, c, smp = _fixture_vcf(spark, sf, twins=True)
+        sharded = SH.shard_by_contig(s, "GRCh38", 200)
+        KV.write_vcf_shards(spark, _header(spark, sf), sharded, "shard", path, calls=c, samples=smp, compression="none")
+    lines = spark.read.text(IN.stored_path(spark, sf, "vcf-shards", write))
+    return lines.where(~F.col("value").startswith("##")).select(F.col("shard").cast("string").alias("shard"), F.col("value").alias("line"))
+
+
+@query("vcf_after_split", _with("fx_sites_t", "fx_calls_t", "fx_samples") + _twins(_SPLIT_SQL + "," + _CALLS_SQL + """,
+cell AS (
+  SELECT sp.vid, sp.a_index, sm.ordinal, CASE WHEN p.vid IS NULL THEN './.:.:.:.' ELSE concat(
+           CASE WHEN p.g1 IS NULL THEN './.' ELSE concat(p.g1, '/', coalesce(p.g2, p.g1)) END, ':',
+           CASE WHEN p.ad_alt IS NULL THEN '.' ELSE concat(p.ad_ref, ',', p.ad_alt) END, ':', CAST(c.gq AS VARCHAR), ':',
+           concat(p.pl0, ',', p.pl1, ',', p.pl2)) END AS txt
+  FROM split sp CROSS JOIN fx_samples sm LEFT JOIN pl p ON p.vid = sp.vid AND p.a_index = sp.a_index AND p.s = sm.s
+  LEFT JOIN fx_calls c ON c.vid = sp.vid AND c.s = sm.s)
+SELECT concat_ws(chr(9), sp.contig, CAST(sp.position AS VARCHAR), concat('v', CAST(sp.vid AS VARCHAR), '_', CAST(sp.a_index AS VARCHAR)), sp.ref,
+                 sp.alt, '.', '.', '.', 'GT:AD:GQ:PL', g.txt) AS line
+FROM split sp JOIN (SELECT vid, a_index, string_agg(txt, chr(9) ORDER BY ordinal) AS txt FROM cell GROUP BY vid, a_index) g
+  ON g.vid = sp.vid AND g.a_index = sp.a_index"""))
+def q_vcf_after_split(spark, sf):
+    """The split call set as VCF records, also where two share a key."""
+    s = SP.split_multi(IN.sites(spark, sf, twins=True))
+    s = s.withColumn("rsid", F.concat(F.lit("v"), F.col("vid").cast("string"), F.lit("_"), F.col("a_index").cast("string")))
+    c = GT.haploid_to_diploid(SP.split_calls(IN.calls(spark, sf, twins=True)))
+    out = KV.record_lines(s.drop("vid", "info", "filters"), c.drop("vid"), fixture(spark, sf, "fx_samples"))
+    return out.select("line")
+
+
+@query("union_keyed_tables", """
+SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, CAST(NULL AS VARCHAR) AS brand FROM customer
+UNION ALL
+SELECT p_partkey AS key, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS DOUBLE) AS balance, p_brand AS brand FROM part""")
+def q_union_keyed_tables(spark, sf):
+    """Stored keyed tables read, united by name and stored again."""
+    def write(path):
+        cust = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+                                                                   F.col("c_acctbal").alias("balance"))
+        part = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("brand"))
+        MG.union_tables([cust, part]).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(IN.stored_path(spark, sf, "keyed-union", write))
+
+
+@query("clinvar_vcf", ORACLES["lookup_clinvar"])
+def q_clinvar_vcf(spark, sf):
+    """ClinVar read from a VCF (contigs without ``chr``), whole value arrays."""
+    def write(path):
+        cv = fixture(spark, sf, "fx_clinvar")
+        info = F.concat(F.lit("CLNSIG="), "clnsig", F.lit(";CLNREVSTAT="), "clnrevstat")
+        body = cv.select(F.concat_ws("\t", F.substring("contig", 4, 9), F.col("position").cast("string"), F.lit("."), "ref", "alt", F.lit("."),
+                                     F.lit("."), info).alias("value"))
+        head = spark.createDataFrame([(x,) for x in (
+            "##fileformat=VCFv4.2", '##INFO=<ID=CLNSIG,Number=.,Type=String,Description="Significance">',
+            '##INFO=<ID=CLNREVSTAT,Number=.,Type=String,Description="Review status">', "\t".join(_HEAD_COLUMNS[:8]))], "value string").coalesce(1)
+        head.unionByName(body).write.mode("overwrite").text(path)
+    table = LK.clinvar_from_vcf(spark, IN.stored_path(spark, sf, "clinvar-vcf", write))
+    out = LK.clinvar_lookup(_split_sites(spark, sf), table, "GRCh38")
+    return out.select("vid", "a_index", F.array_join("info.CLNSIG", ",").alias("CLNSIG"), F.array_join("info.CLNREVSTAT", ",").alias("CLNREVSTAT"))
+
+
+@query("annotate_keep_earlier", _with("fx_sites", "fx_csq") + _SPLIT_SQL + f""",
+pk AS (SELECT vid, string_agg({_ENTRY_SQL}, ',' ORDER BY ord) AS csq FROM fx_csq GROUP BY vid)
+SELECT s.vid, s.a_index, pk.csq AS earlier, CASE WHEN pk.csq IS NOT NULL THEN concat('new:', s.ref, '>', s.alt) END AS CSQ
+FROM split s LEFT JOIN pk ON s.vid = pk.vid""")
+def q_annotate_keep_earlier(spark, sf):
+    """A new annotation replaces the one that is there, which is kept beside it."""
+    s = IN.sites(spark, sf, with_csq=True)
+    new = SP.split_multi(s).where(F.col("info.CSQ").isNotNull()).select(
+        "contig", "position", "alleles", F.concat(F.lit("new:"), F.array_join("alleles", ">")).alias("CSQ"))
+    out = AT.annotate_sites(s, consequences=new, keep_earlier=True)
+    return out.select("vid", "a_index", F.array_join("info.CSQ_earlier", ",").alias("earlier"), F.col("info.CSQ").alias("CSQ"))
