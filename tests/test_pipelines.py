@@ -158,8 +158,9 @@ def test_parse_lines_from_dataframe(spark):
 
 def test_classifier_accuracy_floor(spark):
     import numpy as np
-    import __spark_entry__ as E
-    out = E.queries()["assign_ancestry"](spark, "/root/testdata/sf0.01")
+    from lociframe.operators import ancestry as AN
+    from lociframe.plans.queries import _labelled_scores
+    out = AN.assign_population(_labelled_scores(spark, "/root/testdata/sf0.01"), num_pcs=16, min_prob=0.75)
     probs = [c for c in out.columns if c.startswith("prob_")]
     pdf = out.select("known_pop", "pop", *probs).toPandas()
     assert len(pdf) == 500
