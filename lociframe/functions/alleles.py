@@ -40,24 +40,27 @@ def contig_order(build: str) -> Column:
     return F.create_map(*pairs)[F.col("contig")]
 
 
+def _common_len(m: Column, same) -> Column:
+    """Largest n <= m such that the first n characters agree, by halving steps:
+    ``same(n, k)`` compares the next k after n agreeing ones.  The steps grow
+    with the logarithm of the length, so long alleles cost little."""
+    steps = F.sequence(F.floor(F.log2(F.greatest(m, F.lit(1)))).cast("int"), F.lit(0), F.lit(-1))
+    width = F.transform(steps, lambda e: F.pow(F.lit(2), e).cast("int"))
+    return F.aggregate(width, F.lit(0), lambda n, k: F.when((n + k <= m) & same(n, k), n + k).otherwise(n))
+
+
 def common_suffix_len(a: Column, b: Column) -> Column:
     """Length of the common suffix of ``a`` and ``b`` that leaves each at
-    least one character (single pass over the shorter string)."""
+    least one character."""
     m = F.least(F.length(a), F.length(b)) - 1
-    return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(m, F.lit(1))), F.lit(0),
-        lambda acc, k: F.when((k <= m) & (acc == k - 1) & (F.substr(a, -k, F.lit(1)) == F.substr(b, -k, F.lit(1))), k)
-        .otherwise(acc))
+    return _common_len(m, lambda n, k: F.substr(a, -(n + k), k) == F.substr(b, -(n + k), k))
 
 
 def common_prefix_len(a: Column, b: Column) -> Column:
     """Length of the common prefix of ``a`` and ``b`` that leaves each at
     least one character."""
     m = F.least(F.length(a), F.length(b)) - 1
-    return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(m, F.lit(1))), F.lit(0),
-        lambda acc, k: F.when((k <= m) & (acc == k - 1) & (F.substr(a, k, F.lit(1)) == F.substr(b, k, F.lit(1))), k)
-        .otherwise(acc))
+    return _common_len(m, lambda n, k: F.substr(a, n + 1, k) == F.substr(b, n + 1, k))
 
 
 def with_min_rep(df, position: str, ref: str, alt: str, when: Column | None = None,

@@ -149,6 +149,8 @@ SELECT DISTINCT concat('S', CAST(l_linenumber AS VARCHAR(8))) AS s, CAST(l_linen
 SELECT DISTINCT concat('S', CAST(l_linenumber AS VARCHAR(8))) AS s FROM lineitem WHERE l_linenumber IN (1, 3, 5)""",
 }
 
+ROWS_PER_FILE = 25_000
+
 # dependency order for registration / CTE building
 ORDER = list(FIXTURE_SQL)
 
@@ -248,7 +250,8 @@ def _write_stored(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) ->
     from lociframe.session import ensure_checkpoint_dir
     digest = hashlib.sha1((key[1] + "\0" + FIXTURE_SQL[name]).encode()).hexdigest()[:16]
     path = os.path.join(ensure_checkpoint_dir(spark), "fixtures", f"{name}-{digest}")
-    df.write.mode("overwrite").parquet(path)
+    # several files, without a shuffle: small inputs would else read as one task
+    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     _STORED[key] = path
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.functions import genotype as G
-from lociframe.plans.fixtures import fixture
+from lociframe.plans.fixtures import ROWS_PER_FILE, fixture
 
 CSQ_FIELDS = ["SYMBOL", "Feature", "Consequence", "HGVSc", "HGVSp"]
 CSQ_DESCRIPTION = "Consequence annotations. Format: " + "|".join(CSQ_FIELDS)
@@ -44,7 +44,8 @@ def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
     if key not in _STORED:
         path = os.path.join(ensure_checkpoint_dir(spark), "inputs", f"{name}-{_digest(key[1])}")
-        build().write.mode("overwrite").parquet(path)
+        # several files, without a shuffle: small inputs would else read as one task
+        build().write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
         _STORED[key] = path
     from lociframe.plans.fixtures import read_stored
     return read_stored(spark, _STORED[key])
