@@ -13,6 +13,6 @@ def test_entry_smoke(spark):
     assert df.count() >= 0 and "CSQ" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, name):
     assert compare(spark, SF, [name], verbose=False) == []
