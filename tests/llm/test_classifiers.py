@@ -59,6 +59,7 @@ def test_training_without_both_classes(module):
 def test_very_long_texts():
     rows = [("good words here", 1), ("$$$ &&& ###", 0)] * 5
     assert 0 <= quality.train(rows).score("x" * 300_000 + " good" * 100_000) <= 1
+    assert toxicity.train([("a b", 0), ("c d", 1)]).score(" " * 1_000_000)[0] == 0
     assert 0 <= toxicity.train([(t, 1 - y) for t, y in rows]).score("x" * 300_000 + " a." * 100_000)[0] <= 1
 
 
