@@ -1,7 +1,7 @@
 """BPE encoding by a prefix-sharing trie.
 
-Every text is cut into pre-tokens.  The distinct ones of a batch go into a byte
-trie that is walked depth first.  A node's prefix has one BPE encoding; only its
+Every text is cut into pre-tokens.  The distinct new ones of a batch go into a
+byte trie in depth-first order.  A node's prefix has one BPE encoding; only its
 last token is kept.  The last token of a prefix is the one vocabulary entry that
 ends there and may follow the last token of what stands before it, so the state
 of a node comes from the states above it, and a prefix that many words share is
@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -37,8 +39,11 @@ from lociframe.llm.common import texts
 # description states it (white space by its Unicode property).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHED_CHUNKS = 400_000      # word cache of a task; emptied when full
-CACHED_LENGTH = 64           # longer chunks are encoded but not kept
+CACHED = 500_000             # words, and chunks, that a task remembers; emptied when full
+CACHED_LENGTH = 64           # longer ones are encoded but not kept
+TRIE_NODES = 1_000_000       # a larger trie starts anew
+GROUP_CHARS = 1 << 21        # texts whose words are learnt together
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 NEVER = 1 << 60
 
 
@@ -121,46 +126,57 @@ class Vocabulary:
             known = self.pairs[a, b] = not self._joins(a, b, NEVER)
         return known
 
-    def last_token(self, path: bytearray, depth: int, last: list[int]) -> int:
-        """Last token of the prefix path[:depth]; last[d]: that of path[:d]."""
-        ending, tails = self.ending, self.tails
+    def last_token(self, word: bytes, depth: int, last: list[int]) -> int:
+        """Last token of the prefix word[:depth]; last[d]: that of word[:d]."""
+        ending, tails, pairs = self.ending, self.tails, self.pairs
         for at in range(depth - 1, -1, -1):
-            tail = bytes(path[at:depth])
-            if tail not in tails:
-                break
+            tail = word[at:depth]
             token = ending.get(tail)
-            if token is not None and (at == 0 or self.may_follow(last[at], token)):
+            if token is None:
+                if tail not in tails:
+                    break
+            elif at == 0:
                 return token
+            else:
+                pair = (last[at], token)
+                if pairs[pair] if pair in pairs else self.may_follow(*pair):
+                    return token
         raise ValueError("no token ends here: the vocabulary lacks single bytes")
 
-    def encode_words(self, words: set[str]) -> dict[str, bytes]:
+
+class Trie:
+    """Byte trie of the words so far, with the last token of every prefix.
+
+    Words come in sorted, that is in depth-first order: a new node's state
+    follows from those above it, and what words share is computed once, also
+    between batches.  Nodes are numbers; a full trie starts anew."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab, self.size = vocab, {i: len(b) for i, b in vocab.bytes_of.items()}
+        self.child: dict[int, int] = {}      # node << 8 | byte -> node
+        self.last: list[int] = [0]           # by node
+
+    def encode(self, words: set[str]) -> dict[str, bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
-        root: list = [{}, None]
-        for word in words:  # node: children by byte, word that ends here
-            node = root
-            for byte in word.encode("utf-8", "surrogatepass"):
-                child = node[0].get(byte)
-                if child is None:
-                    child = node[0][byte] = [{}, None]
-                node = child
-            node[1] = word
+        if len(self.last) > TRIE_NODES:
+            self.child, self.last = {}, [0]
+        child, states, size, last_token = self.child, self.last, self.size, self.vocab.last_token
         out: dict[str, bytes] = {}
-        size = {i: len(b) for i, b in self.bytes_of.items()} if not hasattr(self, "size") else self.size
-        self.size = size
-        path, last, todo = bytearray(), [0], [(root, 0, 0)]
-        while todo:
-            node, depth, byte = todo.pop()
-            if depth:
-                del path[depth - 1:], last[depth:]
-                path.append(byte)
-                last.append(self.last_token(path, depth, last))
-            if node[1] is not None:
-                ids, at = [], depth
-                while at:
-                    ids.append(last[at])
-                    at -= size[last[at]]
-                out[node[1]] = np.array(ids[::-1], dtype="<u4").tobytes()
-            todo.extend((child, depth + 1, b) for b, child in node[0].items())
+        for raw, word in sorted((w.encode("utf-8", "surrogatepass"), w) for w in words):
+            node, last = 0, [0]
+            for depth, byte in enumerate(raw, 1):
+                key = node << 8 | byte
+                node = child.get(key)
+                if node is None:
+                    node = child[key] = len(states)
+                    states.append(last_token(raw, depth, last))
+                last.append(states[node])
+            ids, at = [], len(raw)
+            while at:
+                ids.append(last[at])
+                at -= size[last[at]]
+            ids.reverse()
+            out[word] = array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
         return out
 
 
@@ -170,53 +186,76 @@ def vocabulary(spec: str) -> Vocabulary:
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of chunks between blanks.
+    """Encodes texts; keeps the ids of words and of chunks between blanks.
 
     A text without two blanks in a row falls apart before every blank: no
     pre-token spans that place, whatever stands around it.  So the chunk is the
-    unit of the cache, and its pre-tokens are the words of the trie."""
+    unit of the larger cache, and its pre-tokens are the words of the trie."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab, self.cache = vocab, {}
+        self.vocab, self.trie = vocab, Trie(vocab)
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.split = regex.compile(PATTERN).findall
 
-    def _plain(self, pieces: list[str]) -> None:
-        """Make the cache hold every piece (an uncut text or a chunk)."""
-        new = {p for p in pieces if p not in self.cache}
-        if not new:
-            return
-        if len(self.cache) + len(new) > CACHED_CHUNKS:
-            kept = {p: self.cache[p] for p in pieces if p in self.cache}
-            self.cache = kept
-        cut = {p: self.split(p) for p in new}
-        ids = self.vocab.encode_words({w for ws in cut.values() for w in ws})
-        for p, ws in cut.items():
-            self.cache[p] = b"".join([ids[w] for w in ws])
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of those pieces (uncut texts or chunks) that are not cached;
+        what is short enough is cached."""
+        if len(self.chunks) > CACHED:
+            self.chunks.clear()
+        if len(self.words) > CACHED:
+            self.words.clear()
+        cut = {p: self.split(p) for p in set(pieces).difference(self.chunks)}
+        known = self.words
+        fresh = self.trie.encode({w for ws in cut.values() for w in ws if w not in known})
+        known.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHED_LENGTH)
+        ids_of = lambda w: fresh[w] if w in fresh else known[w]
+        found = {p: ids_of(ws[0]) if len(ws) == 1 else b"".join(map(ids_of, ws)) for p, ws in cut.items()}
+        self.chunks.update((p, ids) for p, ids in found.items() if len(p) <= CACHED_LENGTH)
+        return {p: ids for p, ids in found.items() if len(p) > CACHED_LENGTH}
 
     def _pieces(self, text: str) -> list[str]:
         if "  " in text:
             return self.split(text)
-        chunks = text.split(" ")
-        return [chunks[0], *[" " + c for c in chunks[1:]]] if len(chunks) > 1 else chunks
+        first, *rest = text.split(" ")
+        return [first, *[" " + c for c in rest]]
+
+    def _plain(self, parts: list[str]) -> list[bytes]:
+        """Ids of texts without special tokens, words learnt for all together."""
+        cut = [self._pieces(t) if t else [] for t in parts]
+        long = self._learn([p for ps in cut for p in ps])
+        get = self.chunks.__getitem__ if not long else lambda p: long[p] if p in long else self.chunks[p]
+        return [b"".join(map(get, ps)) for ps in cut]
+
+    def encode_batch(self, batch: list[str]) -> list[bytes]:
+        """Ids of every text; groups of texts of bounded size learn together."""
+        out: list[bytes] = []
+        group, size = [], 0
+        for text in batch:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS:
+                out += self._group(group)
+                group, size = [], 0
+        return out + self._group(group)
+
+    def _group(self, group: list[str]) -> list[bytes]:
+        special, parts, shape = self.vocab.special_at, [], []
+        for text in group:
+            spans = [(m.start(), m.end()) for m in special.finditer(text)] if special else []
+            at, row = 0, []
+            for a, b in spans:
+                row += [len(parts), self.vocab.special[text[a:b]].to_bytes(4, "little")]
+                parts.append(text[at:a])
+                at = b
+            row.append(len(parts))
+            parts.append(text[at:] if at else text)
+            shape.append(row)
+        ids = self._plain(parts)
+        return [b"".join([x if isinstance(x, bytes) else ids[x] for x in row]) if len(row) > 1 else ids[row[0]] for row in shape]
 
     def encode(self, text: str) -> bytes:
-        vocab, out, at = self.vocab, [], 0
-        spans = [(m.start(), m.end()) for m in vocab.special_at.finditer(text)] if vocab.special_at else []
-        for a, b in [*spans, (len(text), len(text))]:
-            if a > at:
-                pieces = self._pieces(text[at:a])
-                for i in range(0, len(pieces), 100_000):
-                    part = pieces[i:i + 100_000]
-                    self._plain(part)
-                    out.append(b"".join(map(self.cache.__getitem__, part)))
-                    if max(map(len, part)) > CACHED_LENGTH:
-                        for p in part:
-                            if len(p) > CACHED_LENGTH:
-                                self.cache.pop(p, None)
-            if b > a:
-                out.append(vocab.special[text[a:b]].to_bytes(4, "little"))
-            at = b
-        return b"".join(out)
+        return self.encode_batch([text])[0]
 
 
 def decode(vocab: Vocabulary, ids: bytes) -> str:
@@ -241,8 +280,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, with_ids: bool = Fals
         encoder = Encoder(vocab)
         for b in batches:
             n, ids_hash, text_hash, all_ids = [], [], [], []
-            for text in texts(b.column(1)):
-                ids = encoder.encode(text)
+            for ids in encoder.encode_batch(texts(b.column(1))):
                 n.append(len(ids) // 4)
                 ids_hash.append(hashlib.sha256(ids).hexdigest())
                 text_hash.append(hashlib.sha256(decode(vocab, ids).encode("utf-8", "surrogatepass")).hexdigest())

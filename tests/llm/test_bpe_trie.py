@@ -55,7 +55,9 @@ def test_random_texts(encoder, library):
 
 def test_small_cache_changes_nothing(library, monkeypatch):
     import lociframe.llm.bpe_trie as M
-    monkeypatch.setattr(M, "CACHED_CHUNKS", 5)
+    monkeypatch.setattr(M, "CACHED", 5)
+    monkeypatch.setattr(M, "TRIE_NODES", 9)
+    monkeypatch.setattr(M, "CACHED_LENGTH", 4)
     e = Encoder(vocabulary(open(PATH, encoding="utf-8").read()))
     for text in ("one two three four five six seven", "one two eight nine ten", "one"):
         assert ids(e, text) == library.encode(text, add_special_tokens=False).ids
