@@ -39,9 +39,9 @@ from lociframe.llm.common import texts
 # description states it (white space by its Unicode property).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHED = 500_000             # words, and chunks, that a task remembers; emptied when full
+CACHED = 250_000             # words, and chunks, that a task remembers; emptied when full
 CACHED_LENGTH = 64           # longer ones are encoded but not kept
-TRIE_NODES = 1_000_000       # a larger trie starts anew
+TRIE_NODES = 500_000       # a larger trie starts anew
 GROUP_CHARS = 1 << 21        # texts whose words are learnt together
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 NEVER = 1 << 60
@@ -121,7 +121,7 @@ class Vocabulary:
     def may_follow(self, a: int, b: int) -> bool:
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 300_000:
                 self.pairs.clear()
             known = self.pairs[a, b] = not self._joins(a, b, NEVER)
         return known

@@ -46,6 +46,7 @@ LITERALS = 4             # plain words that a window must hold
 COVERAGE = 0.5           # share of an item's windows that a leak matches ...
 RUN = 24                 # ... or so many matched windows of a longer item
 BLOOM_BITS = 1 << 24     # 2 MB
+CACHED_WORDS = 200_000   # words whose class a task remembers
 BLOCK = 1 << 18          # tokens of a text handled at a time
 
 # Units of measure, money and time.
@@ -87,7 +88,7 @@ class Tokens:
         """(hashes, slot types, position of each token's word, words)."""
         words = TOKEN.findall(text)
         known, look = self.known, self.look
-        if len(known) > 400_000:
+        if len(known) > CACHED_WORDS:
             known.clear()
         found = [known.get(w) or look(w) for w in words]
         if not found:

@@ -21,6 +21,7 @@ columns are read, so further columns never clash.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
@@ -37,7 +38,7 @@ EPOCHS = 8
 RATE = 6.0
 MAX_DOCS = 3000
 MAX_CHARS = 30_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000      # words whose score a task remembers
 
 
 def features(word: str) -> list[int]:
@@ -128,9 +129,11 @@ def scorer(model: Model, df: DataFrame):
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        model = sent.value
-        return pd.Series([model.score(t) if isinstance(t, str) else model.score("") for t in text], dtype="float64")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # the word cache lives as long as the task: the worker keeps the broadcast
+        model = Model(sent.value.per_feature, sent.value.bias)
+        for text in batches:
+            yield pd.Series([model.score(t) if isinstance(t, str) else model.score("") for t in text], dtype="float64")
 
     return score
 

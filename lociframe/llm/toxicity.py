@@ -40,7 +40,7 @@ PULL = 2e-4                  # weight decay
 START = -4.0                 # logit of a sentence without features
 MAX_DOCS = 5000
 MAX_CHARS = 30_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000      # words whose weight a task remembers
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")     # linear: blank ones are skipped afterwards
 WORD = re.compile(r"\w+")
@@ -156,7 +156,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, ~out))
 
     def run(batches):
-        model = sent.value
+        # the word cache lives as long as the task: the worker keeps the broadcast
+        model = Model(sent.value.weights, sent.value.bias)
         for b in batches:
             scored = [model.score(t) for t in texts(b.column(2))]
             yield pa.RecordBatch.from_arrays(
