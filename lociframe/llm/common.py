@@ -38,6 +38,14 @@ def texts(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def small_hash(h: Column, wanted: int, total: int) -> Column:
+    """Whether a 64-bit hash is among the smallest: about four times as many as
+    ``wanted`` of ``total`` rows are, so that what partitions hand on to pick the
+    ``wanted`` smallest does not grow with their number."""
+    share = min(1.0, 4 * wanted / max(total, 1))
+    return h <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_docs: int,
                     max_chars: int) -> list[tuple[str, int]]:
     """At most ``max_docs`` labelled training rows for the driver, each text of
@@ -48,6 +56,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     y = (labels.select(F.col("doc_id").alias("l_id"), F.col(label).cast("int").alias("y"))
          .where(F.col("l_id").isNotNull() & F.col("y").isin(0, 1)).groupBy("l_id").agg(F.max("y").alias("y")))
     # the few ids are chosen first, on narrow rows; texts are fetched for those only
+    total = y.count()
+    y = y.where(small_hash(F.xxhash64("l_id"), max_docs, total))
     narrow = (docs.where(learn & F.col("text").isNotNull() & (F.length("text") <= max_chars))
               .select("doc_id").join(y, F.col("doc_id") == F.col("l_id")).select("doc_id", "y").distinct()
               .withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_docs))

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociframe.llm.common import shared_folder, stored
+from lociframe.llm.common import shared_folder, small_hash, stored
 
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 20_000
@@ -195,7 +195,8 @@ def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
               .groupBy("key").agg(F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id"))
               .where("first_id < last_id").select("key", "first_id"))
     groups = stored(groups, "payload-groups")
-    sample = (rows.where(F.octet_length("payload") <= SAMPLE_CHARS).orderBy(F.xxhash64("page_id"), "page_id", "url")
+    drawn = small_hash(F.xxhash64("page_id"), SAMPLE_ROWS, rows.count())
+    sample = (rows.where(drawn & (F.octet_length("payload") <= SAMPLE_CHARS)).orderBy(F.xxhash64("page_id"), "page_id", "url")
               .limit(SAMPLE_ROWS).collect())
     dictionary = spark.sparkContext.broadcast(train_dictionary([record(r.page_id, r.url, bytes(r.payload), None) for r in sample]))
     folder = shared_folder(spark, "warc")
