@@ -235,7 +235,7 @@ def importance(pages: DataFrame) -> DataFrame:
     seen = page_features(pages).distinct()
     counts = seen.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("c"))
     c = F.col("c").cast("double")
-    nodes = counts.groupBy("host", "path", "kind").agg(F.sum("c").alias("total"), F.sum(c * F.log(c)).alias("clc"))
+    nodes = stored(counts.groupBy("host", "path", "kind").agg(F.sum("c").alias("total"), F.sum(c * F.log(c)).alias("clc")), "site-nodes")
     # every page that has the path gives it one style, so these count its pages
     sizes = nodes.where("kind = 0").select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("total").alias("n_pages"))
     joined = nodes.join(sizes, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
