@@ -7,18 +7,24 @@ importance of a node is the entropy of what its pages put there, relative to
 the most diverse case: 0 if every page shows the same, 1 if each shows its own.
 For n pages spread over features with counts c that is
 1 - sum(c ln c) / (total ln n).  A branch in which neither the node nor any
-descendant is important is site furniture and is cut from each page.
-
-Elements that are not main text by their meaning (scripts, forms, menus,
-footers, adverts, comments ...) go whatever their importance.  Plain prose
-blocks of a declared article are never cut: a host that repeats a passage in
-its articles would else lose it.
+descendant is important is site furniture and is cut from each page.  Elsewhere
+each text block is weighed alone, 1 - ln c / ln n, and the ones that the site
+repeats are cut, so unique prose stays beside them.  The plain prose blocks of a
+declared article are decided by their content only, never as a branch.
+
+Elements that are not main text by tag, role or being hidden (scripts, forms,
+menus, footers ...) go whatever their importance.  A class or id word (advert,
+comments, related ...) only raises the threshold to ``DOUBTFUL``: a doubtful
+branch stays if it holds the declared article, or if it is that diverse apart
+from repeated blocks and stands inside the article or on a page that declares none.  Where a site has too
+few pages to tell, doubtful branches without an article go.
 
 Scale: pages are parsed where they are read and give (host, path, feature) rows;
 a host's tree exists only as grouped rows, so a host with a third of all pages is
-no hot task.  Equal pages of a host count once.  The paths to cut are written
-to the shared folder and joined to the pages by host; Spark sends that table to
-the executors only if its measured size is small.
+no hot task.  Pages of a host with equal article text (without an article: equal
+text) count once.  What to cut is written to the shared folder and joined to the
+pages by host; Spark sends that table to the executors only if its measured size
+is small.
 
 Defined results: null html or url is empty (pages without a host form one
 site); broken markup is read as far as tags can be told; pages without main text
@@ -39,6 +45,7 @@ from pyspark.sql import functions as F
 from lociframe.llm.common import stored, texts
 
 THRESHOLD = 0.3          # importance below which a branch is furniture
+DOUBTFUL = 0.7           # the same for a branch with a noise word as class or id
 LEAST_PAGES = 5          # a site of fewer different pages tells nothing
 
 # Names of elements and of class or id words.
@@ -63,10 +70,15 @@ RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I) for t in RAW
 
 
 class Node:
-    __slots__ = ("tag", "label", "noise", "children")
+    __slots__ = ("tag", "label", "noise", "doubt", "holds", "children")
+
+    def __init__(self, tag: str, label: str, noise: bool, doubt: bool = False):
+        self.tag, self.label, self.noise, self.doubt, self.children = tag, label, noise, doubt, []
+        self.holds = False       # an article or main element stands below
+
 
-    def __init__(self, tag: str, label: str, noise: bool):
-        self.tag, self.label, self.noise, self.children = tag, label, noise, []
+class Aside(str):
+    """Text of a doubtful inline element: part of the block, not of its key."""
 
 
 def words_of(value: str) -> set[str]:
@@ -74,22 +86,22 @@ def words_of(value: str) -> set[str]:
 
 
 def element(tag: str, rest: str) -> Node:
-    label, noise = tag, tag in NOT_TEXT
+    label, noise, doubt = tag, tag in NOT_TEXT, False
     if rest and "=" in rest:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
         names = [found[k] for k in ("class", "id") if found.get(k)]
         if names:
             label += "." + re.sub(r"\d+", "0", ".".join(sorted(" ".join(names).split())))
             if tag not in ("body", "html", "article", "main"):
-                noise = noise or bool(words_of(" ".join(names)) & NOISE_WORDS)
+                doubt = bool(words_of(" ".join(names)) & NOISE_WORDS)
         noise = noise or found.get("role", "").lower() in NOISE_ROLES or found.get("aria-hidden", "").lower() == "true"
         if re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
             noise = True
     if rest and re.search(r"(?:^|\s)hidden(?:\s|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", rest)):
         noise = True
     if tag == "header":
-        noise = False if label == "header" else noise     # decided by its place, see blocks()
-    return Node(tag, label, noise)
+        noise, doubt = (False, False) if label == "header" else (noise or doubt, doubt)     # decided by its place, see blocks()
+    return Node(tag, label + "!" if doubt else label, noise, doubt)
 
 
 def parse(page: str) -> Node:
@@ -138,6 +150,9 @@ def parse(page: str) -> Node:
                 if stack[i].tag not in INLINE:
                     break
         stack[-1].children.append(node)
+        if tag in ("article", "main") and not node.noise:
+            for above in stack:
+                above.holds = True
         if tag not in VOID and not m[3].endswith("/"):
             if len(stack) < 400:
                 stack.append(node)
@@ -147,10 +162,25 @@ def clean(text: str) -> str:
     return " ".join(entities.unescape(text).split()) if "&" in text else " ".join(text.split())
 
 
-def blocks(node: Node, path: str, in_article: bool, cut, out: list[tuple[str, str]], styles: list | None, open_text: list[str]) -> None:
-    """Text blocks (path, text) below a node in page order, without noise and
-    without the branches whose path is in ``cut``; ``styles`` collects (path,
-    children's labels)."""
+class Site:
+    """What a site's tree decides: branches to cut, doubtful ones to keep, and
+    the keys of repeated blocks.  ``None`` in its place keeps everything."""
+    __slots__ = ("cut", "kept", "repeated", "declared")
+
+    def __init__(self, cut, kept, repeated, declared: bool):
+        self.cut, self.kept, self.repeated, self.declared = cut, kept, repeated, declared
+
+    def drops(self, node: Node, path: str, in_article: bool) -> bool:
+        if path in self.cut:
+            return True
+        return node.doubt and not node.holds and not (path in self.kept and (in_article or not self.declared))
+
+
+def blocks(node: Node, path: str, in_article: bool, site: Site | None, out: list[tuple[str, str, str, bool]], styles: list | None,
+           open_text: list[str]) -> None:
+    """Text blocks (path, key text, text, in an article) below a node in page
+    order, without noise and without what the site drops; ``styles`` collects
+    (path, children's labels)."""
     labels = []
     for child in node.children:
         if isinstance(child, str):
@@ -158,43 +188,59 @@ def blocks(node: Node, path: str, in_article: bool, cut, out: list[tuple[str, st
             continue
         labels.append(child.label)
         if child.tag in INLINE:
-            if not child.noise:
-                blocks(child, path, in_article, cut, out, None, open_text)
+            if child.noise:
+                continue
+            if not child.doubt:
+                blocks(child, path, in_article, site, out, None, open_text)
+                continue
+            below, inner = f"{path}>{child.label}", []
+            if site is None:         # in the tree: a node of its own
+                blocks(child, below, in_article, site, out, None, inner)
+                flush(below, inner, in_article, site, out)
+                styles is not None and styles.append((below, ""))
+            elif not site.drops(child, below, in_article):
+                blocks(child, below, in_article, site, out, None, inner)
+                open_text.extend(map(Aside, inner))
             continue
-        flush(path, open_text, out)
+        flush(path, open_text, in_article, site, out)
         if child.noise or child.tag == "header" and not in_article:
             continue
         below = f"{path}>{child.label}"
-        if below in cut:
+        if site is not None and site.drops(child, below, in_article):
             continue
-        blocks(child, below, in_article or child.tag in ("article", "main"), cut, out, styles, open_text)
-        flush(below, open_text, out)
+        inside = in_article or child.tag in ("article", "main")
+        blocks(child, below, inside, site, out, styles, open_text)
+        flush(below, open_text, inside, site, out)
     if styles is not None:
         collapsed = [x for i, x in enumerate(labels) if not i or x != labels[i - 1]]
         styles.append((path, ",".join(collapsed)))
 
 
-def flush(path: str, open_text: list[str], out: list[tuple[str, str]]) -> None:
+def flush(path: str, open_text: list[str], in_article: bool, site: Site | None, out: list[tuple[str, str, str, bool]]) -> None:
     if open_text:
         text = clean("".join(open_text))
+        own = clean("".join(t for t in open_text if type(t) is str)) if any(type(t) is Aside for t in open_text) else text
         open_text.clear()
-        if text:
-            out.append((path, text))
+        if text and not (site is not None and site.repeated and own and hashed(f"{path}\n{own}") in site.repeated):
+            out.append((path, own, text, in_article))
 
 
-def protected(path: str) -> bool:
-    """Plain prose blocks of a declared article, and what such blocks stand in."""
+def protected(path):
+    """Plain prose blocks of a declared article, and what such blocks stand in:
+    their content decides block by block, see extract_pages()."""
     tags = path.split(">")
     inside = [i for i, t in enumerate(tags) if t.split(".")[0] in ("article", "main")]
     return tags[-1] in ("", "html", "body") or bool(inside) and all(t in PROSE for t in tags[inside[-1] + 1:])
 
 
-def extract(page: str, cut) -> str:
-    out: list[tuple[str, str]] = []
+def extract(page: str, cut, kept=(), repeated=()) -> str:
+    out: list[tuple[str, str, str, bool]] = []
     open_text: list[str] = []
-    blocks(parse(page), "", False, cut, out, None, open_text)
-    flush("", open_text, out)
-    return " ".join(t for _, t in out)
+    root = parse(page)
+    site = Site(cut, kept, repeated, root.holds)
+    blocks(root, "", False, site, out, None, open_text)
+    flush("", open_text, False, site, out)
+    return " ".join(t for _, _, t, _ in out)
 
 
 def host_of(url: Column) -> Column:
@@ -208,19 +254,21 @@ def hashed(text: str) -> int:
 
 def page_features(pages: DataFrame) -> DataFrame:
     """(host, page, path, kind, feature): what each page puts at each path, its
-    noise left out.  kind 0: presentation style, 1: content block."""
+    noise left out.  kind 0: presentation style, 1: content block, 2: the page
+    has the path."""
     def run(batches):
         for b in batches:
             rows: set = set()
             for host, page in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                out: list[tuple[str, str]] = []
+                out: list[tuple[str, str, str, bool]] = []
                 styles: list[tuple[str, str]] = []
                 open_text: list[str] = []
-                blocks(parse(page), "", False, (), out, styles, open_text)
-                flush("", open_text, out)
-                key = hashed(page)
-                rows.update((host, key, p, 0, hashed(s)) for p, s in styles if not protected(p))
-                rows.update((host, key, p, 1, hashed(t)) for p, t in out if not protected(p))
+                blocks(parse(page), "", False, None, out, styles, open_text)
+                flush("", open_text, False, None, out)
+                key = hashed("\n".join(t for _, _, t, inside in out if inside) or "\n".join(t for _, _, t, _ in out))
+                rows.update((host, key, p, 0, hashed(s)) for p, s in styles)
+                rows.update((host, key, p, 1, hashed(f"{p}\n{t}")) for p, t, _, _ in out)
+                rows.update((host, key, p, 2, 0) for p in {p for p, _ in styles} | {x[0] for x in out})
             columns = list(zip(*rows)) if rows else [()] * 5
             kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "page", "path", "kind", "feature"])
@@ -229,39 +277,76 @@ def page_features(pages: DataFrame) -> DataFrame:
         run, "host string, page long, path string, kind int, feature long")
 
 
-def importance(pages: DataFrame) -> DataFrame:
-    """(host, path, n_pages, importance): each node of each site's tree with the
-    largest importance in its branch."""
+def counted(pages: DataFrame) -> DataFrame:
+    """(host, path, kind, feature, total, c): c pages of a host put a feature at a
+    path; the features of one page only are one row, of feature null, c = 1 and
+    their number as total."""
     seen = page_features(pages).distinct()
     counts = seen.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("c"))
+    single = F.col("c") == 1
+    return stored(counts.groupBy("host", "path", "kind", F.when(~single, F.col("feature")).alias("feature"), single.alias("single"))
+                  .agg(F.sum("c").alias("total"), F.max("c").alias("c")).drop("single"), "site-counts")
+
+
+def importance(pages: DataFrame) -> DataFrame:
+    """(host, path, n_pages, importance, diversity, holds_text): each node of
+    each site's tree with the largest importance in its branch, and the largest
+    without the repeated blocks."""
+    return tree_of(weighed(counted(pages)))
+
+
+def weighed(counts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``counts`` with the pages of each path (n_pages) and whether a content is
+    repeated on so many of them that it is not important by itself."""
+    sizes = counts.where("kind = 2").select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("total").alias("n_pages"))
+    joined = counts.join(sizes, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p"))).drop("h", "p")
+    alone = (F.col("kind") == 1) & (F.col("c") > 1) & (1 - F.log("c") / F.log("n_pages") < threshold)
+    return joined.withColumn("repeated", F.coalesce(alone, F.lit(False)))
+
+
+def tree_of(contents: DataFrame) -> DataFrame:
     c = F.col("c").cast("double")
-    nodes = stored(counts.groupBy("host", "path", "kind").agg(F.sum("c").alias("total"), F.sum(c * F.log(c)).alias("clc")), "site-nodes")
-    # every page that has the path gives it one style, so these count its pages
-    sizes = nodes.where("kind = 0").select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("total").alias("n_pages"))
-    joined = nodes.join(sizes, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
-    own = joined.withColumn("own", F.when(F.col("n_pages") > 1, 1 - F.col("clc") / (F.col("total") * F.log("n_pages"))).otherwise(1.0))
+
+    def entropy(which: Column) -> Column:
+        total, clc = F.sum(F.when(which, F.col("total"))), F.sum(F.when(which, F.when(c > 1, c * F.log(c)).otherwise(0.0)))
+        return F.when(total > 0, F.when(F.max("n_pages") > 1, 1 - clc / (total * F.log(F.max("n_pages")))).otherwise(1.0))
+
     # text decides where there is any: a template may vary around equal text
-    per_path = own.groupBy("host", "path").agg(F.max("n_pages").alias("n_pages"),
-                                               F.coalesce(F.max(F.when(F.col("kind") == 1, F.col("own"))), F.lit(0.0)).alias("own"))
+    text = F.col("kind") == 1
+    per_path = contents.groupBy("host", "path").agg(
+        F.max("n_pages").alias("n_pages"), F.coalesce(entropy(text), F.lit(0.0)).alias("own"),
+        F.coalesce(entropy(text & ~F.col("repeated")), F.lit(0.0)).alias("rest"), F.max(text).alias("has_text"))
     steps = F.split("path", ">")
     up = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), ">"))
-    above = per_path.select("host", F.explode(up).alias("path"), "own", F.when(F.size(steps) > 0, F.col("n_pages")).alias("n_pages"), F.col("path").alias("from"))
+    above = per_path.select("host", F.explode(up).alias("path"), "own", "rest", "n_pages", "has_text", F.col("path").alias("from"))
     return above.groupBy("host", "path").agg(F.max(F.when(F.col("path") == F.col("from"), F.col("n_pages"))).alias("n_pages"),
-                                             F.max("own").alias("importance"))
+                                             F.max("own").alias("importance"), F.max("rest").alias("diversity"), F.max("has_text").alias("holds_text"))
 
 
 def extract_pages(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
-    tree = importance(pages).where((F.col("n_pages") >= least_pages) & (F.col("importance") < threshold))
-    cuts = stored(tree.groupBy(F.col("host").alias("site")).agg(F.sort_array(F.collect_set("path")).alias("cut")), "site-cuts")
+    contents = weighed(counted(pages), threshold)
+    prose = F.udf(protected, "boolean")
+    tree = tree_of(contents).where((F.col("n_pages") >= least_pages) & F.col("holds_text"))
+    doubtful = F.col("path").endswith("!")
+    # unique blocks among many repeated ones: those go alone, the branch stays
+    dull = F.greatest("importance", "diversity") < threshold
+    tree = tree.where(dull | doubtful & (F.col("diversity") >= DOUBTFUL))
+    weak = F.when(dull & ~prose("path"), F.col("path"))
+    told = tree.select("host", weak.alias("cut"), F.when(doubtful & (F.col("diversity") >= DOUBTFUL), F.col("path")).alias("kept"),
+                       F.lit(None).cast("long").alias("repeated"))
+    told = told.unionByName(contents.where(F.col("repeated") & (F.col("n_pages") >= least_pages))
+                            .select("host", F.lit(None).cast("string").alias("cut"), F.lit(None).cast("string").alias("kept"),
+                                    F.col("feature").alias("repeated")))
+    cuts = stored(told.groupBy(F.col("host").alias("site")).agg(*[F.sort_array(F.collect_set(k)).alias(k) for k in ("cut", "kept", "repeated")]), "site-cuts")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    rows = rows.join(cuts, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "cut")
+    rows = rows.join(cuts, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "cut", "kept", "repeated")
 
     def run(batches):
         for b in batches:
-            cut = [frozenset(c or ()) for c in b.column(3).to_pylist()]
-            found = [extract(page, c) for page, c in zip(texts(b.column(2)), cut)]
+            sets = [[frozenset(x or ()) for x in b.column(k).to_pylist()] for k in (3, 4, 5)]
+            found = [extract(page, *site) for page, *site in zip(texts(b.column(2)), *sets)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.string()),
                                               pa.array(map(len, found), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

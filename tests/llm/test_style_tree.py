@@ -73,3 +73,32 @@ def test_nulls_repeats_and_empty_table(spark):
     df = spark.createDataFrame([(1, None, None), (1, None, None), (None, "x", "<p>a</p>")], "page_id long, url string, html string")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in extract_pages(df).collect()) == [(0, "a", 1), (1, "", 0), (1, "", 0)]
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_article_furniture_and_doubtful_branches(spark):
+    menu = "<ul><li>Home</li><li>Sports</li></ul>"
+    article = "<body><article>{menu}<p>Please read our terms.</p><p>Story {i} tells of {k}.</p><p>Then {k} ended.</p></article><div class=ad>Buy {k}</div></body>"
+    wrapped = "<body><div class=related-wrap><p>Please read our terms.</p><p>Tale {i} of {k}.</p></div><div class=sidebar><p>Links</p></div></body>"
+    holding = "<body><div class=widget-area><main><p>Note {i} of {k}.</p></main></div></body>"
+    crowded = "<body><div>" + "".join(f"<p>Rule {c}</p>" for c in "abcdefghij") + "<p>Unique {i} of {k}.</p></div></body>"
+    rows = [(100 * j + i, f"http://{j}.example/{i}", page.format(menu=menu, i=i, k=i * 7))
+            for j, page in enumerate([article, wrapped, holding, crowded]) for i in range(30)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(30):
+        assert got[i] == f"Story {i} tells of {i * 7}. Then {i * 7} ended."
+        assert got[100 + i] == f"Tale {i} of {i * 7}."
+        assert got[200 + i] == f"Note {i} of {i * 7}."
+        assert got[300 + i] == f"Unique {i} of {i * 7}."
+
+
+def test_repeated_prose_in_few_articles_stays(spark):
+    rows = [(i, f"http://a.example/{i}", f"<article><h2>{'Summary' if i < 4 else f'Part {i}'}</h2><p>{'Quote.' if i < 3 else f'Text {i}.'}</p></article>"
+             + "<p>x</p>" * (i % 2)) for i in range(30)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0].startswith("Summary Quote.") and got[20] == "Part 20 Text 20."
+
+
+def test_doubtful_inline_text_stays_in_its_block():
+    page = "<p>See <span class=related>other</span> things</p>"
+    assert extract(page, ()) == "See things"
+    assert extract(page, (), kept={">p>span.related!"}) == "See other things"
