@@ -3,11 +3,13 @@
 Texts become templates: numbers, units and names turn into typed placeholders,
 other words are lower-cased.  Windows of ``WINDOW`` template tokens of each
 benchmark item are hashed; the documents' windows are hash-joined with them.
-Windows that meet at one offset between document and item are one alignment; it
-counts as a leak if it covers enough of the item, and if the values in the
-placeholders are consistent: a value of the item stands for one value of the
-document throughout (the re-parameterised question), which random agreement of
-placeholders does not give.
+Windows that meet at one offset between document and item are one alignment, and
+alignments that follow each other in both texts are one chain, as where words
+were put into or left out of a copied passage; its offsets may drift by as much
+as the item has windows.  It counts as a leak if it covers enough of the item,
+and if the values in the placeholders are consistent: a value of the item stands
+for one value of the document throughout (the re-parameterised question), which
+random agreement of placeholders does not give.
 
 Template tokens: a number (``<num>``), a unit directly behind a number
 (``<unit>``), a run of capitalised words inside a sentence (``<name>``), else
@@ -30,6 +32,8 @@ columns are read, so further columns never clash.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from zlib import crc32
 
 import numpy as np
@@ -45,6 +49,7 @@ WINDOW = 8
 LITERALS = 4             # plain words that a window must hold
 COVERAGE = 0.5           # share of an item's windows that a leak matches ...
 RUN = 24                 # ... or so many matched windows of a longer item
+JUMP = 0.5               # matched windows that a change of the offset must outweigh
 BLOOM_BITS = 1 << 24     # 2 MB
 CACHED_WORDS = 200_000   # words whose class a task remembers
 BLOCK = 1 << 18          # tokens of a text handled at a time
@@ -218,9 +223,83 @@ def document_windows(docs: DataFrame, bits, widths: list[int]) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, text_key long, width int, hash long, doc_pos long, doc_slots array<string>")
 
 
+def chain(points: list[tuple]) -> list[tuple]:
+    """The best run of points (doc_pos, pos, ...), rising in both positions, by
+    their number less ``JUMP`` for every change of the offset."""
+    points = sorted(points, key=lambda p: (p[0], -p[1]))
+    places = sorted({p[1] for p in points})
+    tree = [(0.0, -1)] * (len(places) + 1)       # prefix maxima by place in the item
+    last: dict[int, tuple[float, int]] = {}
+    back, top = [], (0.0, -1)
+    for i, (d, p, *_) in enumerate(points):
+        place = k = bisect_left(places, p)
+        before = (0.0, -1)
+        while k > 0:
+            before = max(before, tree[k], key=lambda b: b[0])
+            k &= k - 1
+        came = max(last.get(d - p, (0.0, -1)), (before[0] - JUMP, before[1]), (0.0, -1), key=lambda b: b[0])
+        here = (came[0] + 1, i)
+        back.append(came[1])
+        last[d - p] = here
+        top = max(top, here, key=lambda b: b[0])
+        k = place + 1
+        while k <= len(places):
+            tree[k] = max(tree[k], here, key=lambda b: b[0])
+            k += k & -k
+    out, i = [], top[1]
+    while i >= 0:
+        out.append(points[i])
+        i = back[i]
+    return out[::-1]
+
+
+def consistent(slots: set[tuple]) -> bool:
+    """Each value of the item stands for one value of the document."""
+    return len({s[1:] for s in slots}) == len({s[1:3] for s in slots})
+
+
+def best_alignment(points: list[tuple], n_windows: int) -> tuple | None:
+    """(n_matched, n_slots, n_changed, first_token) of the largest leak among the
+    chain, the chain without its short links, and each offset alone; or None."""
+    offsets = defaultdict(list)
+    for p in points:
+        offsets[p[0] - p[1]].append(p)
+    tries = list(offsets.values())
+    if len(tries) > 1:
+        whole = chain(points)
+        often = defaultdict(int)
+        for p in whole:
+            often[p[0] - p[1]] += 1
+        tries += [whole, [p for p in whole if often[p[0] - p[1]] > 2]]
+    best = None
+    for found in tries:
+        n = len({p[1] for p in found})
+        if n < COVERAGE * n_windows and n < RUN or not n:
+            continue
+        slots = {s for p in found for s in p[2]}
+        if consistent(slots):
+            rank = n, -min(p[0] for p in found)
+            if best is None or rank > best[0]:
+                best = rank, len(slots), sum(s[2] != s[3] for s in slots)
+    return best and (best[0][0], best[1], best[2], -best[0][1])
+
+
+def best_alignments(batches):
+    for b in batches:
+        rows = []
+        for r in b.to_pylist():
+            points = [(p["doc_pos"], p["pos"], [(s["pos"], s["type"], s["item"], s["doc"]) for s in p["slots"]]) for p in r["points"]]
+            found = best_alignment(points, r["n_windows"])
+            if found:
+                rows.append((r["doc_id"], r["text_key"], r["item_id"], r["n_windows"], *found))
+        columns = list(zip(*rows)) if rows else [()] * 8
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                         names=["doc_id", "text_key", "item_id", "n_windows", "n_matched", "n_slots", "n_changed", "first_token"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_matched, n_windows, coverage, n_slots,
-    n_changed, first_token) for every document and item that it leaks: its best alignment;
+    n_changed, first_token) for every document and item that it leaks: its best chain;
     n_changed counts the slots whose value differs from the item's."""
     items = stored(bench_windows(benchmark), "bench-windows")
     widths = sorted(r.width for r in items.select("width").distinct().collect())
@@ -231,21 +310,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     value = lambda s: F.substring(s, F.length(part(s, 2)) + 2, F.length(s))
     pair = lambda d, i: F.struct(part(i, 1).cast("long").alias("pos"), F.element_at(F.split(i, " ", 3), 2).alias("type"),
                                  value(i).alias("item"), value(d).alias("doc"))
-    aligned = met.select("doc_id", "text_key", "item_id", "n_windows", "pos", "doc_pos", (F.col("doc_pos") - F.col("pos")).alias("offset"),
-                         F.zip_with("doc_slots", "item_slots", pair).alias("slots"))
-    runs = (aligned.groupBy("doc_id", "text_key", "item_id", "offset")
-            .agg(F.count_distinct("pos").alias("n_matched"), F.max("n_windows").alias("n_windows"),
-                 F.min("doc_pos").alias("first_token"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
-    # consistent: equal values of the item stay equal, different ones different
-    both = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"], s["doc"])))
-    left = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"])))
-    runs = runs.withColumn("consistent", F.size(both) == F.size(left))
-    good = runs.where("consistent").where((F.col("n_matched") >= COVERAGE * F.col("n_windows")) | (F.col("n_matched") >= RUN))
-    best = F.max_by(F.struct("n_matched", "n_windows", "slots", "first_token"), F.struct("n_matched", -F.col("first_token"))).alias("b")
+    # a neighbourhood of offsets grows with the item only; filed under two, each
+    # chain that drifts by less than one lies wholly in one of them
+    near = F.floor((F.col("doc_pos") - F.col("pos")) / F.greatest(F.lit(2 * WINDOW), F.col("n_windows")))
+    point = F.struct("doc_pos", "pos", F.zip_with("doc_slots", "item_slots", pair).alias("slots"))
+    groups = (met.select("doc_id", "text_key", "item_id", "n_windows", F.explode(F.array(near, near + 1)).alias("near"), point.alias("p"))
+              .groupBy("doc_id", "text_key", "item_id", "n_windows", "near").agg(F.collect_set("p").alias("points")))
+    matched = F.size(F.array_distinct(F.transform("points", lambda p: p["pos"])))
+    hopeful = groups.where((matched >= COVERAGE * F.col("n_windows")) | (matched >= RUN)).drop("near")
+    good = hopeful.mapInArrow(best_alignments, "doc_id long, text_key long, item_id long, n_windows long, n_matched long, n_slots long, "
+                                               "n_changed long, first_token long")
+    best = F.max_by(F.struct("n_matched", "n_windows", "n_slots", "n_changed", "first_token"),
+                    F.struct("n_matched", -F.col("first_token"), "n_windows")).alias("b")
     found = good.groupBy("doc_id", "text_key", "item_id").agg(best)
     return found.select("doc_id", "text_key", "item_id", "b.n_matched", "b.n_windows",
-                        (F.col("b.n_matched") / F.col("b.n_windows")).alias("coverage"), F.size("b.slots").cast("long").alias("n_slots"),
-                        F.size(F.filter("b.slots", lambda s: s["item"] != s["doc"])).cast("long").alias("n_changed"), "b.first_token")
+                        (F.col("b.n_matched") / F.col("b.n_windows")).alias("coverage"), "b.n_slots", "b.n_changed", "b.first_token")
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -57,3 +57,27 @@ def test_stage_keeps_clean_rows_and_columns(spark):
     assert sorted(r.width for r in kept.collect()) == ["b", "b", "d"]
     assert drop_leaking(docs.limit(0).drop("leak_key"), bench).count() == 0
     assert drop_leaking(docs.drop("leak_key"), bench.limit(0)).count() == 5
+
+
+def test_words_put_in_or_left_out_of_a_passage(spark):
+    words = [f"{a}{b}" for a in "abcdefgh" for b in ("ral", "mon", "tig", "sel", "vun", "kep", "dor")]
+    short, long = " ".join(words[:30]), " ".join(words)
+    put = lambda t, k, x="quite": " ".join([*t.split()[:k], x, *t.split()[k:]])
+    out = " ".join(w for k, w in enumerate(long.split()) if k != 28)
+    tale = "a train leaves the old town at 5 and then goes along 12 red bridges over one small river for its people"
+    more = tale.replace(" 5 ", " twenty five ").replace(" 12 ", " 3 1/2 ")
+    scattered = " ".join(" ".join(words[k:k + 8]) + " x" * 40 for k in (0, 12, 20))
+    docs = [put(short, 15), "some text " + put(long, 28), out, put(put(long, 20), 40, "so very"), more, scattered,
+            " ".join(reversed(short.split())), f"{put(short, 15)} and again {put(short, 15)}"]
+    got = found(spark, docs, [short, long, tale])
+    assert {(0, 0), (1, 1), (2, 1), (3, 1), (7, 0)} <= set(got)
+    assert got[0, 0].n_matched == 16 and got[7, 0].n_matched == 16 and got[0, 0].first_token == 0
+    assert not {d for d, _ in got} & {5, 6}
+
+
+def test_chain_rises_in_both_texts():
+    from lociframe.llm.decontam import chain
+    assert chain([(0, 0), (1, 1), (5, 2), (6, 3)]) == [(0, 0), (1, 1), (5, 2), (6, 3)]
+    assert chain([(0, 5), (1, 6), (2, 7), (3, 0)]) == [(0, 5), (1, 6), (2, 7)]
+    two = [(k, k) for k in range(9)] + [(k + 30, k) for k in range(9)]
+    assert len({d - p for d, p in chain(two)}) == 1 and len(chain(two)) == 9
