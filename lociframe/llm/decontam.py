@@ -8,13 +8,23 @@ alignments that follow each other in both texts are one chain, as where words
 were put into or left out of a copied passage; its offsets may drift by as much
 as the item has windows.  It counts as a leak if it covers enough of the item,
 and if the values in the placeholders are consistent: a value of the item stands
-for one value of the document throughout (the re-parameterised question), which
-random agreement of placeholders does not give.
+for one value of the document throughout (the re-parameterised question), but for
+a tolerated share of its places; random agreement of placeholders does not give that.
 
 Template tokens: a number (``<num>``), a unit directly behind a number
 (``<unit>``), a run of capitalised words inside a sentence (``<name>``), else
 the lower-cased word.  Words in capitals are words.  A window needs
-``LITERALS`` plain words, so tables of numbers meet nothing.
+``LITERALS`` plain words, so tables of numbers meet nothing by their template.
+
+Whether a word is a name depends on its place and case, so texts have several
+forms: ``PLAIN_FORM`` as above; ``KNOWN``, where words that are names elsewhere in
+the text are names whatever their case or place; ``FIRST``, where capitalised
+words that start a sentence are names too; and, of items only, ``BARE``, without
+names, which meets copies in lower case or in capitals.  A document gives the
+windows in which its forms differ, and an item is matched form by form.  An item
+without a good window in any form is matched by all its tokens as they are
+(``EXACT``), one after another; one of fewer than ``LITERALS`` tokens only by a
+document that consists of it.
 
 Scale: a Bloom filter over the benchmark's window hashes (its size is a
 parameter, whatever the benchmark) goes to the executors and drops nearly all
@@ -22,9 +32,7 @@ document windows before the join; what it lets through by chance the join
 removes.  No document text is shuffled.
 
 Defined results: null or empty texts have no windows and are clean; items of
-fewer than ``WINDOW`` tokens are one window of their own length; items with
-fewer than ``LITERALS`` plain words in every window cannot be recognised and
-match nothing; repeated rows are reported once per (id, text); rows with a null
+fewer than ``WINDOW`` tokens are one window of their own length; repeated rows are reported once per (id, text); rows with a null
 id are reported with a null id; empty tables give an empty result.  Only the named
 columns are read, so further columns never clash.
 """
@@ -34,7 +42,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import defaultdict
-from zlib import crc32
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -49,6 +57,7 @@ WINDOW = 8
 LITERALS = 4             # plain words that a window must hold
 COVERAGE = 0.5           # share of an item's windows that a leak matches ...
 RUN = 24                 # ... or so many matched windows of a longer item
+CONFLICTS = 0.1          # share of an alignment's slots that may be inconsistent
 JUMP = 0.5               # matched windows that a change of the offset must outweigh
 BLOOM_BITS = 1 << 24     # 2 MB
 CACHED_WORDS = 200_000   # words whose class a task remembers
@@ -64,17 +73,31 @@ grams kilometer kilometers kilometre kilometres""".split())
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]|[%‰$€£¥°]")
 NUM, UNIT, NAME = (xxhash.xxh64_intdigest(x, 1) for x in ("num", "unit", "name"))
 PLAIN, NUMBER, TITLE, STOP, UNIT_WORD = 0, 1, 2, 3, 4
+PLAIN_FORM, KNOWN, FIRST, BARE, EXACT = 0, 1, 2, 3, 4
 LEAF = pa.list_(pa.string())
 
 
-class Tokens:
-    """Template tokens of a text: hash, slot type (0: plain word) and the
-    text's value, of each; a bounded cache keeps the class of known words."""
+class Form(NamedTuple):
+    """A text's template tokens: hashes, slot types (0: plain word), the word at
+    which each stands, and its place among the plain form's tokens."""
+    hashes: np.ndarray
+    slot: np.ndarray
+    at: np.ndarray
+    place: np.ndarray
+
+
+class Tokens(dict):
+    """Template tokens of texts; a bounded cache keeps the class of known words
+    by their number."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
+        self.start()
+
+    def start(self) -> None:
+        self.clear()
+        self.hashes, self.kinds = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8)
 
-    def look(self, w: str) -> tuple[int, int]:
+    def __missing__(self, w: str) -> int:
         low = w.lower()
         if w[0].isdigit():
             kind = NUMBER
@@ -86,30 +109,56 @@ class Tokens:
             kind = TITLE
         else:
             kind = PLAIN
-        v = self.known[w] = (xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 0), kind)
-        return v
-
-    def template(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """(hashes, slot types, position of each token's word, words)."""
+        n = len(self)
+        if n == len(self.kinds):
+            self.hashes, self.kinds = np.resize(self.hashes, 2 * n), np.resize(self.kinds, 2 * n)
+        self.hashes[n], self.kinds[n] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 0), kind
+        self[w] = n
+        return n
+
+    def forms(self, text: str, wanted: tuple = (PLAIN_FORM,)) -> tuple[dict[int, Form], list[str]]:
+        """The wanted forms that differ from the plain one, with it, and the words."""
         words = TOKEN.findall(text)
-        known, look = self.known, self.look
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        found = [known.get(w) or look(w) for w in words]
-        if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64), []
-        hashes = np.fromiter((f[0] for f in found), np.uint64, len(found))
-        kind = np.fromiter((f[1] for f in found), np.int8, len(found))
-        before = np.concatenate([[STOP], kind[:-1]])
-        name = (kind == TITLE) & (before != STOP)
+        if len(self) > CACHED_WORDS:
+            self.start()
+        number_of = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        own, kind = self.hashes[number_of], self.kinds[number_of]
+        stop = kind == STOP
+        after_stop = np.concatenate([[True], stop[:-1]])[:len(kind)]
         number = kind == NUMBER
-        unit = (kind == UNIT_WORD) & (before == NUMBER)
-        slot = np.where(number, 1, np.where(unit, 2, np.where(name, 3, 0))).astype(np.int8)
-        hashes[number], hashes[unit], hashes[name] = NUM, UNIT, NAME
-        keep = kind != STOP
-        keep[1:] &= ~(name[1:] & name[:-1])      # a run of names is one slot
-        at = np.flatnonzero(keep)
-        return hashes[at], slot[at], at, words
+        unit = kind == UNIT_WORD
+        unit[1:] &= number[:-1]
+        unit[:1] = False
+        title = kind == TITLE
+        inside = title & ~after_stop
+
+        def form(name: np.ndarray) -> Form:
+            slot = np.where(name, np.int8(3), np.int8(0))
+            hashes = np.where(name, np.uint64(NAME), own)
+            slot[number], slot[unit] = 1, 2
+            hashes[number], hashes[unit] = NUM, UNIT
+            keep = ~stop
+            keep[1:] &= ~(name[1:] & name[:-1])      # a run of names is one slot
+            at = np.flatnonzero(keep)
+            return Form(hashes[at], slot[at], at, at)
+
+        plain = form(inside)
+        out = {PLAIN_FORM: plain._replace(place=np.arange(len(plain.at)))}
+        for f in wanted:
+            if f == EXACT:
+                at = np.flatnonzero(~stop)
+                out[EXACT] = Form(own[at], np.zeros(len(at), np.int8), at, np.arange(len(at)))
+                continue
+            if f == FIRST:
+                name = title
+            elif f == KNOWN:
+                name = inside | np.isin(own, np.unique(own[inside])) & ~number & ~unit & ~stop if inside.any() else inside
+            else:
+                name = np.zeros(len(kind), bool)
+            if f != PLAIN_FORM and (name != inside).any():
+                made = form(name)
+                out[f] = made._replace(place=np.searchsorted(plain.at, made.at, "right") - 1)
+        return out, words
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -130,42 +179,79 @@ def windows(hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarra
     return h, plain[width:] - plain[:n] >= LITERALS
 
 
-def slot_values(at: np.ndarray, slot: np.ndarray, words: list[str], start: int, width: int) -> list[str]:
-    """"offset type value" of the slots of one window; a run of names whole."""
-    out = []
+def windows_at(hashes: np.ndarray, slot: np.ndarray, width: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the windows at ``starts`` only."""
+    h = np.full(len(starts), width, np.uint64)
+    for i in range(width):
+        h = mix(h ^ hashes[starts + i])
+    plain = np.concatenate([[0], np.cumsum(slot == 0)])
+    return h, plain[starts + width] - plain[starts] >= LITERALS
+
+
+def differing(form: Form, plain: Form, width: int) -> np.ndarray:
+    """Starts of the windows of a form that are not windows of the plain form."""
+    n = len(form.at) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    # tokens that differ, or behind which plain tokens are left out
+    new = form.hashes != plain.hashes[form.place]
+    new[:-1] |= np.diff(form.place) != 1
+    sums = np.concatenate([[0], np.cumsum(new)])
+    return np.flatnonzero(sums[width:] > sums[:n])
+
+
+def slot_values(form: Form, words: list[str], start: int, width: int) -> list[str]:
+    """"place type value" of the slots of one window; a run of names whole."""
+    at, slot, out = form.at, form.slot, []
     for i in range(start, start + width):
         if slot[i]:
             value = words[at[i]].lower()
             if slot[i] == 3:
                 k = at[i] + 1
-                while k < len(words) and k < at[i] + 6 and words[k][0].isupper() and (i + 1 >= len(at) or k < at[i + 1]):
+                while k < len(words) and k < at[i] + 6 and words[k] not in ".!?\n" and (i + 1 >= len(at) or k < at[i + 1]):
                     value += " " + words[k].lower()
                     k += 1
-            out.append(f"{i} {slot[i]} {value}")
+            out.append(f"{form.place[i]} {slot[i]} {value}")
     return out
 
 
+def item_rows(item, text: str, tokens: Tokens) -> list[tuple]:
+    """(item_id, form, width, hash, pos, slots, n_windows) of one item."""
+    forms, words = tokens.forms(text, (KNOWN, FIRST, BARE, EXACT))
+    rows = []
+    for f, form in sorted(forms.items()):
+        n = len(form.hashes)
+        width = min(WINDOW, n)
+        if f == EXACT:
+            if rows or not n:
+                continue
+            h = windows(form.hashes, form.slot, width)[0]
+            # a negative width: all tokens as they are
+            rows += [(item, f, -width, int(h[p].view(np.int64)), p, [], len(h)) for p in range(len(h))]
+        elif width >= LITERALS:
+            h, good = windows(form.hashes, form.slot, width)
+            total = len(np.unique(form.place[np.flatnonzero(good)]))
+            rows += [(item, f, width, int(h[p].view(np.int64)), int(form.place[p]), slot_values(form, words, int(p), width), total)
+                     for p in np.flatnonzero(good)]
+    return rows
+
+
 def bench_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, width, hash, pos, slots, n_windows) of every item."""
+    """(item_id, form, width, hash, pos, slots, n_windows) of every item."""
     def run(batches):
         tokens = Tokens()
         for b in batches:
             rows = []
             for item, text in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                hashes, slot, at, words = tokens.template(text)
-                width = min(WINDOW, len(hashes))
-                h, good = windows(hashes, slot, width) if width >= LITERALS else (np.zeros(0, np.uint64), np.zeros(0, bool))
-                total = int(good.sum())
-                rows += [(item, width, int(h[p].view(np.int64)), int(p), slot_values(at, slot, words, int(p), width), total)
-                         for p in np.flatnonzero(good)]
-            columns = list(zip(*rows)) if rows else [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), LEAF, pa.int64()]
+                rows += item_rows(item, text, tokens)
+            columns = list(zip(*rows)) if rows else [()] * 7
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), LEAF, pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["item_id", "width", "hash", "pos", "item_slots", "n_windows"])
+                                             names=["item_id", "form", "width", "hash", "pos", "item_slots", "n_windows"])
 
     # one row per (item, text): repeated rows of the benchmark count once
     narrow = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    return narrow.mapInArrow(run, "item_id long, width int, hash long, pos long, item_slots array<string>, n_windows long")
+    return narrow.mapInArrow(run, "item_id long, form int, width int, hash long, pos long, item_slots array<string>, n_windows long")
 
 
 def bloom_of(hashes: DataFrame) -> np.ndarray:
@@ -199,28 +285,48 @@ def maybe(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def document_windows(docs: DataFrame, bits, widths: list[int]) -> DataFrame:
-    """(doc_id, text_key, hash, pos, slots) of the windows that may meet the
+    """(doc_id, text_key, doc_form, hash, pos, slots) of the windows that may meet the
     benchmark's; long texts are handled in overlapping blocks of tokens."""
+    wanted = (KNOWN, FIRST, EXACT) if widths and widths[0] < 0 else (KNOWN, FIRST)
+
+    def hits(forms: dict[int, Form], filter_bits):
+        for f, form in forms.items():
+            n = len(form.hashes)
+            for width in widths:
+                if (width < 0) != (f == EXACT) or -LITERALS < width < 0 and n != -width:
+                    continue
+                wide = abs(width)
+                starts = differing(form, forms[PLAIN_FORM], wide) if f in (KNOWN, FIRST) else None
+                for start in range(0, n if starts is None else len(starts), BLOCK):
+                    if starts is None:
+                        h, good = windows(form.hashes[start:start + BLOCK + wide - 1], form.slot[start:start + BLOCK + wide - 1], wide)
+                        good |= f == EXACT
+                        found = np.flatnonzero(good & maybe(filter_bits, h))
+                        at = found + start
+                    else:
+                        some = starts[start:start + BLOCK]
+                        h, good = windows_at(form.hashes, form.slot, wide, some)
+                        found = np.flatnonzero(good & maybe(filter_bits, h))
+                        at = some[found]
+                    for k, p in zip(found, at):
+                        yield f, form, width, int(h[k].view(np.int64)), int(p)
+
     def run(batches):
         tokens, filter_bits = Tokens(), bits.value
         for b in batches:
             rows = []
             for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2))):
-                hashes, slot, at, words = tokens.template(text)
-                for width in widths:
-                    for start in range(0, len(hashes), BLOCK):
-                        h, good = windows(hashes[start:start + BLOCK + width - 1], slot[start:start + BLOCK + width - 1], width)
-                        hits = np.flatnonzero(good & maybe(filter_bits, h))
-                        rows += [(doc, key, width, int(h[p].view(np.int64)), start + int(p),
-                                  slot_values(at, slot, words, start + int(p), width)) for p in hits]
-            columns = list(zip(*rows)) if rows else [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), LEAF]
+                forms, words = tokens.forms(text, wanted)
+                rows += [(doc, key, f, width, h, int(form.place[p]), slot_values(form, words, p, width))
+                         for f, form, width, h, p in hits(forms, filter_bits)]
+            columns = list(zip(*rows)) if rows else [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), LEAF]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["doc_id", "text_key", "width", "hash", "doc_pos", "doc_slots"])
+                                             names=["doc_id", "text_key", "doc_form", "width", "hash", "doc_pos", "doc_slots"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
                          F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text_key long, width int, hash long, doc_pos long, doc_slots array<string>")
+    return narrow.mapInArrow(run, "doc_id long, text_key long, doc_form int, width int, hash long, doc_pos long, doc_slots array<string>")
 
 
 def chain(points: list[tuple]) -> list[tuple]:
@@ -254,18 +360,23 @@ def chain(points: list[tuple]) -> list[tuple]:
 
 
 def consistent(slots: set[tuple]) -> bool:
-    """Each value of the item stands for one value of the document."""
-    return len({s[1:] for s in slots}) == len({s[1:3] for s in slots})
+    """Each value of the item stands for one value of the document, but for a
+    small share of the item's slots."""
+    places = defaultdict(lambda: defaultdict(set))
+    for pos, kind, item, doc in slots:
+        places[kind, item][doc].add(pos)
+    conflicts = sum(sum(map(len, docs.values())) - max(map(len, docs.values())) for docs in places.values())
+    return conflicts <= CONFLICTS * len({s[0] for s in slots})
 
 
-def best_alignment(points: list[tuple], n_windows: int) -> tuple | None:
+def best_alignment(points: list[tuple], n_windows: int, exact: bool = False) -> tuple | None:
     """(n_matched, n_slots, n_changed, first_token) of the largest leak among the
     chain, the chain without its short links, and each offset alone; or None."""
     offsets = defaultdict(list)
     for p in points:
         offsets[p[0] - p[1]].append(p)
     tries = list(offsets.values())
-    if len(tries) > 1:
+    if len(tries) > 1 and not exact:
         whole = chain(points)
         often = defaultdict(int)
         for p in whole:
@@ -274,7 +385,7 @@ def best_alignment(points: list[tuple], n_windows: int) -> tuple | None:
     best = None
     for found in tries:
         n = len({p[1] for p in found})
-        if n < COVERAGE * n_windows and n < RUN or not n:
+        if exact and n < n_windows or n < COVERAGE * n_windows and n < RUN or not n:
             continue
         slots = {s for p in found for s in p[2]}
         if consistent(slots):
@@ -284,17 +395,36 @@ def best_alignment(points: list[tuple], n_windows: int) -> tuple | None:
     return best and (best[0][0], best[1], best[2], -best[0][1])
 
 
+def of_one_form(points: list[dict], form: int) -> list[dict]:
+    """Without the plain form's points beside which the item's own form has one:
+    there a name is cut short ("Lee" of "Anna Lee" at a sentence's start)."""
+    own = defaultdict(list)
+    for p in points:
+        if form != PLAIN_FORM and p["doc_form"] == form:
+            own[p["pos"]].append(p["doc_pos"])
+    for at in own.values():
+        at.sort()
+
+    def beside(p: dict) -> bool:
+        at = own.get(p["pos"], ())
+        i = bisect_left(at, p["doc_pos"] - WINDOW)
+        return i < len(at) and at[i] <= p["doc_pos"] + WINDOW
+
+    return [p for p in points if p["doc_form"] == form or not beside(p)]
+
+
 def best_alignments(batches):
     for b in batches:
         rows = []
         for r in b.to_pylist():
-            points = [(p["doc_pos"], p["pos"], [(s["pos"], s["type"], s["item"], s["doc"]) for s in p["slots"]]) for p in r["points"]]
-            found = best_alignment(points, r["n_windows"])
+            points = [(p["doc_pos"], p["pos"], [(s["pos"], s["type"], s["item"], s["doc"]) for s in p["slots"]])
+                      for p in of_one_form(r["points"], r["form"])]
+            found = best_alignment(points, r["n_windows"], r["form"] == EXACT)
             if found:
-                rows.append((r["doc_id"], r["text_key"], r["item_id"], r["n_windows"], *found))
-        columns = list(zip(*rows)) if rows else [()] * 8
+                rows.append((r["doc_id"], r["text_key"], r["item_id"], r["form"], r["n_windows"], *found))
+        columns = list(zip(*rows)) if rows else [()] * 9
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                         names=["doc_id", "text_key", "item_id", "n_windows", "n_matched", "n_slots", "n_changed", "first_token"])
+                                         names=["doc_id", "text_key", "item_id", "form", "n_windows", "n_matched", "n_slots", "n_changed", "first_token"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -305,6 +435,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     widths = sorted(r.width for r in items.select("width").distinct().collect())
     bits = docs.sparkSession.sparkContext.broadcast(bloom_of(items))
     met = document_windows(docs, bits, widths).join(items, ["width", "hash"])
+    # unlike forms share windows by chance only, but for the plain form's
+    met = met.where((F.col("doc_form") == F.col("form")) | (F.col("doc_form") == PLAIN_FORM) & (F.col("form") != EXACT))
     # slots of a window are named by their position; the offset aligns them
     part = lambda s, i: F.substring_index(s, " ", i)
     value = lambda s: F.substring(s, F.length(part(s, 2)) + 2, F.length(s))
@@ -313,15 +445,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # a neighbourhood of offsets grows with the item only; filed under two, each
     # chain that drifts by less than one lies wholly in one of them
     near = F.floor((F.col("doc_pos") - F.col("pos")) / F.greatest(F.lit(2 * WINDOW), F.col("n_windows")))
-    point = F.struct("doc_pos", "pos", F.zip_with("doc_slots", "item_slots", pair).alias("slots"))
-    groups = (met.select("doc_id", "text_key", "item_id", "n_windows", F.explode(F.array(near, near + 1)).alias("near"), point.alias("p"))
-              .groupBy("doc_id", "text_key", "item_id", "n_windows", "near").agg(F.collect_set("p").alias("points")))
+    point = F.struct("doc_pos", "pos", "doc_form", F.zip_with("doc_slots", "item_slots", pair).alias("slots"))
+    groups = (met.select("doc_id", "text_key", "item_id", "form", "n_windows", F.explode(F.array(near, near + 1)).alias("near"), point.alias("p"))
+              .groupBy("doc_id", "text_key", "item_id", "form", "n_windows", "near").agg(F.collect_set("p").alias("points")))
     matched = F.size(F.array_distinct(F.transform("points", lambda p: p["pos"])))
     hopeful = groups.where((matched >= COVERAGE * F.col("n_windows")) | (matched >= RUN)).drop("near")
-    good = hopeful.mapInArrow(best_alignments, "doc_id long, text_key long, item_id long, n_windows long, n_matched long, n_slots long, "
+    good = hopeful.mapInArrow(best_alignments, "doc_id long, text_key long, item_id long, form long, n_windows long, n_matched long, n_slots long, "
                                                "n_changed long, first_token long")
     best = F.max_by(F.struct("n_matched", "n_windows", "n_slots", "n_changed", "first_token"),
-                    F.struct("n_matched", -F.col("first_token"), "n_windows")).alias("b")
+                    F.struct("n_matched", -F.col("form"), -F.col("first_token"), "n_windows")).alias("b")
     found = good.groupBy("doc_id", "text_key", "item_id").agg(best)
     return found.select("doc_id", "text_key", "item_id", "b.n_matched", "b.n_windows",
                         (F.col("b.n_matched") / F.col("b.n_windows")).alias("coverage"), "b.n_slots", "b.n_changed", "b.first_token")

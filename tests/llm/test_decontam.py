@@ -81,3 +81,22 @@ def test_chain_rises_in_both_texts():
     assert chain([(0, 5), (1, 6), (2, 7), (3, 0)]) == [(0, 5), (1, 6), (2, 7)]
     two = [(k, k) for k in range(9)] + [(k + 30, k) for k in range(9)]
     assert len({d - p for d, p in chain(two)}) == 1 and len(chain(two)) == 9
+
+
+def test_names_in_every_place_and_case(spark):
+    tom = "Tom has 3 apples. Tom buys 5 more. Tom eats 2. How many apples does Tom have left?"
+    start = "Tom has 3 red apples in the box. Tom then buys 5 more of them."      # never inside a sentence
+    docs = [tom.replace("Tom", "Sam"), tom.lower(), tom.upper(), start.replace("Tom", "Anna Lee"), ITEM.lower(),
+            f"Other words come first. {tom.replace('Tom', 'Sam').replace('5', '8')} And some go after.", tom.replace("Tom", "Sam").replace("SAM", "sam")]
+    got = found(spark, docs, [tom, start, ITEM])
+    assert {(0, 0), (1, 0), (2, 0), (3, 1), (4, 2), (5, 0), (6, 0)} <= set(got)
+    assert {i for d, i in got if d == 4} == {2}
+    assert got[0, 0].n_changed > 0
+
+
+def test_one_conflict_in_many_slots_and_items_without_windows(spark):
+    many = " and ".join(f"the old box number {k} holds some {k + 50} coins" for k in (1, 2, 3, 4, 5, 6, 7, 1))
+    digits, tiny, sums = "3 1 4 1 5 9 2 6 5 3 5", "Why not?", "What is 7 times 8?"
+    docs = [many.replace("number 1", "number 9", 1), f"so {digits} it is", digits.replace("9", "8"), "why NOT", "and why not today",
+            "He asked: what is 7 times 8? Then he left", "what is 7 times 9"]
+    assert set(found(spark, docs, [many, digits, tiny, sums])) == {(0, 0), (1, 1), (3, 2), (5, 3)}
