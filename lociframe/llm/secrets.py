@@ -4,7 +4,8 @@ Base kinds (always reported): ``assign`` (a key word, a separator and a value),
 ``access`` (cloud access identifiers) and ``hex`` (long hexadecimal runs).
 
 Weak candidates say little alone: an identifier beside a user or client key
-word, an unlabelled 40-character secret, an endpoint.  They are reported only
+word, an unlabelled secret (a run of ``LEAST_SECRET`` key characters or more, of
+mixed classes or high entropy), an endpoint; none has an upper length.  They are reported only
 where complementary parts meet: the text is cut into scopes (runs of lines
 without an empty line between them, in windows of at most ``SCOPE`` characters
 around a part), the parts of a scope are interval-joined, and
@@ -28,6 +29,8 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
+from math import log2
 
 import pandas as pd
 import pyarrow as pa
@@ -47,10 +50,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
-IDENT = re.compile(r"""\b(?:access_?key_?id|client_?id|account|user(?:_?name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,64})""",
+IDENT = re.compile(r"""\b(?:access_?key_?id|client_?id|account|user(?:_?name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""",
                    re.IGNORECASE | re.ASCII)
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|s3)://[^\s\"'<>]{4,200}", re.ASCII)
+LEAST_SECRET, ENTROPY = 32, 4.2     # bits a character that letters of one case and digits need
+SECRET = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{LEAST_SECRET},}}+={{0,2}}+(?![A-Za-z0-9+/_=-])")
+ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|s3)://[^\s\"'<>]{4,}", re.ASCII)
 EMPTY_LINE = re.compile(r"\n[ \t\r]*\n")
 
 Span = tuple[str, int, int]
@@ -68,10 +72,18 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def secret_like(run: str) -> bool:
+    """Upper and lower case letters and digits, or digits and letters of one
+    case in the disorder of a random key."""
+    upper, lower, digit = (re.search(c, run) for c in ("[A-Z]", "[a-z]", "[0-9]"))
+    if not digit or not (upper or lower):
+        return False
+    return bool(upper and lower) or -sum(n / len(run) * log2(n / len(run)) for n in Counter(run).values()) >= ENTROPY
+
+
 def weak_parts(text: str) -> list[Span]:
     out = [("ident", m.start(), m.end()) for m in IDENT.finditer(text)] if ":" in text or "=" in text else []
-    out += [("secret", m.start(), m.end()) for m in SECRET.finditer(text)
-            if re.search(r"[A-Z]", m[0]) and re.search(r"[a-z]", m[0]) and re.search(r"[0-9]", m[0])]
+    out += [("secret", m.start(), m.end()) for m in SECRET.finditer(text) if secret_like(m[0])]
     if "://" in text:
         out += [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
     return out
@@ -82,7 +94,7 @@ class Near:
 
     def __init__(self, parts: list[Span], breaks: list[int]):
         self.parts, self.breaks = sorted(parts, key=lambda p: (p[1], p[2])), breaks
-        self.starts = [p[1] for p in self.parts]
+        self.starts, self.ends = [p[1] for p in self.parts], sorted(p[2] for p in self.parts)
 
     def beside(self, part: Span) -> bool:
         """A part other than and apart from ``part`` stands within SCOPE
@@ -91,17 +103,12 @@ class Near:
         scope = bisect_right(self.breaks, start)
         low = max(start - SCOPE, self.breaks[scope - 1] if scope else 0)
         high = min(end + SCOPE, self.breaks[scope] if scope < len(self.breaks) else end + SCOPE)
-        # the nearest following and preceding ones decide; parts of one kind
-        # never overlap, so a step past those that overlap ``part`` is enough
+        # the nearest following start and the nearest preceding end decide
         i = bisect_left(self.starts, end)
         if i < len(self.parts) and self.parts[i][1] < high:
             return True
-        i = bisect_left(self.starts, start) - 1
-        while i >= 0 and self.parts[i][1] >= low:
-            if self.parts[i][2] <= start:
-                return True
-            i -= 1
-        return False
+        i = bisect_right(self.ends, start) - 1
+        return i >= 0 and self.ends[i] >= low
 
 
 def linked(text: str, base: list[Span]) -> list[Span]:

@@ -85,3 +85,22 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
     clean = redact_documents(df.withColumn("n_chars", F.length("text").cast("long")))
     assert clean.columns == [*df.columns, "n_chars"]
     assert sorted((r.text or "", r.n_chars or 0) for r in clean.collect()) == [("", 0), ("", 0), ("[assign removed]", 16), ("[assign removed]", 16)]
+
+
+def test_parts_of_any_length_are_whole():
+    name, url = "Ab1_" * 18, "postgres://db.example.org/" + "q" * 300
+    text = f"client_id = {name}\n{B64}\n{url} end"
+    assert redact(text) == "[ident removed]\n[secret removed]\n[endpoint removed] end"
+    rng = random.Random(5)
+    for n, pad, letters in ((32, "", "aB3xY9"), (43, "=", "Zz0+/q"), (64, "", "k7Qw_-"), (86, "==", "aB3xY9"),
+                            (48, "", "abcdefghijklmnopqrstuvwxyz0123456789")):
+        key = "".join(rng.choice(letters) for _ in range(n - 3)) + ("a7b" if letters.islower() else "aB7")
+        assert redact(f"login: bob {key}{pad} x") == "[ident removed] [secret removed] x"
+    assert linked(f"login: bob {'internationalization_of_words_and_names'}", []) == []
+
+
+def test_a_long_preceding_part_is_beside():
+    text = "token=" + "a.b=" * 150 + " user: bob"
+    assert [p[0] for p in scan(text)[1]] == ["assign", "ident"]
+    far = "token=abcdef" + " x" * 250 + " user: bob"
+    assert [p[0] for p in scan(far)[1]] == ["assign"]
