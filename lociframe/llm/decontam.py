@@ -167,37 +167,40 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
+STEP = 0x9E3779B97F4A7C15
+POWERS = np.cumprod(np.full(BLOCK + 2 * WINDOW, STEP, np.uint64))
+INVERSES = np.cumprod(np.full(BLOCK + 2 * WINDOW, pow(STEP, -1, 1 << 64), np.uint64))
+
+
 def windows(hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each window, whether it holds enough plain words)."""
+    """(hash of each window, whether it holds enough plain words); the hash is a
+    polynomial of the tokens', from prefix sums.  Of longer texts than a block
+    the caller gives blocks, or pays for powers of its own."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    h = np.full(n, width, np.uint64)
-    for i in range(width):
-        h = mix(h ^ hashes[i:i + n])
-    plain = np.concatenate([[0], np.cumsum(slot == 0)])
+    powers, inverses = POWERS, INVERSES
+    if len(hashes) > len(powers):
+        powers, inverses = (np.cumprod(np.full(len(hashes), x, np.uint64)) for x in (STEP, pow(STEP, -1, 1 << 64)))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * inverses[:len(hashes)], out=sums[1:])
+    h = mix((sums[width:] - sums[:n]) * powers[:n] + np.uint64(width))
+    plain = np.zeros(len(slot) + 1, np.int32)
+    np.cumsum(slot == 0, out=plain[1:])
     return h, plain[width:] - plain[:n] >= LITERALS
 
 
-def windows_at(hashes: np.ndarray, slot: np.ndarray, width: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same for the windows at ``starts`` only."""
-    h = np.full(len(starts), width, np.uint64)
-    for i in range(width):
-        h = mix(h ^ hashes[starts + i])
-    plain = np.concatenate([[0], np.cumsum(slot == 0)])
-    return h, plain[starts + width] - plain[starts] >= LITERALS
-
-
 def differing(form: Form, plain: Form, width: int) -> np.ndarray:
-    """Starts of the windows of a form that are not windows of the plain form."""
+    """Whether each window of a form is not one of the plain form."""
     n = len(form.at) - width + 1
     if n <= 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, bool)
     # tokens that differ, or behind which plain tokens are left out
     new = form.hashes != plain.hashes[form.place]
     new[:-1] |= np.diff(form.place) != 1
-    sums = np.concatenate([[0], np.cumsum(new)])
-    return np.flatnonzero(sums[width:] > sums[:n])
+    sums = np.zeros(len(new) + 1, np.int32)
+    np.cumsum(new, out=sums[1:])
+    return sums[width:] > sums[:n]
 
 
 def slot_values(form: Form, words: list[str], start: int, width: int) -> list[str]:
@@ -296,20 +299,17 @@ def document_windows(docs: DataFrame, bits, widths: list[int]) -> DataFrame:
                 if (width < 0) != (f == EXACT) or -LITERALS < width < 0 and n != -width:
                     continue
                 wide = abs(width)
-                starts = differing(form, forms[PLAIN_FORM], wide) if f in (KNOWN, FIRST) else None
-                for start in range(0, n if starts is None else len(starts), BLOCK):
-                    if starts is None:
-                        h, good = windows(form.hashes[start:start + BLOCK + wide - 1], form.slot[start:start + BLOCK + wide - 1], wide)
-                        good |= f == EXACT
-                        found = np.flatnonzero(good & maybe(filter_bits, h))
-                        at = found + start
-                    else:
-                        some = starts[start:start + BLOCK]
-                        h, good = windows_at(form.hashes, form.slot, wide, some)
-                        found = np.flatnonzero(good & maybe(filter_bits, h))
-                        at = some[found]
-                    for k, p in zip(found, at):
-                        yield f, form, width, int(h[k].view(np.int64)), int(p)
+                new = differing(form, forms[PLAIN_FORM], wide) if f in (KNOWN, FIRST) else None
+                for start in range(0, n, BLOCK):
+                    h, good = windows(form.hashes[start:start + BLOCK + wide - 1], form.slot[start:start + BLOCK + wide - 1], wide)
+                    if f == EXACT:
+                        good[:] = True
+                    elif new is not None:
+                        good &= new[start:start + len(good)]
+                    at = np.flatnonzero(good)
+                    at = at[maybe(filter_bits, h[at])]
+                    for k in at:
+                        yield f, form, width, int(h[k].view(np.int64)), start + int(k)
 
     def run(batches):
         tokens, filter_bits = Tokens(), bits.value
