@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 
 from lociframe.session import ensure_checkpoint_dir
 
+PART = 1 << 20            # bytes of text worked on at a time
+_SPACE = re.compile(rb"[\t-\r ]")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -68,3 +73,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     for r in sorted(rows, key=lambda r: (r["h"], r["doc_id"], r["text"])):
         once.setdefault(r["doc_id"], (r["text"], int(r["y"])))
     return list(once.values())
+
+
+def parts(data: bytes, size: int = PART) -> Iterator[bytes]:
+    """``data`` in pieces that end at white space (longer where there is none)."""
+    at = 0
+    while at < len(data):
+        end = _SPACE.search(data, at + size) if at + size < len(data) else None
+        to = end.start() if end else len(data)
+        yield data[at:to]
+        at = to
