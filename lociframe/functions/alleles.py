@@ -6,9 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VARIANT_KEY = ["contig", "position", "alleles"]
-#: columns that tell records apart that share a variant key: the source record,
-#: the allele a split row came from, the how-maniest of its key in a merge
-RECORD_COLUMNS = ["record", "a_index", "occurrence"]
+#: columns that tell records apart that share a variant key: the source file and
+#: the record in it, the allele a split row came from, the how-maniest of its key
+#: in a merge
+RECORD_COLUMNS = ["file_id", "record", "a_index", "occurrence"]
 
 
 def row_key(*frames) -> list[str]:
