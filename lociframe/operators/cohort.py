@@ -41,11 +41,10 @@ def add_cohort_ac_af(sites: DataFrame) -> DataFrame:
 
 def alt_allele_stats(calls: DataFrame, key=None) -> DataFrame:
     """Per variant: ``AN`` called alleles, ``AC1`` copies of allele 1, ``n_called``."""
-    gt, key = F.col("GT"), key or row_key(calls)
+    gt, key, more = F.col("GT"), key or row_key(calls), G.more_of(calls)
     return (calls.groupBy(*key).agg(
-        F.sum(G.n_called_alleles(gt)).cast("int").alias("AN"),
-        F.sum(F.when(G.is_called(gt), (gt["a1"] == 1).cast("int") +
-                     F.coalesce((gt["a2"] == 1).cast("int"), F.lit(0))).otherwise(0)).cast("int").alias("AC1"),
+        F.sum(G.n_called_alleles(gt, more)).cast("int").alias("AN"),
+        F.sum(G.n_copies(gt, lambda x: x == 1, more)).cast("int").alias("AC1"),
         F.count_if(G.is_called(gt)).cast("int").alias("n_called")))
 
 
@@ -58,7 +57,7 @@ def variant_qc(calls: DataFrame, key=None) -> DataFrame:
     """
     gt, key = F.col("GT"), key or row_key(calls)
     alleles = (calls.where(G.is_called(gt))
-               .select(*key, F.explode(F.array_compact(F.array(gt["a1"], gt["a2"]))).alias("_a")))
+               .select(*key, F.explode(G.alleles_of(gt, G.more_of(calls))).alias("_a")))
     per_allele = alleles.groupBy(*key, "_a").agg(F.count(F.lit(1)).cast("int").alias("_n"))
     per_variant = (per_allele.groupBy(*key)
                    .agg(F.map_from_entries(F.collect_list(F.struct("_a", "_n"))).alias("_m"),

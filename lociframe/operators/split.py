@@ -55,14 +55,14 @@ def split_calls(calls: DataFrame) -> DataFrame:
     """Split long-form calls along with their variant.
 
     GT is downcoded against ``a_index``; AD becomes ``[sum-own, own]``; PL
-    (if the table has one) becomes the three-class minimum.
+    (if the table has one) becomes the minimum per number of copies.
     """
     if "num_alleles" in calls.columns:
         return calls
     out = _explode_alts(calls)
     a = F.col("a_index")
     if "GT" in out.columns:
-        out = out.withColumn("GT", G.downcode(F.col("GT"), a))
+        out = out.withColumn("GT", G.downcode(F.col("GT"), a, G.more_of(out)))
     if "AD" in out.columns:
         out = out.withColumn("AD", G.split_ad(F.col("AD"), a))
     if "PL" in out.columns:

@@ -12,8 +12,10 @@ Block-compressed files (``.bgz``, ``.gz``) are cut into byte ranges; a task
 finds the first block of its range and reads lines across block ends, so one
 large file is read by many tasks (``sources/blocks.py``).
 
-Every line gets a ``record`` number, which ``sites`` and ``calls`` both carry: two
-records may share a variant key, before or after they are split.
+Every line gets a ``file_id`` and the ``record`` number of its place in that file,
+which ``sites`` and ``calls`` both carry: two records may share a variant key, before
+or after they are split.  They do not depend on how the file was read, so sites
+and calls of different jobs fit together.
 """
 
 from __future__ import annotations
@@ -50,16 +52,22 @@ def parse_header_lines(lines) -> VcfHeader:
             h.meta.append(line)
             m = _META.match(line)
             if m:
-                attrs = {k: v[1:-1].replace('\\"', '"') if v.startswith('"') else v
+                attrs = {k: re.sub(r"\\(.)", r"\1", v[1:-1]) if v.startswith('"') else v
                          for k, v in _KV.findall(m.group(2))}
                 section = {"INFO": h.info, "FORMAT": h.format, "FILTER": h.filter}[m.group(1)]
-                section[attrs.get("ID", "")] = {"Number": attrs.get("Number"), "Type": attrs.get("Type"),
-                                                "Description": attrs.get("Description")}
+                name = attrs.pop("ID", "")
+                section[name] = {"Number": None, "Type": None, "Description": None} | attrs
         elif line.startswith("#CHROM"):
             h.samples = line.split("\t")[9:]
     return h
 
 
+def contigs_of(header: VcfHeader) -> list[str]:
+    """The ids of the ``##contig`` lines, in order."""
+    found = (re.match(r"##contig=<(?:.*,)?ID=([^,>]+)", m) for m in header.meta)
+    return list(dict.fromkeys(m.group(1) for m in found if m))
+
+
 def _first_file(spark: SparkSession, path: str) -> str:
     """First file (in name order) under ``path``: the part holding the header
     of a folder written in coordinate order.  Only the listing is read."""
@@ -76,13 +84,15 @@ def read_header(spark: SparkSession, path: str) -> VcfHeader:
 
 def check_headers(spark: SparkSession, path: str, header: VcfHeader) -> None:
     """Files under one path must have the same sample columns (parts without a
-    header follow the first file's).  Each file's first lines are read in a
+    header follow the first file's; a single file has nothing to differ from).  Each file's first lines are read in a
     task; other sample columns need ``merge_sample_sets``."""
     def names(batches):
         for pdf in batches:
             found = [(p, next((ln.rstrip("\r\n") for ln in BL.head_lines(p) if ln.startswith("#CHROM")), None)) for p in pdf["path"]]
             yield pd.DataFrame(found, columns=["path", "line"])
 
+    if len(BL.list_files(spark, path).select("path").head(2)) < 2:
+        return
     mine = "\t".join(header.samples)
     others = (BL.list_files(spark, path).select("path").mapInPandas(names, "path string, line string")
               .where(F.col("line").isNotNull())
@@ -108,11 +118,8 @@ def samples_frame(spark: SparkSession, header: VcfHeader) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of the file(s): ``(value, record)``, ``record`` unique per line."""
-    files = BL.list_files(spark, path)
-    if files.where(F.lower("path").rlike(r"\.b?gz$")).head(1):
-        return BL.read_ranges(spark, files)
-    return spark.read.text(path).withColumn("record", F.monotonically_increasing_id())
+    """All lines of the file(s): ``(value, file_id, record)``, see ``blocks``."""
+    return BL.read_ranges(spark, BL.list_files(spark, path))
 
 
 def _missing_dot(x: Column) -> Column:
@@ -154,8 +161,8 @@ def info_struct(info_text: Column, header: VcfHeader) -> Column:
     return F.struct(*fields)
 
 
-def _record(lines: DataFrame) -> list[Column]:
-    return [F.col("record")] if "record" in lines.columns else []
+def _record(lines: DataFrame) -> list[str]:
+    return [c for c in ("file_id", "record") if c in lines.columns]
 
 
 def _body(lines: DataFrame, find_replace: tuple[str, str] | None) -> DataFrame:
@@ -184,17 +191,16 @@ def parse_sites(lines: DataFrame, header: VcfHeader, find_replace: tuple[str, st
 
 
 def gt_struct(text: Column) -> Column:
-    """GT text (``0/1``, ``1|0``, ``1``) -> call struct.  The ploidy is the number
-    of parts; a call with any missing part (``./.``, ``0/.``) is missing as a whole,
-    and one of more than two parts is rejected.  One-character separators
-    split without a regex."""
+    """GT text (``0/1``, ``1|0``, ``1``, ``0/0/1``) -> call struct.  The ploidy is the
+    number of parts; a call with any missing part (``./.``, ``0/.``) is missing as a
+    whole.  One-character separators split without a regex."""
     parts = F.split(F.translate(text, "|", "/"), "/", -1)
     a1 = F.get(parts, 0).try_cast("int")
     a2 = F.get(parts, 1).try_cast("int")
-    whole = a1.isNotNull() & ((F.size(parts) == 1) | a2.isNotNull())
-    called = F.when(whole, F.struct(a1.alias("a1"), a2.alias("a2"), (F.instr(text, "|") > 0).alias("phased")))
-    return F.when(F.size(parts) > 2, F.raise_error(F.concat(F.lit("calls of more than two alleles are not supported: "), text))
-                  .cast("struct<a1:int,a2:int,phased:boolean>")).otherwise(called)
+    more = F.when(F.size(parts) > 2, F.slice(parts, 3, F.size(parts) - 2).try_cast("array<int>"))
+    whole = (a1.isNotNull() & ((F.size(parts) == 1) | a2.isNotNull())
+             & ((F.size(parts) < 3) | F.forall(more, lambda x: x.isNotNull())))
+    return F.when(whole, F.struct(a1.alias("a1"), a2.alias("a2"), (F.instr(text, "|") > 0).alias("phased"), more.alias("more")))
 
 
 def parse_calls(lines: DataFrame, header: VcfHeader, samples: DataFrame,
@@ -214,7 +220,7 @@ def parse_calls(lines: DataFrame, header: VcfHeader, samples: DataFrame,
                        .otherwise(F.split(alt, ",", -1)))
     fids = list(header.format)
     keys = F.split(f(8), ":", -1)
-    rid = ["record"] if "record" in lines.columns else []
+    rid = _record(lines)
     base = _body(lines, find_replace).select(
         *rid, f(0).alias("contig"), f(1).cast("long").alias("position"), alleles.alias("alleles"),
         *[F.array_position(keys, F.lit(fid)).cast("int").alias(f"_p{i}") for i, fid in enumerate(fids)],
@@ -243,7 +249,9 @@ class Vcf:
 
 def read_vcf(spark: SparkSession, path: str, drop_samples: bool = False,
              find_replace: tuple[str, str] | None = None, header: VcfHeader | None = None) -> Vcf:
-    """Read VCF file(s): sites always; calls unless ``drop_samples``."""
+    """Read VCF file(s): sites always; calls unless ``drop_samples``.
+    ``find_replace`` is a Java regular expression and its replacement, applied to
+    every record's text (``.`` matches any character; quote it as ``\\\\.``)."""
     header = header or read_header(spark, path)
     if not drop_samples:
         check_headers(spark, path, header)
