@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociframe.functions.alleles import contig_order, row_key
-from lociframe.sources.vcf import VcfHeader
+from lociframe.functions.genotype import more_of
+from lociframe.sinks.blocks import join_block_gzip, write_block_gzip
+from lociframe.sources.vcf import VcfHeader, contigs_of
 
 FORMAT_ORDER = ["GT", "AD", "DP", "GQ", "PL", "PGT"]
 
@@ -45,11 +47,16 @@ def info_text(sites: DataFrame) -> Column:
     return F.when(joined == "", F.lit(".")).otherwise(joined)
 
 
-def gt_text(gt: Column) -> Column:
+def gt_text(gt: Column, more: Column | None = None) -> Column:
     sep = F.when(gt["phased"], F.lit("|")).otherwise(F.lit("/"))
+    two = F.concat(gt["a1"].cast("string"), sep, gt["a2"].cast("string"))
+    if more is not None:
+        rest = more.cast("array<string>")
+        two = (F.when(more.isNull(), two).when(gt["phased"], F.concat(two, sep, F.array_join(rest, "|")))
+               .otherwise(F.concat(two, sep, F.array_join(rest, "/"))))
     return (F.when(gt.isNull() | gt["a1"].isNull(), F.lit("./."))
             .when(gt["a2"].isNull(), gt["a1"].cast("string"))
-            .otherwise(F.concat(gt["a1"].cast("string"), sep, gt["a2"].cast("string"))))
+            .otherwise(two))
 
 
 def format_keys(calls: DataFrame) -> list[str]:
@@ -61,7 +68,7 @@ def sample_text(calls: DataFrame, keys: list[str]) -> Column:
     parts = []
     for k in keys:
         if k == "GT":
-            parts.append(gt_text(F.col("GT")))
+            parts.append(gt_text(F.col("GT"), more_of(calls)))
         else:
             parts.append(_text(value_text(F.col(k), calls.schema[k].dataType)))
     return F.concat_ws(":", *parts)
@@ -109,17 +116,24 @@ def record_lines(sites: DataFrame, calls: DataFrame | None = None, samples: Data
                                              F.coalesce(F.concat(F.lit("\t"), F.col("_wide")), none)).alias("line"))
 
 
+def _quoted(text: str | None) -> str:
+    return '"' + (text or "").replace("\\", "\\\\").replace('"', '\\"') + '"'
+
+
+def _declaration(section: str, name: str, attrs: dict) -> str:
+    """An INFO, FORMAT or FILTER line; attributes beyond the usual ones follow."""
+    plain = [] if section == "FILTER" else [f"Number={attrs.get('Number')}", f"Type={attrs.get('Type')}"]
+    more = [f"{k}={_quoted(v)}" for k, v in attrs.items() if k not in ("Number", "Type", "Description")]
+    return f"##{section}=<" + ",".join([f"ID={name}", *plain, f"Description={_quoted(attrs.get('Description'))}", *more]) + ">"
+
+
 def header_lines(header: VcfHeader, samples: list[str] | None = None, with_format: bool = True) -> list[str]:
     """``##`` lines (INFO/FORMAT/FILTER regenerated from the header dicts,
     other meta lines kept) and the ``#CHROM`` line."""
     keep = [m for m in header.meta if not m.startswith(("##INFO=", "##FORMAT=", "##FILTER=", "##fileformat"))]
     out = ["##fileformat=VCFv4.2"]
-    for fid, d in header.filter.items():
-        out.append(f'##FILTER=<ID={fid},Description="{d.get("Description") or ""}">')
-    for sec, dd in (("INFO", header.info), ("FORMAT", header.format)):
-        for fid, d in dd.items():
-            out.append(f'##{sec}=<ID={fid},Number={d.get("Number")},Type={d.get("Type")},'
-                       f'Description="{d.get("Description") or ""}">')
+    for sec, declared in (("FILTER", header.filter), ("INFO", header.info), ("FORMAT", header.format)):
+        out += [_declaration(sec, name, attrs) for name, attrs in declared.items()]
     out += keep
     cols = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
     smp = header.samples if samples is None else samples
@@ -129,17 +143,35 @@ def header_lines(header: VcfHeader, samples: list[str] | None = None, with_forma
     return out
 
 
+ORDER = ["_o", "_contig", "position", "_ref", "_alt"]
+
+
+def _placed(spark: SparkSession, recs: DataFrame, header: VcfHeader, build: str) -> DataFrame:
+    """Records with the columns of ``ORDER``: contigs in the order of the header's
+    ``##contig`` lines (of the build where it has none), others last and by name,
+    so that each contig's records stand together."""
+    last = F.lit(1 << 20)
+    listed = contigs_of(header)
+    if listed:
+        # the header's own list, which the driver has read
+        ranks = spark.createDataFrame(list(zip(listed, range(len(listed)))), "_c string, _rank int")
+        recs = recs.join(F.broadcast(ranks), F.col("contig") == F.col("_c"), "left")
+        rank = F.col("_rank")
+    else:
+        rank = contig_order(build)
+    return recs.select("*", F.coalesce(rank, last).alias("_o"), F.when(rank.isNull(), F.col("contig")).otherwise("").alias("_contig"),
+                       F.col("alleles")[0].alias("_ref"), F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("_alt"))
+
+
 def vcf_lines(spark: SparkSession, header: VcfHeader, sites: DataFrame, calls: DataFrame | None = None,
               samples: DataFrame | None = None, build: str = "GRCh38") -> DataFrame:
-    """Header + records with a sort key: ``(_o, position, ref, alt, line)``."""
+    """Header + records with a sort key: ``ORDER`` and ``line``."""
     smp_names = [r["s"] for r in samples.orderBy("ordinal").collect()] if samples is not None else []
     recs = record_lines(sites, calls, samples, n_samples=len(smp_names) if samples is not None else None)
-    order = F.coalesce(contig_order(build), F.lit(1 << 20))
-    body = recs.select(order.alias("_o"), "position", F.col("alleles")[0].alias("_ref"),
-                       F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("_alt"), "line")
+    body = _placed(spark, recs, header, build).select(*ORDER, "line")
     head = header_lines(header, smp_names if calls is not None else [], with_format=calls is not None)
-    hdf = spark.createDataFrame([(-1 - (len(head) - i), 0, "", "", ln) for i, ln in enumerate(head)],
-                                "_o int, position long, _ref string, _alt string, line string")
+    hdf = spark.createDataFrame([(-1 - (len(head) - i), "", 0, "", "", ln) for i, ln in enumerate(head)],
+                                "_o int, _contig string, position long, _ref string, _alt string, line string")
     return hdf.unionByName(body)
 
 
@@ -148,25 +180,32 @@ def write_vcf(spark: SparkSession, header: VcfHeader, sites: DataFrame, path: st
               build: str = "GRCh38", compression: str = "gzip") -> None:
     """Coordinate-sorted VCF as ordered text parts (header in the first)."""
     lines = vcf_lines(spark, header, sites, calls, samples, build)
-    (lines.orderBy("_o", "position", "_ref", "_alt").select("line")
+    (lines.orderBy(*ORDER).select("line")
      .write.mode("overwrite").option("compression", compression).text(path))
 
 
+def write_vcf_bgz(spark: SparkSession, header: VcfHeader, sites: DataFrame, path: str, scratch: str,
+                  calls: DataFrame | None = None, samples: DataFrame | None = None, build: str = "GRCh38") -> int:
+    """Coordinate-sorted VCF as one block-gzip file: parts are written below the
+    folder ``scratch`` (shared by the tasks, removed by the caller) and joined by
+    bytes.  Returns the file's size."""
+    lines = vcf_lines(spark, header, sites, calls, samples, build).orderBy(*ORDER).select("line")
+    return join_block_gzip(write_block_gzip(lines, scratch), path)
+
+
 def shard_lines(header: VcfHeader, sites: DataFrame, shard_col: str, calls: DataFrame | None = None, samples: DataFrame | None = None,
                 build: str = "GRCh38") -> DataFrame:
-    """``(shard, _o, position, _ref, _alt, line)``: every shard's header lines,
-    then its records."""
+    """``(shard, *ORDER, line)``: every shard's header lines, then its records."""
     smp_names = [r["s"] for r in samples.orderBy("ordinal").collect()] if samples is not None else []
     recs = record_lines(sites, calls, samples, n_samples=len(smp_names) if samples is not None else None, carry=[shard_col])
-    order = F.coalesce(contig_order(build), F.lit(1 << 20))
-    body = recs.select(F.col(shard_col).cast("string").alias("shard"), order.alias("_o"), "position", F.col("alleles")[0].alias("_ref"),
-                       F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("_alt"), "line")
+    body = (_placed(sites.sparkSession, recs, header, build)
+            .select(F.col(shard_col).cast("string").alias("shard"), *ORDER, "line"))
     head = header_lines(header, smp_names if calls is not None else [], with_format=calls is not None)
     # every shard gets the header lines (a generator per shard id, no join)
     heads = (sites.select(F.col(shard_col).cast("string").alias("shard")).distinct()
              .select("shard", F.posexplode(F.array(*[F.lit(x) for x in head])).alias("_i", "line"))
-             .select("shard", (F.col("_i") - len(head)).cast("int").alias("_o"), F.lit(0).cast("long").alias("position"),
-                     F.lit("").alias("_ref"), F.lit("").alias("_alt"), "line"))
+             .select("shard", (F.col("_i") - len(head)).cast("int").alias("_o"), F.lit("").alias("_contig"),
+                     F.lit(0).cast("long").alias("position"), F.lit("").alias("_ref"), F.lit("").alias("_alt"), "line"))
     return heads.unionByName(body)
 
 
@@ -179,7 +218,7 @@ def write_vcf_shards(spark: SparkSession, header: VcfHeader, sites: DataFrame, s
     a large shard is written by several tasks and small ones share a task."""
     if sites.isEmpty():
         return False
-    order = ["shard", "_o", "position", "_ref", "_alt"]
+    order = ["shard", *ORDER]
     (shard_lines(header, sites, shard_col, calls, samples, build).repartitionByRange(*order).sortWithinPartitions(*order)
      .select("shard", "line").write.mode("overwrite").partitionBy("shard").option("compression", compression).text(path))
     return True

@@ -70,3 +70,14 @@ def read_matrix_table(spark: SparkSession, path: str, n_partitions: int | None =
         sites = sites.repartitionByRange(n_partitions, "contig", "position")
         calls = calls.repartitionByRange(n_partitions, "contig", "position")
     return sites, calls
+
+
+def read_bucketed(spark: SparkSession, name: str, path: str, buckets: int, by=("contig", "position")) -> DataFrame:
+    """A table that ``sinks.tables.write_bucketed`` stored at ``path``, registered in
+    this session's catalog as ``name`` (the files do not say how they were dealt:
+    give the numbers that they were written with)."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    keys = ", ".join(f"`{c}`" for c in by)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
