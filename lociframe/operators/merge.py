@@ -57,21 +57,57 @@ def concat_records(tables, allow_overlaps: bool = False, build: str = "GRCh38")
     return coordinate_sort(out, build) if allow_overlaps else out
 
 
+#: rows of repeated records that a merge broadcasts at most
+FEW = 200_000
+
+
+def _ids(*tables) -> list[str]:
+    """The columns that name a source record, or an allele split from it, in all tables."""
+    return [c for c in ("file_idx", "file_id", "record", "a_index") if all(c in t.columns for t in tables)]
+
+
+def number_records(sites: DataFrame, calls: DataFrame, key) -> tuple[DataFrame, DataFrame]:
+    """``occurrence`` on both tables: the how-maniest record of its key (and file)
+    a row belongs to, in file order.  Records that repeat a key are few: only
+    those are looked up from the calls, by a broadcast where they are at most
+    ``FEW``, and every other call is of a first record; so the calls stay where
+    they are."""
+    ids = _ids(sites, calls)
+    per_file = [c for c in ids if c == "file_idx"]
+    nth = Window.partitionBy(*per_file, *key).orderBy(*[c for c in ids if c != "file_idx"])
+    sites = sites.withColumn("occurrence", F.row_number().over(nth))
+    repeated = sites.where(F.col("occurrence") > 1).select(*[F.col(c).alias(f"_{c}") for c in ids], F.col("occurrence").alias("_nth"))
+    if repeated.limit(FEW + 1).count() <= FEW:
+        repeated = F.broadcast(repeated)
+    same = reduce(lambda x, y: x & y, [calls[c] == F.col(f"_{c}") for c in ids])
+    calls = (calls.join(repeated, same, "left").withColumn("occurrence", F.coalesce("_nth", F.lit(1)))
+             .drop("_nth", *[f"_{c}" for c in ids]))
+    return sites, calls
+
+
 def union_cohorts(sites_a: DataFrame, calls_a: DataFrame, sites_b: DataFrame, calls_b: DataFrame,
                   key=VARIANT_KEY, exclude=("PGT",)):
     """Samples of two cohorts side by side on the variants both have.
 
     Rows: inner join of the two site tables on the variant key (fields of
-    the first cohort kept).  Entries: the fields common to both call tables
-    minus ``PGT``, unioned.  Returns (sites, calls).
+    the first cohort kept); where the tables carry a ``record``, the n-th record
+    of a key meets the n-th of the other cohort (``occurrence``), and those beyond
+    are in one cohort only and fall out.  Entries: the fields common to both
+    call tables minus ``PGT``, unioned.  Returns (sites, calls).
     """
     from lociframe.operators.genotypes import common_entry_fields
-    fields = common_entry_fields(calls_a, calls_b, exclude)
+    key = list(key)
+    own = [c for c in ("file_id", "record") if c in calls_a.columns or c in calls_b.columns]
+    fields = common_entry_fields(calls_a, calls_b, (*exclude, *own))
+    if "record" in _ids(sites_a, calls_a) and "record" in _ids(sites_b, calls_b):
+        sites_a, calls_a = number_records(sites_a, calls_a, key)
+        sites_b, calls_b = number_records(sites_b, calls_b, key)
+        key = ["occurrence", *key]
     shared = sites_b.select(*key)
     sites = sites_a.join(shared, list(key), "left_semi")
     ca = calls_a.join(shared, list(key), "left_semi").select(*key, "s", *fields)
     cb = calls_b.join(sites_a.select(*key), list(key), "left_semi").select(*key, "s", *fields)
-    return sites, ca.unionByName(cb)
+    return sites.drop(*own), ca.unionByName(cb, allowMissingColumns=True)
 
 
 def merge_sample_sets(files, key=VARIANT_KEY):
@@ -97,11 +133,9 @@ def merge_sample_sets(files, key=VARIANT_KEY):
              .withColumn("s", F.coalesce("new_s", "s")).drop("new_s"))
     sites = union_tables([st.withColumn("file_idx", F.lit(i + 1)) for i, (st, _, _) in enumerate(files)])
     key = list(key)
-    if all("record" in t.columns for t in (sites, calls)):
-        nth = Window.partitionBy("file_idx", *key).orderBy("record")
-        sites = sites.withColumn("occurrence", F.row_number().over(nth))
-        calls = calls.join(sites.select("file_idx", "record", "occurrence"), ["file_idx", "record"]).drop("record")
-        sites, key = sites.drop("record"), ["occurrence", *key]
+    if "record" in _ids(sites, calls):
+        sites, calls = number_records(sites, calls, key)
+        sites, calls, key = sites.drop("file_id", "record"), calls.drop("file_id", "record"), ["occurrence", *key]
     # one record per key; the earliest file's fields win
     others = [c for c in sites.columns if c not in key]
     sites = (sites.groupBy(*key).agg(F.min_by(F.struct(*others), F.col("file_idx")).alias("_r"))
