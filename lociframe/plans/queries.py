@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociframe.functions import genotype as G
 from lociframe.operators import split as SP
 from lociframe.operators import cohort as CO
 from lociframe.plans import inputs as IN
 from lociframe.plans.fixtures import cte
+from lociframe.sinks import vcf as KV
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,6 +129,44 @@ def q_split_calls(spark, sf):
                     F.col("PL")[0].alias("pl0"), F.col("PL")[1].alias("pl1"), F.col("PL")[2].alias("pl2"))
 
 
+# calls of one to four alleles, their likelihoods in the order of the genotypes:
+# the oracle writes all genotypes out
+_PLOIDY_SQL = """
+poly AS (
+  SELECT vid, s, nalt, pl_seed, a1, CAST(1 + (vid + CAST(substr(s, 2) AS BIGINT)) % 4 AS INT) AS p FROM fx_calls),
+g1 AS (SELECT unnest(range(0, 4)) AS x),
+gts AS (
+  SELECT p, al, row_number() OVER (PARTITION BY p ORDER BY list_reverse(al)) - 1 AS idx FROM (
+    SELECT 1 AS p, [a.x] AS al FROM g1 a
+    UNION ALL SELECT 2, [a.x, b.x] FROM g1 a, g1 b WHERE a.x <= b.x
+    UNION ALL SELECT 3, [a.x, b.x, c.x] FROM g1 a, g1 b, g1 c WHERE a.x <= b.x AND b.x <= c.x
+    UNION ALL SELECT 4, [a.x, b.x, c.x, d.x] FROM g1 a, g1 b, g1 c, g1 d WHERE a.x <= b.x AND b.x <= c.x AND c.x <= d.x)),
+rows AS (SELECT q.*, sp.a_index, list_transform(range(0, p), lambda i: (a1 + i * (pl_seed + 1)) % (nalt + 1)) AS al
+         FROM split sp JOIN poly q ON q.vid = sp.vid),
+classes AS (
+  SELECT r.vid, r.a_index, r.s, len(list_filter(g.al, lambda x: x = r.a_index)) AS k, min((r.pl_seed + 31 * g.idx) % 100) AS v
+  FROM rows r JOIN gts g ON g.p = r.p AND list_max(g.al) <= r.nalt GROUP BY r.vid, r.a_index, r.s, k),
+pls AS (SELECT vid, a_index, s, string_agg(CAST(v AS VARCHAR), ',' ORDER BY k) AS pl FROM classes GROUP BY vid, a_index, s)
+"""
+
+
+@query("split_calls_ploidy", _with("fx_sites", "fx_calls") + _SPLIT_SQL + "," + _PLOIDY_SQL + """
+SELECT r.vid, r.a_index, r.s, CASE WHEN r.a1 IS NOT NULL THEN array_to_string(list_sort(list_transform(r.al,
+         lambda x: CAST(x = r.a_index AS INT))), '/') END AS gt, pls.pl
+FROM rows r JOIN pls ON pls.vid = r.vid AND pls.a_index = r.a_index AND pls.s = r.s""")
+def q_split_calls_ploidy(spark, sf):
+    c = IN.calls(spark, sf)
+    n, seed = F.size("alleles"), F.col("PL")[0]
+    ploidy = (1 + (F.col("vid") + F.substring("s", 2, 9).cast("long")) % 4).cast("int")
+    c = c.withColumns({"_p": ploidy, "_al": F.transform(F.sequence(F.lit(0), ploidy - 1), lambda i: ((F.col("GT.a1") + i * (seed + 1)) % n).cast("int"))})
+    more = F.when(F.col("_p") > 2, F.slice("_al", 3, F.greatest(F.col("_p") - 2, F.lit(0))))
+    c = c.withColumns({"GT": G.call(F.get("_al", 0), F.get("_al", 1), more=more),
+                       "PL": F.transform(F.sequence(F.lit(0), G.n_genotypes(n, F.col("_p")).cast("int") - 1), lambda j: ((seed + j * 31) % 100).cast("int"))})
+    out = SP.split_calls(c.drop("_p", "_al", "AD"))
+    return out.select("vid", "a_index", "s", F.when(G.is_called(F.col("GT")), KV.gt_text(F.col("GT"), G.more_of(out))).alias("gt"),
+                      F.array_join("PL", ",").alias("pl"))
+
+
 # ------------------------------------------------------------------ R2 / P7
 @query("cohort_ac_af", _with("fx_sites") + _SPLIT_SQL + """
 SELECT vid, a_index, CAST((vid + 13 * a_index) % 200 AS INT) AS cohort_AC,
@@ -218,6 +258,28 @@ def q_interval_keep_labelled(spark, sf):
     return out.select("vid", "a_index", F.col("info.PREDICTED_NONCODING").alias("PREDICTED_NONCODING"))
 
 
+# intervals of which one contig's lie inside each other, those of the others
+# overlap in chains
+_NESTED = """
+SELECT 'chr1' AS contig, CAST(1000 + 7 * p_partkey AS BIGINT) AS start0, CAST(1001000 - 9 * p_partkey AS BIGINT) AS end0,
+       concat('n', CAST(p_partkey AS VARCHAR(9))) AS target FROM part WHERE p_partkey % 2 = 0
+UNION ALL
+SELECT concat('chr', CAST(2 + p_partkey % 21 AS VARCHAR(9))) AS contig, CAST((p_partkey * 499) % 1000003 AS BIGINT) AS start0,
+       CAST((p_partkey * 499) % 1000003 + 20000 + p_partkey AS BIGINT) AS end0, concat('c', CAST(p_partkey AS VARCHAR(9))) AS target
+FROM part WHERE p_partkey % 2 = 1"""
+
+
+@query("interval_nested", _with("fx_sites") + _SPLIT_SQL + ", nested AS (" + _NESTED + """),
+hits AS (
+  SELECT s.vid, s.a_index, min({'s': i.start0, 'e': i.end0, 't': i.target}) AS best
+  FROM split s JOIN nested i ON s.contig = i.contig AND s.position > i.start0 AND s.position <= i.end0 GROUP BY s.vid, s.a_index)
+SELECT s.vid, s.a_index, h.best.t AS label FROM split s LEFT JOIN hits h ON s.vid = h.vid AND s.a_index = h.a_index""")
+def q_interval_nested(spark, sf):
+    spark.read.parquet(f"{sf}/part.parquet").createOrReplaceTempView("part")
+    out = IV.interval_label(_split_sites(spark, sf), spark.sql(_NESTED), out="label", into_info=False)
+    return out.select("vid", "a_index", "label")
+
+
 @query("interval_filter", _with("fx_sites", "fx_intervals") + _SPLIT_SQL + """
 SELECT s.vid, s.a_index, s.position FROM split s
 WHERE EXISTS (SELECT 1 FROM fx_intervals i WHERE i.contig = s.contig AND s.position > i.start0 AND s.position <= i.end0)""")
@@ -608,6 +670,26 @@ def q_union_cohorts(spark, sf):
     return calls.select("vid", "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"), "GQ")
 
 
+@query("union_cohorts_twins", _with("fx_sites_t", "fx_calls_t") + _twins(_SPLIT_SQL + "," + _CALLS_SQL + """,
+a_sites AS (SELECT *, row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY vid, a_index) AS nth FROM split WHERE vid % 5 <> 0),
+b_sites AS (SELECT *, row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY vid, a_index) AS nth FROM split WHERE vid % 3 <> 1),
+shared AS (SELECT a.contig, a.position, a.ref, a.alt, a.nth, a.vid AS a_vid, a.a_index AS a_i, b.vid AS b_vid, b.a_index AS b_i
+           FROM a_sites a JOIN b_sites b ON a.contig = b.contig AND a.position = b.position AND a.ref = b.ref AND a.alt = b.alt AND a.nth = b.nth)
+SELECT contig, position, ref, alt, nth AS occurrence, s, CAST(g1 AS INT) AS gt_a1, CAST(g2 AS INT) AS gt_a2
+FROM shared JOIN pl ON pl.vid = a_vid AND pl.a_index = a_i
+UNION ALL
+SELECT contig, position, ref, alt, nth, concat('T', substr(s, 2)), CAST(g1 AS INT), CAST(g2 AS INT)
+FROM shared JOIN pl ON pl.vid = b_vid AND pl.a_index = b_i"""))
+def q_union_cohorts_twins(spark, sf):
+    """Split cohorts in which records share a key, not the same ones in both."""
+    s, c = SP.split_multi(IN.sites(spark, sf, twins=True)), SP.split_calls(IN.calls(spark, sf, twins=True))
+    in_a, in_b = F.col("vid") % 5 != 0, F.col("vid") % 3 != 1
+    cb = c.where(in_b).withColumn("s", F.concat(F.lit("T"), F.substring("s", 2, 8)))
+    _, calls = MG.union_cohorts(s.where(in_a), c.where(in_a), s.where(in_b), cb)
+    return calls.select("contig", "position", F.col("alleles")[0].alias("ref"), F.col("alleles")[1].alias("alt"),
+                        F.col("occurrence").cast("long").alias("occurrence"), "s", F.col("GT.a1").alias("gt_a1"), F.col("GT.a2").alias("gt_a2"))
+
+
 @query("merge_samples", cte("fx_calls") + """
 SELECT vid, s, a1 AS gt_a1, a2 AS gt_a2 FROM fx_calls WHERE vid % 3 <> 0
 UNION ALL
@@ -1073,6 +1155,21 @@ def q_vcf_block_read(spark, sf):
                         F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("alts"), F.array_join("filters", ";").alias("filter"))
 
 
+@query("vcf_bgz_file", cte("fx_sites") + """
+SELECT vid, contig, position, ref, alts, filter FROM fx_sites""")
+def q_vcf_bgz_file(spark, sf):
+    """The fixture call set as one block-gzip file, joined from parts, and read
+    by byte ranges."""
+    def write(path):
+        s, c, smp = _fixture_vcf(spark, sf)
+        KV.write_vcf_bgz(spark, _header(spark, sf), s, f"{path}/all.vcf.bgz", f"{path}-parts", calls=c, samples=smp)
+    path = IN.stored_path(spark, sf, "vcf-bgz", write)
+    lines = SV.BL.read_ranges(spark, SV.BL.list_files(spark, f"{path}/all.vcf.bgz"), range_bytes=1 << 16)
+    sites = SV.parse_sites(lines, SV.read_header(spark, f"{path}/all.vcf.bgz"))
+    return sites.select(F.substring("rsid", 2, 20).cast("long").alias("vid"), "contig", "position", F.col("alleles")[0].alias("ref"),
+                        F.array_join(F.slice("alleles", 2, F.size("alleles") - 1), ",").alias("alts"), F.array_join("filters", ";").alias("filter"))
+
+
 @query("header_fields", cte("fx_samples") + """
 SELECT * FROM (VALUES
   ('INFO', 'AC', 'A', 'Integer', 'Allele count'), ('INFO', 'AF', 'A', 'Float', 'Allele frequency'),
@@ -1113,6 +1210,30 @@ def q_csq_description(spark, sf):
     return filled.groupBy("field").agg(F.count_if("there").alias("n_filled"))
 
 
+@query("csq_extended", _with("fx_csq", "fx_genes") + """
+e AS (SELECT c.symbol, c.feature, c.consequence, c.hgvsc, c.hgvsp, coalesce(g.oe_lof_upper, '') AS upper, coalesce(g.oe_lof_upper_bin, '') AS bin
+      FROM fx_csq c LEFT JOIN fx_genes g ON g.transcript = c.feature),
+names AS (SELECT string_split('SYMBOL|Feature|Consequence|HGVSc|HGVSp|LOEUF_v2|LOEUF_v2_decile', '|') AS f)
+SELECT i AS place, f[i] AS field, count(*) FILTER (string_split(concat_ws('|', symbol, feature, consequence, hgvsc, hgvsp, upper, bin), '|')[i] <> '') AS n_filled
+FROM names, range(1, 8) r(i), e GROUP BY place, field""")
+def q_csq_extended(spark, sf):
+    """The description extended by new packed fields names the places where the
+    repacked entries hold them: filled values per place and field."""
+    sites, new = IN.sites(spark, sf, with_csq=True), ["LOEUF_v2", "LOEUF_v2_decile"]
+    fields = PK.fields_from_description(IN.CSQ_DESCRIPTION)
+    key = ["record", "contig", "position", "alleles"]
+    e = PK.explode_packed(sites, F.col("info.CSQ"), fields, key)
+    e = LK.lookup(e, fixture(spark, sf, "fx_genes"), {"transcript": F.col("t_Feature")},
+                  {"t_LOEUF_v2": "oe_lof_upper", "t_LOEUF_v2_decile": "oe_lof_upper_bin"}, default="")
+    packed = PK.regroup(e, fields + new, key=key, as_array=True, out="CSQ")
+    extended = PK.fields_from_description(PK.extend_description(IN.CSQ_DESCRIPTION, new))
+    parts = F.split(F.col("entry"), r"\|", -1)
+    filled = packed.select(F.explode("CSQ").alias("entry")).select(F.explode(F.array(*[
+        F.struct(F.lit(i + 1).cast("long").alias("place"), F.lit(f).alias("field"), (F.get(parts, i) != "").alias("there"))
+        for i, f in enumerate(extended)])).alias("x")).select("x.*")
+    return filled.groupBy("place", "field").agg(F.count_if("there").alias("n_filled"))
+
+
 _SHARD_OF = """
 placed AS (SELECT vid, concat(contig, '_', CAST((rn - min(rn) OVER (PARTITION BY contig)) // 200 AS VARCHAR)) AS shard FROM (
   SELECT vid, contig, row_number() OVER (ORDER BY {order}, position, ref, alts) AS rn FROM fx_sites))

@@ -1,4 +1,4 @@
-"""Spark session defaults and lineage helpers.
+"""Spark session defaults and the shared checkpoint folder.
 
 On a cluster the session comes from the caller (spark-submit, notebooks);
 ``get_spark`` only fills in settings that are still unset, so a cluster's
@@ -11,7 +11,7 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that matter for the variant plans: AQE for runtime re-planning
 # (coalescing tiny shuffles, splitting skewed join partitions, converting
@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # tables bucketed by (contig, position) join and group on longer keys in place
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # a lookup table is broadcast only when Spark's own size estimate (static
@@ -69,9 +71,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
