@@ -36,7 +36,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
         spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"))
-    return read_back(assemble(format_turns(turns)))
+    return read_back(assemble(format_turns(turns))).drop("attachments")
 
 
 # characters that the template adds: its marks, a backslash for each backslash

@@ -67,3 +67,30 @@ def test_typed_parts(spark):
     assert [(a.n, a.type, a.ref, a.tokens) for a in rows[0].attachments] == [
         (1, "image", "s3://a/1.png", 1024), (2, "audio", "b.wav", 250), (3, "document", None, 512), (4, "video", "v", 0)]
     assert rows[1].piece == "<|start|>assistant<|message|><|end|>" and rows[1].attachments == []
+
+
+def test_attachments_are_numbered_through_a_conversation(spark, monkeypatch):
+    one = [("text", "see <|image:1|> ", None, None), ("image", None, "a.png", 2), ("text", " or ", None, None), ("audio", None, "b.wav", 3)]
+    two = [("document", None, "c.pdf", 1), ("text", "\\</s>", None, None), ("image", None, "d.png", None)]
+    rows = [(1, 0, "user", one), (1, 1, "assistant", two), (1, 2, "user", [("text", "no file", None, None)]), (1, 3, "user", two), (2, 0, "user", two)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{PART}>")
+    for size in (1 << 20, 10):
+        monkeypatch.setattr(C, "SEGMENT_CHARS", size)
+        segments = assemble(format_turns(df, "parts"))
+        text = "".join(r.text for r in sorted(segments.collect(), key=lambda r: (r.conv_id, r.segment)) if r.conv_id == 1)
+        got = {r.conv_id: r for r in read_back(segments).collect()}
+        files = got[1].attachments
+        assert [(f.n, f.type, f.ref, f.tokens) for f in files] == [
+            (1, "image", "a.png", 512), (2, "audio", "b.wav", 75), (3, "document", "c.pdf", 512), (4, "image", "d.png", 256),
+            (5, "document", "c.pdf", 512), (6, "image", "d.png", 256)]
+        assert all(text.startswith(f"<|{f.type}:{f.n}|>", f.offset) for f in files)
+        assert [f.n for f in got[2].attachments] == [1, 2] and got[1].n_turns == 4
+        trained = "<|document:3|>\\</s><|image:4|>"
+        assert got[1].loss_chars == len(trained) and got[1].loss_sha256 == hashlib.sha256(trained.encode()).hexdigest()
+
+
+def test_clashing_columns(spark):
+    rows = [(1, 0, "user", "a <|end|>"), (1, 1, "assistant", "b")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    more = df.withColumns({c: F.lit("clash") for c in ("flat", "order_text", "loss", "attachments", "segment", "files", "a.b")})
+    assert read_back(assemble(format_turns(more))).collect() == read_back(assemble(format_turns(df))).collect()
