@@ -1,8 +1,9 @@
 """WARC archives with a shared Zstandard dictionary.
 
 A dictionary is trained on a bounded sample of the records that are archived
-(``SAMPLE_ROWS`` rows of at most ``SAMPLE_CHARS`` characters, those with the
-smallest id hash).  Every archive starts with a skippable frame that holds the
+(``SAMPLE_ROWS`` rows, those with the smallest id hash; of a payload over
+``SAMPLE_BYTES`` its two ends, half of that each).  The manifest says how long the
+dictionary is, 0 if the sample allows none.  Every archive starts with a skippable frame that holds the
 dictionary, then each record is a Zstandard frame of its own, so a record can be
 read with the first frame and its own offset.
 
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from lociframe.llm.common import shared_folder, small_hash, stored
 
 SAMPLE_ROWS = 400
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = 20_000
 DICTIONARY_BYTES = 64 << 10
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 6
@@ -186,7 +187,7 @@ def parse(data: bytes) -> dict | None:
 
 def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Archive every row of (page_id, url, html); the manifest (path, records,
-    bytes), stored in the shared folder beside the archives."""
+    bytes, dictionary_bytes), stored in the shared folder beside the archives."""
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
@@ -196,7 +197,9 @@ def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
               .where("first_id < last_id").select("key", "first_id"))
     groups = stored(groups, "payload-groups")
     drawn = small_hash(F.xxhash64("page_id"), SAMPLE_ROWS, rows.count())
-    sample = (rows.where(drawn & (F.octet_length("payload") <= SAMPLE_CHARS)).orderBy(F.xxhash64("page_id"), "page_id", "url")
+    half = SAMPLE_BYTES // 2
+    ends = F.when(F.octet_length("payload") > SAMPLE_BYTES, F.concat(F.substring("payload", 1, half), F.substring("payload", -half, half))).otherwise(F.col("payload"))
+    sample = (rows.where(drawn).select("page_id", "url", ends.alias("payload")).orderBy(F.xxhash64("page_id"), "page_id", "url")
               .limit(SAMPLE_ROWS).collect())
     dictionary = spark.sparkContext.broadcast(train_dictionary([record(r.page_id, r.url, bytes(r.payload), None) for r in sample]))
     folder = shared_folder(spark, "warc")
@@ -214,14 +217,14 @@ def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
                     archive = None
         if archive is not None:
             done.append(archive.close())
-        columns = list(zip(*done)) if done else [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))],
-                                         names=["path", "records", "bytes"])
+        columns = [*(zip(*done) if done else [()] * 3), [len(dictionary.value)] * len(done)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64()))],
+                                         names=["path", "records", "bytes", "dictionary_bytes"])
 
     # a null page id joins nothing, so its record is a response
     wanted = F.when(F.col("page_id").isNotNull() & (F.octet_length("payload") >= min_bytes), F.unhex(F.sha2("payload", 256)))
     joined = rows.withColumn("wanted", wanted).join(groups, F.col("wanted") == F.col("key"), "left")
-    return stored(joined.select("page_id", "url", "payload", "first_id").mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
+    return stored(joined.select("page_id", "url", "payload", "first_id").mapInArrow(run, "path string, records long, bytes long, dictionary_bytes long"), "warc-manifest")
 
 
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"

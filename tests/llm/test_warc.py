@@ -52,3 +52,19 @@ def test_corner_cases(spark):
                                    (7, 100_000, payload_digest(b"x" * 100_000), "response", None), (9, 5, e, "revisit", 4)]
     assert [r[3] for r in result(spark, rows, min_bytes=1)] == ["response"] * 6 + ["revisit"]
     assert result(spark, [], min_bytes=0) == []
+
+
+def test_large_pages_get_a_dictionary(spark):
+    words = [f"word{i * 7919 % 5000}" for i in range(3000)]
+    rows = [(i, f"http://x/{i}", "<html><head>" + "<meta name=common>" * 40 + "</head>" + " ".join(words[i:] + words[:i]) + f"<p>{i}</p>") for i in range(120)]
+    manifest = write_archives(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert min(len(r[2]) for r in rows) > W.SAMPLE_BYTES
+    for r in manifest:
+        magic, size = struct.unpack("<II", open(r.path.removeprefix("file:"), "rb").read(8))
+        assert magic == 0x184D2A5D and size == r.dictionary_bytes > 1000
+
+
+def test_clashing_columns(spark):
+    df = spark.read.parquet(f"{SF}/pages.parquet")
+    more = df.withColumns({c: F.lit("clash") for c in ("payload", "key", "first_id", "wanted", "last_id", "a.b")})
+    assert sorted(map(str, read_archives(write_archives(more)).collect())) == sorted(map(str, read_archives(write_archives(df)).collect()))
