@@ -14,10 +14,16 @@ declared article are decided by their content only, never as a branch.
 
 Elements that are not main text by tag, role or being hidden (scripts, forms,
 menus, footers ...) go whatever their importance.  A class or id word (advert,
-comments, related ...) only raises the threshold to ``DOUBTFUL``: a doubtful
-branch stays if it holds the declared article, or if it is that diverse apart
-from repeated blocks and stands inside the article or on a page that declares none.  Where a site has too
-few pages to tell, doubtful branches without an article go.
+comments, related ...) drops nothing by itself: it is a prior, a weight on the
+importance that the tree gives the branch (apart from repeated blocks): ``INSIDE``
+in a declared article and on pages that declare none, ``BESIDE`` next to a declared
+article, where adverts that differ on every page stand.  A branch whose weighted
+importance is under the threshold goes, unless it holds the declared article.
+Where a site has too few pages to tell, a doubtful branch's importance is
+``UNKNOWN``.
+
+Below ``DEPTH`` levels a path keeps its first ``DEPTH`` elements and the last one, so
+that the paths of very deep pages stay short; their text is read like any other.
 
 Scale: pages are parsed where they are read and give (host, path, feature) rows;
 a host's tree exists only as grouped rows, so a host with a third of all pages is
@@ -36,6 +42,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
+from functools import partial
 
 import pyarrow as pa
 import xxhash
@@ -45,8 +53,10 @@ from pyspark.sql import functions as F
 from lociframe.llm.common import stored, texts
 
 THRESHOLD = 0.3          # importance below which a branch is furniture
-DOUBTFUL = 0.7           # the same for a branch with a noise word as class or id
+INSIDE, BESIDE = 0.43, 0.25    # weights of branches with a noise word as class or id
+UNKNOWN = 0.5            # importance of such a branch on a site of too few pages
 LEAST_PAGES = 5          # a site of fewer different pages tells nothing
+DEPTH = 100              # elements of a path
 
 # Names of elements and of class or id words.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -108,6 +118,12 @@ def parse(page: str) -> Node:
     """The DOM as far as text needs it: elements with children, and strings."""
     root = Node("", "", False)
     stack, at, find = [root], 0, TAG.search
+    depth: Counter = Counter()       # open elements by tag
+
+    def close(i: int) -> None:
+        depth.subtract(n.tag for n in stack[i:])
+        del stack[i:]
+
     while True:
         m = find(page, at)
         if m is None:
@@ -122,9 +138,9 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if depth[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in ("article", "main", "body", "html") and tag in INLINE:
                     break
@@ -135,27 +151,29 @@ def parse(page: str) -> Node:
             continue
         node = element(tag, m[3])
         if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(depth[t] for t in CLOSES[tag]) else ():
                 if stack[i].tag in ("ul", "ol", "dl", "table", "select", "menu", "nav"):
                     break
                 if stack[i].tag in CLOSES[tag]:
-                    del stack[i:]
+                    close(i)
                     break
         elif tag not in INLINE and tag not in VOID:
             # a block ends an open paragraph, and what was left open inside it
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if depth["p"] else ():
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag not in INLINE:
                     break
         stack[-1].children.append(node)
         if tag in ("article", "main") and not node.noise:
-            for above in stack:
+            for above in reversed(stack):
+                if above.holds:
+                    break
                 above.holds = True
         if tag not in VOID and not m[3].endswith("/"):
-            if len(stack) < 400:
-                stack.append(node)
+            stack.append(node)
+            depth[tag] += 1
 
 
 def clean(text: str) -> str:
@@ -163,57 +181,84 @@ def clean(text: str) -> str:
 
 
 class Site:
-    """What a site's tree decides: branches to cut, doubtful ones to keep, and
-    the keys of repeated blocks.  ``None`` in its place keeps everything."""
-    __slots__ = ("cut", "kept", "repeated", "declared")
+    """What a site's tree decides: branches to cut, the importance of doubtful
+    ones, and the keys of repeated blocks.  ``None`` in its place keeps everything."""
+    __slots__ = ("cut", "doubt", "repeated", "threshold", "declared")
 
-    def __init__(self, cut, kept, repeated, declared: bool):
-        self.cut, self.kept, self.repeated, self.declared = cut, kept, repeated, declared
+    def __init__(self, cut=(), doubt=None, repeated=(), threshold: float = THRESHOLD):
+        self.cut, self.doubt, self.repeated, self.threshold = cut, doubt or {}, repeated, threshold
+        self.declared = False
 
     def drops(self, node: Node, path: str, in_article: bool) -> bool:
         if path in self.cut:
             return True
-        return node.doubt and not node.holds and not (path in self.kept and (in_article or not self.declared))
-
-
-def blocks(node: Node, path: str, in_article: bool, site: Site | None, out: list[tuple[str, str, str, bool]], styles: list | None,
-           open_text: list[str]) -> None:
-    """Text blocks (path, key text, text, in an article) below a node in page
-    order, without noise and without what the site drops; ``styles`` collects
-    (path, children's labels)."""
-    labels = []
-    for child in node.children:
+        if not node.doubt or node.holds or path not in self.doubt:
+            return False
+        return self.doubt[path] * (INSIDE if in_article or not self.declared else BESIDE) < self.threshold
+
+
+class Frame:
+    """An element whose children are being visited; ``after`` runs behind the last."""
+    __slots__ = ("children", "path", "depth", "in_article", "styles", "open_text", "labels", "after")
+
+    def __init__(self, node, path, depth, in_article, styles, open_text, after=None):
+        self.children, self.path, self.depth, self.in_article = iter(node.children), path, depth, in_article
+        self.styles, self.open_text, self.labels, self.after = styles, open_text, [], after
+
+
+def below(frame: Frame, label: str) -> str:
+    path = frame.path if frame.depth <= DEPTH else frame.path.rsplit(">", 1)[0]
+    return f"{path}>{label}"
+
+
+def blocks(root: Node, site: Site | None, out: list[tuple[str, str, str, bool]], styles: list | None) -> None:
+    """Text blocks (path, key text, text, in an article) of a page in page order,
+    without noise and without what the site drops; ``styles`` collects (path,
+    children's labels).  Elements may be nested to any depth."""
+    frames = [Frame(root, "", 0, False, styles, [])]
+    done = object()
+    while frames:
+        f = frames[-1]
+        child = next(f.children, done)
+        if child is done:
+            frames.pop()
+            if f.styles is not None:
+                collapsed = [x for i, x in enumerate(f.labels) if not i or x != f.labels[i - 1]]
+                f.styles.append((f.path, ",".join(collapsed)))
+            if f.after is not None:
+                f.after()
+            continue
         if isinstance(child, str):
-            open_text.append(child)
+            f.open_text.append(child)
             continue
-        labels.append(child.label)
+        f.labels.append(child.label)
         if child.tag in INLINE:
             if child.noise:
                 continue
             if not child.doubt:
-                blocks(child, path, in_article, site, out, None, open_text)
+                frames.append(Frame(child, f.path, f.depth, f.in_article, None, f.open_text))
                 continue
-            below, inner = f"{path}>{child.label}", []
+            path, inner = below(f, child.label), []
             if site is None:         # in the tree: a node of its own
-                blocks(child, below, in_article, site, out, None, inner)
-                flush(below, inner, in_article, site, out)
-                styles is not None and styles.append((below, ""))
-            elif not site.drops(child, below, in_article):
-                blocks(child, below, in_article, site, out, None, inner)
-                open_text.extend(map(Aside, inner))
+                if f.styles is not None:
+                    f.styles.append((path, ""))
+                frames.append(Frame(child, path, f.depth + 1, f.in_article, None, inner, partial(flush, path, inner, f.in_article, site, out)))
+            elif not site.drops(child, path, f.in_article):
+                frames.append(Frame(child, path, f.depth + 1, f.in_article, None, inner, partial(aside, inner, f.open_text)))
             continue
-        flush(path, open_text, in_article, site, out)
-        if child.noise or child.tag == "header" and not in_article:
+        flush(f.path, f.open_text, f.in_article, site, out)
+        if child.noise or child.tag == "header" and not f.in_article:
             continue
-        below = f"{path}>{child.label}"
-        if site is not None and site.drops(child, below, in_article):
+        path = below(f, child.label)
+        if site is not None and site.drops(child, path, f.in_article):
             continue
-        inside = in_article or child.tag in ("article", "main")
-        blocks(child, below, inside, site, out, styles, open_text)
-        flush(below, open_text, inside, site, out)
-    if styles is not None:
-        collapsed = [x for i, x in enumerate(labels) if not i or x != labels[i - 1]]
-        styles.append((path, ",".join(collapsed)))
+        inside = f.in_article or child.tag in ("article", "main")
+        frames.append(Frame(child, path, f.depth + 1, inside, f.styles, f.open_text, partial(flush, path, f.open_text, inside, site, out)))
+    flush("", f.open_text, False, site, out)
+
+
+def aside(inner: list[str], open_text: list[str]) -> None:
+    open_text.extend(map(Aside, inner))
 
 
 def flush(path: str, open_text: list[str], in_article: bool, site: Site | None, out: list[tuple[str, str, str, bool]]) -> None:
@@ -225,21 +270,23 @@ def flush(path: str, open_text: list[str], in_article: bool, site: Site | None,
             out.append((path, own, text, in_article))
 
 
-def protected(path):
+def protected(path: Column) -> Column:
     """Plain prose blocks of a declared article, and what such blocks stand in:
     their content decides block by block, see extract_pages()."""
-    tags = path.split(">")
-    inside = [i for i, t in enumerate(tags) if t.split(".")[0] in ("article", "main")]
-    return tags[-1] in ("", "html", "body") or bool(inside) and all(t in PROSE for t in tags[inside[-1] + 1:])
+    tags = F.split(path, ">")
+    article = F.transform(tags, lambda t: F.substring_index(t, ".", 1).isin("article", "main"))
+    # what stands behind the last article or main element
+    rest = F.slice(tags, F.size(tags) - F.array_position(F.reverse(article), True).cast("int") + 2, F.size(tags))
+    return F.element_at(tags, -1).isin("", "html", "body") | F.exists(article, lambda x: x) & F.forall(rest, lambda t: t.isin(*sorted(PROSE)))
 
 
-def extract(page: str, cut, kept=(), repeated=()) -> str:
+def extract(page: str, cut=(), doubt=None, repeated=(), threshold: float = THRESHOLD) -> str:
+    """The main text of a page of a site with this tree."""
     out: list[tuple[str, str, str, bool]] = []
-    open_text: list[str] = []
     root = parse(page)
-    site = Site(cut, kept, repeated, root.holds)
-    blocks(root, "", False, site, out, None, open_text)
-    flush("", open_text, False, site, out)
+    site = Site(cut, doubt, repeated, threshold)
+    site.declared = root.holds
+    blocks(root, site, out, None)
     return " ".join(t for _, _, t, _ in out)
 
 
@@ -262,9 +309,7 @@ def page_features(pages: DataFrame) -> DataFrame:
             for host, page in zip(b.column(0).to_pylist(), texts(b.column(1))):
                 out: list[tuple[str, str, str, bool]] = []
                 styles: list[tuple[str, str]] = []
-                open_text: list[str] = []
-                blocks(parse(page), "", False, None, out, styles, open_text)
-                flush("", open_text, False, None, out)
+                blocks(parse(page), None, out, styles)
                 key = hashed("\n".join(t for _, _, t, inside in out if inside) or "\n".join(t for _, _, t, _ in out))
                 rows.update((host, key, p, 0, hashed(s)) for p, s in styles)
                 rows.update((host, key, p, 1, hashed(f"{p}\n{t}")) for p, t, _, _ in out)
@@ -325,29 +370,40 @@ def tree_of(contents: DataFrame) -> DataFrame:
 
 def extract_pages(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
-    contents = weighed(counted(pages), threshold)
-    prose = F.udf(protected, "boolean")
-    tree = tree_of(contents).where((F.col("n_pages") >= least_pages) & F.col("holds_text"))
-    doubtful = F.col("path").endswith("!")
-    # unique blocks among many repeated ones: those go alone, the branch stays
-    dull = F.greatest("importance", "diversity") < threshold
-    tree = tree.where(dull | doubtful & (F.col("diversity") >= DOUBTFUL))
-    weak = F.when(dull & ~prose("path"), F.col("path"))
-    told = tree.select("host", weak.alias("cut"), F.when(doubtful & (F.col("diversity") >= DOUBTFUL), F.col("path")).alias("kept"),
-                       F.lit(None).cast("long").alias("repeated"))
-    told = told.unionByName(contents.where(F.col("repeated") & (F.col("n_pages") >= least_pages))
-                            .select("host", F.lit(None).cast("string").alias("cut"), F.lit(None).cast("string").alias("kept"),
-                                    F.col("feature").alias("repeated")))
-    cuts = stored(told.groupBy(F.col("host").alias("site")).agg(*[F.sort_array(F.collect_set(k)).alias(k) for k in ("cut", "kept", "repeated")]), "site-cuts")
+    cuts = stored(decisions(pages, threshold, least_pages), "site-cuts")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    rows = rows.join(cuts, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "cut", "kept", "repeated")
+    rows = rows.join(cuts, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "host", "cut", "doubt", "repeated")
 
     def run(batches):
         for b in batches:
-            sets = [[frozenset(x or ()) for x in b.column(k).to_pylist()] for k in (3, 4, 5)]
-            found = [extract(page, *site) for page, *site in zip(texts(b.column(2)), *sets)]
+            sites: dict = {}         # each site's sets once a batch
+            found = []
+            for i, (host, page) in enumerate(zip(b.column(3).to_pylist(), texts(b.column(2)))):
+                if host not in sites:
+                    cut, doubt, repeated = (b.column(k)[i].as_py() or () for k in (4, 5, 6))
+                    sites[host] = frozenset(cut), {d["path"]: d["value"] for d in doubt}, frozenset(repeated)
+                found.append(extract(page, *sites[host], threshold))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.string()),
                                               pa.array(map(len, found), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+
+
+def decisions(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """(site, cut, doubt, repeated): what each site's tree decides, see ``Site``."""
+    contents = weighed(counted(pages), threshold)
+    tree = tree_of(contents)
+    told = F.col("n_pages") >= least_pages
+    doubtful = F.col("path").endswith("!")
+    # unique blocks among many repeated ones: those go alone, the branch stays
+    dull = told & F.col("holds_text") & (F.greatest("importance", "diversity") < threshold) & ~protected(F.col("path"))
+    value = F.when(told, F.col("diversity")).otherwise(F.lit(UNKNOWN))
+    none = F.lit(None)
+    doubt_type = "struct<path:string,value:double>"
+    rows = tree.where(dull | doubtful).select(
+        "host", F.when(dull, F.col("path")).alias("cut"),
+        F.when(doubtful, F.struct("path", value.alias("value"))).cast(doubt_type).alias("doubt"), none.cast("long").alias("repeated"))
+    rows = rows.unionByName(contents.where(F.col("repeated") & told).select(
+        "host", none.cast("string").alias("cut"), none.cast(doubt_type).alias("doubt"), F.col("feature").alias("repeated")))
+    return rows.groupBy(F.col("host").alias("site")).agg(*[F.sort_array(F.collect_set(k)).alias(k) for k in ("cut", "doubt", "repeated")])

@@ -5,7 +5,8 @@ from html import unescape
 
 from pyspark.sql import functions as F
 
-from lociframe.llm.style_tree import extract, extract_pages, importance
+import lociframe.llm.style_tree as S
+from lociframe.llm.style_tree import decisions, extract, extract_pages, importance
 
 SF = "/root/testdata/sf0.01"
 
@@ -27,8 +28,33 @@ def test_query_gives_the_articles(spark):
         assert r.text == article_only(p.html) and r.url == p.url and r.n_chars == len(r.text)
 
 
+class Everywhere(dict):
+    """One importance for every doubtful branch."""
+
+    def __init__(self, value):
+        super().__init__({"": value})
+        self.value = value
+
+    def __contains__(self, path):
+        return True
+
+    def __getitem__(self, path):
+        return self.value
+
+
+def test_the_tree_decides_on_the_given_pages(spark):
+    """Without the tree's decisions the adverts come back."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    told = {r.site: r for r in decisions(pages).collect()}
+    assert any(r.doubt for r in told.values())
+    without = [(p.html, extract(p.html)) for p in pages.collect()]
+    changed = [t for h, t in without if t != article_only(h)]
+    assert len(changed) > len(without) // 4
+
+
 def test_markup():
-    e = lambda h: extract(h, ())
+    unknown = Everywhere(S.UNKNOWN)
+    e = lambda h: extract(h, doubt=unknown)
     assert e("") == "" and e("plain &amp; simple") == "plain & simple"
     assert e("<p>a<b>b</b>c<p>d<br>e") == "abc d e"
     assert e("<script>var t='<p>no</p>';</script><p>yes</p><style>p{}") == "yes"
@@ -45,6 +71,25 @@ def test_deep_and_long_pages():
     assert extract("<div>" * 5000 + "x" + "</div>" * 5000, ()) == "x"
     assert len(extract("<p>word</p>" * 50_000, ())) == 5 * 50_000 - 1
     assert extract("<" * 20_000, ()) == "<" * 20_000
+    deep = "<span>" * 450 + "<article>Main text here.</article><nav>MENU</nav><form>FORM</form><div class=\"comments\">reader</div>"
+    assert extract(deep, doubt=Everywhere(S.UNKNOWN)) == "Main text here."
+    deep = "<div>" * 3000 + "<article>Main.</article><nav>MENU</nav><aside>no</aside>" + "</div>" * 2999 + "<p>end</p><footer>no</footer>"
+    assert extract(deep) == "Main. end"
+
+
+def test_a_class_word_alone_drops_nothing(spark):
+    pages = [(i, f"http://a.example/{i}", f"<body><p>Line {i} of {i * 7}.</p><div class=related><p>Tale {i * 13}.</p></div></body>") for i in range(30)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[4] == "Line 4 of 28. Tale 52."       # as diverse as the text beside it
+    pages = [(i, u, h.replace(f"Tale {i * 13}", "Tale")) for i, u, h in pages]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[4] == "Line 4 of 28."
+
+
+def test_clashing_columns(spark):
+    df = site(spark)
+    more = df.withColumns({c: F.lit("clash") for c in ("host", "site", "cut", "doubt", "repeated", "path", "a.b")})
+    assert sorted(map(tuple, extract_pages(more).collect())) == sorted(map(tuple, extract_pages(df).collect()))
 
 
 def site(spark, n=30):
@@ -100,5 +145,6 @@ def test_repeated_prose_in_few_articles_stays(spark):
 
 def test_doubtful_inline_text_stays_in_its_block():
     page = "<p>See <span class=related>other</span> things</p>"
-    assert extract(page, ()) == "See things"
-    assert extract(page, (), kept={">p>span.related!"}) == "See other things"
+    assert extract(page) == "See other things"
+    assert extract(page, doubt={">p>span.related!": 0.5}) == "See things"
+    assert extract(page, doubt={">p>span.related!": 0.9}) == "See other things"
