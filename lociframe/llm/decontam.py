@@ -26,6 +26,14 @@ without a good window in any form is matched by all its tokens as they are
 (``EXACT``), one after another; one of fewer than ``LITERALS`` tokens only by a
 document that consists of it.
 
+Items that differ in the values of their slots only, and repeat values at the same
+places, are consistent with the same documents: they form one *template*, and the
+documents are joined, chained and checked against one item of each template.  A
+document gives one row per template: with the item whose values it has, found by
+an equi-join on all slot values, else with the template's smallest item.  Which
+items belong to a template is a table of its own (``templates``).  So the rows
+grow with the documents, not with documents x items of one kind.
+
 Scale: a Bloom filter over the benchmark's window hashes (its size is a
 parameter, whatever the benchmark) goes to the executors and drops nearly all
 document windows before the join; what it lets through by chance the join
@@ -211,7 +219,7 @@ def slot_values(form: Form, words: list[str], start: int, width: int) -> list[st
             value = words[at[i]].lower()
             if slot[i] == 3:
                 k = at[i] + 1
-                while k < len(words) and k < at[i] + 6 and words[k] not in ".!?\n" and (i + 1 >= len(at) or k < at[i + 1]):
+                while k < len(words) and words[k] not in ".!?\n" and (i + 1 >= len(at) or k < at[i + 1]):
                     value += " " + words[k].lower()
                     k += 1
             out.append(f"{form.place[i]} {slot[i]} {value}")
@@ -219,7 +227,7 @@ def slot_values(form: Form, words: list[str], start: int, width: int) -> list[st
 
 
 def item_rows(item, text: str, tokens: Tokens) -> list[tuple]:
-    """(item_id, form, width, hash, pos, slots, n_windows) of one item."""
+    """(item, form, width, hash, pos, slots, n_windows) of one item."""
     forms, words = tokens.forms(text, (KNOWN, FIRST, BARE, EXACT))
     rows = []
     for f, form in sorted(forms.items()):
@@ -239,22 +247,72 @@ def item_rows(item, text: str, tokens: Tokens) -> list[tuple]:
     return rows
 
 
-def bench_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, form, width, hash, pos, slots, n_windows) of every item."""
+def values_of(rows: list[tuple]) -> dict[int, list[str]]:
+    """By form the slots ("place type value") in the windows of one item, by place."""
+    slots = defaultdict(set)
+    for _, f, _, _, _, found, _ in rows:
+        slots[f].update(found)
+    return {f: sorted(x, key=lambda v: int(v.split(" ", 1)[0])) for f, x in slots.items()}
+
+
+def values_key(slots: list[str]) -> int:
+    return np.uint64(xxhash.xxh64_intdigest("\n".join(slots))).astype(np.int64).item()
+
+
+def template_of(rows: list[tuple]) -> bytes:
+    """A digest of an item's windows and of which of its slots have equal values."""
+    digest = xxhash.xxh3_128()
+    for _, f, width, h, pos, _, _ in rows:
+        digest.update(f"{f} {width} {h} {pos};")
+    for f, slots in sorted(values_of(rows).items()):
+        first: dict = {}
+        for i, slot in enumerate(slots):
+            place, kind_value = slot.split(" ", 1)
+            digest.update(f"{f} {place} {first.setdefault(kind_value, i)};")
+    return digest.digest()
+
+
+def templates(benchmark: DataFrame) -> DataFrame:
+    """(item_id, text, template, form, values) of the items, once for each of their
+    forms with slots (form -1 if there is none); ``template`` is equal for items
+    that differ in slot values only, ``values`` a key of these.  Items without any
+    window are not in the table."""
     def run(batches):
         tokens = Tokens()
         for b in batches:
-            rows = []
+            out = []
             for item, text in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                rows += item_rows(item, text, tokens)
-            columns = list(zip(*rows)) if rows else [()] * 7
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), LEAF, pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["item_id", "form", "width", "hash", "pos", "item_slots", "n_windows"])
+                rows = item_rows(item, text, tokens)
+                if rows:
+                    t = template_of(rows)
+                    out += [(item, text, t, f, values_key(v)) for f, v in values_of(rows).items() if v] or [(item, text, t, -1, 0)]
+            columns = list(zip(*out)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.int64()))],
+                                             names=["item_id", "text", "template", "form", "values"])
 
     # one row per (item, text): repeated rows of the benchmark count once
     narrow = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    return narrow.mapInArrow(run, "item_id long, form int, width int, hash long, pos long, item_slots array<string>, n_windows long")
+    return narrow.mapInArrow(run, "item_id long, text string, template binary, form int, values long")
+
+
+def bench_windows(items: DataFrame) -> DataFrame:
+    """(item, form, width, hash, pos, slots, n_windows, item_values) of every row of
+    (item, text); ``item_values`` is the number of slots of the form."""
+    def run(batches):
+        tokens = Tokens()
+        for b in batches:
+            rows = []
+            for item, text in zip(b.column(0).to_pylist(), texts(b.column(1))):
+                found = item_rows(item, text, tokens)
+                size = {f: len(v) for f, v in values_of(found).items()}
+                rows += [(*r, size[r[1]]) for r in found]
+            columns = list(zip(*rows)) if rows else [()] * 8
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), LEAF, pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             names=["item", "form", "width", "hash", "pos", "item_slots", "n_windows", "item_values"])
+
+    return items.select("item", "text").mapInArrow(
+        run, "item long, form int, width int, hash long, pos long, item_slots array<string>, n_windows long, item_values long")
 
 
 def bloom_of(hashes: DataFrame) -> np.ndarray:
@@ -369,9 +427,11 @@ def consistent(slots: set[tuple]) -> bool:
     return conflicts <= CONFLICTS * len({s[0] for s in slots})
 
 
-def best_alignment(points: list[tuple], n_windows: int, exact: bool = False) -> tuple | None:
-    """(n_matched, n_slots, n_changed, first_token) of the largest leak among the
-    chain, the chain without its short links, and each offset alone; or None."""
+def best_alignment(points: list[tuple], n_windows: int, exact: bool = False, n_values: int = -1) -> tuple | None:
+    """(n_matched, n_slots, n_changed, first_token, values) of the largest leak among
+    the chain, the chain without its short links, and each offset alone; or None.
+    ``values`` is the key of the document's values if it has one for each of the
+    item's ``n_values`` slots."""
     offsets = defaultdict(list)
     for p in points:
         offsets[p[0] - p[1]].append(p)
@@ -391,8 +451,13 @@ def best_alignment(points: list[tuple], n_windows: int, exact: bool = False) ->
         if consistent(slots):
             rank = n, -min(p[0] for p in found)
             if best is None or rank > best[0]:
-                best = rank, len(slots), sum(s[2] != s[3] for s in slots)
-    return best and (best[0][0], best[1], best[2], -best[0][1])
+                best = rank, slots
+    if best is None:
+        return None
+    (n, first), slots = best
+    whole = len(slots) == n_values == len({s[0] for s in slots})
+    key = values_key([f"{p} {kind} {doc}" for p, kind, _, doc in sorted(slots)]) if whole and slots else None
+    return n, len(slots), sum(s[2] != s[3] for s in slots), -first, key
 
 
 def of_one_form(points: list[dict], form: int) -> list[dict]:
@@ -413,25 +478,35 @@ def of_one_form(points: list[dict], form: int) -> list[dict]:
     return [p for p in points if p["doc_form"] == form or not beside(p)]
 
 
+ALIGNED = ["doc_id", "text_key", "item", "form", "n_windows", "n_matched", "n_slots", "n_changed", "first_token", "values"]
+
+
 def best_alignments(batches):
     for b in batches:
         rows = []
         for r in b.to_pylist():
             points = [(p["doc_pos"], p["pos"], [(s["pos"], s["type"], s["item"], s["doc"]) for s in p["slots"]])
                       for p in of_one_form(r["points"], r["form"])]
-            found = best_alignment(points, r["n_windows"], r["form"] == EXACT)
+            found = best_alignment(points, r["n_windows"], r["form"] == EXACT, r["item_values"])
             if found:
-                rows.append((r["doc_id"], r["text_key"], r["item_id"], r["form"], r["n_windows"], *found))
-        columns = list(zip(*rows)) if rows else [()] * 9
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                         names=["doc_id", "text_key", "item_id", "form", "n_windows", "n_matched", "n_slots", "n_changed", "first_token"])
+                rows.append((r["doc_id"], r["text_key"], r["item"], r["form"], r["n_windows"], *found))
+        columns = list(zip(*rows)) if rows else [()] * len(ALIGNED)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=ALIGNED)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_key, item_id, n_matched, n_windows, coverage, n_slots,
-    n_changed, first_token) for every document and item that it leaks: its best chain;
-    n_changed counts the slots whose value differs from the item's."""
-    items = stored(bench_windows(benchmark), "bench-windows")
+    """(doc_id, text_key, item_id, template, n_items, n_matched, n_windows, coverage,
+    n_slots, n_changed, first_token) for every document and template that it leaks:
+    its best chain.  ``item_id`` is the template's smallest item with the document's
+    slot values, else its smallest; n_changed counts the slots whose value differs
+    from that item's; n_items is the number of the template's items."""
+    members = stored(templates(benchmark), "bench-items")
+    # ids first: a null id stands for a template only where there is no other
+    smallest = F.min(F.struct(F.col("item_id").isNull().alias("none"), "item_id", "text")).alias("m")
+    kinds = stored(members.groupBy("template").agg(smallest, F.count_distinct(F.struct("item_id", "text")).alias("n_items"))
+                   .select(F.monotonically_increasing_id().alias("item"), "template", F.col("m.item_id").alias("smallest"), F.col("m.text").alias("text"), "n_items"),
+                   "bench-templates")
+    items = stored(bench_windows(kinds), "bench-windows")
     widths = sorted(r.width for r in items.select("width").distinct().collect())
     bits = docs.sparkSession.sparkContext.broadcast(bloom_of(items))
     met = document_windows(docs, bits, widths).join(items, ["width", "hash"])
@@ -446,17 +521,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # chain that drifts by less than one lies wholly in one of them
     near = F.floor((F.col("doc_pos") - F.col("pos")) / F.greatest(F.lit(2 * WINDOW), F.col("n_windows")))
     point = F.struct("doc_pos", "pos", "doc_form", F.zip_with("doc_slots", "item_slots", pair).alias("slots"))
-    groups = (met.select("doc_id", "text_key", "item_id", "form", "n_windows", F.explode(F.array(near, near + 1)).alias("near"), point.alias("p"))
-              .groupBy("doc_id", "text_key", "item_id", "form", "n_windows", "near").agg(F.collect_set("p").alias("points")))
+    keys = ["doc_id", "text_key", "item", "form", "n_windows", "item_values"]
+    groups = (met.select(*keys, F.explode(F.array(near, near + 1)).alias("near"), point.alias("p"))
+              .groupBy(*keys, "near").agg(F.collect_set("p").alias("points")))
     matched = F.size(F.array_distinct(F.transform("points", lambda p: p["pos"])))
     hopeful = groups.where((matched >= COVERAGE * F.col("n_windows")) | (matched >= RUN)).drop("near")
-    good = hopeful.mapInArrow(best_alignments, "doc_id long, text_key long, item_id long, form long, n_windows long, n_matched long, n_slots long, "
-                                               "n_changed long, first_token long")
-    best = F.max_by(F.struct("n_matched", "n_windows", "n_slots", "n_changed", "first_token"),
+    good = hopeful.mapInArrow(best_alignments, ", ".join(f"{c} long" for c in ALIGNED))
+    best = F.max_by(F.struct("n_matched", "n_windows", "n_slots", "n_changed", "first_token", "form", "values"),
                     F.struct("n_matched", -F.col("form"), -F.col("first_token"), "n_windows")).alias("b")
-    found = good.groupBy("doc_id", "text_key", "item_id").agg(best)
-    return found.select("doc_id", "text_key", "item_id", "b.n_matched", "b.n_windows",
-                        (F.col("b.n_matched") / F.col("b.n_windows")).alias("coverage"), "b.n_slots", "b.n_changed", "b.first_token")
+    found = good.groupBy("doc_id", "text_key", "item").agg(best).select("doc_id", "text_key", "item", "b.*")
+    found = found.join(kinds.select(F.col("item").alias("k_item"), "template", "smallest", "n_items"), F.col("item") == F.col("k_item"))
+    # the item whose values the document has
+    exact = (members.groupBy(F.col("template").alias("e_template"), F.col("form").cast("long").alias("e_form"), F.col("values").alias("e_values"))
+             .agg(F.min("item_id").alias("e_item")))
+    same = (F.col("template") == F.col("e_template")) & (F.col("form") == F.col("e_form")) & (F.col("values") == F.col("e_values"))
+    found = found.join(exact, same, "left")
+    hit = F.col("e_template").isNotNull()
+    return found.select("doc_id", "text_key", F.when(hit, F.col("e_item")).otherwise(F.col("smallest")).alias("item_id"),
+                        F.lower(F.hex("template")).alias("template"), "n_items", "n_matched", "n_windows",
+                        (F.col("n_matched") / F.col("n_windows")).alias("coverage"), "n_slots",
+                        F.when(hit, F.lit(0)).otherwise(F.col("n_changed")).cast("long").alias("n_changed"), "first_token")
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

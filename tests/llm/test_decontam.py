@@ -1,10 +1,11 @@
 """Leaks against brute force over literal passages, and planted variants."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
 
-from lociframe.llm.decontam import drop_leaking, leaks
+from lociframe.llm.decontam import drop_leaking, leaks, templates
 
 SF = "/root/testdata/sf0.01"
 ITEM = ("A train leaves Boston at 9 and travels 120 km in 3 hours while Alice Smith counts 45 red cars along the old road and 9 blue "
@@ -100,3 +101,30 @@ def test_one_conflict_in_many_slots_and_items_without_windows(spark):
     docs = [many.replace("number 1", "number 9", 1), f"so {digits} it is", digits.replace("9", "8"), "why NOT", "and why not today",
             "He asked: what is 7 times 8? Then he left", "what is 7 times 9"]
     assert set(found(spark, docs, [many, digits, tiny, sums])) == {(0, 0), (1, 1), (3, 2), (5, 3)}
+
+
+def test_items_of_one_template_are_one_row_for_a_document(spark):
+    rng = random.Random(4)
+    ask = "A farmer brings {} apples and {} pears to the market and sells {} of them before noon"
+    items = [ask.format(*rng.sample(range(100, 9000), 3)) for _ in range(2000)] + [ask.format(7, 7, 9), ITEM]
+    docs = [ask.format(*rng.sample(range(10_000, 99_000), 3)) for _ in range(197)] + [items[17], ask.format(5, 5, 6), ITEM]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = leaks(df, bench).collect()
+    assert len({r.template for r in got}) == 3
+    by = {(r.doc_id, r.n_items): r for r in got}
+    assert len(got) <= 2 * 199 + 1 and {d for d, _ in by} == set(range(200))
+    assert by[3, 2000].item_id == 0 and by[3, 2000].n_changed == 3
+    assert by[197, 2000].item_id == 17 and by[197, 2000].n_changed == 0 and by[199, 1].item_id == 2001
+    assert (198, 1) in by and (3, 1) not in by       # equal numbers stay equal: the template of 7, 7, 9
+    listed = templates(bench).select("item_id", "template").distinct()
+    assert sorted(r["count"] for r in listed.groupBy("template").count().collect()) == [1, 1, 2000]
+
+
+def test_long_names_are_compared_whole(spark):
+    name = "Anna Maria Lena Clara Sofia Greta Olga Irma Lee"
+    item = f"the old town hall was built by {name} long ago and {name} lived there with {name} until the end"
+    other = item.replace("Greta Olga Irma Lee long", "Greta Olga Irma Roe long")
+    assert found(spark, [item, other], [item])[0, 0].n_changed == 0
+    # nine words agree in the first six only: one slot of three conflicts
+    assert (1, 0) not in found(spark, [item, other], [item])
