@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,25 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     lineage ends there, and Spark knows its size when it plans the next join."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the folders of ``stored`` tables that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+SMALL = 1_000_000         # rows of a few numbers or short texts that may be broadcast
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it has at most ``SMALL`` rows."""
+    return F.broadcast(df) if df.count() <= SMALL else df
 
 
 def crc_bucket(doc_id: Column, modulus: int) -> Column:
@@ -83,3 +102,13 @@ def parts(data: bytes, size: int = PART) -> Iterator[bytes]:
         to = end.start() if end else len(data)
         yield data[at:to]
         at = to
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit words that spreads every bit."""
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x

@@ -183,26 +183,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """(doc_id, fingerprint, component_id, text_key) for every row of ``docs``."""
+    """(doc_id, fingerprint, component_id, text_key, root) for every row of ``docs``;
+    ``root`` is a fingerprint that names the component, whatever its ids."""
     fps = stored(fingerprints(docs, shingle), "fingerprints")
     nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     roots = stored(components(links(nodes.select("fp"), max_distance)), "roots")
     placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = placed.join(smallest, "root").select(F.col("fp").alias("node_fp"), "component_id")
+    of_fp = placed.join(smallest, "root").select(F.col("fp").alias("node_fp"), "component_id", "root")
     return (fps.join(of_fp, F.col("fp") == F.col("node_fp"))
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_key"))
+            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_key", "root"))
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component: that of the
-    smallest id (of repeated rows one; of a component without ids, one row per
-    text).  All columns are kept."""
-    found = near_duplicates(docs, shingle, max_distance)
-    kept = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
-                  .agg(F.count("*").alias("copies")), "kept")
+    """``docs`` with one row of each near-duplicate component: that of the smallest
+    (id, hash of the text), rows without an id last; of rows that repeat both, any
+    one.  All columns are kept."""
+    found = near_duplicates(docs, shingle, max_distance).groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "copies")).alias("k")
+    kept = stored(found.groupBy("root").agg(first).select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"), "k.copies"), "kept")
     key = F.xxhash64(docs["text"])
 
     def rows(of: DataFrame) -> DataFrame:  # the frames' own columns: other names may clash

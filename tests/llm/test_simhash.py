@@ -103,3 +103,12 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
     again = keep_one_of_each(spark.createDataFrame([(1, "x y z w", "p"), (1, "x y z w", "p")], "doc_id long, text string, kept_key string"))
     assert again.count() == 1
     assert near_duplicates(df.limit(0)).count() == 0 and keep_one_of_each(df.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    schema = "doc_id long, text string, n int"
+    keep = lambda rows: sorted(r.n for r in keep_one_of_each(spark.createDataFrame(rows, schema)).collect())
+    assert len(keep([(None, "Some Words here", 1), (None, "some words HERE", 2)])) == 1
+    assert len(keep([(5, "Some Words here", 1), (5, "some words HERE", 2)])) == 1
+    assert keep([(None, "Some Words here", 1), (5, "some words HERE", 2), (7, "some words here", 3), (None, "far away from it", 4)]) == [2, 4]
+    assert len(keep([(None, None, 1), (None, "", 2), (None, " ", 3)])) == 1
