@@ -92,17 +92,17 @@ def weak_parts(text: str) -> list[Span]:
 class Near:
     """The parts of some kinds by position, for "is one in my scope?"."""
 
-    def __init__(self, parts: list[Span], breaks: list[int]):
-        self.parts, self.breaks = sorted(parts, key=lambda p: (p[1], p[2])), breaks
+    def __init__(self, parts: list[Span], breaks: list[int], scope: int):
+        self.parts, self.breaks, self.scope = sorted(parts, key=lambda p: (p[1], p[2])), breaks, scope
         self.starts, self.ends = [p[1] for p in self.parts], sorted(p[2] for p in self.parts)
 
     def beside(self, part: Span) -> bool:
-        """A part other than and apart from ``part`` stands within SCOPE
+        """A part other than and apart from ``part`` stands within the scope's
         characters of it and in the same run of lines."""
         _, start, end = part
-        scope = bisect_right(self.breaks, start)
-        low = max(start - SCOPE, self.breaks[scope - 1] if scope else 0)
-        high = min(end + SCOPE, self.breaks[scope] if scope < len(self.breaks) else end + SCOPE)
+        run = bisect_right(self.breaks, start)
+        low = max(start - self.scope, self.breaks[run - 1] if run else 0)
+        high = min(end + self.scope, self.breaks[run] if run < len(self.breaks) else end + self.scope)
         # the nearest following start and the nearest preceding end decide
         i = bisect_left(self.starts, end)
         if i < len(self.parts) and self.parts[i][1] < high:
@@ -111,7 +111,7 @@ class Near:
         return i >= 0 and self.ends[i] >= low
 
 
-def linked(text: str, base: list[Span]) -> list[Span]:
+def linked(text: str, base: list[Span], scope: int = SCOPE) -> list[Span]:
     """The weak candidates that complementary parts in their scope confirm."""
     weak = weak_parts(text)
     if not weak:
@@ -130,36 +130,36 @@ def linked(text: str, base: list[Span]) -> list[Span]:
         return i >= 0 and reach[i] > p[1]
 
     ids, secrets = [*of["ident"], *of["access"]], [*of["secret"], *of["assign"], *of["hex"]]
-    near_ids, near_secrets = Near(ids, breaks), Near(secrets, breaks)
-    near_base, near_ends = Near(base, breaks), Near(of["endpoint"], breaks)
+    near_ids, near_secrets = Near(ids, breaks, scope), Near(secrets, breaks, scope)
+    near_base, near_ends = Near(base, breaks, scope), Near(of["endpoint"], breaks, scope)
 
     def confirmed(p: Span, others: Near) -> bool:
         return others.beside(p) or near_ends.beside(p) and near_base.beside(p)
 
     found = [p for p in of["ident"] if confirmed(p, near_secrets)] + [p for p in of["secret"] if confirmed(p, near_ids)]
-    good_ids = Near([p for p in ids if near_secrets.beside(p)], breaks)
-    good_secrets = Near([p for p in secrets if near_ids.beside(p)], breaks)
+    good_ids = Near([p for p in ids if near_secrets.beside(p)], breaks, scope)
+    good_secrets = Near([p for p in secrets if near_ids.beside(p)], breaks, scope)
     found += [p for p in of["endpoint"] if good_ids.beside(p) and good_secrets.beside(p)]
     return [p for p in found if not overlaps(p)]
 
 
-def scan(text: str) -> tuple[list[Span], list[Span]]:
+def scan(text: str, scope: int = SCOPE) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each by start and then kind."""
     def order(p: Span):
         return p[1], KINDS.index(p[0]), p[2]
     base = sorted(base_spans(text), key=order)
-    return base, sorted([*base, *linked(text, base)], key=order)
+    return base, sorted([*base, *linked(text, base, scope)], key=order)
 
 
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def redact(text: str) -> str:
+def redact(text: str, scope: int = SCOPE) -> str:
     """The text with every found span (overlapping ones together) replaced."""
     out, at = [], 0
     merged: list[list] = []
-    for kind, s, e in scan(text)[1]:
+    for kind, s, e in scan(text, scope)[1]:
         if merged and s < merged[-1][2]:
             merged[-1][2] = max(merged[-1][2], e)
         else:
@@ -170,13 +170,13 @@ def redact(text: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def scan_documents(docs: DataFrame) -> DataFrame:
+def scan_documents(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for every row."""
     def run(batches):
         for b in batches:
             rows = []
             for text in texts(b.column(1)):
-                base, every = scan(text)
+                base, every = scan(text, scope)
                 n = [sum(p[0] == k for p in base) for k in KINDS[:3]]
                 rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(every)))
             columns = list(zip(*rows)) if rows else [()] * 5
@@ -189,12 +189,12 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
-def redact_documents(docs: DataFrame) -> DataFrame:
+def redact_documents(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``docs`` with the found spans replaced in ``text`` and ``n_chars`` counted
     anew where it exists; all columns stay, a null text stays null."""
     @F.pandas_udf("string")
     def clean(text: pd.Series) -> pd.Series:
-        return text.map(redact, na_action="ignore")
+        return text.map(lambda t: redact(t, scope), na_action="ignore")
 
     out = docs.withColumn("text", clean(F.col("text").cast("string")))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
