@@ -39,7 +39,7 @@ from lociframe.llm.common import texts
 # description states it (white space by its Unicode property).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-CACHED = 250_000             # words, and chunks, that a task remembers; emptied when full
+CACHED = 400_000             # chunks, and words inside chunks, that a task remembers; emptied when full
 CACHED_LENGTH = 64           # longer ones are encoded but not kept
 TRIE_NODES = 500_000       # a larger trie starts anew
 GROUP_CHARS = 1 << 21        # texts whose words are learnt together
@@ -190,7 +190,8 @@ class Encoder:
 
     A text without two blanks in a row falls apart before every blank: no
     pre-token spans that place, whatever stands around it.  So the chunk is the
-    unit of the larger cache, and its pre-tokens are the words of the trie."""
+    unit of the larger cache, and its pre-tokens are the words of the trie.  A word
+    that is a chunk itself is kept as such only."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.trie = vocab, Trie(vocab)
@@ -206,10 +207,11 @@ class Encoder:
         if len(self.words) > CACHED:
             self.words.clear()
         cut = {p: self.split(p) for p in set(pieces).difference(self.chunks)}
-        known = self.words
-        fresh = self.trie.encode({w for ws in cut.values() for w in ws if w not in known})
-        known.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHED_LENGTH)
-        ids_of = lambda w: fresh[w] if w in fresh else known[w]
+        known, chunks = self.words, self.chunks
+        fresh = self.trie.encode({w for ws in cut.values() for w in ws if w not in known and w not in chunks})
+        parts = {w for ws in cut.values() if len(ws) > 1 for w in ws if w in fresh and w not in cut and len(w) <= CACHED_LENGTH}
+        known.update((w, fresh[w]) for w in parts)
+        ids_of = lambda w: fresh[w] if w in fresh else known[w] if w in known else chunks[w]
         found = {p: ids_of(ws[0]) if len(ws) == 1 else b"".join(map(ids_of, ws)) for p, ws in cut.items()}
         self.chunks.update((p, ids) for p, ids in found.items() if len(p) <= CACHED_LENGTH)
         return {p: ids for p, ids in found.items() if len(p) > CACHED_LENGTH}
