@@ -14,10 +14,16 @@
    neighbourhood with one token deleted too.  Allocation is by cost: from a
    histogram of all index keys, a probing set gives the dearest segments (empty
    ones first) no unit and the cheapest reserves two.
-5. Rows that share a key are candidates, and the sets themselves decide.  Each
-   key's members are first compared with the smallest of them, which is linear;
-   then only members of different components so far are paired, so a group of
-   near copies is never expanded.  No link between two components is lost.
+5. Rows that share a key are candidates.  A parity sketch (bit i is the parity of
+   the tokens hashed to i) drops most of the false ones: two sets differ in at
+   least as many tokens as their sketches in bits.  The sets themselves decide.
+   Each key's members are first compared with the smallest of them, then, in larger
+   keys that still hold several components, with one that a hash picks for the
+   key: both are linear, and leave a group of near copies in one component.  Only
+   members of different components are then paired, so such a group is never
+   expanded.  Of keys with more than ``FEW`` members
+   the sketches meet in blocks, and only pairs that they leave possible become
+   rows.  No link between two components is lost.
 
 Tokens are 64-bit hashes of the n-grams (all sums of hashes below are only used
 to find candidates): two different n-grams of a pair of documents count as one
@@ -41,11 +47,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociframe.llm.common import PART, parts, stored, texts
+from lociframe.llm.common import PART, mix, parts, small, stored, texts
 from lociframe.llm.simhash import components
 
 BUCKETS = 1 << 18         # of the cost histogram, whatever the input
 SETS = 256                # sets worked on at a time
+FEW = 16                  # members of a key that are paired as rows
+BLOCK = 256               # members of larger keys whose sketches meet at a time
 SEEN = 1_000_000          # digests that a task remembers
 
 _U = np.uint64
@@ -58,16 +66,6 @@ WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit words that spreads every bit."""
-    x = x ^ (x >> _U(30))
-    x *= _U(0xBF58476D1CE4E5B9)
-    x ^= x >> _U(27)
-    x *= _U(0x94D049BB133111EB)
-    x ^= x >> _U(31)
-    return x
-
-
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, places) of the words (runs of bytes that are not white space): the
     sum of table words for its bytes by their place in it, mixed with its length."""
@@ -136,6 +134,22 @@ def sets_of(many: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
 _TRUE = np.ones(1, bool)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the tokens by their lowest bits; a power of two of them, two to
+    four times as many as tokens, so that few tokens share a bit."""
+    bits = 64 << (len(tokens) // 32).bit_length()
+    odd = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def sketches_differ(a: bytes, b: bytes) -> int:
+    """Differing bits; the longer sketch is folded to the shorter one's length."""
+    if len(a) < len(b):
+        a, b = b, a
+    x = np.bitwise_xor.reduce(np.frombuffer(a, "<u8").reshape(-1, len(b) // 8), axis=0) ^ np.frombuffer(b, "<u8")
+    return int(np.bitwise_count(x).sum())
+
+
 class Spaces:
     """Bands of sizes, and for each the number of segments and of reserves, for a
     similarity of at least ``percent`` per cent."""
@@ -211,7 +225,9 @@ def allocate(cost: np.ndarray, dear: np.ndarray, size: np.ndarray, reserves: int
     segment hands its unit to the cheapest reserve that has one unit still, if
     that costs less (its own cost and the rows of its neighbourhood)."""
     units = np.ones(len(cost), np.int8)
-    price = (np.maximum(cost[:reserves], 0) + size[:reserves] + 2).tolist()
+    price = (np.maximum(cost[:reserves], 0) + size[:reserves] + 2)
+    price[size[:reserves] < 2] = np.inf      # without its one token it is an empty segment
+    price = price.tolist()
     free = sorted(range(reserves), key=price.__getitem__)
     drop = np.flatnonzero(dear)
     for i in drop[np.argsort(-cost[drop], kind="stable")].tolist():
@@ -223,12 +239,12 @@ def allocate(cost: np.ndarray, dear: np.ndarray, size: np.ndarray, reserves: int
 
 
 def digests(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(doc_id, text_key, n, d1, d2) of every row, d1 and d2 a digest of its set;
-    and from each task one row whose ``hist`` counts the index keys of its sets
+    """(doc_id, text_key, n, d1, d2, sketch) of every row, d1 and d2 a digest of its
+    set; and from each task one row whose ``hist`` counts the index keys of its sets
     by bucket (a set that it saw before counts once)."""
-    schema = "doc_id long, text_key long, n long, d1 long, d2 long, hist array<long>"
-    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
-    names = ["doc_id", "text_key", "n", "d1", "d2", "hist"]
+    schema = "doc_id long, text_key long, n long, d1 long, d2 long, sketch binary, hist array<long>"
+    kinds = [pa.int64()] * 5 + [pa.binary(), pa.list_(pa.int64())]
+    names = ["doc_id", "text_key", "n", "d1", "d2", "sketch", "hist"]
 
     def run(batches):
         keys, seen, hist = Keys(percent), set(), np.zeros(BUCKETS, np.int64)
@@ -237,7 +253,7 @@ def digests(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             tokens, ends = sets_of(texts(b.column(1)), shingle)
             for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 d = xxhash.xxh3_128_digest(tokens[i:j].data)
-                out.append((j - i, *struct.unpack("<qq", d)))
+                out.append((j - i, *struct.unpack("<qq", d), sketch(tokens[i:j])))
                 if d not in seen:
                     if len(seen) >= SEEN:
                         seen.clear()
@@ -245,11 +261,11 @@ def digests(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                     new.append(tokens[i:j])
             kept = np.cumsum([0] + [len(x) for x in new])
             np.add.at(hist, bucket_of(keys.segments(np.concatenate([np.zeros(0, _U), *new]), kept, below=False)[2]), 1)
-            n, d1, d2 = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(x, pa.int64()) for x in (n, d1, d2)),
-                                              pa.nulls(len(out), kinds[5])], names=names)
+            made = zip(*out) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(x, k) for x, k in zip(made, kinds[2:6])),
+                                              pa.nulls(len(out), kinds[6])], names=names)
         if hist.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, k) for k in kinds[:5]] + [pa.array([hist], kinds[5])], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, k) for k in kinds[:6]] + [pa.array([hist], kinds[6])], names=names)
 
     return _narrow(docs).mapInArrow(run, schema)
 
@@ -263,8 +279,8 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 
 def _of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the rows that stand for the nodes."""
-    d = _narrow(docs)
+    """(node, text) of the rows that stand for the (stored) nodes."""
+    d, nodes = _narrow(docs), small(nodes.select("node", "rep_id", "rep_key"))
     return (d.join(nodes, d["doc_id"].eqNullSafe(nodes["rep_id"]) & d["text_key"].eqNullSafe(nodes["rep_key"]))
             .select("node", "text"))
 
@@ -341,68 +357,143 @@ def token_sets(node_texts: DataFrame, shingle: int) -> DataFrame:
     return node_texts.mapInArrow(run, "node long, tokens array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets are similar enough, counted exactly."""
+def close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` that their sketches leave possible, stored."""
+    def side(c: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+
+    def run(batches):
+        for b in batches:
+            size = (b.column("na").to_numpy() + b.column("nb").to_numpy())
+            most = size - 2 * -(-percent * size // (100 + percent))
+            stay = [sketches_differ(x, y) <= m for x, y, m in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), most.tolist())]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(stay, pa.bool_()))
+
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "close-pairs")
+
+
+def folded(many: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to the shortest one's length."""
+    words = min(map(len, many)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, "<u8").reshape(-1, words), axis=0) for x in many])
+
+
+def close_in_blocks(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Possible pairs (a, b) among the members (key, node, n, role, root, c) of large
+    keys: of different roots, a probe and a smaller index row, and not ruled out by
+    their sketches.  A key of c members makes c / ``BLOCK`` blocks, and every two of
+    them meet in a group of their own."""
+    part = members.join(nodes.select(F.col("node").alias("s_node"), "sketch"), F.col("node") == F.col("s_node")).drop("s_node")
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    part = part.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    part = part.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    met = (part.groupBy("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+           .agg(F.collect_list(F.struct("node", "n", "role", "root", "block", "sketch")).alias("m")).select("i", "j", "m"))
+
+    def run(batches):
+        for b in batches:
+            for i, j, m in zip(*(c.to_pylist() for c in b.columns)):
+                node, n, role, root, block = (np.array([x[k] for x in m], np.int64) for k in ("node", "n", "role", "root", "block"))
+                bits = folded([x["sketch"] for x in m])
+                # a block meets itself, or the other one
+                index = {k: np.flatnonzero((role & 1 > 0) & ((block != k) | (i == j))) for k in {i, j}}
+                a, z = [], []
+                for x in np.flatnonzero(role & 2).tolist():
+                    y = index[int(block[x])]
+                    y = y[(root[y] != root[x]) & ((n[y] < n[x]) | (n[y] == n[x]) & (node[y] < node[x])) & (100 * n[y] >= percent * n[x])]
+                    size = n[y] + n[x]
+                    near = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) <= size - 2 * -(-percent * size // (100 + percent))
+                    a += np.minimum(node[y[near]], node[x]).tolist()
+                    z += np.maximum(node[y[near]], node[x]).tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The (a, b) of (stored) ``pairs`` whose sets are similar enough, counted exactly."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted")
+    there = stored(nodes.join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "rep_id", "rep_key"), "wanted-nodes")
+    sets = stored(token_sets(_of_nodes(docs, there), shingle), "token-sets")
+
     def side(c: str) -> DataFrame:
         return sets.select(F.col("node").alias(c), F.col("tokens").alias(f"t{c}"))
 
     both = F.size(F.array_intersect("ta", "tb")).cast("long")
     sizes = (F.size("ta") + F.size("tb")).cast("long")
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(both * (100 + percent) >= sizes * percent).select("a", "b"))
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b")
+                  .where(both * (100 + percent) >= sizes * percent).select("a", "b"), "links")
 
 
 def similar_enough(n: str, other: str, percent: int):
     return F.least(n, other) * 100 >= F.greatest(n, other) * percent
 
 
+def open_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The (key, node, n, role) of ``members`` with their root in the components of
+    ``found``, of keys that hold several; c is the number of the key's members."""
+    roots = stored(components(found), "roots").withColumnsRenamed({"node": "r_node", "root": "r_root"})
+    w = Window.partitionBy("key")
+    out = (members.join(roots, F.col("node") == F.col("r_node"), "left")
+           .select("key", "node", "n", "role", F.coalesce("r_root", "node").alias("root"))
+           .withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w), "c": F.count("*").over(w)}))
+    return stored(out.where("low < high").drop("low", "high").distinct(), "open-keys")
+
+
 def links(docs: DataFrame, nodes: DataFrame, hist: np.ndarray, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) among the nodes; they connect exactly what all links of
     similar sets connect."""
     rows = signatures(_of_nodes(docs, nodes), shingle, percent, hist)
     w = Window.partitionBy("key")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, docs, nodes, shingle, percent)
+
+    # every member of a key with the smallest one
     first = F.min(F.struct("node", "n")).over(w)
     shared = stored(rows.withColumns({"first": first, "last": F.max("node").over(w)})
                     .where(F.col("first.node") < F.col("last")).drop("last"), "shared-keys")
-    wanted = shared.select("node").distinct()
-    sets = stored(token_sets(_of_nodes(docs, nodes.join(wanted, "node")), shingle), "token-sets")
-
-    # every member of a key with the smallest one
     star = (shared.where(F.col("node") != F.col("first.node")).where(similar_enough("n", "first.n", percent))
             .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
-    near = stored(verified(star, sets, percent), "links")
-
-    # members of different components, probes with smaller index rows
-    roots = stored(components(near), "roots").withColumnsRenamed({"node": "r_node"})
-    member = (shared.join(roots, F.col("node") == F.col("r_node"), "left")
-              .select("key", "node", "n", "role", F.col("first.node").alias("first"), F.coalesce("root", "node").alias("root")))
-    member = member.withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w)}).where("low < high").where("node <> first")
-    member = stored(member.select("key", "node", "n", "role", "root").distinct(), "open-keys")
-    index = member.where(F.col("role").bitwiseAND(F.lit(1)) != 0).select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    probe = member.where(F.col("role").bitwiseAND(F.lit(2)) != 0).select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    near = checked(close(star, nodes, percent))
+
+    # in large keys where components differ, with one that depends on the key
+    member = open_members(shared, near)
+    centre = F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node", "n", "root")).over(w)
+    star = (member.where(F.col("c") > FEW).withColumn("x", centre).where((F.col("root") != F.col("x.root")) & similar_enough("n", "x.n", percent))
+            .select(F.least("node", "x.node").alias("a"), F.greatest("node", "x.node").alias("b")).distinct())
+    near = near.unionByName(checked(close(star, nodes, percent)))
+
+    # all others of different components, probes with smaller index rows
+    member = open_members(member, near)
+    small_key = member.where(F.col("c") <= FEW)
+    index = small_key.where(F.col("role").bitwiseAND(F.lit(1)) != 0).select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    probe = small_key.where(F.col("role").bitwiseAND(F.lit(2)) != 0).select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     rest = (index.join(probe, "key").where((F.col("ra") != F.col("rb")) & (F.struct("na", "a") < F.struct("nb", "b")))
             .where(similar_enough("na", "nb", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return near.unionByName(verified(rest, sets, percent))
+    rest = close(rest, nodes, percent).unionByName(close_in_blocks(member.where(F.col("c") > FEW), nodes, percent)).distinct()
+    return near.unionByName(checked(stored(rest, "close-pairs")))
 
 
 def similar_documents(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     found = stored(digests(docs, shingle, percent), "set-digests")
-    rows = found.where("hist is null").drop("hist")
+    rows = found.where("n is not null").drop("hist")
     counted = (found.where("hist is not null").select(F.posexplode("hist").alias("bucket", "c")).where("c > 0")
                .groupBy("bucket").agg(F.sum("c").alias("c")).toPandas())
     hist = np.zeros(BUCKETS, np.int64)
     hist[counted["bucket"].to_numpy(np.int64)] = counted["c"].to_numpy(np.int64)
 
-    nodes = stored(rows.where("n > 0").groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("first_id"))
-                   .select(F.monotonically_increasing_id().alias("node"), "d1", "d2", "first_id",
+    nodes = stored(rows.where("n > 0").groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("first_id"),
+                                                              F.first("sketch").alias("sketch"))
+                   .select(F.monotonically_increasing_id().alias("node"), "d1", "d2", "n", "sketch", "first_id",
                            F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "nodes")
-    roots = stored(components(links(docs, nodes.select("node", "rep_id", "rep_key"), hist, shingle, percent)), "roots")
+    roots = stored(components(links(docs, nodes, hist, shingle, percent)), "roots")
     roots = roots.withColumnsRenamed({"node": "r_node"})
     placed = nodes.join(roots, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy(F.col("root").alias("c_root")).agg(F.min("first_id").alias("smallest"))
     of = placed.join(smallest, F.col("root") == F.col("c_root")).select(F.col("d1").alias("x1"), F.col("d2").alias("x2"), "smallest")
-    return (rows.join(of, (F.col("d1") == F.col("x1")) & (F.col("d2") == F.col("x2")), "left")
+    return (rows.select("doc_id", "n", "d1", "d2").join(of, (F.col("d1") == F.col("x1")) & (F.col("d2") == F.col("x2")), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id")))
