@@ -78,5 +78,5 @@ def test_order_and_registration():
     import __spark_entry__ as E
     assert [n for n, _ in P.STAGES] == ["quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "secret_scan", "bpe_encoding"]
     names = list(E.queries())
-    assert "pipeline" in names and [n.split("_")[0] for n in names if re.match(r"op\d+_", n)] == [f"op{i}" for i in range(1, 11)]
+    assert "pipeline" in names and [n.split("_")[0] for n in names if re.match(r"op\d+_", n)] == [f"op{i}" for i in range(1, 14)]
     assert crc32(b"5") % 5 in range(5)
