@@ -137,6 +137,23 @@ def n_genotypes(n: Column, ploidy: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), ploidy), F.lit(1).cast("long"), lambda c, i: (c * (n - 1 + i) / i).cast("long"))
 
 
+def ploidy_of(size: Column, n: Column) -> Column:
+    """The ploidy that has ``size`` unphased genotypes out of ``n`` alleles (two
+    at least); NULL if none has.
+
+    Each further allele of a genotype adds ``n - 1`` genotypes or more, so there are
+    few ploidies to try; each number of genotypes comes from the one before, and
+    none is computed beyond ``size``."""
+    def tried(acc, p):
+        count = (acc["count"] * (n - 1 + p) / p).cast("long")
+        return F.when(acc["count"] < size, F.struct(count.alias("count"), p.alias("ploidy"))).otherwise(acc)
+
+    last = F.greatest(((size - 1) / (n - 1)).cast("int"), F.lit(1))
+    start = F.struct(F.lit(1).cast("long").alias("count"), F.lit(0).alias("ploidy"))
+    return F.aggregate(F.sequence(F.lit(1), last), start, tried,
+                       lambda acc: F.when((acc["count"] == size) & (acc["ploidy"] > 0), acc["ploidy"]))
+
+
 def copies_by_genotype(n: Column, ploidy: Column, a: Column) -> Column:
     """For every genotype index of a ploidy how often allele ``a`` occurs in it.
 
@@ -173,13 +190,14 @@ def with_split_pl(df, pl: str = "PL", a_index: str = "a_index", n_alleles: str =
     pl2 = F.get(F.col(pl), aa)
     pl1 = F.array_min(F.transform(F.array_remove(F.col(tmp), aa), lambda i: F.get(F.col(pl), i)))
     pl0 = F.array_min(F.filter(F.col(pl), lambda x, i: ~F.array_contains(F.col(tmp), i)))
-    # the numbers of genotypes grow with the ploidy, by at least n - 1 each time
-    ploidy = F.get(F.filter(F.sequence(F.lit(1), size), lambda p: n_genotypes(n, p) == size), 0)
-    copies = copies_by_genotype(n, ploidy, a)
-    classes = F.when(ploidy.isNotNull(), F.transform(F.sequence(F.lit(0), ploidy), lambda c: F.array_min(
-        F.transform(F.filter(F.arrays_zip(F.col(pl).alias("x"), copies.alias("k")), lambda z: z["k"] == c), lambda z: z["x"]))))
     ok = F.col(pl).isNotNull() & (size > 0)
-    return df.withColumn(pl, F.when(ok & diploid, F.array(pl0, pl1, pl2)).when(ok, classes)).drop(tmp)
+    # other ploidies: what the classes share is a column, computed once a row
+    ploidy, copies = f"{tmp}_ploidy", f"{tmp}_copies"
+    df = df.withColumn(ploidy, F.when(ok & ~diploid, ploidy_of(size, n)))
+    df = df.withColumn(copies, F.when(F.col(ploidy).isNotNull(), copies_by_genotype(n, F.col(ploidy), a)))
+    classes = F.when(F.col(copies).isNotNull(), F.transform(F.sequence(F.lit(0), F.col(ploidy)), lambda c: F.array_min(
+        F.filter(F.col(pl), lambda x, i: F.get(F.col(copies), i) == c))))
+    return df.withColumn(pl, F.when(ok & diploid, F.array(pl0, pl1, pl2)).when(ok, classes)).drop(tmp, ploidy, copies)
 
 
 def estimated_pl(gt: Column, gq: Column, ad: Column, more: Column | None = None) -> Column:

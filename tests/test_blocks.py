@@ -211,3 +211,14 @@ def test_find_replace_is_a_regular_expression(spark, tmp_path):
     read = lambda a, b: SV.read_vcf(spark, str(tmp_path / "a.vcf"), find_replace=(a, b)).sites.first()
     assert read("nan", "7").qual == 7.0 and read("n.n", "7").rsid == "7" and read("n.n", "7").qual == 7.0
     assert read(r"n\.n", "7").rsid == "7" and read(r"n\.n", "7").qual != 7.0
+
+
+def test_likelihoods_of_many_alleles(spark):
+    """No number of genotypes is computed beyond the length of the array."""
+    n, ploidy, a = 12, 3, 5
+    order = sorted(combinations_with_replacement(range(n), ploidy), key=lambda g: g[::-1])
+    pl = [(i * 37) % 101 for i in range(len(order))]
+    df = spark.createDataFrame([(pl, a, n), (pl[:-1], a, n)], "PL array<int>, a_index int, num_alleles int")
+    whole, odd = G.with_split_pl(df).collect()
+    assert whole.PL == [min(x for x, g in zip(pl, order) if g.count(a) == c) for c in range(ploidy + 1)]
+    assert odd.PL is None
