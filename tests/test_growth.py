@@ -25,6 +25,14 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_entries_are_dealt_once(spark, tables):
+    """DISTINCT and window of a variant's entries share one shuffle."""
+    plan = FX._derive(spark, tables, "fx_csq")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    dealt = sorted(FX._derive(spark, tables, "fx_csq").collect())
+    assert dealt == sorted(FX.fixture(spark, tables, "fx_csq", store=False).collect()) and len(dealt) == 1200
+
+
 def test_shuffles_begin_with_partitions_for_the_input(spark):
     assert spark.conf.get(INITIAL, None) is None
     try:
