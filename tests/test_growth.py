@@ -47,3 +47,25 @@ def test_shuffles_begin_with_partitions_for_the_input(spark):
         assert spark.conf.get(INITIAL) == "77"
     finally:
         spark.conf.unset(INITIAL)
+
+
+def test_block_files_are_written_by_many_tasks(spark, tables):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8192")
+    try:
+        rows = Q.QUERIES["vcf_block_read"](spark, tables)
+        assert rows.count() == 400 and rows.select("vid").distinct().count() == 400
+    finally:
+        spark.conf.set(name, before)
+    written = IN.stored_path(spark, tables, "vcf-blocks", None).removeprefix("file:")
+    assert len(glob.glob(f"{written}/*.vcf.bgz")) > 2
+
+
+def test_many_small_ranges_share_tasks(spark, tmp_path):
+    lines = [f"line {i} of the file" for i in range(2000)]
+    (tmp_path / "a.txt").write_text("\n".join(lines) + "\n")
+    df = B.read_ranges(spark, B.list_files(spark, str(tmp_path / "a.txt")), range_bytes=64)
+    assert df.rdd.getNumPartitions() <= B.FEW_TASKS
+    got = df.orderBy("record").collect()
+    assert [r.value for r in got] == lines and len({r.record for r in got}) == len(lines)
