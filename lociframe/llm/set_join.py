@@ -357,17 +357,25 @@ def token_sets(node_texts: DataFrame, shingle: int) -> DataFrame:
     return node_texts.mapInArrow(run, "node long, tokens array<long>")
 
 
+def possible(batches, percent: int):
+    """The pairs (a, b) of the batches (a, b, na, nb, sa, sb) that their sketches leave
+    possible.  Sketches become Python objects some at a time: a task holds no
+    batch of them beside the batch itself."""
+    for b in batches:
+        for part in (b.slice(at, SETS) for at in range(0, b.num_rows, SETS)):
+            size = (part.column("na").to_numpy() + part.column("nb").to_numpy())
+            most = size - 2 * -(-percent * size // (100 + percent))
+            stay = [sketches_differ(x, y) <= m for x, y, m in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist(), most.tolist())]
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(stay, pa.bool_()))
+
+
 def close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` that their sketches leave possible, stored."""
     def side(c: str) -> DataFrame:
         return nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
 
     def run(batches):
-        for b in batches:
-            size = (b.column("na").to_numpy() + b.column("nb").to_numpy())
-            most = size - 2 * -(-percent * size // (100 + percent))
-            stay = [sketches_differ(x, y) <= m for x, y, m in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), most.tolist())]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(stay, pa.bool_()))
+        yield from possible(batches, percent)
 
     return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "close-pairs")
 
@@ -392,9 +400,11 @@ def close_in_blocks(members: DataFrame, nodes: DataFrame, percent: int) -> DataF
 
     def run(batches):
         for b in batches:
-            for i, j, m in zip(*(c.to_pylist() for c in b.columns)):
-                node, n, role, root, block = (np.array([x[k] for x in m], np.int64) for k in ("node", "n", "role", "root", "block"))
-                bits = folded([x["sketch"] for x in m])
+            # a group at a time, its numbers read in place: a batch holds many groups
+            for at, (i, j) in enumerate(zip(b.column("i").to_pylist(), b.column("j").to_pylist())):
+                m = b.column("m").slice(at, 1).flatten()
+                node, n, role, root, block = (m.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("node", "n", "role", "root", "block"))
+                bits = folded(m.field("sketch").to_pylist())
                 # a block meets itself, or the other one
                 index = {k: np.flatnonzero((role & 1 > 0) & ((block != k) | (i == j))) for k in {i, j}}
                 a, z = [], []

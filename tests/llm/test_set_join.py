@@ -131,3 +131,24 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
     assert found == sorted([(3, 2, 2), (3, 2, 2), (2, 2, 2), (None, 2, 2), (9, 0, 9), (8, 0, 8), (None, 1, 5), (7, 0, 7), (5, 1, 5), (None, 1, None)], key=repr)
     assert J.similar_documents(df.limit(0)).count() == 0
     assert got(spark, [(1, None), (2, "")]) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_few_sketches_are_objects_at_a_time():
+    """A batch of many pairs costs a task little beside the batch itself."""
+    import tracemalloc
+
+    import pyarrow as pa
+    n, other = 20 * J.SETS, bytes(2047) + b"\x01"
+    sketches = pa.array([bytes(2048), other] * (n // 2), pa.binary())
+    numbers = pa.array(range(n), pa.int64())
+    sizes = pa.array([100] * n, pa.int64())
+    batch = pa.RecordBatch.from_arrays([numbers, numbers, sizes, sizes, sketches, pa.array([other] * n, pa.binary())],
+                                       names=["a", "b", "na", "nb", "sa", "sb"])
+    tracemalloc.start()
+    try:
+        found = [x for out in J.possible([batch], 100) for x in out.column("a").to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == list(range(1, n, 2))
+    assert peak < 6 << 20        # all at once: 21 MB
