@@ -9,7 +9,8 @@ with the smallest id hash), collected as text by the driver.
 
 The score is linear in the document vector, so a task keeps one number per
 known word (the sum of its features' scores) and reads whole texts of any
-length with a bounded word cache.  Nothing is shuffled when scoring.
+length with a bounded word cache; the new words of a group of texts are hashed
+and scored together.  Nothing is shuffled when scoring.
 
 Defined results: a null or empty text has the score of the layer's bias; a
 training sample without both classes gives its only label's share (without any
@@ -38,7 +39,9 @@ EPOCHS = 8
 RATE = 6.0
 MAX_DOCS = 3000
 MAX_CHARS = 30_000
-CACHED_WORDS = 200_000      # words whose score a task remembers
+CACHED_WORDS = 100_000      # words whose score a task remembers
+GROUP_CHARS = 1 << 19       # texts whose words are learnt together
+WORDS = 20_000              # words hashed at a time
 
 
 def features(word: str) -> list[int]:
@@ -60,35 +63,101 @@ def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, (share / share.sum() if len(share) else share).astype(np.float32)
 
 
+def _byte_tables() -> dict[int, list[np.ndarray]]:
+    """By n-gram length, for each place the id bits that a byte there gives: crc32
+    is linear, so the id of an n-gram is the exclusive or of its bytes' bits."""
+    out = {}
+    for n in NGRAMS:
+        zero = crc32(bytes(n))
+        out[n] = [np.array([(crc32(bytes(i) + bytes([x]) + bytes(n - 1 - i)) ^ (zero if i else 0)) & (BUCKETS - 1) for x in range(256)], np.int32)
+                  for i in range(n)]
+    return out
+
+
+TABLES = _byte_tables()
+
+
 class Model:
     """``score`` per feature (the difference of the two classes' logits) and bias."""
 
     def __init__(self, per_feature: np.ndarray, bias: float):
         self.per_feature, self.bias = per_feature.astype(np.float64), float(bias)
-        self.words: dict[str, tuple[float, int]] = {}
+        self.start()
 
     def __reduce__(self):
         return Model, (self.per_feature, self.bias)
 
-    def word(self, word: str) -> tuple[float, int]:
-        ids = features(word)
-        return float(self.per_feature[ids].sum()), len(ids)
+    def start(self) -> None:
+        """No word is known: number of each word, and by number the sum of its
+        features' scores and how many they are."""
+        self.words: dict[str, int] = {}
+        self.sums, self.sizes = np.zeros(1 << 12), np.zeros(1 << 12)
+        self.used = 0
+
+    def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of each word's ``features`` scores and their number; words hold no
+        line feed, which parts them here."""
+        data = ("<" + ">\n<".join(words) + ">\n").encode("utf-8", "surrogatepass")
+        raw = np.frombuffer(data + bytes(max(NGRAMS)), np.uint8)
+        ends = np.flatnonzero(raw[:len(data)] == 10)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        # bytes from each place to the end of its word
+        left = np.repeat(ends, ends - starts + 1) - np.arange(len(data))
+        value = np.zeros(len(data))
+        for n in NGRAMS:
+            ids = TABLES[n][0][raw[:len(data)]]
+            for i in range(1, n):
+                ids ^= TABLES[n][i][raw[i:i + len(data)]]
+            value += np.where(left >= n, self.per_feature[ids], 0.0)
+        whole = np.fromiter((crc32(w, 1) for w in data[:-1].split(b"\n")), np.int64, len(words)) & (BUCKETS - 1)
+        size = ends - starts
+        return (np.add.reduceat(value, starts) + self.per_feature[whole],
+                1.0 + sum(np.maximum(size - n + 1, 0) for n in NGRAMS))
+
+    def learn(self, words: set[str]) -> list[str]:
+        """Numbers for the words that have none; returns those too long to be kept."""
+        fresh = words.difference(self.words)
+        if len(self.words) + len(fresh) > CACHED_WORDS or self.used > 2 * CACHED_WORDS:
+            self.start()
+            fresh = words
+        if not fresh:
+            return []
+        fresh = list(fresh)
+        n = self.used + len(fresh)
+        if n > len(self.sums):
+            self.sums, self.sizes = np.resize(self.sums, 2 * n), np.resize(self.sizes, 2 * n)
+        for at in range(0, len(fresh), WORDS):
+            to = self.used + min(at + WORDS, len(fresh))
+            self.sums[self.used + at:to], self.sizes[self.used + at:to] = self.of_words(fresh[at:at + WORDS])
+        self.words.update(zip(fresh, range(self.used, n)))
+        self.used = n
+        return [w for w in fresh if len(w) >= 64]
+
+    def scores(self, batch: list[str]) -> list[float]:
+        """The score of every text; groups of texts of bounded size learn words together."""
+        out: list[float] = []
+        group, size = [], 0
+        for text in batch:
+            group.append(text.split())
+            size += len(text)
+            if size >= GROUP_CHARS:
+                out += self._group(group)
+                group, size = [], 0
+        return out + self._group(group)
+
+    def _group(self, group: list[list[str]]) -> list[float]:
+        long = self.learn(set().union(*group))
+        z = np.full(len(group), self.bias)
+        for k, words in enumerate(group):
+            if words:
+                at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+                z[k] += self.sums[at].sum() / self.sizes[at].sum()
+        for w in long:
+            del self.words[w]
+        return (1 / (1 + np.exp(-np.clip(z, -500.0, 500.0)))).tolist()
 
     def score(self, text: str) -> float:
-        words = Counter(text.split())
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words.clear()
-        total, n, known = 0.0, 0, self.words
-        for w, c in words.items():
-            v = known.get(w)
-            if v is None:
-                v = self.word(w)
-                if len(w) < 64:
-                    known[w] = v
-            total += c * v[0]
-            n += c * v[1]
-        z = self.bias + (total / n if n else 0.0)
-        return float(1 / (1 + np.exp(-max(-500.0, min(500.0, z)))))
+        return self.scores([text])[0]
 
 
 def train(rows: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 11) -> Model:
@@ -133,7 +202,7 @@ def scorer(model: Model, df: DataFrame):
         # the word cache lives as long as the task: the worker keeps the broadcast
         model = Model(sent.value.per_feature, sent.value.bias)
         for text in batches:
-            yield pd.Series([model.score(t) if isinstance(t, str) else model.score("") for t in text], dtype="float64")
+            yield pd.Series(model.scores([t if isinstance(t, str) else "" for t in text]), dtype="float64")
 
     return score
 

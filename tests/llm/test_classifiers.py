@@ -74,3 +74,22 @@ def test_nulls_repeats_extra_columns_and_empty_tables(spark):
         assert module.score_documents(docs, labels.limit(0)).count() == 30
     kept = quality.keep_good(docs, labels)
     assert kept.columns == docs.columns and kept.count() <= 30
+
+
+def test_words_scored_together_have_the_sums_of_their_features(monkeypatch):
+    model = quality.Model(np.random.default_rng(3).normal(size=quality.BUCKETS), 0.25)
+    words = ["a", "éß", "<x>", "\x00", "\ud800", "y" * 100, "plain", "日本語の"]
+    sums, sizes = model.of_words(words)
+    assert sizes.tolist() == [len(quality.features(w)) for w in words]
+    assert np.allclose(sums, [model.per_feature[quality.features(w)].sum() for w in words])
+    # a group's words are found whatever the cache has room for
+    monkeypatch.setattr(quality, "CACHED_WORDS", 3)
+    monkeypatch.setattr(quality, "GROUP_CHARS", 10)
+    texts = ["", "a b a", "  ", " ".join(words), "plain " * 50, "z" * 70 + " a"]
+    z = []
+    for t in texts:
+        of = [quality.features(w) for w in t.split()]
+        z.append(0.25 + (sum(model.per_feature[i].sum() for i in of) / sum(map(len, of)) if of else 0))
+    assert np.allclose(model.scores(texts), 1 / (1 + np.exp(-np.array(z))))
+    assert np.allclose(model.scores(texts[::-1])[::-1], model.scores(texts))
+    assert all(len(w) < 64 for w in model.words)
