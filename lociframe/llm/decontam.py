@@ -48,6 +48,7 @@ columns are read, so further columns never clash.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections import defaultdict
 from typing import NamedTuple
@@ -68,6 +69,7 @@ RUN = 24                 # ... or so many matched windows of a longer item
 CONFLICTS = 0.1          # share of an alignment's slots that may be inconsistent
 JUMP = 0.5               # matched windows that a change of the offset must outweigh
 BLOOM_BITS = 1 << 24     # 2 MB
+PROBES = 2               # bits of the filter for each hash
 CACHED_WORDS = 200_000   # words whose class a task remembers
 BLOCK = 1 << 18          # tokens of a text handled at a time
 
@@ -94,6 +96,10 @@ class Form(NamedTuple):
     place: np.ndarray
 
 
+def of_numbers(values: array, kind: type, number_of: np.ndarray) -> np.ndarray:
+    return np.frombuffer(values, kind)[number_of] if len(values) else np.zeros(0, kind)
+
+
 class Tokens(dict):
     """Template tokens of texts; a bounded cache keeps the class of known words
     by their number."""
@@ -103,25 +109,23 @@ class Tokens(dict):
 
     def start(self) -> None:
         self.clear()
-        self.hashes, self.kinds = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8)
+        self.hashes, self.kinds = array("Q"), array("b")
 
     def __missing__(self, w: str) -> int:
         low = w.lower()
-        if w[0].isdigit():
-            kind = NUMBER
-        elif w in ".!?\n":
-            kind = STOP
-        elif low in UNITS:
+        if low in UNITS:
             kind = UNIT_WORD
         elif w[0].isupper() and w[1:] and not w.isupper():
             kind = TITLE
+        elif w[0].isdigit():
+            kind = NUMBER
+        elif w in ".!?\n":
+            kind = STOP
         else:
             kind = PLAIN
-        n = len(self)
-        if n == len(self.kinds):
-            self.hashes, self.kinds = np.resize(self.hashes, 2 * n), np.resize(self.kinds, 2 * n)
-        self.hashes[n], self.kinds[n] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 0), kind
-        self[w] = n
+        n = self[w] = len(self.kinds)
+        self.hashes.append(xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 0))
+        self.kinds.append(kind)
         return n
 
     def forms(self, text: str, wanted: tuple = (PLAIN_FORM,)) -> tuple[dict[int, Form], list[str]]:
@@ -130,15 +134,16 @@ class Tokens(dict):
         if len(self) > CACHED_WORDS:
             self.start()
         number_of = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        own, kind = self.hashes[number_of], self.kinds[number_of]
+        own, kind = of_numbers(self.hashes, np.uint64, number_of), of_numbers(self.kinds, np.int8, number_of)
         stop = kind == STOP
-        after_stop = np.concatenate([[True], stop[:-1]])[:len(kind)]
         number = kind == NUMBER
         unit = kind == UNIT_WORD
         unit[1:] &= number[:-1]
         unit[:1] = False
         title = kind == TITLE
-        inside = title & ~after_stop
+        inside = title.copy()
+        inside[1:] &= ~stop[:-1]
+        inside[:1] = False
 
         def form(name: np.ndarray) -> Form:
             slot = np.where(name, np.int8(3), np.int8(0))
@@ -160,7 +165,11 @@ class Tokens(dict):
             if f == FIRST:
                 name = title
             elif f == KNOWN:
-                name = inside | np.isin(own, np.unique(own[inside])) & ~number & ~unit & ~stop if inside.any() else inside
+                name = inside
+                if inside.any():
+                    names = np.sort(own[inside])
+                    place = np.minimum(names.searchsorted(own), len(names) - 1)
+                    name = inside | (names[place] == own) & ~(number | unit | stop)
             else:
                 name = np.zeros(len(kind), bool)
             if f != PLAIN_FORM and (name != inside).any():
@@ -170,9 +179,10 @@ class Tokens(dict):
 
 
 def mix(h: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        return h ^ (h >> np.uint64(29))
+    h = h ^ (h >> np.uint64(31))
+    h *= np.uint64(STEP)
+    h ^= h >> np.uint64(29)
+    return h
 
 
 STEP = 0x9E3779B97F4A7C15
@@ -322,8 +332,8 @@ def bloom_of(hashes: DataFrame) -> np.ndarray:
         bits = np.zeros(BLOOM_BITS // 8, np.uint8)
         for f in frames:
             h = f["hash"].to_numpy(np.int64).view(np.uint64)
-            for p in probes(h):
-                np.bitwise_or.at(bits, p >> np.uint64(3), (1 << (p & np.uint64(7))).astype(np.uint8))
+            for i in range(PROBES):
+                np.bitwise_or.at(bits, *probe(h, i))
         used = np.flatnonzero(bits)
         yield pd.DataFrame({"at": used, "byte": bits[used].astype(np.int64)})
 
@@ -333,16 +343,20 @@ def bloom_of(hashes: DataFrame) -> np.ndarray:
     return bits
 
 
-def probes(h: np.ndarray) -> list[np.ndarray]:
-    mask = np.uint64(BLOOM_BITS - 1)
-    return [h & mask, (h >> np.uint64(40)) ^ ((h >> np.uint64(20)) & mask) & mask]
+def probe(h: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """(byte of the filter, bit of it) for each hash."""
+    h = h.view(np.int64)
+    p = ((h >> 40 & BLOOM_BITS - 1) ^ (h >> 20 & BLOOM_BITS - 1)) if i else h & BLOOM_BITS - 1
+    return p >> 3, np.uint8(1) << (p & 7).astype(np.uint8)
 
 
-def maybe(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    found = np.ones(len(h), bool)
-    for p in probes(h):
-        found &= (bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return found
+def maybe(bits: np.ndarray, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Those of the places ``at`` whose hashes may be in the filter; the second
+    probe is made where the first passes."""
+    for i in range(PROBES):
+        byte, bit = probe(h[at], i)
+        at = at[bits[byte] & bit != 0]
+    return at
 
 
 def document_windows(docs: DataFrame, bits, widths: list[int]) -> DataFrame:
@@ -364,9 +378,7 @@ def document_windows(docs: DataFrame, bits, widths: list[int]) -> DataFrame:
                         good[:] = True
                     elif new is not None:
                         good &= new[start:start + len(good)]
-                    at = np.flatnonzero(good)
-                    at = at[maybe(filter_bits, h[at])]
-                    for k in at:
+                    for k in maybe(filter_bits, h, np.flatnonzero(good)):
                         yield f, form, width, int(h[k].view(np.int64)), start + int(k)
 
     def run(batches):

@@ -128,3 +128,16 @@ def test_long_names_are_compared_whole(spark):
     assert found(spark, [item, other], [item])[0, 0].n_changed == 0
     # nine words agree in the first six only: one slot of three conflicts
     assert (1, 0) not in found(spark, [item, other], [item])
+
+
+def test_second_probe_is_of_the_places_that_pass_the_first():
+    import numpy as np
+    from lociframe.llm.decontam import BLOOM_BITS, PROBES, maybe, probe
+    h = np.random.default_rng(1).integers(0, 1 << 64, 4000, np.uint64)
+    bits = np.zeros(BLOOM_BITS // 8, np.uint8)
+    for i in range(PROBES):
+        byte, bit = probe(h[:500], i)
+        assert byte.min() >= 0 and byte.max() < len(bits)
+        np.bitwise_or.at(bits, byte, bit)
+    at = maybe(bits, h, np.arange(0, 4000, 2))
+    assert set(range(0, 500, 2)) <= set(at.tolist()) and len(at) < 270 and (at % 2 == 0).all()
