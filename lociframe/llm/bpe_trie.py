@@ -41,7 +41,9 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 CACHED = 400_000             # chunks, and words inside chunks, that a task remembers; emptied when full
 CACHED_LENGTH = 64           # longer ones are encoded but not kept
-TRIE_NODES = 500_000       # a larger trie starts anew
+PAIRS = 200_000              # pairs of tokens whose neighbourhood a worker remembers
+TRIE_NODES = 250_000       # a larger trie starts anew
+COMPARED = 24                # bytes compared to find what neighbouring words share
 GROUP_CHARS = 1 << 21        # texts whose words are learnt together
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 NEVER = 1 << 60
@@ -105,7 +107,7 @@ class Vocabulary:
         self.ending = {self.bytes_of[i]: i for i in sound}
         #: all that can stand at the end of a token, to stop a search early
         self.tails = {raw[k:] for raw in self.ending for k in range(len(raw))}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}     # left << 32 | right: an int takes less than a tuple
 
     def _joins(self, a: int, b: int, before: int) -> bool:
         """A merge across the border of a|b comes first, before rank ``before``."""
@@ -119,11 +121,11 @@ class Vocabulary:
         return False
 
     def may_follow(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
+        known = self.pairs.get(a << 32 | b)
         if known is None:
-            if len(self.pairs) > 300_000:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = not self._joins(a, b, NEVER)
+            known = self.pairs[a << 32 | b] = not self._joins(a, b, NEVER)
         return known
 
     def last_token(self, word: bytes, depth: int, last: list[int]) -> int:
@@ -138,12 +140,26 @@ class Vocabulary:
             elif at == 0:
                 return token
             else:
-                pair = (last[at], token)
-                if pairs[pair] if pair in pairs else self.may_follow(*pair):
+                pair = last[at] << 32 | token
+                if pairs[pair] if pair in pairs else self.may_follow(last[at], token):
                     return token
         raise ValueError("no token ends here: the vocabulary lacks single bytes")
 
 
+def shared_bytes(raws: list[bytes]) -> list[int]:
+    """How many leading bytes, ``COMPARED`` at most, each word shares with the one before."""
+    out = np.zeros(len(raws), np.int64)
+    step = 1 << 14
+    for at in range(1, len(raws), step):
+        some = raws[at - 1:at + step]
+        size = np.fromiter(map(len, some), np.int64, len(some))
+        cells = np.array(some, f"S{COMPARED}").view(np.uint8).reshape(len(some), COMPARED)
+        other = cells[1:] != cells[:-1]
+        n = np.where(other.any(axis=1), other.argmax(axis=1), COMPARED)
+        out[at:at + step] = np.minimum(n, np.minimum(size[1:], size[:-1]))
+    return out.tolist()
+
+
 class Trie:
     """Byte trie of the words so far, with the last token of every prefix.
 
@@ -162,15 +178,21 @@ class Trie:
             self.child, self.last = {}, [0]
         child, states, size, last_token = self.child, self.last, self.size, self.vocab.last_token
         out: dict[str, bytes] = {}
-        for raw, word in sorted((w.encode("utf-8", "surrogatepass"), w) for w in words):
-            node, last = 0, [0]
-            for depth, byte in enumerate(raw, 1):
+        order = sorted(words)      # by code point, which is the order of their bytes
+        raws = [w.encode("utf-8", "surrogatepass") for w in order]
+        # last tokens and nodes of the prefixes of the word at hand, of which the next keeps what it shares
+        last, path = [0], [0]
+        for word, raw, same in zip(order, raws, shared_bytes(raws)):
+            del last[same + 1:], path[same + 1:]
+            node = path[same]
+            for depth, byte in enumerate(raw[same:], same + 1):
                 key = node << 8 | byte
                 node = child.get(key)
                 if node is None:
                     node = child[key] = len(states)
                     states.append(last_token(raw, depth, last))
                 last.append(states[node])
+                path.append(node)
             ids, at = [], len(raw)
             while at:
                 ids.append(last[at])
@@ -206,15 +228,24 @@ class Encoder:
             self.chunks.clear()
         if len(self.words) > CACHED:
             self.words.clear()
-        cut = {p: self.split(p) for p in set(pieces).difference(self.chunks)}
         known, chunks = self.words, self.chunks
-        fresh = self.trie.encode({w for ws in cut.values() for w in ws if w not in known and w not in chunks})
-        parts = {w for ws in cut.values() if len(ws) > 1 for w in ws if w in fresh and w not in cut and len(w) <= CACHED_LENGTH}
+        new = set(pieces).difference(chunks)
+        # a blank and ASCII letters are one pre-token
+        whole = {p for p in new if p[:1] == " " and p.isascii() and p[1:].isalpha()}
+        cut = {p: self.split(p) for p in new.difference(whole)}
+        fresh = {w for ws in cut.values() for w in ws if w not in known and w not in chunks}
+        fresh.update(p for p in whole if p not in known)
+        fresh = self.trie.encode(fresh)
+        parts = {w for ws in cut.values() if len(ws) > 1 for w in ws if w in fresh and w not in new and len(w) <= CACHED_LENGTH}
         known.update((w, fresh[w]) for w in parts)
         ids_of = lambda w: fresh[w] if w in fresh else known[w] if w in known else chunks[w]
-        found = {p: ids_of(ws[0]) if len(ws) == 1 else b"".join(map(ids_of, ws)) for p, ws in cut.items()}
-        self.chunks.update((p, ids) for p, ids in found.items() if len(p) <= CACHED_LENGTH)
-        return {p: ids for p, ids in found.items() if len(p) > CACHED_LENGTH}
+        found = {p: ids_of(p) for p in whole}
+        found.update((p, ids_of(ws[0]) if len(ws) == 1 else b"".join(map(ids_of, ws))) for p, ws in cut.items())
+        long = {p: ids for p, ids in found.items() if len(p) > CACHED_LENGTH}
+        for p in long:
+            del found[p]
+        chunks.update(found)
+        return long
 
     def _pieces(self, text: str) -> list[str]:
         if "  " in text:

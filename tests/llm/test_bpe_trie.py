@@ -82,3 +82,13 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 2), (1, 0), (1, 0), (2, 0)]
     assert encode_documents(df.limit(0), PATH).count() == 0
     assert [len(r.ids) for r in encode_documents(df.where("text = 'a b'"), PATH, with_ids=True).collect()] == [2]
+
+
+def test_neighbouring_words_share_their_leading_bytes(encoder, library):
+    from lociframe.llm.bpe_trie import COMPARED, shared_bytes
+    words = sorted([b"", b"a", b"ab", b"ab\0", b"abc", b"b" * 30, b"b" * 31, b"\xc3\xa9", b"\xc3\xaa"])
+    assert shared_bytes(words) == [0, 0, 1, 2, 2, 0, COMPARED, 0, 1]
+    assert shared_bytes([]) == []
+    # blanks at the ends, contractions, letters beyond ASCII, words longer than what is compared
+    for t in ["", " ", " a", "a ", "it's 'sword don't", " Été naïve straße", " " + "ab" * 40 + " " + "ab" * 41 + "c", "x1 y²z \x00\x00a a\x00"]:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
