@@ -238,19 +238,19 @@ def allocate(cost: np.ndarray, dear: np.ndarray, size: np.ndarray, reserves: int
     return units
 
 
-def digests(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(doc_id, text_key, n, d1, d2, sketch) of every row, d1 and d2 a digest of its
-    set; and from each task one row whose ``hist`` counts the index keys of its sets
-    by bucket (a set that it saw before counts once)."""
-    schema = "doc_id long, text_key long, n long, d1 long, d2 long, sketch binary, hist array<long>"
-    kinds = [pa.int64()] * 5 + [pa.binary(), pa.list_(pa.int64())]
-    names = ["doc_id", "text_key", "n", "d1", "d2", "sketch", "hist"]
+_DIGESTS = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
+            ("sketch", pa.binary()), ("hist", pa.list_(pa.int64()))]
 
-    def run(batches):
-        keys, seen, hist = Keys(percent), set(), np.zeros(BUCKETS, np.int64)
-        for b in batches:
+
+def digest_rows(batches, shingle: int, percent: int):
+    """The rows of ``digests`` from batches (doc_id, text, text_key) of one task.  ``SETS``
+    texts at a time become strings, tokens and keys: a task holds no batch of them."""
+    names, kinds = zip(*_DIGESTS)
+    keys, seen, hist = Keys(percent), set(), np.zeros(BUCKETS, np.int64)
+    for b in batches:
+        for part in (b.slice(at, SETS) for at in range(0, b.num_rows, SETS)):
             out, new = [], []
-            tokens, ends = sets_of(texts(b.column(1)), shingle)
+            tokens, ends = sets_of(texts(part.column(1)), shingle)
             for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 d = xxhash.xxh3_128_digest(tokens[i:j].data)
                 out.append((j - i, *struct.unpack("<qq", d), sketch(tokens[i:j])))
@@ -261,13 +261,20 @@ def digests(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                     new.append(tokens[i:j])
             kept = np.cumsum([0] + [len(x) for x in new])
             np.add.at(hist, bucket_of(keys.segments(np.concatenate([np.zeros(0, _U), *new]), kept, below=False)[2]), 1)
-            made = zip(*out) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(x, k) for x, k in zip(made, kinds[2:6])),
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *(pa.array(x, k) for x, k in zip(zip(*out), kinds[2:6])),
                                               pa.nulls(len(out), kinds[6])], names=names)
-        if hist.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, k) for k in kinds[:6]] + [pa.array([hist], kinds[6])], names=names)
+    if hist.any():
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, k) for k in kinds[:6]] + [pa.array([hist], kinds[6])], names=names)
+
+
+def digests(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(doc_id, text_key, n, d1, d2, sketch) of every row, d1 and d2 a digest of its
+    set; and from each task one row whose ``hist`` counts the index keys of its sets
+    by bucket (a set that it saw before counts once)."""
+    def run(batches):
+        yield from digest_rows(batches, shingle, percent)
 
-    return _narrow(docs).mapInArrow(run, schema)
+    return _narrow(docs).mapInArrow(run, "doc_id long, text_key long, n long, d1 long, d2 long, sketch binary, hist array<long>")
 
 
 def bucket_of(keys: np.ndarray) -> np.ndarray:

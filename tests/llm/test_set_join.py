@@ -152,3 +152,28 @@ def test_few_sketches_are_objects_at_a_time():
         tracemalloc.stop()
     assert found == list(range(1, n, 2))
     assert peak < 6 << 20        # all at once: 21 MB
+
+
+def test_digests_hold_few_texts_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    rows = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(900)) for _ in range(400)) for _ in range(3000)] + ["", "one word"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows), pa.array(range(len(rows)), pa.int64())],
+                                       names=["doc_id", "text", "text_key"])
+    sizes, keys, counts = [], [], 0
+    tracemalloc.start()
+    try:
+        for out in J.digest_rows([batch], 4, 85):
+            sizes += [n for n in out.column("n").to_pylist() if n is not None]
+            keys += [k for k in out.column("text_key").to_pylist() if k is not None]
+            counts += sum(sum(h) for h in out.column("hist").drop_null().to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert keys == list(range(len(rows))) and sizes == [len(literal(t)) for t in rows]
+    spaces = J.Spaces(85)
+    assert counts == sum(spaces.segments(spaces.band(len(literal(t))))[0] for t in set(rows) if literal(t))
+    assert peak < 25 << 20        # all at once: 45 MB
