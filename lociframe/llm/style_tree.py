@@ -57,6 +57,7 @@ INSIDE, BESIDE = 0.43, 0.25    # weights of branches with a noise word as class
 UNKNOWN = 0.5            # importance of such a branch on a site of too few pages
 LEAST_PAGES = 5          # a site of fewer different pages tells nothing
 DEPTH = 100              # elements of a path
+PAGES = 256              # pages worked on at a time
 
 # Names of elements and of class or id words.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -299,14 +300,14 @@ def hashed(text: str) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
-def page_features(pages: DataFrame) -> DataFrame:
-    """(host, page, path, kind, feature): what each page puts at each path, its
-    noise left out.  kind 0: presentation style, 1: content block, 2: the page
-    has the path."""
-    def run(batches):
-        for b in batches:
+def feature_rows(batches):
+    """The rows of ``page_features`` from batches (host, html) of one task.  ``PAGES``
+    pages at a time become strings and rows: a task holds no batch of them."""
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()]
+    for b in batches:
+        for part in (b.slice(at, PAGES) for at in range(0, b.num_rows, PAGES)):
             rows: set = set()
-            for host, page in zip(b.column(0).to_pylist(), texts(b.column(1))):
+            for host, page in zip(part.column(0).to_pylist(), texts(part.column(1))):
                 out: list[tuple[str, str, str, bool]] = []
                 styles: list[tuple[str, str]] = []
                 blocks(parse(page), None, out, styles)
@@ -315,11 +316,15 @@ def page_features(pages: DataFrame) -> DataFrame:
                 rows.update((host, key, p, 1, hashed(f"{p}\n{t}")) for p, t, _, _ in out)
                 rows.update((host, key, p, 2, 0) for p in {p for p, _ in styles} | {x[0] for x in out})
             columns = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "page", "path", "kind", "feature"])
 
+
+def page_features(pages: DataFrame) -> DataFrame:
+    """(host, page, path, kind, feature): what each page puts at each path, its
+    noise left out.  kind 0: presentation style, 1: content block, 2: the page
+    has the path."""
     return pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(
-        run, "host string, page long, path string, kind int, feature long")
+        feature_rows, "host string, page long, path string, kind int, feature long")
 
 
 def counted(pages: DataFrame) -> DataFrame:
@@ -368,6 +373,22 @@ def tree_of(contents: DataFrame) -> DataFrame:
                                              F.max("own").alias("importance"), F.max("rest").alias("diversity"), F.max("has_text").alias("holds_text"))
 
 
+def main_texts(batches, threshold: float = THRESHOLD):
+    """(page_id, url, text, n_chars) of batches (page_id, url, html, host, cut, doubt,
+    repeated), ``PAGES`` pages at a time."""
+    for b in batches:
+        sites: dict = {}             # each site's sets once a batch
+        for part in (b.slice(at, PAGES) for at in range(0, b.num_rows, PAGES)):
+            found = []
+            for i, (host, page) in enumerate(zip(part.column(3).to_pylist(), texts(part.column(2)))):
+                if host not in sites:
+                    cut, doubt, repeated = (part.column(k)[i].as_py() or () for k in (4, 5, 6))
+                    sites[host] = frozenset(cut), {d["path"]: d["value"] for d in doubt}, frozenset(repeated)
+                found.append(extract(page, *sites[host], threshold))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string()),
+                                              pa.array(map(len, found), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+
 def extract_pages(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
     cuts = stored(decisions(pages, threshold, least_pages), "site-cuts")
@@ -376,16 +397,7 @@ def extract_pages(pages: DataFrame, threshold: float = THRESHOLD, least_pages: i
     rows = rows.join(cuts, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "host", "cut", "doubt", "repeated")
 
     def run(batches):
-        for b in batches:
-            sites: dict = {}         # each site's sets once a batch
-            found = []
-            for i, (host, page) in enumerate(zip(b.column(3).to_pylist(), texts(b.column(2)))):
-                if host not in sites:
-                    cut, doubt, repeated = (b.column(k)[i].as_py() or () for k in (4, 5, 6))
-                    sites[host] = frozenset(cut), {d["path"]: d["value"] for d in doubt}, frozenset(repeated)
-                found.append(extract(page, *sites[host], threshold))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.string()),
-                                              pa.array(map(len, found), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        yield from main_texts(batches, threshold)
 
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
 

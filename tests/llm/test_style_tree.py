@@ -148,3 +148,27 @@ def test_doubtful_inline_text_stays_in_its_block():
     assert extract(page) == "See other things"
     assert extract(page, doubt={">p>span.related!": 0.5}) == "See things"
     assert extract(page, doubt={">p>span.related!": 0.9}) == "See other things"
+
+
+def test_few_pages_are_held_at_a_time():
+    import pyarrow as pa
+
+    pages = [f"<html><body><div class=x{i % 7}><p>text {i}</p><p>of page {i}</p></div></body></html>" for i in range(1500)]
+    hosts = [f"h{i % 3}" for i in range(len(pages))]
+    made = list(S.feature_rows([pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(pages)], names=["host", "html"])]))
+    rows = {tuple(r.values()) for b in made for r in b.to_pylist()}
+    assert len({r[1] for r in rows}) == len(pages)
+    assert max(len(set(b.column("page").to_pylist())) for b in made) <= S.PAGES
+
+    n, cut = len(pages), pa.array([["no path"]] * len(pages), pa.list_(pa.string()))
+    doubt = pa.nulls(n, pa.list_(pa.struct([("path", pa.string()), ("value", pa.float64())])))
+    repeated = pa.array([[S.hashed(f"{x}\nof page {i}") for x in [">html>body>div.x0>p"]] if h == "h1" else None for i, h in enumerate(hosts)],
+                        pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(hosts), pa.array(pages), pa.array(hosts), cut, doubt, repeated],
+                                       names=["page_id", "url", "html", "host", "cut", "doubt", "repeated"])
+    out = list(S.main_texts([batch]))
+    assert max(b.num_rows for b in out) <= S.PAGES
+    got = [(r["page_id"], r["text"], r["n_chars"]) for b in out for r in b.to_pylist()]
+    # a site's decisions are those of its first row in the batch: h1 repeats the second block of page 1
+    want = [f"text {i}" if i == 1 else f"text {i} of page {i}" for i in range(n)]
+    assert got == [(i, t, len(t)) for i, t in enumerate(want)]
