@@ -9,12 +9,13 @@ records that share a variant key after the split.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.functions import genotype as G
-from lociframe.plans.fixtures import ROWS_PER_FILE, fixture
+from lociframe.plans.fixtures import FIXTURE_SQL, ROWS_PER_FILE, fixture, register_base
 
 CSQ_FIELDS = ["SYMBOL", "Feature", "Consequence", "HGVSc", "HGVSp"]
 CSQ_DESCRIPTION = "Consequence annotations. Format: " + "|".join(CSQ_FIELDS)
@@ -88,7 +89,8 @@ def calls(spark: SparkSession, sf: str, site_df: DataFrame | None = None, twins:
 
 
 def _sites(spark: SparkSession, sf: str, with_csq: bool = False, twins: bool = False) -> DataFrame:
-    s = fixture(spark, sf, "fx_sites_t" if twins else "fx_sites")
+    # derived in the same job: a stored copy would be read once, by this job
+    s = fixture(spark, sf, "fx_sites_t" if twins else "fx_sites", store=False)
     alts = F.split("alts", ",")
     idx = F.sequence(F.lit(1), F.size(alts))
     ac = F.transform(idx, lambda i: ((F.col("vid") + i * 13) % 200).cast("int"))
@@ -111,8 +113,18 @@ def _sites(spark: SparkSession, sf: str, with_csq: bool = False, twins: bool = F
 
 
 def _calls(spark: SparkSession, sf: str, twins: bool = False) -> DataFrame:
-    c = fixture(spark, sf, "fx_calls_t" if twins else "fx_calls")
+    """The calls of each record.  lineitem is dealt by order once, which serves the
+    grouping of the calls and their join with the sites, in one job without a stored
+    copy between; the twins' calls are joined by themselves, so that the others keep
+    that dealing."""
+    register_base(spark, sf, ["lineitem"], ("lineitem", "l_orderkey"))
+    spark.sql(FIXTURE_SQL["fx_calls"]).createOrReplaceTempView("fx_calls")
     key = sites(spark, sf, twins=twins).select("vid", "record", "contig", "position", "alleles")
+    parts = [spark.sql(part) for part in FIXTURE_SQL["fx_calls_t"].split("UNION ALL")] if twins else [spark.table("fx_calls")]
+    return reduce(DataFrame.unionByName, [_shaped_calls(c, key) for c in parts])
+
+
+def _shaped_calls(c: DataFrame, key: DataFrame) -> DataFrame:
     n_gt = ((F.col("nalt") + 1) * (F.col("nalt") + 2) / 2).cast("int")
     return (c.join(key, "vid")
             .select("vid", "record", "contig", "position", "alleles", "s",

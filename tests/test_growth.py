@@ -33,6 +33,22 @@ def test_entries_are_dealt_once(spark, tables):
     assert dealt == sorted(FX.fixture(spark, tables, "fx_csq", store=False).collect()) and len(dealt) == 1200
 
 
+def test_calls_are_dealt_and_written_once(spark, tables):
+    """Grouping lineitem into calls and joining them with the sites share one
+    shuffle of lineitem, and no copy of fixture rows is stored on the way."""
+    before = set(FX._STORED)
+    for twins in (False, True):
+        got = IN.calls(spark, tables, twins=twins)
+        assert set(FX._STORED) == before
+        plan = IN._calls(spark, tables, twins)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 + twins
+        assert "Exchange hashpartitioning(l_orderkey#" in plan and "l_linenumber" not in "".join(x for x in plan.split("\n") if "Exchange" in x)
+        c = FX.fixture(spark, tables, "fx_calls_t" if twins else "fx_calls", store=False)
+        want = IN._shaped_calls(c, IN.sites(spark, tables, twins=twins).select("vid", "record", "contig", "position", "alleles"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got.count() == c.count() > 1199
+
+
 def test_shuffles_begin_with_partitions_for_the_input(spark):
     assert spark.conf.get(INITIAL, None) is None
     try:
