@@ -71,6 +71,7 @@ JUMP = 0.5               # matched windows that a change of the offset must outw
 BLOOM_BITS = 1 << 24     # 2 MB
 PROBES = 2               # bits of the filter for each hash
 CACHED_WORDS = 200_000   # words whose class a task remembers
+LONG = 64                # characters of a longer piece without spaces, which is not remembered
 BLOCK = 1 << 18          # tokens of a text handled at a time
 
 # Units of measure, money and time.
@@ -100,21 +101,65 @@ def of_numbers(values: array, kind: type, number_of: np.ndarray) -> np.ndarray:
     return np.frombuffer(values, kind)[number_of] if len(values) else np.zeros(0, kind)
 
 
+def pieces(text: str) -> list[str]:
+    """The text cut at spaces; no token goes beyond a piece.  Line ends, and points
+    and commas in front of a space (there they are no part of a number), are cut
+    off too, so that most pieces are one token."""
+    return text.replace("\n", " \n ").replace(", ", " ").replace(". ", " . ").split(" ")
+
+
+class TooLong(Exception):
+    """A long piece without spaces that holds several tokens."""
+
+
 class Tokens(dict):
     """Template tokens of texts; a bounded cache keeps the class of known words
-    by their number."""
+    by their number, and the numbers of the words in pieces of other than one."""
 
     def __init__(self):
         self.start()
 
     def start(self) -> None:
         self.clear()
-        self.hashes, self.kinds = array("Q"), array("b")
+        self.hashes, self.kinds, self.several = array("Q"), array("b"), []
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The number of each token of a text, as ``TOKEN`` finds them."""
+        if len(self) > CACHED_WORDS:
+            self.start()
+        try:
+            found = pieces(text)
+            n = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        except TooLong:
+            found = TOKEN.findall(text)
+            return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        other = n < 0
+        if other.any():      # pieces without a token, or with several
+            inside = [self.several[~x] for x in n[other].tolist()]
+            size = np.ones(len(n), np.int64)
+            size[other] = [len(x) for x in inside]
+            n = np.repeat(n, size)
+            n[np.repeat(other, size)] = [x for y in inside for x in y]
+        return n
 
     def __missing__(self, w: str) -> int:
+        if not w.isalpha():      # letters only are one token
+            found = TOKEN.findall(w)
+            if found != [w]:
+                if len(w) > LONG:
+                    raise TooLong
+                inside = [self[x] for x in found]
+                if len(inside) == 1:
+                    n = self[w] = inside[0]
+                else:
+                    n = self[w] = ~len(self.several)
+                    self.several.append(inside)
+                return n
         low = w.lower()
         if low in UNITS:
             kind = UNIT_WORD
+        elif w.islower():
+            kind = PLAIN
         elif w[0].isupper() and w[1:] and not w.isupper():
             kind = TITLE
         elif w[0].isdigit():
@@ -128,12 +173,9 @@ class Tokens(dict):
         self.kinds.append(kind)
         return n
 
-    def forms(self, text: str, wanted: tuple = (PLAIN_FORM,)) -> tuple[dict[int, Form], list[str]]:
-        """The wanted forms that differ from the plain one, with it, and the words."""
-        words = TOKEN.findall(text)
-        if len(self) > CACHED_WORDS:
-            self.start()
-        number_of = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    def forms(self, text: str, wanted: tuple = (PLAIN_FORM,)) -> dict[int, Form]:
+        """The wanted forms that differ from the plain one, with it."""
+        number_of = self.numbers(text)
         own, kind = of_numbers(self.hashes, np.uint64, number_of), of_numbers(self.kinds, np.int8, number_of)
         stop = kind == STOP
         number = kind == NUMBER
@@ -175,7 +217,7 @@ class Tokens(dict):
             if f != PLAIN_FORM and (name != inside).any():
                 made = form(name)
                 out[f] = made._replace(place=np.searchsorted(plain.at, made.at, "right") - 1)
-        return out, words
+        return out
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -238,7 +280,7 @@ def slot_values(form: Form, words: list[str], start: int, width: int) -> list[st
 
 def item_rows(item, text: str, tokens: Tokens) -> list[tuple]:
     """(item, form, width, hash, pos, slots, n_windows) of one item."""
-    forms, words = tokens.forms(text, (KNOWN, FIRST, BARE, EXACT))
+    forms, words = tokens.forms(text, (KNOWN, FIRST, BARE, EXACT)), TOKEN.findall(text)
     rows = []
     for f, form in sorted(forms.items()):
         n = len(form.hashes)
@@ -386,9 +428,10 @@ def document_windows(docs: DataFrame, bits, widths: list[int]) -> DataFrame:
         for b in batches:
             rows = []
             for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2))):
-                forms, words = tokens.forms(text, wanted)
+                found = list(hits(tokens.forms(text, wanted), filter_bits))
+                words = TOKEN.findall(text) if found else []
                 rows += [(doc, key, f, width, h, int(form.place[p]), slot_values(form, words, p, width))
-                         for f, form, width, h, p in hits(forms, filter_bits)]
+                         for f, form, width, h, p in found]
             columns = list(zip(*rows)) if rows else [()] * 7
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), LEAF]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],

@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from lociframe.llm import decontam
 from lociframe.llm.decontam import drop_leaking, leaks, templates
 
 SF = "/root/testdata/sf0.01"
@@ -141,3 +142,27 @@ def test_second_probe_is_of_the_places_that_pass_the_first():
         np.bitwise_or.at(bits, byte, bit)
     at = maybe(bits, h, np.arange(0, 4000, 2))
     assert set(range(0, 500, 2)) <= set(at.tolist()) and len(at) < 270 and (at % 2 == 0).all()
+
+
+def test_tokens_are_cut_at_spaces_and_cached(monkeypatch):
+    def expected(text):
+        tokens = decontam.Tokens()
+        n = [tokens[w] for w in decontam.TOKEN.findall(text)]
+        return [(tokens.hashes[i], tokens.kinds[i]) for i in n]
+
+    rng, parts = random.Random(5), ["Word", "word", "ÉTÉ", "straße", "ª²", "٣", "1", "2,5", ".", ",", "?", "!", "\n", " ", "  ", "\t", " ", "_", "-", "%", "€", "a1b", "km"]
+    texts = ["", " ", "\n", "1. 2", "1, 2", "3.4. Next", "one,two three.", "x" * 200, "ab-" * 200 + " end. Start", "a. . b, , c"]
+    texts += ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(500)]
+    tokens = decontam.Tokens()
+    for text in texts * 2:
+        assert [(tokens.hashes[i], tokens.kinds[i]) for i in tokens.numbers(text).tolist()] == expected(text)
+    # words in plain text, and pieces seen before, are not looked for again
+    calls, pattern = [], decontam.TOKEN
+    monkeypatch.setattr(decontam, "TOKEN", type("", (), {"findall": lambda self, t: calls.append(t) or pattern.findall(t)})())
+    tokens = decontam.Tokens()
+    for _ in range(3):
+        tokens.forms("Some plain words, and some more. Then others.")
+    assert sorted(calls) == [".", "others."]
+    # a long piece of several tokens is not kept
+    tokens.numbers("ab-" * 1000)
+    assert max(map(len, tokens)) <= decontam.LONG
