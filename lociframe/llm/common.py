@@ -47,9 +47,9 @@ def discard(*tables: DataFrame) -> None:
 SMALL = 1_000_000         # rows of a few numbers or short texts that may be broadcast
 
 
-def small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """A stored table, marked for broadcast if it has at most ``SMALL`` rows."""
-    return F.broadcast(df) if df.count() <= SMALL else df
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= SMALL else df
 
 
 def crc_bucket(doc_id: Column, modulus: int) -> Column:

@@ -285,9 +285,9 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key"))
 
 
-def _of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _of_nodes(docs: DataFrame, nodes: DataFrame, n_nodes: int | None = None) -> DataFrame:
     """(node, text) of the rows that stand for the (stored) nodes."""
-    d, nodes = _narrow(docs), small(nodes.select("node", "rep_id", "rep_key"))
+    d, nodes = _narrow(docs), small(nodes.select("node", "rep_id", "rep_key"), n_nodes)
     return (d.join(nodes, d["doc_id"].eqNullSafe(nodes["rep_id"]) & d["text_key"].eqNullSafe(nodes["rep_key"]))
             .select("node", "text"))
 
@@ -377,14 +377,14 @@ def possible(batches, percent: int):
 
 
 def close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` that their sketches leave possible, stored."""
+    """The (a, b) of ``pairs`` that their sketches leave possible."""
     def side(c: str) -> DataFrame:
         return nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
 
     def run(batches):
         yield from possible(batches, percent)
 
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "close-pairs")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
 def folded(many: list[bytes]) -> np.ndarray:
@@ -427,11 +427,15 @@ def close_in_blocks(members: DataFrame, nodes: DataFrame, percent: int) -> DataF
     return met.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The (a, b) of (stored) ``pairs`` whose sets are similar enough, counted exactly."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted")
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame | None:
+    """The (a, b) of (stored) ``pairs`` whose sets are similar enough, counted exactly;
+    None if there are no pairs."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
     there = stored(nodes.join(wanted, F.col("node") == F.col("w"), "left_semi").select("node", "rep_id", "rep_key"), "wanted-nodes")
-    sets = stored(token_sets(_of_nodes(docs, there), shingle), "token-sets")
+    n_nodes = there.count()
+    if not n_nodes:
+        return None
+    sets = stored(token_sets(_of_nodes(docs, there, n_nodes), shingle), "token-sets")
 
     def side(c: str) -> DataFrame:
         return sets.select(F.col("node").alias(c), F.col("tokens").alias(f"t{c}"))
@@ -449,7 +453,7 @@ def similar_enough(n: str, other: str, percent: int):
 def open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     """The (key, node, n, role) of ``members`` with their root in the components of
     ``found``, of keys that hold several; c is the number of the key's members."""
-    roots = stored(components(found), "roots").withColumnsRenamed({"node": "r_node", "root": "r_root"})
+    roots = components(found).withColumnsRenamed({"node": "r_node", "root": "r_root"})
     w = Window.partitionBy("key")
     out = (members.join(roots, F.col("node") == F.col("r_node"), "left")
            .select("key", "node", "n", "role", F.coalesce("r_root", "node").alias("root"))
@@ -463,8 +467,8 @@ def links(docs: DataFrame, nodes: DataFrame, hist: np.ndarray, shingle: int, per
     rows = signatures(_of_nodes(docs, nodes), shingle, percent, hist)
     w = Window.partitionBy("key")
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        return verified(pairs, docs, nodes, shingle, percent)
+    def checked(pairs: DataFrame) -> DataFrame | None:
+        return verified(stored(pairs, "close-pairs"), docs, nodes, shingle, percent)
 
     # every member of a key with the smallest one
     first = F.min(F.struct("node", "n")).over(w)
@@ -473,24 +477,28 @@ def links(docs: DataFrame, nodes: DataFrame, hist: np.ndarray, shingle: int, per
     star = (shared.where(F.col("node") != F.col("first.node")).where(similar_enough("n", "first.n", percent))
             .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
     near = checked(close(star, nodes, percent))
+    if near is None:
+        near = docs.sparkSession.createDataFrame([], "a long, b long")
 
     # in large keys where components differ, with one that depends on the key
     member = open_members(shared, near)
     centre = F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node", "n", "root")).over(w)
     star = (member.where(F.col("c") > FEW).withColumn("x", centre).where((F.col("root") != F.col("x.root")) & similar_enough("n", "x.n", percent))
             .select(F.least("node", "x.node").alias("a"), F.greatest("node", "x.node").alias("b")).distinct())
-    near = near.unionByName(checked(close(star, nodes, percent)))
+    more = checked(close(star, nodes, percent))
+    if more is not None:         # else the components are as they were
+        near = near.unionByName(more)
+        member = open_members(member, near)
 
     # all others of different components, probes with smaller index rows
-    member = open_members(member, near)
     small_key = member.where(F.col("c") <= FEW)
     index = small_key.where(F.col("role").bitwiseAND(F.lit(1)) != 0).select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     probe = small_key.where(F.col("role").bitwiseAND(F.lit(2)) != 0).select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     rest = (index.join(probe, "key").where((F.col("ra") != F.col("rb")) & (F.struct("na", "a") < F.struct("nb", "b")))
             .where(similar_enough("na", "nb", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    rest = close(rest, nodes, percent).unionByName(close_in_blocks(member.where(F.col("c") > FEW), nodes, percent)).distinct()
-    return near.unionByName(checked(stored(rest, "close-pairs")))
+    rest = checked(close(rest, nodes, percent).unionByName(close_in_blocks(member.where(F.col("c") > FEW), nodes, percent)).distinct())
+    return near if rest is None else near.unionByName(rest)
 
 
 def similar_documents(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
@@ -506,8 +514,7 @@ def similar_documents(docs: DataFrame, shingle: int = 4, percent: int = 85) -> D
                                                               F.first("sketch").alias("sketch"))
                    .select(F.monotonically_increasing_id().alias("node"), "d1", "d2", "n", "sketch", "first_id",
                            F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "nodes")
-    roots = stored(components(links(docs, nodes, hist, shingle, percent)), "roots")
-    roots = roots.withColumnsRenamed({"node": "r_node"})
+    roots = stored(components(links(docs, nodes, hist, shingle, percent)), "roots").withColumnsRenamed({"node": "r_node"})
     placed = nodes.join(roots, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy(F.col("root").alias("c_root")).agg(F.min("first_id").alias("smallest"))
     of = placed.join(smallest, F.col("root") == F.col("c_root")).select(F.col("d1").alias("x1"), F.col("d2").alias("x2"), "smallest")

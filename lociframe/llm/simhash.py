@@ -157,13 +157,19 @@ def links(fps: DataFrame, max_distance: int = 2, segments: int = 2, bucket_limit
     return pairs.unionByName(chains).distinct()
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node is the ``a`` of one edge and no ``b``, or only a ``b``."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("low")),
+                                          F.struct(F.col("b").alias("node"), F.lit(0).alias("low")))).alias("e"))
+    return ends.groupBy("e.node").agg(F.sum("e.low").alias("low"), F.count("*").alias("n")).where("low > 0 and n > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each node's component, for nodes with
-    an edge.  Alternating large and small stars; every round is a few grouped
-    joins over the edges, stored in the shared folder."""
-    edges = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
-    before = None
-    while True:
+    an edge.  Alternating large and small stars until nothing but stars is left;
+    every round is a few grouped joins over the edges, stored in the shared folder."""
+    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    while not are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -172,12 +178,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                                                               F.struct("a", F.col("m").alias("b")))).alias("e"))
         edges = stored(small.select("e.*").where("a <> b").distinct(), "edges")
-        # a forest of stars stays as it is: every node has one edge, to its root
-        state = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")),
-                          F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 

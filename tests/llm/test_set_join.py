@@ -177,3 +177,21 @@ def test_digests_hold_few_texts_at_a_time():
     spaces = J.Spaces(85)
     assert counts == sum(spaces.segments(spaces.band(len(literal(t))))[0] for t in set(rows) if literal(t))
     assert peak < 25 << 20        # all at once: 45 MB
+
+
+def test_few_jobs_whatever_the_links(spark):
+    """Each job leaves threads, classes and statistics with the driver."""
+    def jobs(texts):
+        group = f"jobs of {len(texts)} texts"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            got = J.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85).collect()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return {r.doc_id: r.component_id for r in got}, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    words = [f"w{i}" for i in range(60)]
+    roots, n = jobs(["one text", "another one"])
+    assert roots == {0: 0, 1: 1} and n <= 65
+    roots, n = jobs([" ".join(words), " ".join(words[1:]), "some other text"])
+    assert roots == {0: 0, 1: 0, 2: 2} and n <= 85

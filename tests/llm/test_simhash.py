@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from lociframe.llm import simhash as S
 from lociframe.llm.simhash import components, keep_one_of_each, links, near_duplicates, simhash
 
 
@@ -112,3 +113,13 @@ def test_one_row_of_each_component_whatever_the_ids(spark):
     assert len(keep([(5, "Some Words here", 1), (5, "some words HERE", 2)])) == 1
     assert keep([(None, "Some Words here", 1), (5, "some words HERE", 2), (7, "some words here", 3), (None, "far away from it", 4)]) == [2, 4]
     assert len(keep([(None, None, 1), (None, "", 2), (None, " ", 3)])) == 1
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    kept, stored = [], S.stored
+    monkeypatch.setattr(S, "stored", lambda df, purpose: kept.append(purpose) or stored(df, purpose))
+    for edges, rounds in (([(1, 2), (3, 1), (7, 9), (9, 7), (5, 5)], 0), ([(1, 2), (2, 3), (9, 8)], 1)):
+        kept.clear()
+        got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == ({1: 1, 2: 1, 3: 1, 7: 7, 9: 7} if not rounds else {1: 1, 2: 1, 3: 1, 8: 8, 9: 8})
+        assert kept == ["edges"] * (1 + rounds)
