@@ -5,6 +5,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from lociframe.operators import sharding as SH
 from lociframe.plans import fixtures as FX
 from lociframe.plans import inputs as IN
 from lociframe.plans import queries as Q
@@ -85,3 +86,17 @@ def test_many_small_ranges_share_tasks(spark, tmp_path):
     assert df.rdd.getNumPartitions() <= B.FEW_TASKS
     got = df.orderBy("record").collect()
     assert [r.value for r in got] == lines and len({r.record for r in got}) == len(lines)
+
+
+def test_pairs_of_chunks_are_no_table(spark, monkeypatch):
+    """Samples alone are dealt, and no task gets the rows of all pairs."""
+    monkeypatch.setattr(SH, "PAIR_ROWS", 1000, raising=False)
+    monkeypatch.setattr(SH, "PAIR_BLOCK", 7, raising=False)
+    names = [f"x{i:03d}" for i in range(200)]
+    out = SH.sample_chunk_pairs(spark.createDataFrame([(s,) for s in names + names[:9]], "s string"), 5)
+    chunks = [names[i:i + 5] for i in range(0, 200, 5)]
+    pairs = [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    want = sorted((shard, side, names.index(s) + 1, s) for shard, p in enumerate(pairs) for side, c in enumerate(p) for s in chunks[c])
+    assert sorted(map(tuple, out.select("shard", "side", "rn", "s").collect())) == want
+    by_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(by_task) == 7800 and max(by_task) <= 2600
