@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociframe.operators import sharding as SH
+from lociframe.plans import extra as EX
 from lociframe.plans import fixtures as FX
 from lociframe.plans import inputs as IN
 from lociframe.plans import queries as Q
@@ -100,3 +101,48 @@ def test_pairs_of_chunks_are_no_table(spark, monkeypatch):
     assert sorted(map(tuple, out.select("shard", "side", "rn", "s").collect())) == want
     by_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(by_task) == 7800 and max(by_task) <= 2600
+
+
+def test_entries_stay_where_their_variant_is(spark, tmp_path):
+    """Entries are dealt once, before they multiply, and regrouped there; what is
+    looked up by transcript goes without them; sites leave the old CSQ behind."""
+    def table(name, schema, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    entry = lambda g, t: f"GENE{g}|{t}|missense|{t}:c.{g}|"
+    site = "contig string, position long, alleles array<string>, vid long, info struct<CSQ: array<string>, AC: int>"
+    rows = [("chr1", i // 2, ["A", "C"], i, ([entry(i % 5, f"T{i}"), entry(i % 3, f"T{i + 1}"), entry(1, f"T{i}")], i)) for i in range(60)]
+    rows += [("chr1", 70, ["A", "C"], 70, None), ("chr1", 71, ["A", "C"], 71, (None, 1)), (None, 72, ["A", "C"], 72, ([entry(1, "T1")], 1)),
+             ("chr1", 73, ["A", "C"], 73, (["no parts", entry(1, ""), entry(1, "T3")], 1))]
+    variant = "contig string, position long, alleles array<string>, "
+    many = range(3000)
+    tables = EX.ExtraTables(
+        mpc=table("mpc", variant + "mpc double", [("chr1", i, ["A", "C"], i / 7) for i in many]),
+        revel=table("revel", "`#chr` string, grch38_pos string, ref string, alt string, REVEL string", [("1", str(i), "A", "C", f"0.{i}") for i in many]),
+        loeuf_v2=table("v2", "transcript string, oe_lof_upper string, oe_lof_upper_bin string", [(f"T{i}", None if i == 3 else f"u{i}", "b") for i in many if i % 4]),
+        loeuf_v4=table("v4", "transcript string, `lof.oe_ci.upper` string, `lof.oe_ci.upper_bin_decile` string", [(f"T{i}", f"w{i}", "d") for i in many if i % 3]),
+        omim=table("omim", "approvedGeneSymbol string, mimNumber string, inheritance_code string", [("GENE1", "600", "AD")]),
+        spliceai=table("sa", variant + "SYMBOL string, SpliceAI string", [("chr1", i, ["A", "C"], "GENE1", f"SpliceAI=C|GENE1|{i}|2|3|4|5|6|7|8") for i in many]))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    results = {}
+    try:
+        for most in ("6000", "33554432"):
+            for k in kept:
+                spark.conf.set(k, most)
+            sites = spark.createDataFrame(rows, site)
+            out, text = EX.annotate_extra(sites, "Format: SYMBOL|Feature|Consequence|HGVSc|HGVSp", tables)
+            assert out.columns == ["contig", "position", "alleles", "vid", "info"] and out.schema["info"].dataType.fieldNames() == ["CSQ", "AC", "MPC", "REVEL"]
+            plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+            dealt = ["".join(plan[i + 1:i + 2]) for i, x in enumerate(plan) if "Exchange hashpartitioning" in x]
+            results[most] = {r.vid: r.info for r in out.collect()}
+            assert not [x for x in dealt if "t_Consequence" in x or "csq_pos" in x or "info.CSQ AS CSQ" in x]
+            assert len([x for x in dealt if "AS _csq" in x]) == 1
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    few, all_sent = results.values()
+    assert few == all_sent and len(few) == 64
+    assert few[70] is None and few[71].CSQ is None and few[72].CSQ is None and few[72].MPC is None
+    assert few[73].CSQ == "||||" + "|" * 14 + ",GENE1||missense|:c.1||||||600|AD|73|2|3|4|5|6|7|8,GENE1|T3|missense|T3:c.1|||b|||600|AD|73|2|3|4|5|6|7|8"
+    assert few[2].CSQ.split(",")[0] == few[3].CSQ.split(",")[0] == "GENE2|T2|missense|T2:c.2||u2|b|w2|d||" + "|" * 8 and len(few[2].CSQ.split(",")) == 6
